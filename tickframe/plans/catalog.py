@@ -444,6 +444,94 @@ def _expectations_sql() -> str:
     return O.with_ctes(ctes, sums)
 
 
+# ---------------------------------------------------------------- sinks, tables, streams
+def _ticks_keyed(spark, sf):
+    return fixture_ticks(spark, sf, keep=("session_date",))
+
+
+def _table_name(prefix: str) -> str:
+    import uuid
+    return f"default.{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def q_table_roundtrip(spark, sf):
+    """DDL + partitioned append + table scan."""
+    from ..session import fresh_dir
+    from ..sinks.tables import append_ticks
+    name = _table_name("ticks_rt")
+    append_ticks(spark, fixture_ticks(spark, sf), name, location=fresh_dir(spark, "table"))
+    return spark.table(name).select(*TICK_COLUMNS)
+
+
+def q_csv_roundtrip(spark, sf):
+    from ..session import fresh_dir
+    from ..sinks import files
+    path = fresh_dir(spark, "csv")
+    files.write_csv(_ticks_keyed(spark, sf), path, session_col="session_date")
+    return files.strip_keys(files.read_csv(spark, path))
+
+
+def q_parquet_roundtrip(spark, sf):
+    from ..session import fresh_dir
+    from ..sinks import files
+    path = fresh_dir(spark, "parquet")
+    files.write_parquet(_ticks_keyed(spark, sf), path, session_col="session_date")
+    return files.strip_keys(files.read_parquet(spark, path))
+
+
+def q_schema_evolution(spark, sf):
+    """Older-layout table, first flushes appended, evolved by ALTER TABLE, newer rows appended."""
+    from ..session import fresh_dir
+    from ..sinks.tables import append_ticks
+    name = _table_name("ticks_evo")
+    t = fixture_ticks(spark, sf, keep=("tick_no",))
+    first = F.col("tick_no") <= FLUSH_EVERY
+    append_ticks(spark, t.where(first).drop("tick_no", *LEGACY_MISSING), name,
+                 location=fresh_dir(spark, "evo"))
+    append_ticks(spark, t.where(~first).drop("tick_no"), name, create=False)
+    return spark.table(name).select(*TICK_COLUMNS)
+
+
+def q_sink_fanout(spark, sf):
+    """All three sinks written from one persisted frame, then compared with it (EXP-10)."""
+    from ..operators.expectations import sinks_agree
+    from ..session import fresh_dir
+    from ..sinks import files
+    from ..sinks.fanout import fan_out
+    base = fresh_dir(spark, "fanout")
+    name = _table_name("ticks_fan")
+    t = _ticks_keyed(spark, sf)
+    fan_out(spark, t, name, f"{base}/csv", f"{base}/parquet", session_col="session_date",
+            table_location=f"{base}/table")
+    ref = fixture_ticks(spark, sf)
+    return sinks_agree(ref, {
+        "table": spark.table(name).select(*TICK_COLUMNS),
+        "csv": files.strip_keys(files.read_csv(spark, f"{base}/csv")),
+        "parquet": files.strip_keys(files.read_parquet(spark, f"{base}/parquet")),
+    })
+
+
+SQL_SINK_FANOUT = O.with_ctes(O.ticks_ctes(), " UNION ALL ".join(
+    f"SELECT '{k}' AS sink, count(*) AS rows, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra FROM ticks"
+    for k in ("table", "csv", "parquet")))
+
+
+def q_stream_ticks(spark, sf):
+    from ..streaming.run import stream_ticks
+    polls, snaps = _poll_log(spark, sf)
+    return stream_ticks(spark, polls, snaps)
+
+
+def q_stream_dedup(spark, sf):
+    from ..streaming.run import stream_dedup
+    polls, snaps = _poll_log(spark, sf)
+    return stream_dedup(spark, polls, snaps).select("symbol", _mkt().alias("bar_ts"))
+
+
+SQL_STREAM_DEDUP = _sql(f"SELECT DISTINCT symbol, {O.mkt_from_micros('slot * ' + W_US_SQL)} AS bar_ts FROM snaps",
+                        O.fixture_ctes())
+
+
 # ---------------------------------------------------------------- registry
 QUERIES: dict = {
     "tick_table": (q_tick_table, SQL_TICK_TABLE),
@@ -474,4 +562,11 @@ QUERIES: dict = {
     "symbol_safe": (q_symbol_safe, SQL_SYMBOL_SAFE),
     "bar_lag": (q_bar_lag, SQL_BAR_LAG),
     "expectations": (q_expectations, _expectations_sql()),
+    "table_roundtrip": (q_table_roundtrip, SQL_TICK_TABLE),
+    "csv_roundtrip": (q_csv_roundtrip, SQL_TICK_TABLE),
+    "parquet_roundtrip": (q_parquet_roundtrip, SQL_TICK_TABLE),
+    "schema_evolution": (q_schema_evolution, SQL_UNION_APPEND),
+    "sink_fanout": (q_sink_fanout, SQL_SINK_FANOUT),
+    "stream_ticks": (q_stream_ticks, SQL_TICK_TABLE),
+    "stream_dedup": (q_stream_dedup, SQL_STREAM_DEDUP),
 }
