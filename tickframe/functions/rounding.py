@@ -21,17 +21,14 @@ def guard_type(scale: int) -> DecimalType:
     return DecimalType(PRECISION, scale + GUARD_DIGITS)
 
 
-def _limit(scale: int) -> float:
-    return 10.0 ** (PRECISION - scale - GUARD_DIGITS) - 1.0
-
-
 def round_half_up(c: Column, scale: int) -> Column:
     """Round to ``scale`` decimals HALF_UP via a guarded decimal; DOUBLE result.
 
-    Values too large for the compact decimal fall back to ``F.round`` on the double.
+    Values too large for the compact decimal (``try_cast`` gives NULL) fall
+    back to ``F.round`` on the double.
     """
-    exact = F.round(c.cast(guard_type(scale)), scale).cast("double")
-    return F.when(F.abs(c) < F.lit(_limit(scale)), exact).otherwise(F.round(c, scale))
+    exact = F.round(c.try_cast(guard_type(scale)), scale).cast("double")
+    return F.coalesce(exact, F.round(c, scale))
 
 
 def sql_round(expr: str, scale: int) -> str:

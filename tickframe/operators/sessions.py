@@ -56,7 +56,7 @@ def label_outcomes(bars: DataFrame, p: Params = DEFAULT) -> DataFrame:
             .when(bad, F.lit(BAD_PRICE))
             .when(F.col("bar_ts").eqNullSafe(last_seen), F.lit(STALE))
             .otherwise(F.lit(GOOD)))
-    return bars.withColumn("last_bar_ts", last_seen).withColumn("base_outcome", base)
+    return bars.select("*", last_seen.alias("last_bar_ts")).select("*", base.alias("base_outcome"))
 
 
 def session_state(labelled: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -79,21 +79,24 @@ def session_state(labelled: DataFrame, p: Params = DEFAULT) -> DataFrame:
         in_vwap = good0
     w = vwap_weight(F.col("volume"))
     tp = typical_price("high", "low", "close")
-    df = (labelled
-          .withColumn("_cf", F.sum(fail).over(_upto()))
-          .withColumn("tick_no", F.sum(good0.cast("int")).over(_upto()))
-          .withColumn("prev_close", F.last(F.when(good0, round_half_up(F.col("close"), 2)),
-                                           ignorenulls=True).over(_before()))
-          .withColumn("vwap_num", F.sum(F.when(in_vwap, tp * w)).over(_upto()))
-          .withColumn("vwap_den", F.sum(F.when(in_vwap, w)).over(_upto())))
+    # One projection per window layer: every window column of a layer is
+    # evaluated by one Window operator over the same sorted partition.
+    df = labelled.select(
+        "*",
+        F.sum(fail).over(_upto()).alias("_cf"),
+        F.sum(good0.cast("int")).over(_upto()).alias("_tick_no"),
+        F.last(F.when(good0, round_half_up(F.col("close"), 2)), ignorenulls=True)
+        .over(_before()).alias("prev_close"),
+        F.sum(F.when(in_vwap, tp * w)).over(_upto()).alias("vwap_num"),
+        F.sum(F.when(in_vwap, w)).over(_upto()).alias("vwap_den"))
     last_good_cf = F.max(F.when(good0, F.col("_cf"))).over(_upto())
-    df = df.withColumn("fail_streak", (F.col("_cf") - F.coalesce(last_good_cf, F.lit(0))).cast("int"))
+    df = df.select("*", (F.col("_cf") - F.coalesce(last_good_cf, F.lit(0))).cast("int").alias("fail_streak"))
     aborted = F.coalesce(F.max(F.col("fail_streak") >= p.max_bad_ticks).over(_before()), F.lit(False))
-    df = df.withColumn("aborted_before", aborted)
+    df = df.select("*", aborted.alias("aborted_before"))
     outcome = F.when(F.col("aborted_before"), F.lit(AFTER_ABORT)).otherwise(base)
-    return (df.withColumn("outcome", outcome)
-            .withColumn("tick_no", F.when(F.col("outcome") == GOOD, F.col("tick_no")).cast("int"))
-            .drop("_cf"))
+    keep = [c for c in df.columns if c not in ("_cf", "_tick_no")]
+    return df.select(*keep, outcome.alias("outcome"),
+                     F.when(~F.col("aborted_before") & good0, F.col("_tick_no")).cast("int").alias("tick_no"))
 
 
 def poll_outcomes(bars: DataFrame, p: Params = DEFAULT) -> DataFrame:
