@@ -20,8 +20,12 @@ FILE_PARTITIONS = ["symbol_safe", "session"]
 
 
 def with_file_keys(df: DataFrame, session_col: str | None = None) -> DataFrame:
-    """Add the folder keys: file-safe symbol and the session label (bar day if no session column)."""
-    sess = F.col(session_col) if session_col else F.to_date(F.col("bar_ts"))
+    """Add the folder keys: file-safe symbol and the session label.
+
+    Without a session column the session is the collection day (``tick_ts``),
+    as the collector named its daily files; older rows lack ``bar_ts`` anyway.
+    """
+    sess = F.col(session_col) if session_col else F.to_date(F.col("tick_ts"))
     return df.withColumn("symbol_safe", symbol_safe("symbol")).withColumn("session", session_string(sess))
 
 
