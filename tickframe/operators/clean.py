@@ -82,3 +82,38 @@ def selected_bars(polls: DataFrame, snaps: DataFrame, p: Params = DEFAULT) -> Da
         has_bar.alias("has_bar"),
         F.when(has_bar, to_market_time(F.col("bar_utc"), p)).alias("bar_ts"),
         *[F.when(has_bar, F.col(c)).alias(c) for c in OHLCV])
+
+
+def selected_from_poll_events(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Same output as :func:`selected_bars`, from the single-table poll-event layout.
+
+    ``events`` holds one row per returned bar, poll attributes repeated, and a
+    NULL ``bar_utc`` for a poll that returned nothing. The rows are hash
+    partitioned once by ``(symbol, session_date)``: the de-duplication and
+    closed-bar windows (by poll) and every later session window (by session)
+    are clustered on that partitioning and sorted on a prefix of one order, so
+    the plan has one exchange and one sort between the source and the tick
+    table, and no join.
+    """
+    from ..functions.calendar import to_market_time
+    poll = ("symbol", "session_date", "poll_id")
+    w = (Window.partitionBy(*poll)
+         .orderBy(F.col("bar_utc").desc_nulls_last(), F.col("seq").desc_nulls_last()))
+    ev = events.repartition("symbol", "session_date")
+    rn = F.row_number().over(w)
+    prev = F.lag("bar_utc").over(w)
+    d = (ev.select("*", rn.alias("_rn"), prev.alias("_prev"))
+         .where((F.col("_rn") == 1) | (F.col("bar_utc").isNotNull() & (F.col("_prev") != F.col("bar_utc")))))
+    w2 = Window.partitionBy(*poll).orderBy(F.col("bar_utc").desc_nulls_last())
+    whole = Window.partitionBy(*poll)
+    picked = (d.select("*", F.row_number().over(w2).alias("_rn2"),
+                       F.count("bar_utc").over(whole).alias("_nb"))
+              .where(((F.col("_nb") == 0) & (F.col("_rn2") == 1))
+                     | (F.col("_rn2") == F.least(F.col("_nb"), F.lit(2)))))
+    has_bar = F.col("bar_utc").isNotNull() & F.coalesce(F.col("ok"), F.lit(False))
+    j = nan_safe_ohlcv(picked)
+    return j.select(
+        "symbol", "poll_id", "session_date", "fetch_start", "fetch_end", "ok",
+        has_bar.alias("has_bar"),
+        F.when(has_bar, to_market_time(F.col("bar_utc"), p)).alias("bar_ts"),
+        *[F.when(has_bar, F.col(c)).alias(c) for c in OHLCV])

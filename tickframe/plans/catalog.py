@@ -518,14 +518,12 @@ SQL_SINK_FANOUT = O.with_ctes(O.ticks_ctes(), " UNION ALL ".join(
 
 def q_stream_ticks(spark, sf):
     from ..streaming.run import stream_ticks
-    polls, snaps = _poll_log(spark, sf)
-    return stream_ticks(spark, polls, snaps)
+    return stream_ticks(spark, fx.fixture_poll_events(spark, sf), None)
 
 
 def q_stream_dedup(spark, sf):
     from ..streaming.run import stream_dedup
-    polls, snaps = _poll_log(spark, sf)
-    return stream_dedup(spark, polls, snaps).select("symbol", _mkt().alias("bar_ts"))
+    return stream_dedup(spark, fx.fixture_poll_events(spark, sf), None).select("symbol", _mkt().alias("bar_ts"))
 
 
 SQL_STREAM_DEDUP = _sql(f"SELECT DISTINCT symbol, {O.mkt_from_micros('slot * ' + W_US_SQL)} AS bar_ts FROM snaps",

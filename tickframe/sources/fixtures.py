@@ -85,9 +85,8 @@ def _poll_rules(symbol, poll_id, fetch_start_mkt, session_date):
     return error, empty
 
 
-def poll_log(bars: DataFrame, bar_minutes: int = DEFAULT_BAR_MINUTES,
-             p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """``(polls, bar_snapshots)`` in the input schemas of :mod:`tickframe.schema`."""
+def _exploded(bars: DataFrame, bar_minutes: int, p: Params) -> DataFrame:
+    """Snapshot rows with their poll's attributes (pure functions of (symbol, poll_id))."""
     width_s = bar_minutes * 60
     # Each bar k is seen by polls k+1 (as the older bar), k (as the last closed
     # bar) and k-1 (as the live bar); e = k - poll_id, seq = 2 * (e + 1).
@@ -105,26 +104,47 @@ def poll_log(bars: DataFrame, bar_minutes: int = DEFAULT_BAR_MINUTES,
         "open",
         *[F.when(dup, F.col("open")).otherwise(F.col(c)).alias(c) for c in ("high", "low", "close")],
         "volume")
-
     start_s = (F.col("poll_id") + 1) * width_s + POLL_DELAY_SECONDS
     latency_us = LATENCY_BASE_US + (F.col("poll_id") * LATENCY_MUL_POLL
                                     + F.length("symbol") * LATENCY_MUL_SYMBOL) % LATENCY_SPAN_US
     fetch_start_mkt = F.convert_timezone(None, F.lit(p.market_tz), F.timestamp_seconds(start_s))
     session_date = F.to_date(fetch_start_mkt)
     error, empty = _poll_rules(F.col("symbol"), F.col("poll_id"), fetch_start_mkt, session_date)
+    return snaps.select("*", session_date.alias("session_date"),
+                        F.timestamp_seconds(start_s).alias("fetch_start"),
+                        F.timestamp_micros(start_s * 1_000_000 + latency_us).alias("fetch_end"),
+                        (~error).alias("ok"), empty.alias("_empty"))
 
-    polls = (snaps.select("symbol", "poll_id").distinct()
-             .select("symbol", "poll_id",
-                     session_date.alias("session_date"),
-                     F.timestamp_seconds(start_s).alias("fetch_start"),
-                     F.timestamp_micros(start_s * 1_000_000 + latency_us).alias("fetch_end"),
-                     (~error).alias("ok")))
+
+def poll_log(bars: DataFrame, bar_minutes: int = DEFAULT_BAR_MINUTES,
+             p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """``(polls, bar_snapshots)`` in the two-table input schemas of :mod:`tickframe.schema`."""
+    x = _exploded(bars, bar_minutes, p)
+    polls = (x.groupBy("symbol", "poll_id")
+             .agg(*[F.first(c).alias(c) for c in ("session_date", "fetch_start", "fetch_end", "ok")]))
     # A failed fetch or an empty response returns no bars.
-    snaps = snaps.where(~(error | empty))
+    snaps = x.where(F.col("ok") & ~F.col("_empty")).select(
+        "symbol", "poll_id", "seq", "bar_utc", "open", "high", "low", "close", "volume")
     return polls, snaps
 
 
+def poll_events(bars: DataFrame, bar_minutes: int = DEFAULT_BAR_MINUTES,
+                p: Params = DEFAULT) -> DataFrame:
+    """The single-table layout (as landed for streaming): bar fields NULL for failed / empty polls."""
+    x = _exploded(bars, bar_minutes, p)
+    returned = F.col("ok") & ~F.col("_empty")
+    return x.select("symbol", "poll_id", "session_date", "fetch_start", "fetch_end", "ok",
+                    *[F.when(returned, F.col(c)).alias(c)
+                      for c in ("seq", "bar_utc", "open", "high", "low", "close", "volume")])
+
+
 def fixture_poll_log(spark: SparkSession, sf_dir: str, bar_minutes: int = DEFAULT_BAR_MINUTES,
                      p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
     events = load(spark, sf_dir, "events").select("ts", "event_type", "value")
     return poll_log(bars_from_events(events, bar_minutes), bar_minutes, p)
+
+
+def fixture_poll_events(spark: SparkSession, sf_dir: str, bar_minutes: int = DEFAULT_BAR_MINUTES,
+                        p: Params = DEFAULT) -> DataFrame:
+    events = load(spark, sf_dir, "events").select("ts", "event_type", "value")
+    return poll_events(bars_from_events(events, bar_minutes), bar_minutes, p)

@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..params import DEFAULT, Params
-from ..schema import TICK_COLUMNS
+from ..schema import POLL_EVENTS_SCHEMA, TICK_COLUMNS
 from ..session import fresh_dir
 from .live import dedup_bars_stream, poll_event_rows, read_landing, states_to_ticks, stream_states
 
 
-def land_poll_log(spark: SparkSession, polls: DataFrame, snaps: DataFrame, landing: str,
+def land_poll_log(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None, landing: str,
                   files: int | None = None) -> str:
-    """Write a poll log to a landing folder in the streaming input layout."""
-    rows = poll_event_rows(polls, snaps)
+    """Write a poll log to a landing folder in the streaming input layout.
+
+    ``snaps=None``: ``polls`` already is in the poll-event layout.
+    """
+    rows = polls if snaps is None else poll_event_rows(polls, snaps)
+    rows = rows.select(*POLL_EVENTS_SCHEMA.fieldNames())
     if files:
         rows = rows.repartitionByRange(files, "poll_id")
     rows.write.mode("overwrite").parquet(landing)
@@ -30,7 +34,7 @@ def stream_ticks_to_parquet(spark: SparkSession, landing: str, out_dir: str, che
     q.awaitTermination()
 
 
-def stream_ticks(spark: SparkSession, polls: DataFrame, snaps: DataFrame, p: Params = DEFAULT,
+def stream_ticks(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None, p: Params = DEFAULT,
                  max_files: int | None = None) -> DataFrame:
     """Land, stream, and read back the streamed tick table (32 columns)."""
     base = fresh_dir(spark, "live")
@@ -39,7 +43,7 @@ def stream_ticks(spark: SparkSession, polls: DataFrame, snaps: DataFrame, p: Par
     return spark.read.parquet(f"{base}/ticks").select(*TICK_COLUMNS)
 
 
-def stream_dedup(spark: SparkSession, polls: DataFrame, snaps: DataFrame) -> DataFrame:
+def stream_dedup(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None) -> DataFrame:
     """Stream the landing folder through the watermark dedup; read the distinct bars back."""
     base = fresh_dir(spark, "dedup")
     landing = land_poll_log(spark, polls, snaps, f"{base}/landing")
