@@ -30,6 +30,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(CORE_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # Static: PySpark's per-Column call-site capture (error context only) costs a
+    # JVM round trip per expression; the plans here build hundreds of expressions.
+    conf["spark.python.sql.dataFrameDebugging.enabled"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
