@@ -30,7 +30,7 @@ def pick(bars):
     return best[keys[-2]] if len(keys) >= 2 else best[keys[-1]]
 
 
-def run_session(polls, max_bad=5, spike=0.05, all_polls=True):
+def run_session(polls, max_bad=5, spike=0.05, all_polls=True, stale_good_only=False):
     """polls: list of (poll_id, ok, bars) in poll order. Returns {poll_id: dict}."""
     last_bar, prev_close, num, den, streak, ticks, aborted = None, None, 0.0, 0.0, 0, 0, False
     out = {}
@@ -47,11 +47,13 @@ def run_session(polls, max_bad=5, spike=0.05, all_polls=True):
             continue
         o, h, l, c, v = (_f(x) for x in bar[2:7])
         if h == l == o == c and c > 0:
-            last_bar = bar[0]
+            if not stale_good_only:
+                last_bar = bar[0]
             out[pid] = {"outcome": "COLLAPSED", "fail_streak": streak}
             continue
         if c <= 0:
-            last_bar = bar[0]
+            if not stale_good_only:
+                last_bar = bar[0]
             out[pid] = {"outcome": "BAD_PRICE", "fail_streak": streak}
             continue
         stale = bar[0] == last_bar

@@ -169,3 +169,41 @@ def test_normalise_names(spark):
     assert normalise_name("('Open', '^NSEI')") == "open"
     df = spark.createDataFrame([(1.0, 2.0)], "`('Close', '^NSEI')` double, Volume double")
     assert normalise_columns(df).columns == ["close", "volume"]
+
+
+def test_stale_against_good_only_matches_model(spark):
+    sessions = _random_sessions(21, n_sessions=25)
+    polls, snaps = make_log(sessions)
+    p, b = poll_log_from_rows(spark, polls, snaps)
+    params = DEFAULT.with_(stale_against_good_only=True)
+    st = {(r.symbol, r.session_date, r.poll_id): r.outcome for r in session_states(p, b, params).collect()}
+    differs = 0
+    for (sym, day), plist in sessions.items():
+        model = run_session(plist, stale_good_only=True)
+        default = run_session(plist)
+        for pid, _, _ in plist:
+            assert st[(sym, day, pid)] == model[pid]["outcome"]
+            differs += model[pid]["outcome"] != default[pid]["outcome"]
+    assert differs > 0  # the option changes some outcomes on this log
+
+
+def test_single_table_layout_equals_two_table(spark):
+    from tickframe.plans.ticks import event_ticks
+    from tickframe.streaming.live import poll_event_rows
+    sessions = _random_sessions(13, n_sessions=20)
+    polls, snaps = make_log(sessions)
+    p, b = poll_log_from_rows(spark, polls, snaps)
+    two = ticks(p, b, keep=("poll_id",))
+    one = event_ticks(poll_event_rows(p, b), keep=("poll_id",))
+    assert one.count() == two.count() > 0
+    assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
+
+
+def test_fixture_layouts_agree(spark):
+    from conftest import SF001
+    from tickframe.plans.ticks import event_ticks
+    from tickframe.sources import fixtures as fx
+    ev = fx.fixture_poll_events(spark, SF001, bar_minutes=360)
+    polls, snaps = fx.fixture_poll_log(spark, SF001, bar_minutes=360)
+    one, two = event_ticks(ev), ticks(polls, snaps)
+    assert one.count() == two.count() > 0 and one.exceptAll(two).count() == 0

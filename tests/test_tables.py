@@ -126,3 +126,17 @@ def test_schema_report():
     assert all(ok for _, ok in schema_report(TICK_SCHEMA))
     bad = dict(schema_report(LEGACY_TICK_SCHEMA))
     assert bad["present:bar_ts"] is False and bad["int:year"] is True
+
+
+def test_bucketed_poll_events_need_no_exchange(spark):
+    from tickframe.plans.ticks import event_ticks
+    from tickframe.sources.fixtures import fixture_poll_events
+    from tickframe.sources.polls import save_poll_events_bucketed
+    name = _name("pe")
+    ev = fixture_poll_events(spark, SF001, bar_minutes=360)
+    save_poll_events_bucketed(ev, name, 4, fresh_dir(spark, "pe"))
+    t = event_ticks(spark.table(name), clustered=True)
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" in plan
+    exp = event_ticks(ev)
+    assert t.count() == exp.count() and t.exceptAll(exp).count() == 0

@@ -84,7 +84,7 @@ def selected_bars(polls: DataFrame, snaps: DataFrame, p: Params = DEFAULT) -> Da
         *[F.when(has_bar, F.col(c)).alias(c) for c in OHLCV])
 
 
-def selected_from_poll_events(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def selected_from_poll_events(events: DataFrame, p: Params = DEFAULT, clustered: bool = False) -> DataFrame:
     """Same output as :func:`selected_bars`, from the single-table poll-event layout.
 
     ``events`` holds one row per returned bar, poll attributes repeated, and a
@@ -93,13 +93,15 @@ def selected_from_poll_events(events: DataFrame, p: Params = DEFAULT) -> DataFra
     closed-bar windows (by poll) and every later session window (by session)
     are clustered on that partitioning and sorted on a prefix of one order, so
     the plan has one exchange and one sort between the source and the tick
-    table, and no join.
+    table, and no join. ``clustered=True``: the input is already hash
+    partitioned by ``(symbol, session_date)`` (a bucketed table), so not even
+    that exchange is planned.
     """
     from ..functions.calendar import to_market_time
     poll = ("symbol", "session_date", "poll_id")
     w = (Window.partitionBy(*poll)
          .orderBy(F.col("bar_utc").desc_nulls_last(), F.col("seq").desc_nulls_last()))
-    ev = events.repartition("symbol", "session_date")
+    ev = events if clustered else events.repartition("symbol", "session_date")
     rn = F.row_number().over(w)
     prev = F.lag("bar_utc").over(w)
     d = (ev.select("*", rn.alias("_rn"), prev.alias("_prev"))

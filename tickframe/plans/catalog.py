@@ -180,6 +180,17 @@ def _candle_sql():
 SQL_CANDLE_FEATURES = _sql(f"SELECT symbol, slot, {_candle_sql()} FROM bars", O.fixture_ctes())
 
 
+def q_typical_price(spark, sf):
+    b = q_bars_ist(spark, sf)
+    return b.select("symbol", "slot",
+                    round_half_up(cd.typical_price("high", "low", "close"), 2).alias("typical_price"),
+                    cd.vwap_weight(F.col("volume")).alias("vwap_weight"))
+
+
+SQL_TYPICAL_PRICE = _sql(f"""SELECT symbol, slot, {sql_round('(high + low + close) / 3.0', 2)} AS typical_price,
+  greatest({O.nan0('volume')}, 1.0) AS vwap_weight FROM bars""", O.fixture_ctes())
+
+
 # ---------------------------------------------------------------- snapshot cleaning
 def _snap_out(df):
     return df.select("symbol", "poll_id", _mkt().alias("bar_ts"), *[
@@ -498,12 +509,16 @@ def q_sink_fanout(spark, sf):
     from ..session import fresh_dir
     from ..sinks import files
     from ..sinks.fanout import fan_out
+    from ..session import shared_dir
     base = fresh_dir(spark, "fanout")
     name = _table_name("ticks_fan")
-    t = _ticks_keyed(spark, sf)
+    shared_dir(spark)  # make sure a reliable checkpoint folder is set
+    # Reliable checkpoint in the shared folder: the sinks and the reference read
+    # one materialised copy, and the lineage back to the events scan is cut.
+    t = _ticks_keyed(spark, sf).checkpoint(eager=True)
     fan_out(spark, t, name, f"{base}/csv", f"{base}/parquet", session_col="session_date",
             table_location=f"{base}/table")
-    ref = fixture_ticks(spark, sf)
+    ref = t.select(*TICK_COLUMNS)
     return sinks_agree(ref, {
         "table": spark.table(name).select(*TICK_COLUMNS),
         "csv": files.strip_keys(files.read_csv(spark, f"{base}/csv")),
@@ -540,6 +555,7 @@ QUERIES: dict = {
     "market_state": (q_market_state, SQL_MARKET_STATE),
     "market_hours": (q_market_hours, SQL_MARKET_HOURS),
     "candle_features": (q_candle_features, SQL_CANDLE_FEATURES),
+    "typical_price": (q_typical_price, SQL_TYPICAL_PRICE),
     "nan_safe_ohlcv": (q_nan_safe_ohlcv, SQL_NAN_SAFE),
     "dedup_keep_last": (q_dedup_keep_last, SQL_DEDUP),
     "last_closed_bar": (q_last_closed_bar, SQL_LAST_CLOSED),

@@ -29,13 +29,14 @@ def ticks(polls: DataFrame, snaps: DataFrame, p: Params = DEFAULT, keep: tuple =
     return tick_rows(session_states(polls, snaps, p), p, keep)
 
 
-def event_states(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Session states from the single-table poll-event layout (one exchange in all)."""
-    return poll_outcomes(selected_from_poll_events(events, p), p)
+def event_states(events: DataFrame, p: Params = DEFAULT, clustered: bool = False) -> DataFrame:
+    """Session states from the single-table poll-event layout (one exchange in all;
+    none when ``clustered``, e.g. a table bucketed by ``(symbol, session_date)``)."""
+    return poll_outcomes(selected_from_poll_events(events, p, clustered), p)
 
 
-def event_ticks(events: DataFrame, p: Params = DEFAULT, keep: tuple = ()) -> DataFrame:
-    return tick_rows(event_states(events, p), p, keep)
+def event_ticks(events: DataFrame, p: Params = DEFAULT, keep: tuple = (), clustered: bool = False) -> DataFrame:
+    return tick_rows(event_states(events, p, clustered), p, keep)
 
 
 def fixture_states(spark: SparkSession, sf_dir: str, bar_minutes: int = DEFAULT_BAR_MINUTES,

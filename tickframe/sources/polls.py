@@ -43,3 +43,21 @@ def ticks_from_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
         else:
             out.append(c.cast(f.dataType).alias(f.name))
     return df.select(*out)
+
+
+BUCKET_KEYS = ("symbol", "session_date")
+
+
+def save_poll_events_bucketed(df: DataFrame, table: str, buckets: int, location: str | None = None) -> None:
+    """Persist a poll-event log bucketed by ``(symbol, session_date)``, sorted by poll.
+
+    A scan of this table is already hash partitioned the way the tick plan needs,
+    so :func:`tickframe.plans.ticks.event_ticks` with ``clustered=True`` runs
+    without any exchange after the scan. Choose ``buckets`` so one bucket is
+    about one task's worth of data (~128 MB).
+    """
+    w = (df.write.mode("overwrite").format("parquet")
+         .bucketBy(buckets, *BUCKET_KEYS).sortBy(*BUCKET_KEYS, "poll_id"))
+    if location:
+        w = w.option("path", location)
+    w.saveAsTable(table)

@@ -11,8 +11,8 @@ step runs in the state function: per group, the micro-batch's polls are
 sorted by ``poll_id`` and folded into the state. It holds only scalars (last
 bar time, previous close, VWAP sums, streak, tick count, abort flag, last
 poll), so state size is constant per session. Polls at or below the last
-processed ``poll_id`` arrive too late to be ordered and are dropped and counted
-(``late`` column of the state output).
+processed ``poll_id`` arrive too late to be ordered: they are dropped and
+counted (``late_polls`` on every state row the session emits afterwards).
 """
 
 from __future__ import annotations
@@ -62,6 +62,7 @@ OUT_SCHEMA = T.StructType([
     T.StructField("prev_close", T.DoubleType()),
     T.StructField("vwap_num", T.DoubleType()),
     T.StructField("vwap_den", T.DoubleType()),
+    T.StructField("late_polls", T.LongType()),      # polls of this session dropped as late so far
 ])
 
 
@@ -111,7 +112,8 @@ def make_state_fn(p: Params = DEFAULT, session_gap_ms: int = 6 * 3600 * 1000):
             rec = dict(symbol=symbol, session_date=session_date, poll_id=poll_id,
                        fetch_start_us=head["fetch_start_us"], fetch_end_us=head["fetch_end_us"],
                        bar_us=None, open=None, high=None, low=None, close=None, volume=None,
-                       fail_streak=None, tick_no=None, prev_close=None, vwap_num=None, vwap_den=None)
+                       fail_streak=None, tick_no=None, prev_close=None, vwap_num=None, vwap_den=None,
+                       late_polls=None)
             if aborted:
                 rec.update(base_outcome=None, outcome="AFTER_ABORT")
                 out.append(rec)
@@ -147,6 +149,8 @@ def make_state_fn(p: Params = DEFAULT, session_gap_ms: int = 6 * 3600 * 1000):
             if streak >= p.max_bad_ticks:
                 aborted = True
             out.append(rec)
+        for rec in out:
+            rec["late_polls"] = late
         state.update((last_bar, prev_close, num, den, streak, tick_no, aborted, last_poll, late))
         if frame["fetch_start_us"].notna().any():
             until = int(frame["fetch_start_us"].max()) // 1000 + session_gap_ms

@@ -53,3 +53,18 @@ def stream_dedup(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{base}/bars")
+
+
+def start_live(spark: SparkSession, landing: str, table: str, csv_dir: str, parquet_dir: str,
+               checkpoint: str, p: Params = DEFAULT, every: str = "1 minute",
+               table_location: str | None = None):
+    """Production live mode: poll the landing folder every ``every`` and fan each
+    micro-batch out to the three sinks (idempotent per batch id). Returns the query."""
+    from ..sinks.fanout import batch_writer
+    ticks = states_to_ticks(stream_states(read_landing(spark, landing), p), p)
+    return (ticks.writeStream
+            .foreachBatch(batch_writer(table, csv_dir, parquet_dir, f"{checkpoint}/commits",
+                                       table_location=table_location))
+            .option("checkpointLocation", f"{checkpoint}/stream")
+            .trigger(processingTime=every)
+            .start())
