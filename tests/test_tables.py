@@ -140,3 +140,14 @@ def test_bucketed_poll_events_need_no_exchange(spark):
     assert "Exchange" not in plan and "Window" in plan
     exp = event_ticks(ev)
     assert t.count() == exp.count() and t.exceptAll(exp).count() == 0
+
+
+def test_sinks_agree_finds_changed_and_duplicated_rows(spark, ticks):
+    n = ticks.count()
+    changed = ticks.withColumn("close", F.when(F.col("tick_time_str") == F.lit(
+        ticks.first().tick_time_str), F.col("close") + 1).otherwise(F.col("close")))
+    k = ticks.where(F.col("tick_time_str") == ticks.first().tick_time_str).count()
+    r = sinks_agree(ticks, {"chg": changed, "dup": ticks.unionByName(ticks.limit(1))}).collect()
+    rep = {x.sink: x for x in r}
+    assert rep["chg"].rows == n and rep["chg"].missing == k and rep["chg"].extra == k
+    assert rep["dup"].rows == n + 1 and rep["dup"].missing == 0 and rep["dup"].extra == 1
