@@ -95,3 +95,20 @@ def test_stream_dedup(spark):
     got = stream_dedup(spark, p, b)
     exp = b.join(p.where("ok"), ["symbol", "poll_id"], "left_semi").select("symbol", "bar_utc").distinct()
     assert got.count() == exp.count()
+
+
+def test_start_live_processing_time(spark):
+    from tickframe.streaming.run import start_live
+    sessions = _random_sessions(17, n_sessions=3)
+    polls, snaps = make_log(sessions)
+    p, b = poll_log_from_rows(spark, polls, snaps)
+    base = fresh_dir(spark, "live")
+    _land_in_chunks(spark, p, b, f"{base}/landing", [(0, 1000)])
+    name = "default.live_" + base.rsplit("-", 1)[-1]
+    q = start_live(spark, f"{base}/landing", name, f"{base}/csv", f"{base}/pq", f"{base}/ckpt",
+                   every="1 second", table_location=f"{base}/table")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.table(name).count() == ticks(p, b).count()

@@ -151,3 +151,38 @@ def test_sinks_agree_finds_changed_and_duplicated_rows(spark, ticks):
     rep = {x.sink: x for x in r}
     assert rep["chg"].rows == n and rep["chg"].missing == k and rep["chg"].extra == k
     assert rep["dup"].rows == n + 1 and rep["dup"].missing == 0 and rep["dup"].extra == 1
+
+
+def test_schema_diff_frame(spark, ticks):
+    from tickframe.sinks.tables import schema_diff_df
+    d = {r.column: r for r in schema_diff_df(spark, LEGACY_TICK_SCHEMA, TICK_SCHEMA).collect()}
+    assert not d["bar_ts"].in_table and d["bar_ts"].in_frame and d["bar_ts"].type_frame == "timestamp_ntz"
+    assert d["year"].in_table and d["year"].type_table == "int"
+
+
+def test_ticks_from_rows_golden_strings(spark):
+    from tickframe.sources.polls import ticks_from_rows
+    row = dict(zip(TICK_COLUMNS, (
+        "2026-04-03 09:35:31.927661,2026-04-02 15:28:00,09:35,15:28,^NSEI,2026,4,2,3,15,28,1,22704.9,22705.4,"
+        "22696.0,22700.15,0.0,22700.52,22700.52,9.4,-0.0209,0.0,50.53,0.5,4.15,1.000414,6,0,0,5,OK_NO_VOL,560.5"
+    ).split(",")))
+    r = ticks_from_rows(spark, [row]).first()
+    assert r.bar_ts.isoformat() == "2026-04-02T15:28:00" and r.tick_ts.microsecond == 927661
+    assert r.close == 22700.15 and r.days_to_expiry == 5 and r.data_quality == "OK_NO_VOL"
+    # EXP-12: the row was polled on 2026-04-03, its bar is of 2026-04-02.
+    from tickframe.operators.expectations import violations
+    v = violations(ticks_from_rows(spark, [row]).withColumn("session_date", F.to_date("tick_ts")),
+                   session_col="session_date").first()
+    assert v.v_EXP_12 and not v.v_EXP_1 and not v.v_EXP_3 and not v.v_EXP_4 and not v.v_EXP_6
+
+
+def test_read_poll_log_formats(spark):
+    from tickframe.sources.fixtures import fixture_poll_log
+    from tickframe.sources.polls import read_poll_log
+    polls, snaps = fixture_poll_log(spark, SF001, bar_minutes=360)
+    base = fresh_dir(spark, "pl")
+    for fmt in ("parquet", "json"):
+        polls.write.format(fmt).save(f"{base}/{fmt}/polls")
+        snaps.write.format(fmt).save(f"{base}/{fmt}/snaps")
+        p, s = read_poll_log(spark, f"{base}/{fmt}/polls", f"{base}/{fmt}/snaps", fmt)
+        assert p.count() == polls.count() and s.exceptAll(snaps).count() == 0

@@ -25,21 +25,6 @@ def fetch_latency_ms(start="fetch_start", end="fetch_end"):
     return round_half_up(F.timestamp_diff("MICROSECOND", s, e) / F.lit(1000.0), 1)
 
 
-def calendar_columns(ts_col: str = "bar_ts", p: Params = DEFAULT) -> dict:
-    t = F.col(ts_col)
-    d = F.to_date(t)
-    return {"year": F.year(t), "month": F.month(t), "date": F.dayofmonth(t),
-            "day": cal.weekday(d), "hour": F.hour(t), "minute": F.minute(t),
-            "week_of_month": cal.week_of_month(d)}
-
-
-def expiry_columns(ts_col: str = "bar_ts", p: Params = DEFAULT) -> dict:
-    d = F.to_date(F.col(ts_col))
-    return {"session_number": cal.session_number(F.hour(F.col(ts_col))),
-            "expiry": cal.is_expiry(d, p),
-            "is_monthly_expiry": cal.is_monthly_expiry(d, p),
-            "days_to_expiry": cal.days_to_expiry(d, p)}
-
 
 def candle_columns(o="open", h="high", l="low", c="close") -> dict:
     rng = cd.price_range(h, l)

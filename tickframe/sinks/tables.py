@@ -10,7 +10,6 @@ columns).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import PARTITION_COLUMNS, TICK_SCHEMA, conform
@@ -101,8 +100,3 @@ def append_ticks(spark: SparkSession, df: DataFrame, table: str, create: bool =
 def _schema_with_frame_order(df: DataFrame) -> T.StructType:
     wanted = {f.name: f for f in TICK_SCHEMA.fields}
     return T.StructType([wanted.get(f.name, f) for f in df.schema.fields])
-
-
-def partition_columns_ok(df: DataFrame) -> DataFrame:
-    """Rows whose partition columns are NULL cannot be placed; they are reported, not dropped."""
-    return df.where(F.col("year").isNull() | F.col("month").isNull() | F.col("date").isNull())
