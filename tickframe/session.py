@@ -64,3 +64,43 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused folder name under the shared directory (never reused, never cleared)."""
     import uuid
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickframe`` importable on executors' Python workers (once per context).
+
+    Code that runs in Python workers (the streaming state function) is pickled
+    by reference to this package. The package is zipped into the shared folder
+    and added with ``addPyFile``, as ``--py-files`` would do at submit time.
+    """
+    import hashlib
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(dirpath, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    data = buf.getvalue()
+    path = shared_dir(spark, "pyfiles", f"tickframe-{hashlib.sha1(data).hexdigest()[:12]}.zip")
+    jvm = sc._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(hp):
+        out = fs.create(hp, True)
+        out.write(bytearray(data))
+        out.close()
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

@@ -180,6 +180,8 @@ def stream_states(events: DataFrame, p: Params = DEFAULT, delay: str = "1 hour",
     The watermark on ``fetch_start`` drops polls older than ``delay`` and lets
     a session's state time out ``session_gap_ms`` after its last poll.
     """
+    from ..session import ship_package
+    ship_package(events.sparkSession)
     src = events.withWatermark("fetch_start", delay).select(
         "symbol", "session_date", "poll_id", "ok", "seq", "fetch_start",
         _micros("fetch_start").alias("fetch_start_us"), _micros("fetch_end").alias("fetch_end_us"),

@@ -2,11 +2,31 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..params import DEFAULT, Params
 from ..schema import POLL_EVENTS_SCHEMA, TICK_COLUMNS
 from ..session import fresh_dir
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession, n: int | None):
+    """Partition count of the streaming state, fixed when a new query starts.
+
+    A started query runs on a clone of the session, so the caller's setting is
+    restored right after ``start()``. Default: the cluster's parallelism (one
+    state partition per core), not the batch shuffle setting.
+    """
+    n = n or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 from .live import dedup_bars_stream, poll_event_rows, read_landing, states_to_ticks, stream_states
 
 
@@ -25,12 +45,14 @@ def land_poll_log(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None
 
 
 def stream_ticks_to_parquet(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
-                            p: Params = DEFAULT, max_files: int | None = None) -> None:
+                            p: Params = DEFAULT, max_files: int | None = None,
+                            state_partitions: int | None = None) -> None:
     """Stream the landing folder to a Parquet tick sink; drains what is there, then stops."""
     ticks = states_to_ticks(stream_states(read_landing(spark, landing, max_files), p), p)
-    q = (ticks.writeStream.format("parquet").option("path", out_dir)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
+    with _state_partitions(spark, state_partitions):
+        q = (ticks.writeStream.format("parquet").option("path", out_dir)
+             .option("checkpointLocation", checkpoint).outputMode("append")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
@@ -48,23 +70,25 @@ def stream_dedup(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None)
     base = fresh_dir(spark, "dedup")
     landing = land_poll_log(spark, polls, snaps, f"{base}/landing")
     out = dedup_bars_stream(read_landing(spark, landing)).select("symbol", "bar_utc")
-    q = (out.writeStream.format("parquet").option("path", f"{base}/bars")
-         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
-         .trigger(availableNow=True).start())
+    with _state_partitions(spark, None):
+        q = (out.writeStream.format("parquet").option("path", f"{base}/bars")
+             .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{base}/bars")
 
 
 def start_live(spark: SparkSession, landing: str, table: str, csv_dir: str, parquet_dir: str,
                checkpoint: str, p: Params = DEFAULT, every: str = "1 minute",
-               table_location: str | None = None):
+               table_location: str | None = None, state_partitions: int | None = None):
     """Production live mode: poll the landing folder every ``every`` and fan each
     micro-batch out to the three sinks (idempotent per batch id). Returns the query."""
     from ..sinks.fanout import batch_writer
     ticks = states_to_ticks(stream_states(read_landing(spark, landing), p), p)
-    return (ticks.writeStream
-            .foreachBatch(batch_writer(table, csv_dir, parquet_dir, f"{checkpoint}/commits",
-                                       table_location=table_location))
-            .option("checkpointLocation", f"{checkpoint}/stream")
-            .trigger(processingTime=every)
-            .start())
+    with _state_partitions(spark, state_partitions):
+        return (ticks.writeStream
+                .foreachBatch(batch_writer(table, csv_dir, parquet_dir, f"{checkpoint}/commits",
+                                           table_location=table_location))
+                .option("checkpointLocation", f"{checkpoint}/stream")
+                .trigger(processingTime=every)
+                .start())
