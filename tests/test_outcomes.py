@@ -207,3 +207,17 @@ def test_fixture_layouts_agree(spark):
     polls, snaps = fx.fixture_poll_log(spark, SF001, bar_minutes=360)
     one, two = event_ticks(ev), ticks(polls, snaps)
     assert one.count() == two.count() > 0 and one.exceptAll(two).count() == 0
+
+
+def test_market_hours_only_drops_polls_before_the_windows(spark):
+    from conftest import SF01
+    from tickframe.functions.calendar import is_market_open, to_market_time
+    from tickframe.plans.ticks import fixture_states
+    p = DEFAULT.with_(market_hours_only=True)
+    st = fixture_states(spark, SF01, p=p)
+    t = to_market_time(F.col("fetch_start"))
+    assert st.where(~is_market_open(t)).count() == 0
+    assert st.count() == fixture_states(spark, SF01).where(is_market_open(t)).count()
+    # Session state restarts from the first in-hours poll: tick numbers start at 1.
+    first = st.where(F.col("tick_no").isNotNull()).groupBy("symbol", "session_date").agg(F.min("tick_no").alias("m"))
+    assert first.where(F.col("m") != 1).count() == 0

@@ -100,6 +100,9 @@ def session_state(labelled: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def poll_outcomes(bars: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    if p.market_hours_only:
+        from ..functions.calendar import is_market_open, to_market_time
+        bars = bars.where(is_market_open(to_market_time(F.col("fetch_start"), p), p))
     return session_state(label_outcomes(bars, p), p)
 
 

@@ -55,6 +55,9 @@ class Params:
     # Stale test against the last bar of any poll that returned one (collector
     # behaviour) or only against the last stored tick.
     stale_against_good_only: bool = False
+    # Keep only polls started inside market hours (the collector never polls
+    # outside them); off by default: a poll log holds what was polled.
+    market_hours_only: bool = False
 
     def __post_init__(self) -> None:
         errors = []

@@ -182,6 +182,9 @@ def stream_states(events: DataFrame, p: Params = DEFAULT, delay: str = "1 hour",
     """
     from ..session import ship_package
     ship_package(events.sparkSession)
+    if p.market_hours_only:
+        from ..functions.calendar import is_market_open
+        events = events.where(is_market_open(to_market_time(F.col("fetch_start"), p), p))
     src = events.withWatermark("fetch_start", delay).select(
         "symbol", "session_date", "poll_id", "ok", "seq", "fetch_start",
         _micros("fetch_start").alias("fetch_start_us"), _micros("fetch_end").alias("fetch_end_us"),
