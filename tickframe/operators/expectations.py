@@ -3,7 +3,8 @@
 Each rule is a boolean "violated" column; one aggregation counts rows checked
 and violations per rule, then ``stack`` turns the single summary row into
 ``(rule, checked, violations)`` rows. Rules needing a running session value
-(VWAP bounds) use one window over ``(symbol, year, month, date)``.
+(VWAP bounds, previous close) use one window over the session
+``(symbol, session_date)``; per-day digests keep the sink check cheap.
 """
 
 from __future__ import annotations

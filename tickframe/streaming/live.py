@@ -77,13 +77,22 @@ def _nan0(v) -> float:
     return 0.0 if v is None or pd.isna(v) else float(v)
 
 
-def _pick(bars: pd.DataFrame):
-    """Last closed bar of one poll's rows: dedup by time keeping the highest seq, then second newest."""
-    b = bars.dropna(subset=["bar_us"]).sort_values(["bar_us", "seq"])
-    b = b.drop_duplicates(subset=["bar_us"], keep="last")
-    if len(b) == 0:
-        return None
-    return b.iloc[-2] if len(b) >= 2 else b.iloc[-1]
+def _picked_per_poll(frame: pd.DataFrame) -> pd.DataFrame:
+    """One row per poll (sorted by ``poll_id``) with its last closed bar, vectorised.
+
+    Bars are de-duplicated by time keeping the highest ``seq``; the pick is the
+    second newest distinct bar, or the only one. Polls without a bar (failed or
+    empty) keep NULL bar fields.
+    """
+    polls = (frame.sort_values("poll_id", kind="stable")
+             .drop_duplicates("poll_id", keep="first")[["poll_id", "ok", "fetch_start_us", "fetch_end_us"]])
+    bars = frame[frame["bar_us"].notna()].sort_values(["poll_id", "bar_us", "seq"], kind="stable")
+    bars = bars.drop_duplicates(["poll_id", "bar_us"], keep="last")
+    newest_rank = bars.groupby("poll_id").cumcount(ascending=False)          # 0 = newest
+    n_bars = bars.groupby("poll_id")["bar_us"].transform("size")
+    picked = bars[newest_rank.to_numpy() == (n_bars.clip(upper=2) - 1).to_numpy()]
+    cols = ["poll_id", "bar_us", "open", "high", "low", "close", "volume"]
+    return polls.merge(picked[cols], on="poll_id", how="left").sort_values("poll_id", kind="stable")
 
 
 def make_state_fn(p: Params = DEFAULT, session_gap_ms: int = 6 * 3600 * 1000):
@@ -102,15 +111,14 @@ def make_state_fn(p: Params = DEFAULT, session_gap_ms: int = 6 * 3600 * 1000):
             last_bar, prev_close, num, den, streak, tick_no, aborted, last_poll, late = (
                 None, None, 0.0, 0.0, 0, 0, False, None, 0)
         out = []
-        for poll_id, rows in frame.groupby("poll_id", sort=True):
-            poll_id = int(poll_id)
+        for r in _picked_per_poll(frame).itertuples(index=False):
+            poll_id = int(r.poll_id)
             if last_poll is not None and poll_id <= last_poll:
                 late += 1
                 continue
             last_poll = poll_id
-            head = rows.iloc[0]
             rec = dict(symbol=symbol, session_date=session_date, poll_id=poll_id,
-                       fetch_start_us=head["fetch_start_us"], fetch_end_us=head["fetch_end_us"],
+                       fetch_start_us=r.fetch_start_us, fetch_end_us=r.fetch_end_us,
                        bar_us=None, open=None, high=None, low=None, close=None, volume=None,
                        fail_streak=None, tick_no=None, prev_close=None, vwap_num=None, vwap_den=None,
                        late_polls=None)
@@ -118,17 +126,18 @@ def make_state_fn(p: Params = DEFAULT, session_gap_ms: int = 6 * 3600 * 1000):
                 rec.update(base_outcome=None, outcome="AFTER_ABORT")
                 out.append(rec)
                 continue
-            bar = _pick(rows) if bool(head["ok"]) else None
-            if bar is None:
+            has_bar = bool(r.ok) and not pd.isna(r.bar_us)
+            if not has_bar:
                 base = FETCH_FAILED
             else:
-                o, h, l, c, v = (_nan0(bar[k]) for k in ("open", "high", "low", "close", "volume"))
-                rec.update(bar_us=int(bar["bar_us"]), open=o, high=h, low=l, close=c, volume=v)
+                bar_us = int(r.bar_us)
+                o, h, l, c, v = (_nan0(x) for x in (r.open, r.high, r.low, r.close, r.volume))
+                rec.update(bar_us=bar_us, open=o, high=h, low=l, close=c, volume=v)
                 if h == l == o == c and c > 0:
                     base = COLLAPSED
                 elif c <= 0:
                     base = BAD_PRICE
-                elif last_bar is not None and int(bar["bar_us"]) == last_bar:
+                elif last_bar is not None and bar_us == last_bar:
                     base = STALE
                 else:
                     base = GOOD
@@ -137,7 +146,7 @@ def make_state_fn(p: Params = DEFAULT, session_gap_ms: int = 6 * 3600 * 1000):
                     num += (h + l + c) / 3.0 * w
                     den += w
                 if not (p.stale_against_good_only and base in (COLLAPSED, BAD_PRICE)):
-                    last_bar = int(bar["bar_us"])
+                    last_bar = bar_us
             if base == FETCH_FAILED:
                 streak += 1
             elif base == GOOD:
