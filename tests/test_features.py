@@ -67,9 +67,9 @@ def test_spike_boundary_is_strict(spark):
 
 
 def test_quality_ok_and_symbol_safe(spark):
-    df = spark.createDataFrame([("OK", "^NSEI"), ("SPIKE", "BRK.B")], "q string, s string")
+    df = spark.createDataFrame([("OK", "^IDX"), ("SPIKE", "BRK.B")], "q string, s string")
     r = df.select(quality_ok("q").alias("ok"), symbol_safe("s").alias("s")).collect()
-    assert [x.ok for x in r] == [True, False] and [x.s for x in r] == ["NSEI", "BRK_B"]
+    assert [x.ok for x in r] == [True, False] and [x.s for x in r] == ["IDX", "BRK_B"]
 
 
 COLLAPSE_CASES = [((100.0, 100.0, 100.0, 100.0), True), ((23200.0, 23350.0, 23150.0, 23300.0), False),
@@ -96,7 +96,7 @@ def _poll(symbol, pid, session, start_utc, latency_ms, ok=True):
 
 def test_vwap_example(spark):
     # Two bars (the collector's VWAP example); each poll also returns the live bar.
-    s, day = "^NSEI", dt.date(2026, 3, 23)
+    s, day = "^IDX", dt.date(2026, 3, 23)
     t0 = dt.datetime(2026, 3, 23, 4, 0, tzinfo=UTC)
     polls = [_poll(s, 1, day, t0 + dt.timedelta(minutes=1, seconds=2), 300),
              _poll(s, 2, day, t0 + dt.timedelta(minutes=2, seconds=2), 300)]
@@ -114,7 +114,7 @@ def test_vwap_example(spark):
 
 def test_golden_row(spark):
     """The one stored row: bar 15:28 IST of 2026-04-02, polled 2026-04-03 09:35:31.927661 IST."""
-    s = "^NSEI"
+    s = "^IDX"
     end = dt.datetime(2026, 4, 3, 4, 5, 31, 927661, tzinfo=UTC)
     start = end - dt.timedelta(microseconds=560500)
     bar = dt.datetime(2026, 4, 2, 9, 58, tzinfo=UTC)
@@ -125,7 +125,7 @@ def test_golden_row(spark):
     r = ticks(p, b).first().asDict()
     expected = {
         "tick_ts": dt.datetime(2026, 4, 3, 9, 35, 31, 927661), "bar_ts": dt.datetime(2026, 4, 2, 15, 28),
-        "tick_time_str": "09:35", "bar_time_str": "15:28", "symbol": "^NSEI", "year": 2026, "month": 4,
+        "tick_time_str": "09:35", "bar_time_str": "15:28", "symbol": "^IDX", "year": 2026, "month": 4,
         "date": 2, "day": 3, "hour": 15, "minute": 28, "week_of_month": 1, "open": 22704.9,
         "high": 22705.4, "low": 22696.0, "close": 22700.15, "volume": 0.0, "typical_price": 22700.52,
         "vwap": 22700.52, "price_range": 9.4, "return_pct": -0.0209, "log_return": 0.0, "body_pct": 50.53,

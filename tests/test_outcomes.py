@@ -165,9 +165,9 @@ def test_windows_match_sequential_model(spark, mode):
 
 
 def test_normalise_names(spark):
-    assert normalise_name(("Close", "^NSEI")) == "close"
-    assert normalise_name("('Open', '^NSEI')") == "open"
-    df = spark.createDataFrame([(1.0, 2.0)], "`('Close', '^NSEI')` double, Volume double")
+    assert normalise_name(("Close", "^IDX")) == "close"
+    assert normalise_name("('Open', '^IDX')") == "open"
+    df = spark.createDataFrame([(1.0, 2.0)], "`('Close', '^IDX')` double, Volume double")
     assert normalise_columns(df).columns == ["close", "volume"]
 
 

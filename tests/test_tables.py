@@ -163,7 +163,7 @@ def test_schema_diff_frame(spark, ticks):
 def test_ticks_from_rows_golden_strings(spark):
     from tickframe.sources.polls import ticks_from_rows
     row = dict(zip(TICK_COLUMNS, (
-        "2026-04-03 09:35:31.927661,2026-04-02 15:28:00,09:35,15:28,^NSEI,2026,4,2,3,15,28,1,22704.9,22705.4,"
+        "2026-04-03 09:35:31.927661,2026-04-02 15:28:00,09:35,15:28,^IDX,2026,4,2,3,15,28,1,22704.9,22705.4,"
         "22696.0,22700.15,0.0,22700.52,22700.52,9.4,-0.0209,0.0,50.53,0.5,4.15,1.000414,6,0,0,5,OK_NO_VOL,560.5"
     ).split(",")))
     r = ticks_from_rows(spark, [row]).first()
