@@ -221,3 +221,24 @@ def test_market_hours_only_drops_polls_before_the_windows(spark):
     # Session state restarts from the first in-hours poll: tick numbers start at 1.
     first = st.where(F.col("tick_no").isNotNull()).groupBy("symbol", "session_date").agg(F.min("tick_no").alias("m"))
     assert first.where(F.col("m") != 1).count() == 0
+
+
+@pytest.mark.parametrize("chunk,mode", [(1, "all_polls"), (3, VWAP_GOOD_ONLY), (7, "all_polls"), (1000, "all_polls")])
+def test_split_sessions_equal_windows(spark, chunk, mode):
+    sessions = _random_sessions(5 + chunk, n_sessions=25)
+    polls, snaps = make_log(sessions)
+    p, b = poll_log_from_rows(spark, polls, snaps)
+    whole = DEFAULT.with_(vwap_mode=mode)
+    split = whole.with_(session_chunk_polls=chunk)
+    cols = ["symbol", "session_date", "poll_id", "last_bar_ts", "base_outcome", "outcome", "fail_streak",
+            "aborted_before", "tick_no", "prev_close", "vwap_den"]
+    a = session_states(p, b, whole).select(*cols)
+    s = session_states(p, b, split).select(*cols)
+    assert a.count() == s.count()
+    assert a.exceptAll(s).count() == 0 and s.exceptAll(a).count() == 0
+    ta, ts = ticks(p, b, whole), ticks(p, b, split)
+    assert ta.exceptAll(ts).count() == 0 and ts.exceptAll(ta).count() == 0
+    for (sym, day), plist in list(sessions.items())[:5]:
+        model = run_session(plist, all_polls=(mode == "all_polls"))
+        got = {r.poll_id: r.outcome for r in s.where((F.col("symbol") == sym) & (F.col("session_date") == day)).collect()}
+        assert got == {pid: m["outcome"] for pid, m in model.items()}

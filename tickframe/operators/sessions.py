@@ -103,9 +103,113 @@ def poll_outcomes(bars: DataFrame, p: Params = DEFAULT) -> DataFrame:
     if p.market_hours_only:
         from ..functions.calendar import is_market_open, to_market_time
         bars = bars.where(is_market_open(to_market_time(F.col("fetch_start"), p), p))
+    if p.session_chunk_polls:
+        return split_session_states(bars, p, p.session_chunk_polls)
     return session_state(label_outcomes(bars, p), p)
 
 
+def _nullable_add(a: Column, b: Column) -> Column:
+    """a + b treating NULL as 0, NULL only when both are NULL (as a running SUM)."""
+    return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
+        F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+
+
+def split_session_states(bars: DataFrame, p: Params, chunk_polls: int) -> DataFrame:
+    """:func:`session_state` computed as a chunked prefix scan, for very long sessions.
+
+    A session is cut into chunks of ``chunk_polls`` poll ids. Each quantity of
+    the sequential scan is an associative fold (last non-NULL, sum, max), so it
+    is computed in three passes:
+
+    * local windows inside each chunk (partitions ``(symbol, session_date,
+      chunk)``, in parallel);
+    * one summary row per chunk (aggregated where the rows already are);
+    * a window over the chunk summaries of the session that carries each
+      value into the next chunk, joined back by chunk.
+
+    Pass A carries the last bar seen (for the stale test), pass B the failure
+    count, tick count, previous close, VWAP sums and the failure count at the
+    last good poll, and pass C the abort flag. Only the poll rows are shuffled
+    once; the summaries hold one row per chunk.
+    """
+    K = [*SESSION_KEYS, "_chunk"]
+    x = (bars.withColumn("_chunk", F.floor(F.col("poll_id") / F.lit(chunk_polls)).cast("long"))
+         .repartition(*K))
+    wl = Window.partitionBy(*K).orderBy("poll_id")
+    before = wl.rowsBetween(Window.unboundedPreceding, -1)
+    upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carry = Window.partitionBy(*SESSION_KEYS).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    o, h, l, c = (F.col(n) for n in ("open", "high", "low", "close"))
+    collapsed, bad = is_collapsed(o, h, l, c), is_bad_price(c)
+    if p.stale_against_good_only:
+        seen = F.when(F.col("has_bar") & ~collapsed & ~bad, F.col("bar_ts"))
+    else:
+        seen = F.col("bar_ts")
+
+    # Pass A: last bar seen before each poll.
+    sa = x.groupBy(*K).agg(F.max_by(seen, F.when(seen.isNotNull(), F.col("poll_id"))).alias("_ls_k"))
+    ca = sa.select(*K, F.last("_ls_k", ignorenulls=True).over(carry).alias("_ls_c"))
+    xa = x.select("*", F.last(seen, ignorenulls=True).over(before).alias("_ls_l")).join(ca, K, "left")
+    last_seen = F.coalesce(F.col("_ls_l"), F.col("_ls_c"))
+    base = (F.when(~F.col("has_bar"), F.lit(FETCH_FAILED))
+            .when(collapsed, F.lit(COLLAPSED))
+            .when(bad, F.lit(BAD_PRICE))
+            .when(F.col("bar_ts").eqNullSafe(F.col("last_bar_ts")), F.lit(STALE))
+            .otherwise(F.lit(GOOD)))
+    xa = xa.select(*[n for n in xa.columns if n not in ("_ls_l", "_ls_c")], last_seen.alias("last_bar_ts"))
+    xa = xa.select("*", base.alias("base_outcome"))
+
+    # Pass B: running counts, previous close, VWAP sums, failures at the last good poll.
+    b = F.col("base_outcome")
+    good0, fail = b == GOOD, (b == FETCH_FAILED).cast("int")
+    in_vwap = b.isin(GOOD, STALE) if p.vwap_mode == VWAP_ALL_POLLS else good0
+    w = vwap_weight(F.col("volume"))
+    tp = typical_price("high", "low", "close")
+    close_r = F.when(good0, round_half_up(F.col("close"), 2))
+    xb = xa.select("*",
+                   F.sum(fail).over(upto).alias("_cf_l"),
+                   F.sum(good0.cast("int")).over(upto).alias("_tick_l"),
+                   F.last(close_r, ignorenulls=True).over(before).alias("_pc_l"),
+                   F.sum(F.when(in_vwap, tp * w)).over(upto).alias("_num_l"),
+                   F.sum(F.when(in_vwap, w)).over(upto).alias("_den_l"))
+    xb = xb.select("*", F.max(F.when(good0, F.col("_cf_l"))).over(upto).alias("_lgcf_l"))
+    sb = xb.groupBy(*K).agg(
+        F.sum(fail).alias("_f_k"), F.sum(good0.cast("int")).alias("_g_k"),
+        F.max_by(close_r, F.when(good0, F.col("poll_id"))).alias("_pc_k"),
+        F.sum(F.when(in_vwap, tp * w)).alias("_num_k"), F.sum(F.when(in_vwap, w)).alias("_den_k"),
+        F.max(F.when(good0, F.col("_cf_l"))).alias("_lgcf_k"))
+    cb = sb.select(*K, "_lgcf_k",
+                   F.sum("_f_k").over(carry).alias("_cf_c"), F.sum("_g_k").over(carry).alias("_tick_c"),
+                   F.last("_pc_k", ignorenulls=True).over(carry).alias("_pc_c"),
+                   F.sum("_num_k").over(carry).alias("_num_c"), F.sum("_den_k").over(carry).alias("_den_c"))
+    # Failure count (session-wide) at the last good poll of each earlier chunk.
+    glob_lgcf = F.when(F.col("_lgcf_k").isNotNull(), F.coalesce(F.col("_cf_c"), F.lit(0)) + F.col("_lgcf_k"))
+    cb = cb.select("*", F.last(glob_lgcf, ignorenulls=True).over(carry).alias("_lgcf_c")).drop("_lgcf_k")
+    xb = xb.join(cb, K, "left")
+    cf0 = F.coalesce(F.col("_cf_c"), F.lit(0))
+    last_good_cf = F.coalesce(F.when(F.col("_lgcf_l").isNotNull(), cf0 + F.col("_lgcf_l")), F.col("_lgcf_c"))
+    streak = (cf0 + F.col("_cf_l") - F.coalesce(last_good_cf, F.lit(0))).cast("int")
+    keep = [n for n in xa.columns]
+    xb = xb.select(*keep,
+                   (F.coalesce(F.col("_tick_c"), F.lit(0)) + F.col("_tick_l")).alias("_tick_no"),
+                   F.coalesce(F.col("_pc_l"), F.col("_pc_c")).alias("prev_close"),
+                   _nullable_add(F.col("_num_l"), F.col("_num_c")).alias("vwap_num"),
+                   _nullable_add(F.col("_den_l"), F.col("_den_c")).alias("vwap_den"),
+                   streak.alias("fail_streak"))
+
+    # Pass C: has any earlier poll of the session reached the failure limit?
+    hit = F.col("fail_streak") >= p.max_bad_ticks
+    sc = xb.groupBy(*K).agg(F.max(hit).alias("_ab_k"))
+    cc = sc.select(*K, F.max("_ab_k").over(carry).alias("_ab_c"))
+    xc = xb.select("*", F.max(hit).over(before).alias("_ab_l")).join(cc, K, "left")
+    aborted = F.coalesce(F.col("_ab_l"), F.lit(False)) | F.coalesce(F.col("_ab_c"), F.lit(False))
+    xc = xc.select("*", aborted.alias("aborted_before"))
+    outcome = F.when(F.col("aborted_before"), F.lit(AFTER_ABORT)).otherwise(b)
+    out = [n for n in xb.columns if n not in ("_chunk", "_tick_no")] + ["aborted_before"]
+    return xc.select(*out, outcome.alias("outcome"),
+                     F.when(~F.col("aborted_before") & good0, F.col("_tick_no")).cast("int").alias("tick_no"))
+
+
 def running_vwap(num: Column | None = None, den: Column | None = None) -> Column:
     num = F.col("vwap_num") if num is None else num
     den = F.col("vwap_den") if den is None else den

@@ -58,6 +58,9 @@ class Params:
     # Keep only polls started inside market hours (the collector never polls
     # outside them); off by default: a poll log holds what was polled.
     market_hours_only: bool = False
+    # Split each session's sequential scan into chunks of this many poll ids
+    # (parallel prefix scan); None = one window partition per session.
+    session_chunk_polls: int | None = None
 
     def __post_init__(self) -> None:
         errors = []
@@ -73,6 +76,8 @@ class Params:
             errors.append("need 0 <= open_minute <= close_minute < 1440")
         if self.vwap_mode not in (VWAP_GOOD_ONLY, VWAP_ALL_POLLS):
             errors.append(f"vwap_mode must be {VWAP_GOOD_ONLY!r} or {VWAP_ALL_POLLS!r}")
+        if self.session_chunk_polls is not None and self.session_chunk_polls < 1:
+            errors.append(f"session_chunk_polls must be >= 1, got {self.session_chunk_polls}")
         if not self.market_tz:
             errors.append("market_tz must be non-empty")
         if errors:

@@ -290,6 +290,14 @@ def q_tick_table(spark, sf):
 
 SQL_TICK_TABLE = O.with_ctes(O.ticks_ctes(), "SELECT * FROM ticks")
 
+# Sessions cut into chunks of 6 poll ids (4-5 chunks per fixture session): the
+# chunked prefix scan must give the same tick table as one window per session.
+SPLIT = DEFAULT.with_(session_chunk_polls=6)
+
+
+def q_tick_table_split_sessions(spark, sf):
+    return fixture_ticks(spark, sf, p=SPLIT)
+
 
 def q_data_quality(spark, sf):
     t = fixture_ticks(spark, sf, keep=("poll_id",))
@@ -548,6 +556,7 @@ SQL_STREAM_DEDUP = _sql(f"SELECT DISTINCT symbol, {O.mkt_from_micros('slot * ' +
 # ---------------------------------------------------------------- registry
 QUERIES: dict = {
     "tick_table": (q_tick_table, SQL_TICK_TABLE),
+    "tick_table_split_sessions": (q_tick_table_split_sessions, SQL_TICK_TABLE),
     "bars_ist": (q_bars_ist, SQL_BARS_IST),
     "calendar_dims": (q_calendar_dims, SQL_CALENDAR_DIMS),
     "expiry_features": (q_expiry_features, SQL_EXPIRY_FEATURES),
