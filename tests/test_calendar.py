@@ -104,3 +104,35 @@ def test_market_time_conversion_is_zone_independent(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     r = df.select(cal.to_market_time(F.to_utc_timestamp("t", "UTC")).alias("y")).first()
     assert r.y == dt.datetime(2026, 4, 2, 15, 28)
+
+
+def test_calendar_rules_over_many_dates(spark):
+    """Every day of 2024-2027 against the rules computed with the standard library."""
+    import calendar as pycal
+    days = [dt.date(2024, 1, 1) + dt.timedelta(n) for n in range(4 * 366)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = df.select("d", cal.weekday("d").alias("wd"), cal.week_of_month("d").alias("wom"),
+                    cal.days_to_expiry("d").alias("dte"), cal.is_expiry("d").alias("exp"),
+                    cal.last_expiry_of_month("d").alias("last"), cal.is_monthly_expiry("d").alias("mon"),
+                    cal.session_string("d").alias("s")).collect()
+    E = DEFAULT.expiry_weekday
+    for r in got:
+        d = r.d
+        last_day = dt.date(d.year, d.month, pycal.monthrange(d.year, d.month)[1])
+        last = last_day - dt.timedelta((last_day.weekday() - E) % 7)
+        assert r.wd == d.weekday()
+        assert r.wom == (d.day - 1) // 7 + 1
+        assert r.dte == (E - d.weekday()) % 7
+        assert r.exp == int(d.weekday() == E)
+        assert r.last == last and r.last.weekday() == E
+        assert r.mon == int(d.weekday() == E and d == last)
+        assert r.s == d.strftime("%Y_%m_%d")
+
+
+def test_market_open_every_minute_of_a_week(spark):
+    base = dt.datetime(2026, 3, 23)  # Monday
+    ts = [base + dt.timedelta(minutes=m) for m in range(0, 7 * 24 * 60, 7)]
+    df = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz")
+    got = [r[0] for r in df.select(cal.is_market_open("t")).collect()]
+    exp = [t.weekday() < 5 and DEFAULT.open_minute <= t.hour * 60 + t.minute <= DEFAULT.close_minute for t in ts]
+    assert got == exp
