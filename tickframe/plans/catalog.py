@@ -31,7 +31,7 @@ GOOD_ONLY = DEFAULT.with_(vwap_mode=VWAP_GOOD_ONLY)
 
 # ---------------------------------------------------------------- helpers
 def _bars(spark, sf) -> DataFrame:
-    return fx.bars_from_events(fx.load(spark, sf, "events").select("ts", "event_type", "value"))
+    return fx.bars_from_events(fx.load_events(spark, sf))
 
 
 def _poll_log(spark, sf):

@@ -40,8 +40,18 @@ NO_VOLUME_SYMBOL = "signup"       # volume forced to 0
 EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Columns of the driver's ``events`` table the adapter reads (naive UTC timestamps).
+EVENTS_READ_SCHEMA = "ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE"
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    """Read a driver table; with ``schema`` no inference job runs and only those columns are read."""
+    r = spark.read.schema(schema) if schema else spark.read
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "events", EVENTS_READ_SCHEMA)
 
 
 def _epoch_micros_ntz(ts) -> "F.Column":
@@ -140,11 +150,11 @@ def poll_events(bars: DataFrame, bar_minutes: int = DEFAULT_BAR_MINUTES,
 
 def fixture_poll_log(spark: SparkSession, sf_dir: str, bar_minutes: int = DEFAULT_BAR_MINUTES,
                      p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    events = load(spark, sf_dir, "events").select("ts", "event_type", "value")
+    events = load_events(spark, sf_dir)
     return poll_log(bars_from_events(events, bar_minutes), bar_minutes, p)
 
 
 def fixture_poll_events(spark: SparkSession, sf_dir: str, bar_minutes: int = DEFAULT_BAR_MINUTES,
                         p: Params = DEFAULT) -> DataFrame:
-    events = load(spark, sf_dir, "events").select("ts", "event_type", "value")
+    events = load_events(spark, sf_dir)
     return poll_events(bars_from_events(events, bar_minutes), bar_minutes, p)
