@@ -1,6 +1,5 @@
 """Live mode: streamed state equals the batch windows (test d of SURVEY section 5)."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 

@@ -8,7 +8,7 @@ streaming), in which case the result is checked in the tests.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
@@ -18,7 +18,7 @@ from ..functions.rounding import round_half_up, sql_round
 from ..operators import aggregates as agg
 from ..operators.clean import dedup_keep_last, last_closed_bar, nan_safe_ohlcv
 from ..operators.expectations import expectation_report
-from ..operators.features import candle_columns, fetch_latency_ms, tick_rows
+from ..operators.features import candle_columns, fetch_latency_ms
 from ..operators.sessions import flush_batch, running_vwap
 from ..params import DEFAULT, FLUSH_EVERY, VWAP_GOOD_ONLY, Params
 from ..schema import LEGACY_MISSING, TICK_COLUMNS
