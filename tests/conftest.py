@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -17,8 +16,7 @@ def spark():
     s = get_spark("local[4]", shuffle_partitions=4,
                   extra={"spark.sql.shuffle.partitions": "4"})
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        # Tests only: a fresh scratch folder stands in for the cluster's shared folder.
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tickframe-test-"))
+    # Without spark.checkpoint.dir, tickframe.session.shared_dir falls back to a
+    # fresh scratch folder (tests on one machine only).
     yield s
     s.stop()

@@ -43,19 +43,26 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_FALLBACK_DIRS: dict = {}
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
-    ``spark.checkpoint.dir`` names the shared folder on a cluster; it is only
-    filled in here (with a fresh scratch folder) when the session has none, as in
-    tests on one machine.
+    ``spark.checkpoint.dir`` names the shared folder on a cluster (it can only
+    be set when the application starts). Only when it is unset, as in tests on
+    one machine, a fresh scratch folder becomes the context's checkpoint
+    folder for this application.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tickframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        base = _FALLBACK_DIRS.get(sc.applicationId)
+        if base is None:
+            base = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="tickframe-ckpt-")
+            _FALLBACK_DIRS[sc.applicationId] = base
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     base = base.rstrip("/")
     return "/".join([base, *parts]) if parts else base
 
