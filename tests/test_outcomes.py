@@ -242,3 +242,32 @@ def test_split_sessions_equal_windows(spark, chunk, mode):
         model = run_session(plist, all_polls=(mode == "all_polls"))
         got = {r.poll_id: r.outcome for r in s.where((F.col("symbol") == sym) & (F.col("session_date") == day)).collect()}
         assert got == {pid: m["outcome"] for pid, m in model.items()}
+
+
+def test_nan_open_becomes_zero_and_is_flagged(spark):
+    """SURVEY Q13: a NaN open reads as 0.0; return_pct 0, negative lower shadow, EXP-6 violated."""
+    from tickframe.operators.expectations import violations
+    day = dt.date(2026, 3, 23)
+    log = {("X", day): [(1, True, [(1, 0, NAN, 101.0, 99.0, 100.0, 10.0), flat(2)])]}
+    polls, snaps = make_log(log)
+    p, b = poll_log_from_rows(spark, polls, snaps)
+    t = ticks(p, b, keep=("session_date",))
+    r = t.first()
+    assert r.open == 0.0 and r.return_pct == 0.0 and r.lower_shadow == round(0.0 - 99.0, 2)
+    v = violations(t, session_col="session_date").first()
+    assert v.v_EXP_6
+
+
+def test_expiry_weekday_parameter(spark):
+    """SURVEY Q17: the expiry weekday is a parameter (Thursday here)."""
+    day = dt.date(2026, 3, 26)  # a Thursday
+    start = dt.datetime(2026, 3, 26, 4, 0, tzinfo=UTC)
+    polls = [("X", 1, day, start + dt.timedelta(minutes=1, seconds=2),
+              start + dt.timedelta(minutes=1, seconds=3), True)]
+    snaps = [("X", 1, 0, start, 100.0, 101.0, 99.0, 100.5, 5.0),
+             ("X", 1, 1, start + dt.timedelta(minutes=1), 1.0, 1.0, 1.0, 1.0, 0.0)]
+    p, b = poll_log_from_rows(spark, polls, snaps)
+    thu = ticks(p, b, DEFAULT.with_(expiry_weekday=3)).first()
+    tue = ticks(p, b).first()
+    assert (thu.expiry, thu.days_to_expiry) == (1, 0) and thu.is_monthly_expiry == 1  # last Thursday of March
+    assert (tue.expiry, tue.days_to_expiry) == (0, 5)
