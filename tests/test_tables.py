@@ -186,3 +186,17 @@ def test_read_poll_log_formats(spark):
         snaps.write.format(fmt).save(f"{base}/{fmt}/snaps")
         p, s = read_poll_log(spark, f"{base}/{fmt}/polls", f"{base}/{fmt}/snaps", fmt)
         assert p.count() == polls.count() and s.exceptAll(snaps).count() == 0
+
+
+def test_read_plain_daily_csv(spark):
+    """SRC-3: a collector-style daily CSV (header + rows, no folder keys) reads with the tick schema."""
+    path = fresh_dir(spark, "daily")
+    os.makedirs(path, exist_ok=True)
+    header = ",".join(TICK_COLUMNS)
+    row = ("2026-04-03 09:35:31.927661,2026-04-02 15:28:00,09:35,15:28,^IDX,2026,4,2,3,15,28,1,22704.9,22705.4,"
+           "22696.0,22700.15,0.0,22700.52,22700.52,9.4,-0.0209,0.0,50.53,0.5,4.15,1.000414,6,0,0,5,OK_NO_VOL,560.5")
+    with open(f"{path}/IDX_2026_04_03.csv", "w") as f:
+        f.write(header + "\n" + row + "\n")
+    r = files.strip_keys(files.read_csv(spark, path)).first()
+    assert r.tick_ts.isoformat() == "2026-04-03T09:35:31.927661" and r.bar_ts.isoformat() == "2026-04-02T15:28:00"
+    assert r.hl_ratio == 1.000414 and r.year == 2026 and r.data_quality == "OK_NO_VOL"
