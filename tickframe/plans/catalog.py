@@ -502,8 +502,11 @@ def q_schema_evolution(spark, sf):
     """Older-layout table, first flushes appended, evolved by ALTER TABLE, newer rows appended."""
     from ..session import fresh_dir
     from ..sinks.tables import append_ticks
+    from ..session import shared_dir
     name = _table_name("ticks_evo")
-    t = fixture_ticks(spark, sf, keep=("tick_no",))
+    shared_dir(spark)  # make sure a reliable checkpoint folder is set
+    # Two appends read one materialised copy instead of recomputing from the events scan.
+    t = fixture_ticks(spark, sf, keep=("tick_no",)).checkpoint(eager=True)
     first = F.col("tick_no") <= FLUSH_EVERY
     append_ticks(spark, t.where(first).drop("tick_no", *LEGACY_MISSING), name,
                  location=fresh_dir(spark, "evo"))
