@@ -18,11 +18,14 @@ CORE_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "tickframe", extra: dict | None = None) -> SparkSession:
+              app_name: str = "tickframe", extra: dict | None = None,
+              checkpoint_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the pipeline's settings.
 
     On a cluster pass ``master=None`` and let the launcher decide; the shuffle
     partition count should then be sized to the data (about 128 MB per task).
+    ``checkpoint_dir`` names the shared folder for checkpoints and work files;
+    it is a start-time setting, used only when the cluster's defaults name none.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -36,6 +39,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    if checkpoint_dir and "spark.checkpoint.dir" not in conf:
+        from pyspark import SparkConf
+        if not SparkConf().get("spark.checkpoint.dir", None):
+            conf["spark.checkpoint.dir"] = checkpoint_dir
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
