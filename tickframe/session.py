@@ -39,14 +39,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    if checkpoint_dir and "spark.checkpoint.dir" not in conf:
-        from pyspark import SparkConf
-        if not SparkConf().get("spark.checkpoint.dir", None):
-            conf["spark.checkpoint.dir"] = checkpoint_dir
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if checkpoint_dir and not spark.conf.get("spark.checkpoint.dir", None):
+        # The cluster names no shared folder (its defaults are only visible now).
+        _FALLBACK_DIRS.setdefault(spark.sparkContext.applicationId, checkpoint_dir)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(checkpoint_dir)
     return spark
 
 
