@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.calendar import to_market_time
 from ..functions.rounding import round_half_up
 from ..params import (AFTER_ABORT, BAD_PRICE, COLLAPSED, DEFAULT, FETCH_FAILED, GOOD, STALE,
                       Params)
@@ -45,7 +46,10 @@ def latency_summary(ticks: DataFrame, by: tuple = ("symbol",) + DAY_KEYS,
 
 
 def session_totals(states: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Per (symbol, session_date): polls by outcome, good ticks, worst streak, end time, abort."""
+    """Per (symbol, session_date): polls by outcome, good ticks, worst streak, end time, abort.
+
+    ``ended_at`` is the market time the last poll before any abort finished.
+    """
     o = F.col("outcome")
 
     def n(label):
@@ -56,6 +60,7 @@ def session_totals(states: DataFrame, p: Params = DEFAULT) -> DataFrame:
                  n(GOOD), n(STALE), n(COLLAPSED), n(BAD_PRICE), n(FETCH_FAILED), n(AFTER_ABORT),
                  F.max("fail_streak").alias("max_fail_streak"),
                  F.max(F.when(o != AFTER_ABORT, F.col("poll_id"))).alias("last_poll_id"),
+                 F.max(F.when(o != AFTER_ABORT, to_market_time(F.col("fetch_end"), p))).alias("ended_at"),
                  F.max(F.when(o == GOOD, F.col("tick_no"))).alias("ticks_total"),
                  F.max((F.col("fail_streak") >= p.max_bad_ticks).cast("int")).alias("aborted")))
 

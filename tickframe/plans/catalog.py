@@ -345,6 +345,7 @@ SQL_SESSION_TOTALS = _sql(f"""SELECT symbol, session_date, CAST(count(*) AS INTE
   {', '.join(_n(x) for x in ('GOOD', 'STALE', 'COLLAPSED', 'BAD_PRICE', 'FETCH_FAILED', 'AFTER_ABORT'))},
   max(fail_streak) AS max_fail_streak,
   max(CASE WHEN outcome <> 'AFTER_ABORT' THEN poll_id END) AS last_poll_id,
+  max(CASE WHEN outcome <> 'AFTER_ABORT' THEN end_mkt END) AS ended_at,
   max(CASE WHEN outcome = 'GOOD' THEN tick_no END) AS ticks_total,
   max(CASE WHEN fail_streak >= {DEFAULT.max_bad_ticks} THEN 1 ELSE 0 END) AS aborted
 FROM states GROUP BY symbol, session_date""")
