@@ -200,3 +200,16 @@ def test_read_plain_daily_csv(spark):
     r = files.strip_keys(files.read_csv(spark, path)).first()
     assert r.tick_ts.isoformat() == "2026-04-03T09:35:31.927661" and r.bar_ts.isoformat() == "2026-04-02T15:28:00"
     assert r.hl_ratio == 1.000414 and r.year == 2026 and r.data_quality == "OK_NO_VOL"
+
+
+def test_single_symbol_log_without_symbol_column(spark):
+    from tickframe.sources.fixtures import fixture_poll_log
+    from tickframe.sources.polls import read_poll_log
+    polls, snaps = fixture_poll_log(spark, SF001, bar_minutes=360)
+    one = polls.where("symbol = 'click'").drop("symbol")
+    base = fresh_dir(spark, "single")
+    one.write.parquet(f"{base}/polls")
+    snaps.where("symbol = 'click'").drop("symbol").write.parquet(f"{base}/snaps")
+    p, s = read_poll_log(spark, f"{base}/polls", f"{base}/snaps", symbol="^IDX")
+    assert p.columns[0] == "symbol" and p.select("symbol").distinct().collect()[0][0] == "^IDX"
+    assert s.count() == snaps.where("symbol = 'click'").count()

@@ -16,10 +16,14 @@ from ..schema import DAY_CHECK_COLUMNS, LEGACY_MISSING
 
 
 def adaptive_select(df: DataFrame, want: list[str] = DAY_CHECK_COLUMNS) -> DataFrame:
-    """Select the wanted columns that exist; order by ``bar_ts`` or, in older tables, ``tick_ts``."""
+    """Select the wanted columns that exist; order by ``bar_ts`` or, in older tables, ``tick_ts``.
+
+    Ties (several symbols per bar time) break by symbol, then collection time.
+    """
     cols = [c for c in want if c in df.columns]
-    order = "bar_ts" if "bar_ts" in df.columns else "tick_ts"
-    return df.select(*cols).orderBy(order)
+    order = ["bar_ts"] if "bar_ts" in df.columns else ["tick_ts"]
+    order += [c for c in ("symbol", "tick_ts") if c in df.columns and c not in order]
+    return df.select(*cols, *[c for c in order if c not in cols]).orderBy(*order).select(*cols)
 
 
 def day_filter(df: DataFrame, year: int, month: int, day: int) -> DataFrame:

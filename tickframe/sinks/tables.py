@@ -86,14 +86,17 @@ def for_write(df: DataFrame, by=PARTITION_COLUMNS) -> DataFrame:
 
 
 def append_ticks(spark: SparkSession, df: DataFrame, table: str, create: bool = True,
-                 location: str | None = None) -> None:
-    """Append rows to the tick table: create if absent, evolve, conform types, write by name."""
+                 location: str | None = None, fmt: str = "parquet") -> None:
+    """Append rows to the tick table: create if absent, evolve, conform types, write by name.
+
+    ``fmt`` is the table format (``parquet``; ``delta`` when its jars are present).
+    """
     if create:
-        create_tick_table(spark, table, location, schema=_schema_with_frame_order(df))
+        create_tick_table(spark, table, location, schema=_schema_with_frame_order(df), fmt=fmt)
     evolve(spark, table, df.schema)
     target = spark.table(table).schema
     out = conform(df, T.StructType([f for f in target.fields if f.name in df.columns]))
-    (for_write(out).write.mode("append").format("parquet")
+    (for_write(out).write.mode("append").format(fmt)
      .partitionBy(*PARTITION_COLUMNS).saveAsTable(table))
 
 

@@ -9,18 +9,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import BAR_SNAPSHOTS_SCHEMA, POLLS_SCHEMA, TICK_SCHEMA
 
 
+def with_symbol(df: DataFrame, symbol: str) -> DataFrame:
+    """Single-symbol logs: add the constant ``symbol`` column when the data has none."""
+    if "symbol" in df.columns:
+        return df
+    return df.select(F.lit(symbol).alias("symbol"), "*")
+
+
 def read_poll_log(spark: SparkSession, polls_path: str, snaps_path: str,
-                  fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
-    """``(polls, bar_snapshots)`` from a landing folder (parquet, json or csv)."""
+                  fmt: str = "parquet", symbol: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(polls, bar_snapshots)`` from a landing folder (parquet, json or csv).
+
+    ``symbol``: the log is of one symbol and its files carry no ``symbol`` column.
+    """
     def rd(schema, path):
+        if symbol is not None:
+            schema = T.StructType([f for f in schema.fields if f.name != "symbol"])
         r = spark.read.schema(schema)
         if fmt == "csv":
             r = r.option("header", True)
-        return r.format(fmt).load(path)
+        df = r.format(fmt).load(path)
+        return with_symbol(df, symbol) if symbol is not None else df
     return rd(POLLS_SCHEMA, polls_path), rd(BAR_SNAPSHOTS_SCHEMA, snaps_path)
 
 
