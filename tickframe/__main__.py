@@ -30,7 +30,7 @@ def cmd_ticks(spark, a) -> int:
     if a.poll_events:
         t = event_ticks(spark.read.parquet(a.poll_events), p)
     else:
-        polls, snaps = read_poll_log(spark, a.polls, a.snaps, a.format)
+        polls, snaps = read_poll_log(spark, a.polls, a.snaps, a.format, symbol=a.symbol)
         t = ticks(polls, snaps, p)
     fan_out(spark, t, a.table, a.csv, a.parquet, table_location=a.table_location)
     print(f"appended to {a.table}, {a.csv}, {a.parquet}")
@@ -81,6 +81,7 @@ def build_parser() -> argparse.ArgumentParser:
     t.add_argument("--snaps")
     t.add_argument("--poll-events")
     t.add_argument("--format", default="parquet")
+    t.add_argument("--symbol", help="the log holds one symbol and its files have no symbol column")
     for k in ("--table", "--csv", "--parquet"):
         t.add_argument(k, required=True)
     t.add_argument("--table-location")
