@@ -73,12 +73,15 @@ def is_monthly_expiry(d, p: Params = DEFAULT) -> Column:
 
 
 def hhmm(ts) -> Column:
-    return F.date_format(_c(ts), "HH:mm")
+    """``HH:mm`` of a wall-clock timestamp, from its fields (no time-zone round trip)."""
+    t = _c(ts)
+    return F.format_string("%02d:%02d", F.hour(t), F.minute(t))
 
 
 def session_string(d) -> Column:
-    """``yyyy_MM_dd`` label of a session date."""
-    return F.date_format(_c(d), "yyyy_MM_dd")
+    """``yyyy_MM_dd`` label of a session date, from its fields."""
+    x = _c(d)
+    return F.format_string("%04d_%02d_%02d", F.year(x), F.month(x), F.dayofmonth(x))
 
 
 def minute_of_day(ts) -> Column:
