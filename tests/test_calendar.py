@@ -136,3 +136,26 @@ def test_market_open_every_minute_of_a_week(spark):
     got = [r[0] for r in df.select(cal.is_market_open("t")).collect()]
     exp = [t.weekday() < 5 and DEFAULT.open_minute <= t.hour * 60 + t.minute <= DEFAULT.close_minute for t in ts]
     assert got == exp
+
+
+def test_bars_do_not_depend_on_session_zone(spark):
+    """Summer events under a daylight-saving session zone give the same bars as under UTC."""
+    from tickframe.sources.fixtures import bars_from_events
+    rows = [(dt.datetime(2024, 7, 1, h, m, s, 123456), "click", float(h * 100 + m)) for h in (0, 9, 23)
+            for m in (0, 29, 59) for s in (0, 30)]
+    ev = spark.createDataFrame(rows, "ts timestamp_ntz, event_type string, value double")
+
+    def bars():
+        return sorted(tuple(r) for r in bars_from_events(ev).select(
+            "symbol", "slot", cal.utc_wall_to_market_time(F.col("bar_utc").cast("timestamp_ntz")).alias("x"),
+            "open", "close", "n_events").collect())
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        utc = bars()
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        ny = bars()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [r[:2] + r[3:] for r in utc] == [r[:2] + r[3:] for r in ny]
+    assert [r[1] for r in utc] == [477720, 477729, 477743]   # hours since the epoch: 00:00, 09:00, 23:00 UTC

@@ -37,9 +37,6 @@ NAN_SYMBOL, NAN_EVERY, NAN_REM = "error", 7, 3   # NaN volume for this symbol wh
 NO_VOLUME_SYMBOL = "signup"       # volume forced to 0
 # ---------------------------------------------------------------------------
 
-EPOCH_NTZ = "1970-01-01 00:00:00"
-
-
 # Columns of the driver's ``events`` table the adapter reads (naive UTC timestamps).
 EVENTS_READ_SCHEMA = "ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE"
 
@@ -55,7 +52,15 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _epoch_micros_ntz(ts) -> "F.Column":
-    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts)
+    """Microseconds since 1970-01-01 00:00 of a naive UTC wall clock, from its fields.
+
+    Built from date and time-of-day fields, so no session time zone (and no
+    daylight-saving shift) enters the arithmetic.
+    """
+    day_us = F.unix_date(F.to_date(ts)).cast("long") * 86_400_000_000
+    tod_us = (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("long") * 1_000_000
+    sec_us = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    return day_us + tod_us + sec_us
 
 
 def bars_from_events(events: DataFrame, bar_minutes: int = DEFAULT_BAR_MINUTES) -> DataFrame:
