@@ -382,7 +382,10 @@ FROM ticks GROUP BY symbol, session_date, (tick_no - 1) // {FLUSH_EVERY}""")
 
 def q_union_append(spark, sf):
     """Older-layout rows (each session's first flush) unioned by name with newer rows."""
-    t = fixture_ticks(spark, sf, keep=("tick_no",))
+    from ..session import shared_dir
+    shared_dir(spark)  # make sure a reliable checkpoint folder is set
+    # Both sides of the union read one materialised copy of the tick rows.
+    t = fixture_ticks(spark, sf, keep=("tick_no",)).checkpoint(eager=True)
     first = F.col("tick_no") <= FLUSH_EVERY
     old = t.where(first).drop(*LEGACY_MISSING)
     new = t.where(~first)
