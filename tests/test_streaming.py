@@ -111,3 +111,27 @@ def test_start_live_processing_time(spark):
     finally:
         q.stop()
     assert spark.table(name).count() == ticks(p, b).count()
+
+
+def test_stream_from_another_working_directory(tmp_path):
+    """Python workers import the package shipped by the session, not the driver's working directory."""
+    import os
+    import subprocess
+    import sys
+    from conftest import ROOT
+    script = tmp_path / "run.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from tickframe.session import get_spark
+from tickframe.sources.fixtures import fixture_poll_events
+from tickframe.streaming.run import stream_ticks
+spark = get_spark("local[2]", 2)
+spark.sparkContext.setLogLevel("ERROR")
+print("ROWS", stream_ticks(spark, fixture_poll_events(spark, "/root/testdata/sf0.001", 360), None).count())
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True,
+                         timeout=600)
+    rows = [line for line in out.stdout.splitlines() if line.startswith("ROWS")]
+    assert rows and int(rows[0].split()[1]) > 0, out.stderr[-2000:]
