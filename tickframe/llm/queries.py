@@ -5,13 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import chat, exact_dedup, mixing
+from tickframe.llm import chat, exact_dedup, mixing, ngram_join, packing
 from tickframe.llm.common import table
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.shingle_components(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def near_sql(docs: str, k: int, num: int, den: int) -> str:
+    """CTEs that end in near_comp (doc_id, n_shingles, component_id) for the rows of ``docs``."""
+    return rf"""near_words AS (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w FROM {docs}),
+near_sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= {k} THEN list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))
+                                           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM near_words),
+near_flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM near_sets),
+near_links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM near_flat a JOIN near_flat b ON a.g = b.g AND a.doc_id < b.doc_id
+               GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING {den} * count(*) >= {num} * (a.n + b.n - count(*))),
+near_both AS (SELECT a, b FROM near_links UNION ALL SELECT b, a FROM near_links),
+near_reach AS (SELECT DISTINCT a AS doc_id, a AS other FROM near_both
+               UNION SELECT r.doc_id, l.b FROM near_reach r JOIN near_both l ON r.other = l.a),
+near_root AS (SELECT doc_id, min(other) AS root FROM near_reach GROUP BY doc_id),
+near_comp AS (SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id
+              FROM near_sets d LEFT JOIN near_root r ON d.doc_id = r.doc_id)"""
+
+
+OP3_SQL = "WITH RECURSIVE " + near_sql("documents", 4, 85, 100) + " SELECT * FROM near_comp"
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -82,6 +112,8 @@ FROM mix_order GROUP BY doc_id, mix_size, source_size, target, done""")
 
 #: name -> (query, SQL or None)
 QUERIES = {
+    "op2_packing": (op2_packing, None),
+    "op3_ngram_join": (op3_ngram_join, OP3_SQL),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op8_chat_formatting": (op8_chat_formatting, OP8_SQL),
     "op9_source_mixing": (op9_source_mixing, OP9_SQL),
