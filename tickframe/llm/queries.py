@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import chat, exact_dedup, mixing, ngram_join, packing
+from tickframe.llm import chat, exact_dedup, mixing, ngram_join, packing, suffix_dedup
 from tickframe.llm.common import table
 
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -110,11 +110,18 @@ OP9_SQL = MIX_SQL.format(docs="documents", out="""
 SELECT doc_id, mix_size AS size, source_size, target, CAST(sum(CASE WHEN fits THEN mix_size ELSE 0 END) AS BIGINT) AS taken
 FROM mix_order GROUP BY doc_id, mix_size, source_size, target, done""")
 
+
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op2_packing": (op2_packing, None),
     "op3_ngram_join": (op3_ngram_join, OP3_SQL),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op8_chat_formatting": (op8_chat_formatting, OP8_SQL),
+    "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
     "op9_source_mixing": (op9_source_mixing, OP9_SQL),
 }
