@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import chat, exact_dedup, mixing, ngram_join, packing, suffix_dedup
+from tickframe.llm import ann, chat, exact_dedup, mixing, ngram_join, packing, suffix_dedup
 from tickframe.llm.common import table
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
+def op1_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -118,6 +122,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: name -> (query, SQL or None)
 QUERIES = {
+    "op1_hnsw_search": (op1_hnsw_search, None),
     "op2_packing": (op2_packing, None),
     "op3_ngram_join": (op3_ngram_join, OP3_SQL),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
