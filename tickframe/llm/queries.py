@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import ann, chat, exact_dedup, mixing, ngram_join, packing, suffix_dedup
+from tickframe.llm import ann, chat, exact_dedup, langid, mixing, ngram_join, packing, suffix_dedup
 from tickframe.llm.common import table
 
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -46,6 +46,11 @@ near_comp AS (SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(
 OP3_SQL = "WITH RECURSIVE " + near_sql("documents", 4, 85, 100) + " SELECT * FROM near_comp"
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.identify(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "held_out", "lang_pred", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -125,6 +130,7 @@ QUERIES = {
     "op1_hnsw_search": (op1_hnsw_search, None),
     "op2_packing": (op2_packing, None),
     "op3_ngram_join": (op3_ngram_join, OP3_SQL),
+    "op4_language_id": (op4_language_id, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op8_chat_formatting": (op8_chat_formatting, OP8_SQL),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
