@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import ann, chat, exact_dedup, langid, mixing, ngram_join, packing, suffix_dedup
+from tickframe.llm import ann, chat, exact_dedup, katz, langid, mixing, ngram_join, packing, suffix_dedup
 from tickframe.llm.common import table
 
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -51,6 +51,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "held_out", "lang_pred", "score")
 
 
+def op5_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -131,6 +135,7 @@ QUERIES = {
     "op2_packing": (op2_packing, None),
     "op3_ngram_join": (op3_ngram_join, OP3_SQL),
     "op4_language_id": (op4_language_id, None),
+    "op5_katz_scoring": (op5_katz_scoring, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op8_chat_formatting": (op8_chat_formatting, OP8_SQL),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
