@@ -32,6 +32,7 @@ SKETCH_BITS, SKETCH_ROW = 20, 1024
 CLASSES = 32
 
 _SCANNED = "id long, tkey long, n int, d long, classes binary, part int, counts binary"
+_NODE = "struct<d:long,n:int>"
 _PREFIX = "token long, d long, n int, pos int"
 
 
@@ -154,46 +155,27 @@ def _verify(k: int, num: int, den: int):
     return run
 
 
-class _Join:
-    """State of one join: the classes, their index rows and their texts."""
+class Candidates:
+    """Classes of equal texts with index rows (token, node, pos) and texts (node, text); a node is the struct (d, n)."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int):
-        spark = docs.sparkSession
-        ready(spark)
-        self.k, self.num, self.den = k, num, den
-        rows = docs.select(col(id_col).cast("long").alias("id"), F.xxhash64(col(text_col)).alias("tkey"), col(text_col).alias("text"))
-        scanned = stored(rows.mapInArrow(_scan(k), _SCANNED), "shingle-scan")
-        self.rows = scanned.filter(F.col("part").isNull()).select("id", "tkey", F.struct("d", "n").alias("node"), "classes")
-        ranks = spark.sparkContext.broadcast(_ranks(scanned))
-        self.classes = self.rows.filter(F.col("node.n") > 0).groupBy("node").agg(
-            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tkey")).alias("first"), F.max("classes").alias("classes"))
-        prefix = rows.select("text").mapInArrow(_prefixes(k, num, den, ranks), _PREFIX)
-        shared = prefix.groupBy("token").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.min("n").alias("ln"), F.max("n").alias("hn"))
-        shared = shared.filter((F.col("lo") != F.col("hi")) | (F.col("ln") != F.col("hn"))).select("token")
-        # Equal sets met in several batches come several times; they are few now.
-        index = prefix.join(shared, "token").select("token", F.struct("d", "n").alias("node"), "pos")
-        self.index = stored(index.distinct(), "shingle-index")
-        named = self.classes.join(self.index.select("node").distinct(), "node").select("node", "first.id", "first.tkey")
-        texts = rows.join(named, rows["id"].eqNullSafe(named["id"]) & (rows["tkey"] == named["tkey"]))
-        self.texts = stored(texts.select("node", "text").dropDuplicates(["node"]), "shingle-texts")
+    def __init__(self, index: DataFrame, texts: DataFrame, k: int, num: int, den: int):
+        self.index, self.texts, self.k, self.num, self.den = index, texts, k, num, den
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs left by filters that need no texts."""
+        return pairs
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Of the distinct pairs (a, b), those that are similar enough."""
-        node = "struct<d:long,n:int>"
-        c = self.classes.select("node", "classes")
-        p = pairs.join(c.select(F.col("node").alias("a"), F.col("classes").alias("cx")), "a")
-        p = p.join(c.select(F.col("node").alias("b"), F.col("classes").alias("cy")), "b")
-        p = p.mapInArrow(_suffix_filter(self.num, self.den), f"a {node}, b {node}")
+        p = self.likely(pairs)
         p = p.join(self.texts.select(F.col("node").alias("a"), F.col("text").alias("tx")), "a")
         p = p.join(self.texts.select(F.col("node").alias("b"), F.col("text").alias("ty")), "b")
-        return p.mapInArrow(_verify(self.k, self.num, self.den), f"a {node}, b {node}")
+        return p.mapInArrow(_verify(self.k, self.num, self.den), f"a {_NODE}, b {_NODE}")
 
     def passes(self, n1: str, p1: str, n2: str, p2: str):
-        """Length and positional filter for two sets that share a shingle at these places."""
+        """Length filter."""
         a, b = F.col(n1).cast("long"), F.col(n2).cast("long")
-        need = F.ceil((a + b) * self.num / (self.num + self.den))
-        room = 1 + F.least(a - F.col(p1), b - F.col(p2)) - 1
-        return (F.least(a, b) * self.den >= F.greatest(a, b) * self.num) & (room >= need)
+        return F.least(a, b) * self.den >= F.greatest(a, b) * self.num
 
     def pivot_pairs(self) -> DataFrame:
         """For every class the one pivot with which it shares most index shingles."""
@@ -215,17 +197,57 @@ class _Join:
         done = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         return pairs.join(done, ["a", "b"], "left_anti")
 
+    def roots(self) -> DataFrame:
+        """(node, root) of every class with a link."""
+        pairs = stored(self.pivot_pairs(), "pivot-pairs")
+        links = stored(self.links(pairs), "pivot-links")
+        more = self.links(stored(self.cross_pairs(components(links), pairs), "cross-pairs"))
+        return components(links.union(more))
+
+
+class _Join(Candidates):
+    """Documents as classes of equal shingle sets, indexed by their prefixes."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int):
+        spark = docs.sparkSession
+        ready(spark)
+        self.k, self.num, self.den = k, num, den
+        rows = docs.select(col(id_col).cast("long").alias("id"), F.xxhash64(col(text_col)).alias("tkey"), col(text_col).alias("text"))
+        scanned = stored(rows.mapInArrow(_scan(k), _SCANNED), "shingle-scan")
+        self.rows = scanned.filter(F.col("part").isNull()).select("id", "tkey", F.struct("d", "n").alias("node"), "classes")
+        ranks = spark.sparkContext.broadcast(_ranks(scanned))
+        self.classes = self.rows.filter(F.col("node.n") > 0).groupBy("node").agg(
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tkey")).alias("first"), F.max("classes").alias("classes"))
+        prefix = rows.select("text").mapInArrow(_prefixes(k, num, den, ranks), _PREFIX)
+        shared = prefix.groupBy("token").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.min("n").alias("ln"), F.max("n").alias("hn"))
+        shared = shared.filter((F.col("lo") != F.col("hi")) | (F.col("ln") != F.col("hn"))).select("token")
+        # Equal sets met in several batches come several times; they are few now.
+        index = prefix.join(shared, "token").select("token", F.struct("d", "n").alias("node"), "pos")
+        self.index = stored(index.distinct(), "shingle-index")
+        named = self.classes.join(self.index.select("node").distinct(), "node").select("node", "first.id", "first.tkey")
+        texts = rows.join(named, rows["id"].eqNullSafe(named["id"]) & (rows["tkey"] == named["tkey"]))
+        self.texts = stored(texts.select("node", "text").dropDuplicates(["node"]), "shingle-texts")
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Suffix filter."""
+        c = self.classes.select("node", "classes")
+        p = pairs.join(c.select(F.col("node").alias("a"), F.col("classes").alias("cx")), "a")
+        p = p.join(c.select(F.col("node").alias("b"), F.col("classes").alias("cy")), "b")
+        return p.mapInArrow(_suffix_filter(self.num, self.den), f"a {_NODE}, b {_NODE}")
+
+    def passes(self, n1: str, p1: str, n2: str, p2: str):
+        """Length and positional filter for two sets whose first shared shingle stands at these places."""
+        a, b = F.col(n1).cast("long"), F.col(n2).cast("long")
+        need = F.ceil((a + b) * self.num / (self.num + self.den))
+        room = 1 + F.least(a - F.col(p1), b - F.col(p2)) - 1
+        return super().passes(n1, p1, n2, p2) & (room >= need)
+
 
 def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """One row per input row: id, tkey (hash of the text), n_shingles, component_id (smallest id of its component), first (the
     component's first row as (id, tkey)). Two texts link when den * intersection >= num * union of their k-word shingle sets."""
     join = _Join(docs, id_col, text_col, k, num, den)
-    pairs = stored(join.pivot_pairs(), "pivot-pairs")
-    links = stored(join.links(pairs), "pivot-links")
-    roots = components(links)
-    links2 = join.links(stored(join.cross_pairs(roots, pairs), "cross-pairs"))
-    roots = components(links.union(links2))
-    classes = join.classes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    classes = join.classes.join(join.roots(), "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     best = classes.groupBy("root").agg(F.min("first").alias("best"))
     classes = classes.join(best, "root").select(F.col("node").alias("cnode"), "best")
     out = join.rows.join(classes, F.col("node") == F.col("cnode"), "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import ann, chat, exact_dedup, katz, langid, mixing, ngram_join, packing, suffix_dedup
+from tickframe.llm import ann, chat, exact_dedup, katz, langid, mixing, ngram_join, packing, paragraph_dedup, suffix_dedup
 from tickframe.llm.common import table
 
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -67,6 +67,11 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op7_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = paragraph_dedup.remove_paragraphs(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "removed_words", "n_spans", "spans", "kept_text")
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = r"\### Assistant: </turn> ok"
@@ -137,6 +142,7 @@ QUERIES = {
     "op4_language_id": (op4_language_id, None),
     "op5_katz_scoring": (op5_katz_scoring, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
+    "op7_paragraph_dedup": (op7_paragraph_dedup, None),
     "op8_chat_formatting": (op8_chat_formatting, OP8_SQL),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
     "op9_source_mixing": (op9_source_mixing, OP9_SQL),
