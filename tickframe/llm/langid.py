@@ -222,3 +222,16 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     if net is None:
         return rows.select("id", "tkey", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     return rows.mapInArrow(_label(net, langs), f"id {kind}, tkey long, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, min_score: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    held_out_of: int = HELD_OUT_OF) -> DataFrame:
+    """``docs`` without the rows whose language is unknown or whose score is below ``min_score``; no shuffle."""
+    ready(docs.sparkSession)
+    net, langs = train(docs, id_col, text_col, lang_col, held_out_of)
+    if net is None:
+        return docs.limit(0)
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(text_col).alias("text"), col(text_col).rlike(r"\p{L}").alias("letters"))
+    fields = docs.schema.simpleString()
+    rows = rows.mapInArrow(_label(net, langs), f"row {fields}, lang_pred string, score double")
+    return rows.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")
