@@ -51,6 +51,17 @@ class _Spilled:
     def add(self, key: bytes, ident, copies: int) -> None:
         pickle.dump((key, ident, copies), self.file, protocol=5)
 
+    def take(self):
+        """The entries; the file is gone afterwards."""
+        self.file.close()
+        with open(self.path, "rb") as f:
+            while True:
+                try:
+                    yield pickle.load(f)
+                except EOFError:
+                    break
+        os.unlink(self.path)
+
 
 def _shared(a: bytes, b: bytes) -> int:
     """Length of the common prefix, by bisection on slices."""
@@ -112,6 +123,17 @@ class PatriciaTrie:
                 yield p, *n.entry
             stack.extend((c, p) for c in n.children.values())
 
+    @staticmethod
+    def _spilled(node: _Node) -> list:
+        out, stack = [], [node]
+        while stack:
+            n = stack.pop()
+            if isinstance(n, _Spilled):
+                out.append(n)
+            else:
+                stack.extend(n.children.values())
+        return out
+
     @staticmethod
     def _weight(node: _Node) -> int:
         total, stack = 0, [node]
@@ -136,6 +158,11 @@ class PatriciaTrie:
         out = _Spilled(self.folder)
         for entry in self._entries(node.children[b], prefix):
             out.add(*entry)
+        # Branches below that were spilled before a fork appeared above them move along.
+        for older in self._spilled(node.children[b]):
+            self.spills.remove(older)
+            for entry in older.take():
+                out.add(*entry)
         node.children[b] = out
         self.spills.append(out)
         self.held -= weights[b]
@@ -145,15 +172,9 @@ class PatriciaTrie:
         yield from self._entries(self.root, b"")
         self.root = _Node(b"")
         for s in self.spills:
-            s.file.close()
             part = PatriciaTrie(self.most, self.folder)
-            with open(s.path, "rb") as f:
-                while True:
-                    try:
-                        part.add(*pickle.load(f))
-                    except EOFError:
-                        break
-            os.unlink(s.path)
+            for entry in s.take():
+                part.add(*entry)
             yield from part.items()
         self.spills = []
 

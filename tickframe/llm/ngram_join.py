@@ -258,11 +258,11 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one row left of each component (that of the smallest id); rows without words all stay."""
     rows = shingle_components(docs, id_col, text_col, k, num, den)
-    key, = fresh(docs, "text_key")
+    key, kid, kkey, every = fresh(docs, "text_key", "kept_id", "kept_key", "all_stay")
     kept = rows.filter(F.col("best").isNull() | (F.col("best.id").eqNullSafe(F.col("id")) & (F.col("best.tkey") == F.col("tkey"))))
-    kept = kept.groupBy("id", "tkey").agg(F.max(F.col("best").isNull()).alias("all"))
+    kept = kept.groupBy(F.col("id").alias(kid), F.col("tkey").alias(kkey)).agg(F.max(F.col("best").isNull()).alias(every))
     wide = docs.withColumn(key, F.xxhash64(col(text_col)))
-    out = wide.join(kept, wide[id_col].eqNullSafe(kept["id"]) & (wide[key] == kept["tkey"]))
+    out = wide.join(kept, col(id_col).eqNullSafe(F.col(kid)) & (F.col(key) == F.col(kkey)))
     names = [col(c) for c in docs.columns]
-    once = out.filter(~F.col("all")).dropDuplicates([id_col, key]).select(*names)
-    return once.unionByName(out.filter("all").select(*names))
+    once = out.filter(~F.col(every)).dropDuplicates([id_col, key]).select(*names)
+    return once.unionByName(out.filter(F.col(every)).select(*names))
