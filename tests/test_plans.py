@@ -6,11 +6,13 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF01
+from tickframe.plans import catalog
 
 # Queries that write, stream or read a checkpointed copy: their final plan starts
 # from files they wrote, not from the events scan.
 WRITE_OR_STREAM = {"table_roundtrip", "csv_roundtrip", "parquet_roundtrip", "schema_evolution",
-                   "sink_fanout", "stream_ticks", "stream_dedup", "union_append"}
+                   "sink_fanout", "stream_ticks", "stream_dedup", "union_append", "stream_ticks_multi_batch",
+                   "stream_late_polls", "sink_retry", "day_check_one_day", "tick_table_split_sessions"}
 
 
 def _plan(spark, name):
@@ -29,16 +31,17 @@ def static_plans(spark):
 def test_tick_table_plan_shape(spark, static_plans):
     plan = _plan(spark, "tick_table")
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
-    assert len(scans) == 1 and sorted(c.split("#")[0] for c in scans[0].split(",")) == ["event_type", "ts", "value"]
+    assert len(scans) == 1 and sorted(c.split("#")[0] for c in scans[0].split(",")) == ["event_id", "event_type", "ts", "value"]
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    assert len(exchanges) == 2
-    assert plan.count("Sort [") == 1
+    assert len(exchanges) == 3
+    # The rank limit stands on both sides of the exchange by poll: bars beyond the two newest are not shuffled.
+    assert plan.index("WindowGroupLimit") < plan.index("poll_id", plan.index("Exchange hashpartitioning(symbol")) and plan.count("WindowGroupLimit") == 2
     assert "SortAggregate" not in plan and "HashAggregate" in plan
     for bad in ("Join", "CartesianProduct", "BroadcastNestedLoop", "ArrowEvalPython", "BatchEvalPython"):
         assert bad not in plan
 
 
-@pytest.mark.parametrize("name", [n for n in E.queries() if n not in WRITE_OR_STREAM])
+@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n not in WRITE_OR_STREAM])
 def test_no_cartesian_or_python_in_registered_queries(spark, static_plans, name):
     plan = _plan(spark, name)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython",

@@ -1,111 +1,143 @@
 """Live mode: streamed state equals the batch windows (test d of SURVEY section 5)."""
 
-
+import pytest
 from pyspark.sql import functions as F
 
 from test_outcomes import _random_sessions, make_log
-from tickframe.plans.ticks import ticks
+from tickframe.params import AFTER_ABORT, DEFAULT, GOOD
+from tickframe.plans.ticks import session_states, ticks
 from tickframe.schema import TICK_COLUMNS
 from tickframe.session import fresh_dir
 from tickframe.sinks import files
-from tickframe.sinks.fanout import batch_writer
+from tickframe.sinks.fanout import batch_writer, fan_out
 from tickframe.sources.polls import poll_log_from_rows
-from tickframe.streaming.live import poll_event_rows, read_landing, states_to_ticks, stream_states
-from tickframe.streaming.run import stream_dedup
-
+from tickframe.streaming.live import LATE, end_markers, poll_event_rows, read_landing, states_to_ticks, stream_states
+from tickframe.streaming.run import stream_dedup, stream_poll_states, stream_ticks
 
-def _land_in_chunks(spark, polls, snaps, landing, bounds):
-    """Several landing files in poll order, so the stream sees several micro-batches."""
-    rows = poll_event_rows(polls, snaps).cache()
-    for lo, hi in bounds:
-        (rows.where((F.col("poll_id") % 1000 >= lo) & (F.col("poll_id") % 1000 < hi))
-         .coalesce(1).write.mode("append").parquet(landing))
-    return rows
+PATIENT = DEFAULT.with_(live_delay_s=10 ** 9)   # polls are folded when their session has ended
 
 
-def _run(spark, landing, out, ckpt):
-    st = states_to_ticks(stream_states(read_landing(spark, landing, max_files=1)))
-    q = (st.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+def _log(spark, seed, n_sessions):
+    polls, snaps = make_log(_random_sessions(seed, n_sessions=n_sessions))
+    return poll_log_from_rows(spark, polls, snaps)
 
 
-def test_stream_equals_batch_across_batches(spark):
-    sessions = _random_sessions(11, n_sessions=12)
-    polls, snaps = make_log(sessions)
-    p, b = poll_log_from_rows(spark, polls, snaps)
-    base = fresh_dir(spark, "st")
-    _land_in_chunks(spark, p, b, f"{base}/landing", [(0, 8), (8, 20), (20, 1000)])
-    q = _run(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt")
-    assert len(q.recentProgress) >= 3
-    got = spark.read.parquet(f"{base}/out").select(*TICK_COLUMNS)
-    exp = ticks(p, b)
+def _same(got, exp):
+    got, exp = got.cache(), exp.cache()
     assert got.count() == exp.count() > 0
-    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    assert got.exceptAll(exp).count() == 0
 
 
-def test_late_poll_is_dropped(spark):
-    sessions = _random_sessions(3, n_sessions=6)
-    polls, snaps = make_log(sessions)
-    p, b = poll_log_from_rows(spark, polls, snaps)
-    base = fresh_dir(spark, "late")
-    # Polls 20.. first, then the earlier ones: those arrive after later polls were processed.
-    _land_in_chunks(spark, p, b, f"{base}/landing", [(20, 1000), (0, 20)])
-    st = stream_states(read_landing(spark, f"{base}/landing", max_files=1))
-    q = (st.writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = {(r.symbol, r.session_date, r.poll_id) for r in spark.read.parquet(f"{base}/out").collect()}
-    for (sym, day), pl in sessions.items():
-        ids = [pid for pid, _, _ in pl]
-        if max(i % 1000 for i in ids) >= 20:
-            # State existed when the early polls came: they are dropped as late.
-            assert all((sym, day, i) not in got for i in ids if i % 1000 < 20)
-            assert all((sym, day, i) in got for i in ids if i % 1000 >= 20)
-        else:
-            # First seen in the late file: processed in full.
-            assert all((sym, day, i) in got for i in ids)
-
-
-def test_foreach_batch_fan_out(spark):
-    sessions = _random_sessions(5, n_sessions=4)
-    polls, snaps = make_log(sessions)
+def _by_place(bounds):
+    n = F.col("poll_id") % 1000
+    return [(n >= lo) & (n < hi) for lo, hi in bounds]
+
+
+IN_ORDER = [(0, 8), (8, 20), (20, 1000)]
+
+
+def test_stream_equals_batch_in_order(spark):
+    p, b = _log(spark, 11, 5)
+    _same(stream_ticks(spark, p, b, parts=_by_place(IN_ORDER), max_files=12), ticks(p, b).select(*TICK_COLUMNS))
+
+
+@pytest.mark.parametrize("parts", ["newest first", "polls split"])
+def test_stream_equals_batch_for_any_split(spark, parts):
+    p, b = _log(spark, 7, 4)
+    deal = F.pmod(F.xxhash64("symbol", "poll_id", "seq"), F.lit(3))
+    how = _by_place(IN_ORDER[::-1]) if parts == "newest first" else [deal == k for k in range(3)]
+    _same(stream_ticks(spark, p, b, PATIENT, parts=how, max_files=12), ticks(p, b).select(*TICK_COLUMNS))
+
+
+def test_late_rows_are_reported_not_lost(spark):
+    p, b = _log(spark, 3, 4)
+    st = stream_poll_states(spark, p, b, DEFAULT.with_(live_delay_s=0), parts=_by_place([(20, 1000), (0, 20)]), max_files=4).cache()
+    seen = {(r.symbol, r.session_date, r.poll_id) for r in st.collect()}
+    assert seen == {(r.symbol, r.session_date, r.poll_id) for r in p.collect()}
+    assert st.where(F.col("outcome") == LATE).count() > 0
+    assert st.where(F.col("outcome") == LATE).agg(F.min("late_polls")).first()[0] > 0
+
+
+def test_a_gap_does_not_restart_an_aborted_session(spark):
+    """A session aborted early stays aborted however long the stream waits for its next poll."""
+    polls, snaps = make_log(_random_sessions(5, n_sessions=6))
     p, b = poll_log_from_rows(spark, polls, snaps)
+    want = {(r.symbol, r.session_date, r.poll_id): r.outcome for r in session_states(p, b).select("symbol", "session_date", "poll_id", "outcome").collect()}
+    assert AFTER_ABORT in want.values() and GOOD in want.values()
+    st = stream_poll_states(spark, p, b, parts=_by_place([(0, 12), (12, 1000)]), max_files=6)
+    assert {(r.symbol, r.session_date, r.poll_id): r.outcome for r in st.collect()} == want
+
+
+def _land(spark, p, b, landing, bounds, ended=True):
+    rows = poll_event_rows(p, b).cache()
+    for part in _by_place(bounds):
+        rows.where(part).coalesce(1).write.mode("append").parquet(landing)
+    if ended:
+        end_markers(rows).coalesce(1).write.mode("append").parquet(landing)
+
+
+def test_foreach_batch_fan_out_then_batch_run(spark):
+    p, b = _log(spark, 5, 4)
     base = fresh_dir(spark, "fb")
-    _land_in_chunks(spark, p, b, f"{base}/landing", [(0, 15), (15, 1000)])
+    _land(spark, p, b, f"{base}/landing", [(0, 15), (15, 1000)])
     name = "default.fb_" + base.rsplit("-", 1)[-1]
     st = states_to_ticks(stream_states(read_landing(spark, f"{base}/landing", max_files=1)))
-    q = (st.writeStream.foreachBatch(batch_writer(name, f"{base}/csv", f"{base}/pq", f"{base}/markers",
-                                                  table_location=f"{base}/table"))
+    q = (st.writeStream.foreachBatch(batch_writer(name, f"{base}/csv", f"{base}/pq", table_location=f"{base}/table"))
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
-    exp = ticks(p, b)
+    exp = ticks(p, b).cache()
     n = exp.count()
     assert spark.table(name).count() == n
     assert files.strip_keys(files.read_csv(spark, f"{base}/csv")).count() == n
     assert files.strip_keys(files.read_parquet(spark, f"{base}/pq")).exceptAll(exp).count() == 0
+    # One layout: a batch run into the same folders reads back with the streamed files; the table takes no row twice.
+    fan_out(spark, exp, name, f"{base}/csv", f"{base}/pq", table_location=f"{base}/table")
+    assert files.read_parquet(spark, f"{base}/pq").count() == 2 * n == files.read_csv(spark, f"{base}/csv").count()
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == n
+
+
+@pytest.mark.parametrize("step", ["write_csv", "write_parquet", "append_ticks"])
+def test_retry_after_a_failure_at_any_step(spark, monkeypatch, step):
+    from tickframe.sinks import fanout
+    p, b = _log(spark, 21, 3)
+    t = ticks(p, b).cache()
+    base = fresh_dir(spark, "retry")
+    name = "default.retry_" + base.rsplit("-", 1)[-1]
+    write = batch_writer(name, f"{base}/csv", f"{base}/pq", table_location=f"{base}/table")
+    where = files if step.startswith("write") else fanout
+    whole = getattr(where, step)
+
+    def breaks(*a, **kw):
+        whole(*a, **kw)
+        raise RuntimeError("lost after the write")
+    monkeypatch.setattr(where, step, breaks)
+    with pytest.raises(RuntimeError):
+        write(t, 3)
+    monkeypatch.setattr(where, step, whole)
+    write(t, 3)
+    spark.catalog.refreshTable(name)
+    n = t.count()
+    assert spark.table(name).count() == n
+    assert files.read_csv(spark, f"{base}/csv").count() == n == files.read_parquet(spark, f"{base}/pq").count()
 
 
 def test_stream_dedup(spark):
-    sessions = _random_sessions(9, n_sessions=4)
-    polls, snaps = make_log(sessions)
-    p, b = poll_log_from_rows(spark, polls, snaps)
-    got = stream_dedup(spark, p, b)
+    p, b = _log(spark, 9, 4)
+    deal = F.pmod(F.xxhash64("symbol", "poll_id", "seq"), F.lit(3))
+    got = stream_dedup(spark, p, b, parts=[deal == k for k in range(3)], max_files=2)
     exp = b.join(p.where("ok"), ["symbol", "poll_id"], "left_semi").select("symbol", "bar_utc").distinct()
-    assert got.count() == exp.count()
+    assert got.count() == got.distinct().count() == exp.count()
 
 
 def test_start_live_processing_time(spark):
     from tickframe.streaming.run import start_live
-    sessions = _random_sessions(17, n_sessions=3)
-    polls, snaps = make_log(sessions)
-    p, b = poll_log_from_rows(spark, polls, snaps)
+    p, b = _log(spark, 17, 3)
     base = fresh_dir(spark, "live")
-    _land_in_chunks(spark, p, b, f"{base}/landing", [(0, 1000)])
+    _land(spark, p, b, f"{base}/landing", [(0, 1000)])
     name = "default.live_" + base.rsplit("-", 1)[-1]
     q = start_live(spark, f"{base}/landing", name, f"{base}/csv", f"{base}/pq", f"{base}/ckpt",
-                   every="1 second", table_location=f"{base}/table")
+                   every="1 second", table_location=f"{base}/table", late_dir=f"{base}/late")
     try:
         q.processAllAvailable()
     finally:
@@ -128,7 +160,7 @@ from tickframe.sources.fixtures import fixture_poll_events
 from tickframe.streaming.run import stream_ticks
 spark = get_spark("local[2]", 2)
 spark.sparkContext.setLogLevel("ERROR")
-print("ROWS", stream_ticks(spark, fixture_poll_events(spark, "/root/testdata/sf0.001", 360), None).count())
+print("ROWS", stream_ticks(spark, fixture_poll_events(spark, "/root/testdata/sf0.001"), None).count())
 """)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True,

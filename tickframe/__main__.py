@@ -14,12 +14,35 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
+from dataclasses import fields
 
-from .params import DEFAULT, VWAP_ALL_POLLS, VWAP_GOOD_ONLY
+from pyspark.sql import functions as F
+
+from .params import DEFAULT, Params
 
 
 def _params(a):
-    return DEFAULT.with_(vwap_mode=a.vwap_mode, market_hours_only=a.market_hours_only)
+    """The parameters given on the command line, the collector's defaults for the rest."""
+    return DEFAULT.with_(**{f.name: getattr(a, f.name) for f in fields(Params) if getattr(a, f.name, None) is not None})
+
+
+def _add_params(sp) -> None:
+    """One option for every field of Params, checked by Params itself."""
+    for f in fields(Params):
+        flag, now = "--" + f.name.replace("_", "-"), getattr(DEFAULT, f.name)
+        if isinstance(now, bool):
+            sp.add_argument(flag, action=argparse.BooleanOptionalAction, default=None)
+        else:
+            kind = float if isinstance(now, float) else str if isinstance(now, str) else int
+            sp.add_argument(flag, type=kind, choices=f.metadata["choices"], help=f"default {now}")
+
+
+def _sessions(df, a):
+    """Rows of the sessions asked for; on a log partitioned by session date only their folders are read."""
+    if not a.session_date:
+        return df
+    last = dt.date.fromisoformat(a.to or a.session_date)
+    return df.where(F.col("session_date").between(dt.date.fromisoformat(a.session_date), last))
 
 
 def cmd_ticks(spark, a) -> int:
@@ -28,12 +51,12 @@ def cmd_ticks(spark, a) -> int:
     from .sources.polls import read_poll_log
     p = _params(a)
     if a.poll_events:
-        t = event_ticks(spark.read.parquet(a.poll_events), p)
+        t = event_ticks(_sessions(spark.read.parquet(a.poll_events), a), p, keep=("session_date",))
     else:
         polls, snaps = read_poll_log(spark, a.polls, a.snaps, a.format, symbol=a.symbol)
-        t = ticks(polls, snaps, p)
-    fan_out(spark, t, a.table, a.csv, a.parquet, table_location=a.table_location)
-    print(f"appended to {a.table}, {a.csv}, {a.parquet}")
+        t = ticks(_sessions(polls, a), snaps, p, keep=("session_date",))
+    fan_out(spark, t, a.table, a.csv, a.parquet, session_col="session_date", table_location=a.table_location, fmt=a.table_format)
+    print(f"written to {a.table}, {a.csv}, {a.parquet}")
     return 0
 
 
@@ -46,6 +69,11 @@ def cmd_verify(spark, a) -> int:
     lat = res["latency"].first()
     if lat is not None and lat["count"]:
         print(f"latency ms: min={lat.latency_min} mean={lat.latency_mean} max={lat.latency_max}")
+    if a.out:
+        res["rows"].write.mode("overwrite").option("header", True).csv(a.out)
+        print(f"rows written to {a.out}")
+    if a.rows:
+        res["rows"].show(a.rows, truncate=False)
     if res["missing_columns"]:
         cols = ", ".join(f"{c} {'TIMESTAMP_NTZ' if c == 'bar_ts' else 'STRING'}" for c in res["missing_columns"])
         print(f"older layout: ALTER TABLE {a.table} ADD COLUMNS ({cols})")
@@ -62,8 +90,8 @@ def cmd_expectations(spark, a) -> int:
 
 def cmd_live(spark, a) -> int:
     from .streaming.run import start_live
-    q = start_live(spark, a.landing, a.table, a.csv, a.parquet, a.checkpoint, _params(a), every=a.every,
-                   table_location=a.table_location)
+    q = start_live(spark, a.landing, a.table, a.csv, a.parquet, a.checkpoint, _params(a), every=a.every, poll_minutes=a.interval,
+                   table_location=a.table_location, late_dir=a.late, idle_s=a.idle, fmt=a.table_format)
     q.awaitTermination()
     return 0
 
@@ -73,8 +101,9 @@ def build_parser() -> argparse.ArgumentParser:
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     def common(sp):
-        sp.add_argument("--vwap-mode", choices=[VWAP_ALL_POLLS, VWAP_GOOD_ONLY], default=DEFAULT.vwap_mode)
-        sp.add_argument("--market-hours-only", action="store_true")
+        _add_params(sp)
+        sp.add_argument("--table-location")
+        sp.add_argument("--table-format", default="parquet", help="parquet, or delta where its jars are present")
 
     t = sub.add_parser("ticks", help="poll log -> tick table, CSV and Parquet")
     t.add_argument("--polls")
@@ -84,20 +113,27 @@ def build_parser() -> argparse.ArgumentParser:
     t.add_argument("--symbol", help="the log holds one symbol and its files have no symbol column")
     for k in ("--table", "--csv", "--parquet"):
         t.add_argument(k, required=True)
-    t.add_argument("--table-location")
+    t.add_argument("--session-date", help="only this session, or from it on with --to")
+    t.add_argument("--to", help="last session of a range")
     common(t)
     v = sub.add_parser("verify", help="one day's summary from the tick table")
     v.add_argument("--table", required=True)
     v.add_argument("--date", required=True)
+    v.add_argument("--rows", type=int, default=0, help="show so many rows of the day")
+    v.add_argument("--out", help="write the day's rows as CSV")
     e = sub.add_parser("expectations", help="table expectations report")
     e.add_argument("--table", required=True)
     e.add_argument("--strict", action="store_true", help="exit 1 on any violation")
     lv = sub.add_parser("live", help="stream a landing folder to the three sinks")
     for k in ("--landing", "--table", "--csv", "--parquet", "--checkpoint"):
         lv.add_argument(k, required=True)
-    lv.add_argument("--every", default="1 minute")
-    lv.add_argument("--table-location")
+    lv.add_argument("--every", help="trigger interval; by default flush-every polls")
+    lv.add_argument("--interval", type=int, default=1, help="minutes between polls")
+    lv.add_argument("--late", help="folder for late rows")
+    lv.add_argument("--idle", type=int, default=600, help="fold waiting polls after so many seconds without data")
     common(lv)
+    for sp in sub.choices.values():
+        sp.add_argument("--checkpoint-dir", help="shared folder for work files, where the cluster names none")
     return ap
 
 
@@ -107,7 +143,7 @@ def main(argv=None, spark=None) -> int:
         raise SystemExit("ticks needs --poll-events, or --polls and --snaps")
     if spark is None:
         from .session import get_spark
-        spark = get_spark()
+        spark = get_spark(checkpoint_dir=a.checkpoint_dir)
     return {"ticks": cmd_ticks, "verify": cmd_verify, "expectations": cmd_expectations,
             "live": cmd_live}[a.cmd](spark, a)
 

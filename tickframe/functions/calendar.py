@@ -39,7 +39,7 @@ def weekday(d) -> Column:
 
 
 def week_of_month(d) -> Column:
-    """1-based week of month: days 1-7 -> 1, 8-14 -> 2, ..."""
+    """Which block of seven days of its month a date lies in, counted from one."""
     return ((F.dayofmonth(_c(d)) - 1) / 7).cast("int") + 1
 
 
@@ -57,7 +57,7 @@ def is_expiry(d, p: Params = DEFAULT) -> Column:
 
 
 def days_to_expiry(d, p: Params = DEFAULT) -> Column:
-    """Calendar days to the next expiry weekday, 0 on expiry day."""
+    """How many days ahead the configured expiry weekday lies; an expiry day itself gives zero."""
     return F.pmod(F.lit(p.expiry_weekday) - weekday(d), F.lit(7)).cast("int")
 
 

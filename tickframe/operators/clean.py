@@ -73,7 +73,9 @@ def join_polls(polls: DataFrame, picked: DataFrame) -> DataFrame:
 
 def selected_bars(polls: DataFrame, snaps: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Poll log with its cleaned, market-time bar: the input of the session windows."""
-    from ..functions.calendar import to_market_time
+    from ..functions.calendar import is_market_open, to_market_time
+    if p.market_hours_only:
+        polls = polls.where(is_market_open(to_market_time(F.col("fetch_start"), p), p))
     j = join_polls(polls, last_closed_bar(snaps))
     has_bar = F.col("bar_utc").isNotNull() & F.coalesce(F.col("ok"), F.lit(False))
     j = nan_safe_ohlcv(j)
@@ -88,20 +90,26 @@ def selected_from_poll_events(events: DataFrame, p: Params = DEFAULT, clustered:
     """Same output as :func:`selected_bars`, from the single-table poll-event layout.
 
     ``events`` holds one row per returned bar, poll attributes repeated, and a
-    NULL ``bar_utc`` for a poll that returned nothing. The rows are hash
-    partitioned once by ``(symbol, session_date)``: the de-duplication and
-    closed-bar windows (by poll) and every later session window (by session)
-    are clustered on that partitioning and sorted on a prefix of one order, so
-    the plan has one exchange and one sort between the source and the tick
-    table, and no join. ``clustered=True``: the input is already hash
-    partitioned by ``(symbol, session_date)`` (a bucketed table), so not even
-    that exchange is planned.
+    NULL ``bar_utc`` for a poll that returned nothing. A poll repeats its day so
+    far, so its rows are first cut to the two newest bar times, mostly before
+    any shuffle. The few rows left are hash partitioned by ``(symbol,
+    session_date)``: the de-duplication and closed-bar windows (by poll) and
+    every later session window (by session) are clustered on that partitioning
+    and sorted on a prefix of one order; there is no join. ``clustered=True``:
+    the input is already hash partitioned by ``(symbol, session_date)`` (a
+    bucketed table), so no exchange is planned.
     """
     from ..functions.calendar import to_market_time
     poll = ("symbol", "session_date", "poll_id")
+    if p.market_hours_only:
+        from ..functions.calendar import is_market_open
+        events = events.where(is_market_open(to_market_time(F.col("fetch_start"), p), p))
+    # Only the two newest bar times of a poll matter; the rank limit runs before the rows are shuffled.
+    newest = Window.partitionBy(*poll).orderBy(F.col("bar_utc").desc_nulls_last())
+    two = events.select("*", F.dense_rank().over(newest).alias("_bar_rank")).where(F.col("_bar_rank") <= 2).drop("_bar_rank")
     w = (Window.partitionBy(*poll)
          .orderBy(F.col("bar_utc").desc_nulls_last(), F.col("seq").desc_nulls_last()))
-    ev = events if clustered else events.repartition("symbol", "session_date")
+    ev = two if clustered else two.repartition("symbol", "session_date")
     rn = F.row_number().over(w)
     prev = F.lag("bar_utc").over(w)
     d = (ev.select("*", rn.alias("_rn"), prev.alias("_prev"))

@@ -9,7 +9,7 @@ and violations per rule, then ``stack`` turns the single summary row into
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,62 +17,56 @@ from ..functions import calendar as cal
 from ..functions.candle import is_collapsed
 from ..functions.quality import data_quality
 from ..params import DEFAULT, DQ_LABELS, Params
-from ..schema import INT_COLUMNS, LEGACY_MISSING
+from ..schema import INT_COLUMNS, LEGACY_MISSING, TICK_SCHEMA
+from ..session import materialised
 
 RULES = ["EXP-1", "EXP-2", "EXP-3", "EXP-4", "EXP-5", "EXP-6", "EXP-7", "EXP-8", "EXP-11", "EXP-12"]
 
 
-def _int_eq(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def _with_absent(ticks: DataFrame) -> DataFrame:
+    """Older layouts lack the bar columns: read them as NULL."""
+    return ticks.select("*", *[F.lit(None).cast(TICK_SCHEMA[c].dataType).alias(c) for c in LEGACY_MISSING if c not in ticks.columns])
 
 
 def violations(ticks: DataFrame, p: Params = DEFAULT, session_col: str | None = None) -> DataFrame:
-    """Add one ``v_<rule>`` boolean column per data rule (True = violated).
+    """Add one ``v_<rule>`` column per data rule: True where violated, NULL where the row can't tell.
 
-    ``session_col``: the session date column if present; otherwise the session
-    is the bar's day (EXP-12 then checks nothing).
+    The bar's day and hour come from ``bar_ts`` or, in older rows, from the stored
+    calendar columns. The session is ``session_col`` or else the day the tick was
+    collected (``tick_ts``). Rows without a session are windows of their own.
     """
-    d = F.to_date("bar_ts")
-    last_exp = cal.last_expiry_of_month(d, p)
-    sess = F.col(session_col) if session_col else d
-    w = (Window.partitionBy("symbol", sess).orderBy("bar_ts", "tick_ts")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    run_low = F.min("low").over(w)
-    run_high = F.max("high").over(w)
+    t = _with_absent(ticks)
+    d = F.coalesce(F.to_date("bar_ts"), F.make_date("year", "month", "date"))
+    hour = F.coalesce(F.hour("bar_ts"), F.col("hour"))
+    sess = F.col(session_col) if session_col else F.to_date("tick_ts")
+    lone = F.when(sess.isNull(), F.monotonically_increasing_id())
+    base = Window.partitionBy("symbol", sess, lone).orderBy(F.coalesce("bar_ts", "tick_ts"), "tick_ts")
+    upto = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The stored previous close is the rounded close of the session's previous stored tick.
+    t = t.select("*", F.lag("close").over(base).alias("prev_close_rt"), F.min("low").over(upto).alias("_low"), F.max("high").over(upto).alias("_high"))
     dq = data_quality("close", "volume", F.col("prev_close_rt"), p)
     rules = {
-        "EXP-1": ~F.col("days_to_expiry").between(0, 6)
-                 | ((F.col("expiry") == 1) != (F.col("days_to_expiry") == 0)),
-        "EXP-2": (F.col("is_monthly_expiry") == 1)
-                 & ((F.col("expiry") != 1) | (d != last_exp)),
-        "EXP-3": ~_int_eq(F.col("week_of_month"), cal.week_of_month(d))
-                 | ~F.col("week_of_month").between(1, 5),
-        "EXP-4": ~_int_eq(F.col("session_number"), cal.session_number(F.hour("bar_ts"))),
+        "EXP-1": ~F.col("days_to_expiry").between(0, 6) | ((F.col("expiry") == 1) != (F.col("days_to_expiry") == 0)),
+        "EXP-2": (F.col("is_monthly_expiry") == 1) & ((F.col("expiry") != 1) | (d != cal.last_expiry_of_month(d, p))),
+        "EXP-3": (F.col("week_of_month") != cal.week_of_month(d)) | ~F.col("week_of_month").between(1, 5),
+        "EXP-4": F.col("session_number") != cal.session_number(hour),
         "EXP-5": ~F.col("data_quality").isin(*DQ_LABELS) | (F.col("data_quality") != dq),
-        "EXP-6": (F.col("upper_shadow") < 0) | (F.col("lower_shadow") < 0)
-                 | ~F.col("body_pct").between(0, 100) | (F.col("hl_ratio") < 1),
-        "EXP-7": (F.col("vwap") < F.round(run_low, 2)) | (F.col("vwap") > F.round(run_high, 2)),
+        "EXP-6": (F.col("upper_shadow") < 0) | (F.col("lower_shadow") < 0) | ~F.col("body_pct").between(0, 100) | (F.col("hl_ratio") < 1),
+        "EXP-7": (F.col("vwap") < F.round("_low", 2)) | (F.col("vwap") > F.round("_high", 2)),
         "EXP-8": is_collapsed("open", "high", "low", "close"),
         "EXP-11": ~cal.is_market_open(F.col("tick_ts"), p),
         "EXP-12": d != sess,
     }
-    # The stored previous close is the rounded close of the session's previous stored tick.
-    prev = F.lag("close").over(Window.partitionBy("symbol", sess).orderBy("bar_ts", "tick_ts"))
-    out = ticks.withColumn("prev_close_rt", prev)
-    return out.select("*", *[F.coalesce(e, F.lit(True)).alias("v_" + k.replace("-", "_"))
-                             for k, e in rules.items()])
+    return t.select("*", *[e.alias("v_" + k.replace("-", "_")) for k, e in rules.items()]).drop("_low", "_high")
 
 
 def expectation_report(ticks: DataFrame, p: Params = DEFAULT, session_col: str | None = None) -> DataFrame:
-    """``(rule, checked, violations)``, one row per data rule."""
+    """``(rule, checked, violations)``, one row per data rule; ``checked`` counts the rows that could tell."""
     v = violations(ticks, p, session_col)
-    aggs = [F.count(F.lit(1)).alias("checked")]
-    aggs += [F.sum(F.col("v_" + k.replace("-", "_")).cast("long")).alias(k.replace("-", "_"))
-             for k in RULES]
-    summary = v.agg(*aggs)
-    stack = ", ".join(f"'{k}', {k.replace('-', '_')}" for k in RULES)
-    return summary.selectExpr(f"stack({len(RULES)}, {stack}) AS (rule, violations)", "checked") \
-        .select("rule", "checked", F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
+    names = [(k, k.replace("-", "_")) for k in RULES]
+    summary = v.agg(*[F.count("v_" + n).alias("c_" + n) for _, n in names], *[F.count_if(F.col("v_" + n)).alias(n) for _, n in names])
+    stack = ", ".join(f"'{k}', c_{n}, {n}" for k, n in names)
+    return summary.selectExpr(f"stack({len(RULES)}, {stack}) AS (rule, checked, violations)")
 
 
 def schema_report(schema: T.StructType) -> list[tuple[str, bool]]:
@@ -83,50 +77,43 @@ def schema_report(schema: T.StructType) -> list[tuple[str, bool]]:
     return out
 
 
-def _digest(df: DataFrame, keys: list, cols: list) -> DataFrame:
-    """Per-day row count and multiset hash (sum of row hashes, overflow-free decimal)."""
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("_h"))
+def _row_hash(cols: list):
+    """Hash of a row that also tells which fields are NULL."""
+    return F.xxhash64(*cols, *[F.col(c).isNull() for c in cols]).cast("decimal(38,0)")
 
 
-def sinks_agree(reference: DataFrame, copies: dict[str, DataFrame],
-                keys: tuple = ("year", "month", "date")) -> DataFrame:
+def sinks_agree(reference: DataFrame, copies: dict[str, DataFrame], keys: tuple = ("year", "month", "date")) -> DataFrame:
     """EXP-10: per copy, row count and rows missing / extra against ``reference`` (multiset).
 
-    Two levels, so the check stays cheap on a large table: per-day digests (row
-    count and summed row hash, partially aggregated before the shuffle) find
-    the days that differ; only those days go through the exact ``exceptAll``
-    in both directions. Lazy: the per-copy counts are unioned and folded by
-    one small group-by.
+    Every side is read once for per-day digests (row count and summed row hash,
+    partially aggregated before the shuffle), kept as one small table. Only where a
+    day differs are the rows of such days compared exactly, both ways.
     """
     cols = reference.columns
     keys = [k for k in keys if k in cols]
-    ref_digest = _digest(reference, keys, cols)
-    parts = []
-    for name, df in copies.items():
-        df = df.select(*cols)
-        d = _digest(df, keys, cols)
-        same = F.col("r._n").eqNullSafe(F.col("c._n")) & F.col("r._h").eqNullSafe(F.col("c._h"))
-        bad = (ref_digest.alias("r").join(
-            d.alias("c"), [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys], "full_outer")
-            .where(~same)
-            .select(*[F.coalesce(F.col(f"r.{k}"), F.col(f"c.{k}")).alias(k) for k in keys]))
-
-        def only_bad(x: DataFrame) -> DataFrame:
-            if not keys:
-                return x
-            return x.join(bad, [x[k].eqNullSafe(bad[k]) for k in keys], "left_semi")
-
-        ref_bad, df_bad = only_bad(reference), only_bad(df)
-        for kind, frame in (("missing", ref_bad.exceptAll(df_bad)), ("extra", df_bad.exceptAll(ref_bad))):
-            parts.append(frame.agg(F.count(F.lit(1)).alias("n"))
-                         .select(F.lit(name).alias("sink"), F.lit(kind).alias("kind"), "n"))
-        parts.append(d.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
-                     .select(F.lit(name).alias("sink"), F.lit("rows").alias("kind"), "n"))
-    u = parts[0]
-    for part in parts[1:]:
-        u = u.unionByName(part)
-    return u.groupBy("sink").agg(*[
-        F.sum(F.when(F.col("kind") == k, F.col("n"))).cast("long").alias(k)
-        for k in ("rows", "missing", "extra")])
+    sides = {"": reference, **{n: df.select(*cols) for n, df in copies.items()}}
+    labelled = None
+    for name, df in sides.items():
+        part = df.select(F.lit(name).alias("sink"), *keys, _row_hash(cols).alias("h"))
+        labelled = part if labelled is None else labelled.unionByName(part)
+    per_day = labelled.groupBy(*keys).agg(*[x for i, n in enumerate(sides) for x in (
+        F.count_if(F.col("sink") == n).alias(f"n{i}"), F.coalesce(F.sum(F.when(F.col("sink") == n, F.col("h"))), F.lit(0)).alias(f"h{i}"))])
+    per_day = materialised(per_day, "sink-digests")
+    differs = {n: (F.col(f"n{i}") != F.col("n0")) | (F.col(f"h{i}") != F.col("h0")) for i, n in enumerate(sides) if n}
+    totals = per_day.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(n) for i, n in enumerate(sides) if n],
+                         *[F.count_if(e).alias("bad_" + n) for n, e in differs.items()]).first()
+
+    def only(df: DataFrame, days: DataFrame) -> DataFrame:
+        return df.join(days, [df[k].eqNullSafe(days[k]) for k in keys], "left_semi") if keys else df
+
+    out = None
+    for name in copies:
+        part = reference.sparkSession.range(1).select(F.lit(name).alias("sink"), F.lit(totals[name]).cast("long").alias("rows"))
+        if totals["bad_" + name]:
+            days = per_day.filter(differs[name]).select(*keys)
+            a, b = only(reference, days), only(sides[name], days)
+            part = part.crossJoin(a.exceptAll(b).agg(F.count("*").alias("missing"))).crossJoin(b.exceptAll(a).agg(F.count("*").alias("extra")))
+        else:
+            part = part.select("*", F.lit(0).cast("long").alias("missing"), F.lit(0).cast("long").alias("extra"))
+        out = part if out is None else out.unionByName(part)
+    return out

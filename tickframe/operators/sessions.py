@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.candle import is_bad_price, is_collapsed, typical_price, vwap_weight
 from ..functions.rounding import round_half_up
+from ..session import materialised
 from ..params import (AFTER_ABORT, BAD_PRICE, COLLAPSED, DEFAULT, FETCH_FAILED, GOOD, STALE,
                       VWAP_ALL_POLLS, Params)
 
@@ -100,9 +101,6 @@ def session_state(labelled: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def poll_outcomes(bars: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    if p.market_hours_only:
-        from ..functions.calendar import is_market_open, to_market_time
-        bars = bars.where(is_market_open(to_market_time(F.col("fetch_start"), p), p))
     if p.session_chunk_polls:
         return split_session_states(bars, p, p.session_chunk_polls)
     return session_state(label_outcomes(bars, p), p)
@@ -133,8 +131,8 @@ def split_session_states(bars: DataFrame, p: Params, chunk_polls: int) -> DataFr
     once; the summaries hold one row per chunk.
     """
     K = [*SESSION_KEYS, "_chunk"]
-    x = (bars.withColumn("_chunk", F.floor(F.col("poll_id") / F.lit(chunk_polls)).cast("long"))
-         .repartition(*K))
+    # Every pass reads one copy in the shared folder instead of the log again.
+    x = materialised(bars.withColumn("_chunk", F.floor(F.col("poll_id") / F.lit(chunk_polls)).cast("long")), "chunks").repartition(*K)
     wl = Window.partitionBy(*K).orderBy("poll_id")
     before = wl.rowsBetween(Window.unboundedPreceding, -1)
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)

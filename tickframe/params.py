@@ -6,7 +6,7 @@ reproduce for identical results; change them only on purpose.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, fields, replace
 
 # --- fixed values (collector defaults) ---------------------------------------
 # Market time zone of the stored wall-clock timestamps.
@@ -40,48 +40,59 @@ VWAP_GOOD_ONLY = "good_only"
 VWAP_ALL_POLLS = "all_polls"
 
 
+def _broken_rule(value, rule) -> str | None:
+    """What is wrong with a value, or None."""
+    if value is None:
+        return None if rule["optional"] else "missing"
+    if value == "":
+        return "empty"
+    if rule["choices"] and value not in rule["choices"]:
+        return "choose from " + ", ".join(rule["choices"])
+    if rule["low"] is not None and value < rule["low"]:
+        return f"smallest is {rule['low']}"
+    if rule["high"] is not None and value > rule["high"]:
+        return f"largest is {rule['high']}"
+    return None
+
+
+def _setting(default, low=None, high=None, choices=None, optional=False):
+    """A parameter with its rule: inclusive bounds, a set of choices, and whether None is allowed."""
+    return field(default=default, metadata={"low": low, "high": high, "choices": choices, "optional": optional})
+
+
 @dataclass(frozen=True)
 class Params:
-    """Validated, immutable parameter set (replaces the collector's constants)."""
-
-    market_tz: str = MARKET_TZ
-    expiry_weekday: int = EXPIRY_WEEKDAY
-    flush_every: int = FLUSH_EVERY
-    max_bad_ticks: int = MAX_BAD_TICKS
-    spike_pct: float = SPIKE_PCT
-    open_minute: int = OPEN_MINUTE
-    close_minute: int = CLOSE_MINUTE
-    vwap_mode: str = VWAP_ALL_POLLS
+    """Immutable parameter set; every field is checked against its own rule when an instance is made."""
+
+    market_tz: str = _setting(MARKET_TZ)
+    # Fixed ranges of the collector: weekday 0..4, counts from 1, spike 0.001..0.5.
+    expiry_weekday: int = _setting(EXPIRY_WEEKDAY, 0, 4)
+    flush_every: int = _setting(FLUSH_EVERY, 1)
+    max_bad_ticks: int = _setting(MAX_BAD_TICKS, 1)
+    spike_pct: float = _setting(SPIKE_PCT, 0.001, 0.5)
+    open_minute: int = _setting(OPEN_MINUTE, 0, 24 * 60 - 1)
+    close_minute: int = _setting(CLOSE_MINUTE, 0, 24 * 60 - 1)
+    vwap_mode: str = _setting(VWAP_ALL_POLLS, choices=(VWAP_GOOD_ONLY, VWAP_ALL_POLLS))
     # Stale test against the last bar of any poll that returned one (collector
     # behaviour) or only against the last stored tick.
-    stale_against_good_only: bool = False
+    stale_against_good_only: bool = _setting(False)
     # Keep only polls started inside market hours (the collector never polls
     # outside them); off by default: a poll log holds what was polled.
-    market_hours_only: bool = False
+    market_hours_only: bool = _setting(False)
     # Split each session's sequential scan into chunks of this many poll ids
     # (parallel prefix scan); None = one window partition per session.
-    session_chunk_polls: int | None = None
+    session_chunk_polls: int | None = _setting(None, 1, optional=True)
+    # Live mode: a poll is folded once a poll of its session is newer by this many seconds (or the
+    # session's end marker has come); rows of polls already folded go to the late output.
+    live_delay_s: int = _setting(120, 0)
 
     def __post_init__(self) -> None:
-        errors = []
-        if not 0 <= self.expiry_weekday <= 4:
-            errors.append(f"expiry_weekday must be 0-4, got {self.expiry_weekday}")
-        if self.flush_every < 1:
-            errors.append(f"flush_every must be >= 1, got {self.flush_every}")
-        if self.max_bad_ticks < 1:
-            errors.append(f"max_bad_ticks must be >= 1, got {self.max_bad_ticks}")
-        if not 0.001 <= self.spike_pct <= 0.5:
-            errors.append(f"spike_pct must be 0.001-0.5, got {self.spike_pct}")
-        if not 0 <= self.open_minute <= self.close_minute < 24 * 60:
-            errors.append("need 0 <= open_minute <= close_minute < 1440")
-        if self.vwap_mode not in (VWAP_GOOD_ONLY, VWAP_ALL_POLLS):
-            errors.append(f"vwap_mode must be {VWAP_GOOD_ONLY!r} or {VWAP_ALL_POLLS!r}")
-        if self.session_chunk_polls is not None and self.session_chunk_polls < 1:
-            errors.append(f"session_chunk_polls must be >= 1, got {self.session_chunk_polls}")
-        if not self.market_tz:
-            errors.append("market_tz must be non-empty")
-        if errors:
-            raise ValueError("parameter errors: " + "; ".join(errors))
+        wrong = [f"{f.name}={getattr(self, f.name)!r} ({why})" for f in fields(self)
+                 if (why := _broken_rule(getattr(self, f.name), f.metadata))]
+        if not wrong and self.open_minute > self.close_minute:
+            wrong.append(f"open_minute={self.open_minute} is after close_minute={self.close_minute}")
+        if wrong:
+            raise ValueError("cannot use " + ", ".join(wrong))
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

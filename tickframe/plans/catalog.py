@@ -382,10 +382,9 @@ FROM ticks GROUP BY symbol, session_date, (tick_no - 1) // {FLUSH_EVERY}""")
 
 def q_union_append(spark, sf):
     """Older-layout rows (each session's first flush) unioned by name with newer rows."""
-    from ..session import shared_dir
-    shared_dir(spark)  # make sure a reliable checkpoint folder is set
+    from ..session import materialised
     # Both sides of the union read one materialised copy of the tick rows.
-    t = fixture_ticks(spark, sf, keep=("tick_no",)).checkpoint(eager=True)
+    t = materialised(fixture_ticks(spark, sf, keep=("tick_no",)), "union-rows")
     first = F.col("tick_no") <= FLUSH_EVERY
     old = t.where(first).drop(*LEGACY_MISSING)
     new = t.where(~first)
@@ -432,15 +431,14 @@ def q_expectations(spark, sf):
     return expectation_report(t, session_col="session_date")
 
 
-def _expectations_sql() -> str:
-    wd = O.weekday("bar_ts")
-    part = "PARTITION BY symbol, session_date ORDER BY bar_ts, tick_ts"
+def _expectations_sql(planted: list | None = None, session: str = "session_date") -> str:
+    part = f"PARTITION BY symbol, {session} ORDER BY coalesce(bar_ts, tick_ts), tick_ts"
+    day = "coalesce(CAST(bar_ts AS DATE), make_date(year, month, date))"
     rules = {
         "EXP-1": "NOT (days_to_expiry BETWEEN 0 AND 6) OR ((expiry = 1) <> (days_to_expiry = 0))",
-        "EXP-2": f"is_monthly_expiry = 1 AND (expiry <> 1 OR CAST(bar_ts AS DATE) <> {O.last_expiry_sql('bar_ts')})",
-        "EXP-3": "week_of_month IS DISTINCT FROM CAST((dayofmonth(bar_ts) - 1) // 7 + 1 AS INTEGER)"
-                 " OR NOT (week_of_month BETWEEN 1 AND 5)",
-        "EXP-4": f"session_number IS DISTINCT FROM {O.session_number_sql('hour(bar_ts)')}",
+        "EXP-2": f"is_monthly_expiry = 1 AND (expiry <> 1 OR {day} <> {O.last_expiry_sql(day)})",
+        "EXP-3": f"week_of_month <> CAST((dayofmonth({day}) - 1) // 7 + 1 AS INTEGER) OR NOT (week_of_month BETWEEN 1 AND 5)",
+        "EXP-4": f"session_number <> {O.session_number_sql('coalesce(hour(bar_ts), hour)')}",
         "EXP-5": "data_quality NOT IN ('BAD_PRICE', 'SPIKE', 'OK_NO_VOL', 'OK') OR data_quality <> "
                  "(CASE WHEN close <= 0 THEN 'BAD_PRICE' WHEN prev_close_rt IS NOT NULL AND prev_close_rt > 0"
                  f" AND abs(close - prev_close_rt) / prev_close_rt > {DEFAULT.spike_pct} THEN 'SPIKE'"
@@ -450,23 +448,45 @@ def _expectations_sql() -> str:
         "EXP-8": "high = low AND low = open AND open = close AND close > 0",
         "EXP-11": f"NOT ({O.weekday('tick_ts')} < 5 AND hour(tick_ts) * 60 + minute(tick_ts)"
                   f" BETWEEN {DEFAULT.open_minute} AND {DEFAULT.close_minute})",
-        "EXP-12": "CAST(bar_ts AS DATE) <> session_date",
+        "EXP-12": f"{day} <> {session}",
     }
-    del wd
-    v = ", ".join(f"CAST(coalesce(({e}), TRUE) AS BIGINT) AS v{i}" for i, e in enumerate(rules.values()))
-    sums = " UNION ALL ".join(
-        f"SELECT '{k}' AS rule, count(*) AS checked, CAST(coalesce(sum(v{i}), 0) AS BIGINT) AS violations FROM viol"
-        for i, k in enumerate(rules))
-    ctes = O.ticks_ctes(extra="session_date") + [
+    v = ", ".join(f"({e}) AS v{i}" for i, e in enumerate(rules.values()))
+    sums = " UNION ALL ".join(f"SELECT '{k}' AS rule, count(v{i}) AS checked, count(*) FILTER (v{i}) AS violations FROM viol" for i, k in enumerate(rules))
+    ctes = O.ticks_ctes(extra="session_date, tick_no") + [
+        ("planted", f"  SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in planted)}) FROM ticks" if planted else "  SELECT * FROM ticks"),
         ("win", f"""  SELECT *, lag(close) OVER ({part}) AS prev_close_rt,
          min(low) OVER ({part} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_low,
          max(high) OVER ({part} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_high
-  FROM ticks"""),
+  FROM planted"""),
         ("viol", f"  SELECT {v} FROM win"),
     ]
     return O.with_ctes(ctes, sums)
 
 
+# One rule broken in every thirteenth tick each, and the older layout in another thirteenth (both engines read this text).
+PLANTED = [
+    ("bar_ts", "CASE WHEN tick_no % 13 = 0 THEN NULL WHEN tick_no % 13 = 10 THEN bar_ts - INTERVAL 3 DAY ELSE bar_ts END"),
+    ("bar_time_str", "CASE WHEN tick_no % 13 = 0 THEN NULL ELSE bar_time_str END"),
+    ("days_to_expiry", "CASE WHEN tick_no % 13 = 1 THEN 9 ELSE days_to_expiry END"),
+    ("is_monthly_expiry", "CASE WHEN tick_no % 13 = 2 THEN 1 ELSE is_monthly_expiry END"),
+    ("expiry", "CASE WHEN tick_no % 13 = 2 THEN 0 ELSE expiry END"),
+    ("week_of_month", "CASE WHEN tick_no % 13 = 3 THEN 6 ELSE week_of_month END"),
+    ("session_number", "CASE WHEN tick_no % 13 = 4 THEN 9 ELSE session_number END"),
+    ("data_quality", "CASE WHEN tick_no % 13 = 5 THEN 'BROKEN' ELSE data_quality END"),
+    ("hl_ratio", "CASE WHEN tick_no % 13 = 6 THEN CAST(0.5 AS DOUBLE) ELSE hl_ratio END"),
+    ("vwap", "CASE WHEN tick_no % 13 = 7 THEN CAST(-1 AS DOUBLE) ELSE vwap END"),
+    *[(c, f"CASE WHEN tick_no % 13 = 8 THEN CAST(5 AS DOUBLE) ELSE {c} END") for c in ("open", "high", "low", "close")],
+    ("tick_ts", "CASE WHEN tick_no % 13 = 9 THEN tick_ts - INTERVAL 12 HOUR ELSE tick_ts END"),
+]
+
+
+def q_expectations_planted(spark, sf):
+    """Every rule broken somewhere, older rows among newer ones, no session column: the report's violated branches."""
+    t = fixture_ticks(spark, sf, keep=("session_date", "tick_no"))
+    t = t.select(*[F.expr(dict(PLANTED)[c]).alias(c) if c in dict(PLANTED) else F.col(c) for c in t.columns])
+    return expectation_report(t.drop("session_date"))
+
+
 # ---------------------------------------------------------------- sinks, tables, streams
 def _ticks_keyed(spark, sf):
     return fixture_ticks(spark, sf, keep=("session_date",))
@@ -506,11 +526,10 @@ def q_schema_evolution(spark, sf):
     """Older-layout table, first flushes appended, evolved by ALTER TABLE, newer rows appended."""
     from ..session import fresh_dir
     from ..sinks.tables import append_ticks
-    from ..session import shared_dir
+    from ..session import materialised
     name = _table_name("ticks_evo")
-    shared_dir(spark)  # make sure a reliable checkpoint folder is set
     # Two appends read one materialised copy instead of recomputing from the events scan.
-    t = fixture_ticks(spark, sf, keep=("tick_no",)).checkpoint(eager=True)
+    t = materialised(fixture_ticks(spark, sf, keep=("tick_no",)), "evo-rows")
     first = F.col("tick_no") <= FLUSH_EVERY
     append_ticks(spark, t.where(first).drop("tick_no", *LEGACY_MISSING), name,
                  location=fresh_dir(spark, "evo"))
@@ -524,13 +543,11 @@ def q_sink_fanout(spark, sf):
     from ..session import fresh_dir
     from ..sinks import files
     from ..sinks.fanout import fan_out
-    from ..session import shared_dir
+    from ..session import materialised
     base = fresh_dir(spark, "fanout")
     name = _table_name("ticks_fan")
-    shared_dir(spark)  # make sure a reliable checkpoint folder is set
-    # Reliable checkpoint in the shared folder: the sinks and the reference read
-    # one materialised copy, and the lineage back to the events scan is cut.
-    t = _ticks_keyed(spark, sf).checkpoint(eager=True)
+    # The sinks and the reference read one copy in the shared folder.
+    t = materialised(_ticks_keyed(spark, sf), "fan-out-rows")
     fan_out(spark, t, name, f"{base}/csv", f"{base}/parquet", session_col="session_date",
             table_location=f"{base}/table")
     ref = t.select(*TICK_COLUMNS)
@@ -551,9 +568,78 @@ def q_stream_ticks(spark, sf):
     return stream_ticks(spark, fx.fixture_poll_events(spark, sf), None)
 
 
+def _scattered(n: int = 3):
+    """Row conditions that deal the rows of every poll over ``n`` landings."""
+    deal = F.pmod(F.xxhash64("symbol", "poll_id", "seq"), F.lit(n))
+    return [deal == k for k in range(n)]
+
+
+def q_stream_ticks_multi_batch(spark, sf):
+    """Polls split between files and triggers, in no order: the batch result once the sessions' end markers have come."""
+    from ..streaming.run import stream_ticks
+    return stream_ticks(spark, fx.fixture_poll_events(spark, sf), None, DEFAULT.with_(live_delay_s=10 ** 9), _scattered(), max_files=25)
+
+
+def q_stream_late_polls(spark, sf):
+    """Polls landed out of order beyond the delay: every one is folded or reported late, none is lost."""
+    from ..streaming.run import stream_poll_states
+    deal = F.pmod(F.xxhash64("symbol", "poll_id"), F.lit(3))
+    st = stream_poll_states(spark, fx.fixture_poll_events(spark, sf), None, parts=[deal == k for k in range(3)], max_files=25)
+    return st.groupBy("symbol", "session_date").agg(F.countDistinct("poll_id").alias("n_polls"))
+
+
+SQL_STREAM_LATE = _sql("SELECT symbol, session_date, count(*) AS n_polls FROM polls GROUP BY symbol, session_date", O.fixture_ctes())
+
+
 def q_stream_dedup(spark, sf):
     from ..streaming.run import stream_dedup
-    return stream_dedup(spark, fx.fixture_poll_events(spark, sf), None).select("symbol", _mkt().alias("bar_ts"))
+    return stream_dedup(spark, fx.fixture_poll_events(spark, sf), None, _scattered(), max_files=25).select("symbol", _mkt().alias("bar_ts"))
+
+
+def q_sink_retry(spark, sf):
+    """A micro-batch written in part, then again and again: the three sinks hold its rows once."""
+    from ..operators.expectations import sinks_agree
+    from ..session import fresh_dir, materialised
+    from ..sinks import files
+    from ..sinks.fanout import batch_writer
+    base, name = fresh_dir(spark, "retry"), _table_name("ticks_retry")
+    t = materialised(fixture_ticks(spark, sf), "retry-rows")
+    files.write_csv(t, f"{base}/csv", batch="live-000000007")       # the first try ended here
+    write = batch_writer(name, f"{base}/csv", f"{base}/parquet", table_location=f"{base}/table")
+    write(t, 7)
+    write(t, 7)
+    return sinks_agree(t, {
+        "table": spark.table(name).select(*TICK_COLUMNS),
+        "csv": files.strip_keys(files.read_csv(spark, f"{base}/csv")),
+        "parquet": files.strip_keys(files.read_parquet(spark, f"{base}/parquet")),
+    })
+
+
+def q_two_table_ticks(spark, sf):
+    """The tick table from polls and bar snapshots as two tables (the join of polls with their bar)."""
+    from .ticks import ticks
+    return ticks(*fx.fixture_poll_log(spark, sf))
+
+
+CHECK_DAY = (2024, 1, 16)
+
+
+def q_day_check_one_day(spark, sf):
+    """One day's rows from the partitioned table, numbered in the check's order."""
+    from pyspark.sql import Window
+    from ..session import fresh_dir
+    from ..sinks.tables import append_ticks
+    from .verify import adaptive_select, day_filter
+    name = _table_name("ticks_day")
+    append_ticks(spark, fixture_ticks(spark, sf), name, location=fresh_dir(spark, "day"))
+    day = day_filter(spark.table(name), *CHECK_DAY)
+    order = Window.partitionBy("year", "month", "date").orderBy("bar_ts", "symbol", "tick_ts")
+    numbered = day.withColumn("n", F.row_number().over(order))
+    return adaptive_select(numbered, ["n", "symbol", "bar_ts", "tick_ts", "close", "vwap", "data_quality"])
+
+
+SQL_DAY_CHECK_ONE = O.with_ctes(O.ticks_ctes(), """SELECT CAST(row_number() OVER (ORDER BY bar_ts, symbol, tick_ts) AS INTEGER) AS n, symbol,
+  bar_ts, tick_ts, close, vwap, data_quality FROM ticks WHERE year = %d AND month = %d AND date = %d""" % CHECK_DAY)
 
 
 SQL_STREAM_DEDUP = _sql(f"SELECT DISTINCT symbol, {O.mkt_from_micros('slot * ' + W_US_SQL)} AS bar_ts FROM snaps",
@@ -592,6 +678,7 @@ QUERIES: dict = {
     "symbol_safe": (q_symbol_safe, SQL_SYMBOL_SAFE),
     "bar_lag": (q_bar_lag, SQL_BAR_LAG),
     "expectations": (q_expectations, _expectations_sql()),
+    "expectations_planted": (q_expectations_planted, _expectations_sql(PLANTED, "CAST(tick_ts AS DATE)")),
     "table_roundtrip": (q_table_roundtrip, SQL_TICK_TABLE),
     "csv_roundtrip": (q_csv_roundtrip, SQL_TICK_TABLE),
     "parquet_roundtrip": (q_parquet_roundtrip, SQL_TICK_TABLE),
@@ -599,4 +686,9 @@ QUERIES: dict = {
     "sink_fanout": (q_sink_fanout, SQL_SINK_FANOUT),
     "stream_ticks": (q_stream_ticks, SQL_TICK_TABLE),
     "stream_dedup": (q_stream_dedup, SQL_STREAM_DEDUP),
+    "stream_ticks_multi_batch": (q_stream_ticks_multi_batch, SQL_TICK_TABLE),
+    "stream_late_polls": (q_stream_late_polls, SQL_STREAM_LATE),
+    "sink_retry": (q_sink_retry, SQL_SINK_FANOUT),
+    "two_table_ticks": (q_two_table_ticks, SQL_TICK_TABLE),
+    "day_check_one_day": (q_day_check_one_day, SQL_DAY_CHECK_ONE),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline relies on for correctness (time zone) or plan shape.
 CORE_CONF = {
@@ -54,20 +54,29 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 _FALLBACK_DIRS: dict = {}
 
 
+def is_local(master: str) -> bool:
+    """True where driver and executors are one process (``local``, ``local[8]``, but not ``local-cluster``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
     ``spark.checkpoint.dir`` names the shared folder on a cluster (it can only
-    be set when the application starts). Only when it is unset, as in tests on
-    one machine, a fresh scratch folder becomes the context's checkpoint
-    folder for this application.
+    be set when the application starts). Only when it is unset and everything
+    runs in one process (a local master, as in tests), a fresh scratch folder
+    becomes the context's checkpoint folder; on a cluster that would be a
+    different folder on every host, so there it is an error.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = _FALLBACK_DIRS.get(sc.applicationId)
         if base is None:
-            base = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="tickframe-ckpt-")
+            base = sc.getCheckpointDir()
+            if base is None and not is_local(sc.master):
+                raise ValueError("spark.checkpoint.dir names no shared folder: set it when the application starts")
+            base = base or tempfile.mkdtemp(prefix="tickframe-ckpt-")
             _FALLBACK_DIRS[sc.applicationId] = base
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
@@ -119,3 +128,10 @@ def ship_package(spark: SparkSession) -> None:
         out.close()
     sc.addPyFile(path)
     _SHIPPED.add(key)
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: one computation for several uses, no lineage."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,63 +1,47 @@
 """Write one batch of ticks to all three sinks (table, CSV, Parquet).
 
-Batch mode persists the rows once and writes three times. Streaming mode runs
-inside ``foreachBatch``: the file sinks write under ``batch=<id>`` with
-path-scoped overwrite, and the table append is skipped when the batch's
-commit marker exists, so a retried micro-batch does not duplicate rows.
+Every write may be repeated: the file datasets replace the partitions of the
+same (symbol, session, batch) and the table takes only rows it does not hold
+yet, so a retry after a failure at any step, or a second run over the same
+sessions, leaves the same rows. Batch and live mode share one layout.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from ..session import materialised
 from . import files
 from .tables import append_ticks
 
-FLUSH_SPECS = ("table", "csv", "parquet")
+
+def _write_all(spark: SparkSession, df: DataFrame, table: str, csv_dir: str, parquet_dir: str, batch: str,
+               session_col: str | None, table_location: str | None, fmt: str) -> None:
+    files.write_csv(df, csv_dir, session_col, batch)
+    files.write_parquet(df, parquet_dir, session_col, batch)
+    append_ticks(spark, df.drop(session_col) if session_col else df, table, location=table_location, fmt=fmt, new_only=True)
 
 
 def fan_out(spark: SparkSession, df: DataFrame, table: str, csv_dir: str, parquet_dir: str,
-            session_col: str | None = None, table_location: str | None = None) -> None:
-    """Append ``df`` to the table and both file datasets (one computation, three writes)."""
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tick_cols = [c for c in cached.columns if c != session_col]
-        append_ticks(spark, cached.select(*tick_cols), table, location=table_location)
-        files.write_csv(cached, csv_dir, session_col)
-        files.write_parquet(cached, parquet_dir, session_col)
-    finally:
-        cached.unpersist()
-
-
-def _marker_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-def _write_marker(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.create(p, True).close()
-
-
-def batch_writer(table: str, csv_dir: str, parquet_dir: str, marker_dir: str,
-                 session_col: str | None = None, table_location: str | None = None):
-    """A ``foreachBatch`` function writing each micro-batch to the three sinks idempotently."""
+            session_col: str | None = None, table_location: str | None = None, fmt: str = "parquet",
+            batch: str = files.WHOLE_SESSIONS) -> None:
+    """Write ``df`` to the table and both file datasets (one computation, kept in the shared folder)."""
+    _write_all(spark, materialised(df, "fan-out"), table, csv_dir, parquet_dir, batch, session_col, table_location, fmt)
+
+
+def batch_writer(table: str, csv_dir: str, parquet_dir: str, session_col: str | None = None, table_location: str | None = None,
+                 fmt: str = "parquet", late_dir: str | None = None, ticks=lambda states: states, late: Column | None = None):
+    """A ``foreachBatch`` function writing each micro-batch to the three sinks idempotently.
+
+    ``ticks`` makes tick rows of a micro-batch; rows where ``late`` holds go to ``late_dir``.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            files.write_csv(cached, f"{csv_dir}/batch={batch_id}", session_col, mode="overwrite")
-            files.write_parquet(cached, f"{parquet_dir}/batch={batch_id}", session_col, mode="overwrite")
-            marker = f"{marker_dir}/batch-{batch_id}"
-            if not _marker_exists(spark, marker):
-                tick_cols = [c for c in cached.columns if c != session_col]
-                append_ticks(spark, cached.select(*tick_cols), table, location=table_location)
-                _write_marker(spark, marker)
+            if late_dir and late is not None:
+                cached.where(late).write.mode("overwrite").parquet(f"{late_dir}/batch={batch_id}")
+            _write_all(batch.sparkSession, ticks(cached), table, csv_dir, parquet_dir, f"live-{batch_id:09d}", session_col, table_location, fmt)
         finally:
             cached.unpersist()
     return write

@@ -2,8 +2,9 @@
 
 The collector kept one CSV and one Parquet file per (symbol, session) and
 rewrote the Parquet file whole at every flush. Here both are partitioned
-datasets, ``symbol_safe=<s>/session=<yyyy_MM_dd>/``, written by appending new
-part files: no read-modify-write, and every executor writes its own files.
+datasets, ``symbol_safe=<s>/session=<yyyy_MM_dd>/batch=<label>/``. A write replaces
+the partitions it has rows for, so repeating it changes nothing; live mode labels
+each micro-batch, batch mode writes whole sessions under one label.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from ..functions.calendar import session_string
 from ..functions.quality import symbol_safe
 from ..schema import TICK_SCHEMA
 
-FILE_PARTITIONS = ["symbol_safe", "session"]
+FILE_PARTITIONS = ["symbol_safe", "session", "batch"]
+# Label of batch runs, which write whole sessions.
+WHOLE_SESSIONS = "all"
 
 
 def with_file_keys(df: DataFrame, session_col: str | None = None) -> DataFrame:
@@ -29,29 +32,30 @@ def with_file_keys(df: DataFrame, session_col: str | None = None) -> DataFrame:
     return df.withColumn("symbol_safe", symbol_safe("symbol")).withColumn("session", session_string(sess))
 
 
-def _prepare(df: DataFrame, session_col: str | None) -> DataFrame:
-    keyed = with_file_keys(df, session_col)
+def _prepare(df: DataFrame, session_col: str | None, batch: str) -> DataFrame:
+    keyed = with_file_keys(df, session_col).withColumn("batch", F.lit(batch))
     if session_col and session_col not in TICK_SCHEMA.fieldNames():
         keyed = keyed.drop(session_col)
-    return keyed.hint("rebalance", *FILE_PARTITIONS)
+    return keyed.hint("rebalance", *FILE_PARTITIONS[:2])
 
 
-def write_csv(df: DataFrame, path: str, session_col: str | None = None, mode: str = "append") -> None:
-    """Append rows as CSV with a header line in every part file (the reader drops it)."""
-    (_prepare(df, session_col).write.mode(mode).partitionBy(*FILE_PARTITIONS)
-     .option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-     .csv(path))
+def _writer(df: DataFrame, session_col: str | None, batch: str):
+    return (_prepare(df, session_col, batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*FILE_PARTITIONS))
 
 
-def write_parquet(df: DataFrame, path: str, session_col: str | None = None, mode: str = "append") -> None:
-    """Append rows as snappy Parquet."""
-    (_prepare(df, session_col).write.mode(mode).partitionBy(*FILE_PARTITIONS)
-     .option("compression", "snappy").parquet(path))
+def write_csv(df: DataFrame, path: str, session_col: str | None = None, batch: str = WHOLE_SESSIONS) -> None:
+    """Rows as CSV with a header line in every part file (the reader drops it)."""
+    _writer(df, session_col, batch).option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+
+
+def write_parquet(df: DataFrame, path: str, session_col: str | None = None, batch: str = WHOLE_SESSIONS) -> None:
+    """Rows as snappy Parquet."""
+    _writer(df, session_col, batch).option("compression", "snappy").parquet(path)
 
 
 def _with_keys(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField("symbol_safe", T.StringType()),
-                                              T.StructField("session", T.StringType())])
+    return T.StructType(list(schema.fields) + [T.StructField(c, T.StringType()) for c in FILE_PARTITIONS])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = TICK_SCHEMA) -> DataFrame:
@@ -61,9 +65,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = TICK_SCHEMA)
             .schema(_with_keys(schema)).csv(path))
 
 
-def read_parquet(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    """Read the Parquet dataset; ``mergeSchema`` unions older and newer layouts."""
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType = TICK_SCHEMA) -> DataFrame:
+    """Read the Parquet dataset with an explicit schema: columns that older files lack are NULL, no footers are merged."""
+    return spark.read.schema(_with_keys(schema)).parquet(path)
 
 
 def strip_keys(df: DataFrame, schema: T.StructType = TICK_SCHEMA) -> DataFrame:

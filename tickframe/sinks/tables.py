@@ -86,16 +86,22 @@ def for_write(df: DataFrame, by=PARTITION_COLUMNS) -> DataFrame:
 
 
 def append_ticks(spark: SparkSession, df: DataFrame, table: str, create: bool = True,
-                 location: str | None = None, fmt: str = "parquet") -> None:
+                 location: str | None = None, fmt: str = "parquet", new_only: bool = False) -> None:
     """Append rows to the tick table: create if absent, evolve, conform types, write by name.
 
     ``fmt`` is the table format (``parquet``; ``delta`` when its jars are present).
+    ``new_only`` leaves out ticks (symbol and collection time) that the table already
+    holds, looking only at the days of ``df``.
     """
     if create:
         create_tick_table(spark, table, location, schema=_schema_with_frame_order(df), fmt=fmt)
     evolve(spark, table, df.schema)
     target = spark.table(table).schema
     out = conform(df, T.StructType([f for f in target.fields if f.name in df.columns]))
+    if new_only:
+        spark.catalog.refreshTable(table)
+        key = [*PARTITION_COLUMNS, "symbol", "tick_ts"]
+        out = out.join(spark.table(table).select(*key), key, "left_anti").select(*out.columns)
     (for_write(out).write.mode("append").format(fmt)
      .partitionBy(*PARTITION_COLUMNS).saveAsTable(table))
 

@@ -17,6 +17,8 @@ then an ``explode`` into snapshots. The same rules are written as SQL text in
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ NO_VOLUME_SYMBOL = "signup"       # volume forced to 0
 # ---------------------------------------------------------------------------
 
 # Columns of the driver's ``events`` table the adapter reads (naive UTC timestamps).
-EVENTS_READ_SCHEMA = "ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE"
+EVENTS_READ_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
@@ -66,15 +68,15 @@ def _epoch_micros_ntz(ts) -> "F.Column":
 def bars_from_events(events: DataFrame, bar_minutes: int = DEFAULT_BAR_MINUTES) -> DataFrame:
     """OHLCV bars per (event_type, slot); ``slot`` counts bar widths since the epoch (UTC).
 
-    Open / close are ordered by ``ts`` alone: a fixed-width key keeps the
-    aggregation hash-based with a map-side partial step (a struct key would
-    force a sort of the whole scan). Events of one type sharing a microsecond
-    would tie arbitrarily; the test tables have none.
+    Open / close are ordered by ``(ts, event_id)``, written as one decimal: a
+    fixed-width key keeps the aggregation hash-based with a map-side partial
+    step (a struct key would force a sort of the whole scan).
     """
     width_us = bar_minutes * 60 * 1_000_000
-    order_key = F.col("ts")
+    micros = _epoch_micros_ntz(F.col("ts")).cast("decimal(18,0)")
+    order_key = (micros * F.lit(Decimal(10 ** 19)).cast("decimal(20,0)") + F.col("event_id").cast("decimal(19,0)")).cast("decimal(38,0)")
     bars = (events
-            .select(F.col("event_type").alias("symbol"), "ts", "value",
+            .select(F.col("event_type").alias("symbol"), "ts", "event_id", "value",
                     F.floor(_epoch_micros_ntz(F.col("ts")) / F.lit(width_us)).cast("long").alias("slot"))
             .groupBy("symbol", "slot")
             .agg(F.min_by("value", order_key).alias("open"),

@@ -7,18 +7,21 @@ collector's session state -> the same JVM-side tick projection as batch mode
 -> ``foreachBatch`` fan-out.
 
 Window functions over rows are not available on streams, so the sequential
-step runs in the state function: per group, the micro-batch's polls are
-sorted by ``poll_id`` and folded into the state. It holds only scalars (last
-bar time, previous close, VWAP sums, streak, tick count, abort flag, last
-poll), so state size is constant per session. Polls at or below the last
-processed ``poll_id`` arrive too late to be ordered: they are dropped and
-counted (``late_polls`` on every state row the session emits afterwards).
+step runs in the state function. A poll's rows wait in the state until the
+poll is complete: until the session has a poll that is newer by
+``Params.live_delay_s``, the session's end marker (a row without ``poll_id``)
+has come, or no data came for ``idle_s``. Complete polls are folded in order of
+``poll_id`` with array operations. However the input is split into files and
+triggers, the result is the batch result as long as no row comes later than
+that; rows of polls already folded are not lost either: they are emitted with
+outcome ``LATE``. A session's scalars stay in the state, so nothing restarts it.
 """
 
 from __future__ import annotations
 
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +29,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.calendar import to_market_time
+from ..functions.rounding import WHOLE
 from ..operators.features import tick_rows
 from ..params import (BAD_PRICE, COLLAPSED, DEFAULT, FETCH_FAILED, GOOD, STALE, VWAP_ALL_POLLS,
                       Params)
 from ..schema import POLL_EVENTS_SCHEMA
 
+# Outcome of rows that came after their poll was folded.
+LATE = "LATE"
+
 STATE_SCHEMA = T.StructType([
     T.StructField("last_bar", T.LongType()),        # epoch micros of the last bar seen
     T.StructField("prev_close", T.DoubleType()),
@@ -41,6 +48,7 @@ STATE_SCHEMA = T.StructType([
     T.StructField("aborted", T.BooleanType()),
     T.StructField("last_poll", T.LongType()),
     T.StructField("late", T.LongType()),
+    T.StructField("pending", T.BinaryType()),       # rows of incomplete polls, as an Arrow stream
 ])
 
 OUT_SCHEMA = T.StructType([
@@ -62,13 +70,15 @@ OUT_SCHEMA = T.StructType([
     T.StructField("prev_close", T.DoubleType()),
     T.StructField("vwap_num", T.DoubleType()),
     T.StructField("vwap_den", T.DoubleType()),
-    T.StructField("late_polls", T.LongType()),      # polls of this session dropped as late so far
+    T.StructField("late_polls", T.LongType()),      # late rows of this session so far
 ])
 
 
 def _round2(x: float) -> float:
     # HALF_UP at 2 decimals on the value at 6 decimals, as the batch path rounds.
     from decimal import ROUND_HALF_UP, Decimal
+    if abs(x) >= WHOLE:
+        return x
     d = Decimal(repr(x)).quantize(Decimal("0.000001"), rounding=ROUND_HALF_UP)
     return float(d.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
 
@@ -95,77 +105,125 @@ def _picked_per_poll(frame: pd.DataFrame) -> pd.DataFrame:
     return polls.merge(picked[cols], on="poll_id", how="left").sort_values("poll_id", kind="stable")
 
 
-def make_state_fn(p: Params = DEFAULT, session_gap_ms: int = 6 * 3600 * 1000):
-    all_polls = p.vwap_mode == VWAP_ALL_POLLS
+_PENDING = ["poll_id", "ok", "seq", "fetch_start_us", "fetch_end_us", "bar_us", "open", "high", "low", "close", "volume"]
+_KINDS = {"poll_id": "int64", "ok": "bool", "seq": "float64", "fetch_start_us": "int64", "fetch_end_us": "int64", "bar_us": "float64"}
+
+
+def _pack(rows: pd.DataFrame) -> bytes | None:
+    if rows.empty:
+        return None
+    import pyarrow as pa
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(data: bytes) -> pd.DataFrame:
+    import pyarrow as pa
+    return pa.ipc.open_stream(data).read_pandas()
+
+
+def _ffill(values: np.ndarray, known: np.ndarray, first):
+    """Last known value up to and with each place; ``first`` before any."""
+    at = np.maximum.accumulate(np.where(known, np.arange(1, len(values) + 1), 0))
+    return np.concatenate([[first], values])[at]
+
+
+def fold(polls: pd.DataFrame, s: dict, p: Params) -> pd.DataFrame:
+    """State rows of ordered complete polls (one row each, with the picked bar); updates the scalars ``s``."""
+    n = len(polls)
+    out = pd.DataFrame({c: polls[c].to_numpy() for c in ("poll_id", "fetch_start_us", "fetch_end_us")})
+    has = polls["ok"].to_numpy(bool) & polls["bar_us"].notna().to_numpy()
+    bar = np.where(has, polls["bar_us"].fillna(0).to_numpy(), 0).astype(np.int64)
+    o, h, l, c, v = (np.where(has, polls[x].fillna(0.0).to_numpy(float), np.nan) for x in ("open", "high", "low", "close", "volume"))
+    collapsed = has & (h == l) & (l == o) & (o == c) & (c > 0)
+    bad = has & ~collapsed & (c <= 0)
+    seen = has & ~((collapsed | bad) if p.stale_against_good_only else np.zeros(n, bool))
+    none = np.iinfo(np.int64).min
+    upto = _ffill(bar, seen, none if s["last_bar"] is None else s["last_bar"])
+    before = np.concatenate([[none if s["last_bar"] is None else s["last_bar"]], upto[:-1]])
+    stale = has & ~collapsed & ~bad & (bar == before)
+    good = has & ~collapsed & ~bad & ~stale
+    base = np.select([~has, collapsed, bad, stale], [FETCH_FAILED, COLLAPSED, BAD_PRICE, STALE], GOOD).astype(object)
+    fails = np.cumsum(~has) + s["streak"]
+    streak = fails - _ffill(fails, good, 0)
+    hit = np.flatnonzero(streak >= p.max_bad_ticks)
+    # Polls after the one that reaches the limit are not part of the session.
+    live = 0 if s["aborted"] else int(hit[0]) + 1 if len(hit) else n
+    weighted = (good | stale) if p.vwap_mode == VWAP_ALL_POLLS else good
+    w = np.where(weighted, np.maximum(v, 1.0), 0.0)
+    num = np.cumsum(np.concatenate([[s["vwap_num"]], np.where(weighted, (h + l + c) / 3.0 * w, 0.0)]))[1:]
+    den = np.cumsum(np.concatenate([[s["vwap_den"]], w]))[1:]
+    closes = np.array([_round2(float(x)) if g else np.nan for x, g in zip(c, good)])
+    first_close = np.nan if s["prev_close"] is None else s["prev_close"]
+    close_upto = _ffill(closes, good, first_close)
+    ticks = np.cumsum(good) + s["tick_no"]
+    on = np.arange(n) < live
+    stored = good & on
+    out["bar_us"] = pd.array(np.where(has & on, bar, 0), dtype="Int64")
+    out.loc[~(has & on), "bar_us"] = pd.NA
+    for name, x in (("open", o), ("high", h), ("low", l), ("close", c), ("volume", v)):
+        out[name] = np.where(has & on, x, np.nan)
+    out["base_outcome"] = np.where(on, base, None)
+    out["outcome"] = np.where(on, base, "AFTER_ABORT")
+    out["fail_streak"] = pd.array(np.where(on, streak, 0), dtype="Int32")
+    out.loc[~on, "fail_streak"] = pd.NA
+    out["tick_no"] = pd.array(np.where(stored, ticks, 0), dtype="Int32")
+    out.loc[~stored, "tick_no"] = pd.NA
+    out["prev_close"] = np.where(stored, np.concatenate([[first_close], close_upto[:-1]]), np.nan)
+    out["vwap_num"] = np.where(stored, num, np.nan)
+    out["vwap_den"] = np.where(stored, den, np.nan)
+    if live:
+        k = live - 1
+        s["last_bar"] = None if upto[k] == none else int(upto[k])
+        s["prev_close"] = None if np.isnan(close_upto[k]) else float(close_upto[k])
+        s.update(vwap_num=float(num[k]), vwap_den=float(den[k]), streak=int(streak[k]), tick_no=int(ticks[k]),
+                 aborted=bool(streak[k] >= p.max_bad_ticks))
+    s["last_poll"] = int(polls["poll_id"].iloc[-1])
+    return out
+
+
+def make_state_fn(p: Params = DEFAULT, idle_s: int | None = None):
+    names = [f.name for f in STATE_SCHEMA.fields]
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         symbol, session_date = key
-        if state.hasTimedOut:
-            # The watermark passed the session's last poll by the session gap: it is over.
-            state.remove()
-            return
-        frame = pd.concat(list(pdfs), ignore_index=True)
-        if state.exists:
-            (last_bar, prev_close, num, den, streak, tick_no, aborted, last_poll, late) = state.get
-        else:
-            last_bar, prev_close, num, den, streak, tick_no, aborted, last_poll, late = (
-                None, None, 0.0, 0.0, 0, 0, False, None, 0)
-        out = []
-        for r in _picked_per_poll(frame).itertuples(index=False):
-            poll_id = int(r.poll_id)
-            if last_poll is not None and poll_id <= last_poll:
-                late += 1
-                continue
-            last_poll = poll_id
-            rec = dict(symbol=symbol, session_date=session_date, poll_id=poll_id,
-                       fetch_start_us=r.fetch_start_us, fetch_end_us=r.fetch_end_us,
-                       bar_us=None, open=None, high=None, low=None, close=None, volume=None,
-                       fail_streak=None, tick_no=None, prev_close=None, vwap_num=None, vwap_den=None,
-                       late_polls=None)
-            if aborted:
-                rec.update(base_outcome=None, outcome="AFTER_ABORT")
-                out.append(rec)
-                continue
-            has_bar = bool(r.ok) and not pd.isna(r.bar_us)
-            if not has_bar:
-                base = FETCH_FAILED
-            else:
-                bar_us = int(r.bar_us)
-                o, h, l, c, v = (_nan0(x) for x in (r.open, r.high, r.low, r.close, r.volume))
-                rec.update(bar_us=bar_us, open=o, high=h, low=l, close=c, volume=v)
-                if h == l == o == c and c > 0:
-                    base = COLLAPSED
-                elif c <= 0:
-                    base = BAD_PRICE
-                elif last_bar is not None and bar_us == last_bar:
-                    base = STALE
-                else:
-                    base = GOOD
-                if base in ((GOOD, STALE) if all_polls else (GOOD,)):
-                    w = max(v, 1.0)
-                    num += (h + l + c) / 3.0 * w
-                    den += w
-                if not (p.stale_against_good_only and base in (COLLAPSED, BAD_PRICE)):
-                    last_bar = bar_us
-            if base == FETCH_FAILED:
-                streak += 1
-            elif base == GOOD:
-                tick_no += 1
-                rec.update(tick_no=tick_no, prev_close=prev_close, vwap_num=num, vwap_den=den)
-                prev_close = _round2(rec["close"])
-                streak = 0
-            rec.update(base_outcome=base, outcome=base, fail_streak=streak)
-            if streak >= p.max_bad_ticks:
-                aborted = True
-            out.append(rec)
-        for rec in out:
-            rec["late_polls"] = late
-        state.update((last_bar, prev_close, num, den, streak, tick_no, aborted, last_poll, late))
-        if frame["fetch_start_us"].notna().any():
-            until = int(frame["fetch_start_us"].max()) // 1000 + session_gap_ms
-            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in OUT_SCHEMA.fields])
+        s = dict(zip(names, state.get)) if state.exists else dict(
+            last_bar=None, prev_close=None, vwap_num=0.0, vwap_den=0.0, streak=0, tick_no=0, aborted=False, last_poll=None, late=0, pending=None)
+        parts = [_unpack(s["pending"])] if s["pending"] else []
+        close_all = state.hasTimedOut
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                close_all |= bool(pdf["poll_id"].isna().any())
+                parts.append(pdf.loc[pdf["poll_id"].notna(), _PENDING].astype(_KINDS))
+        rows = pd.concat([x for x in parts if len(x)], ignore_index=True) if any(len(x) for x in parts) else pd.DataFrame(columns=_PENDING)
+        outs = []
+        if len(rows):
+            behind = rows["poll_id"] <= (s["last_poll"] if s["last_poll"] is not None else -2 ** 63)
+            if behind.any():
+                late = rows[behind]
+                s["late"] += len(late)
+                late = late[["poll_id", "fetch_start_us", "fetch_end_us", "bar_us", "open", "high", "low", "close", "volume"]].copy()
+                late["bar_us"] = late["bar_us"].astype("Int64")
+                late["outcome"] = LATE
+                outs.append(late)
+                rows = rows[~behind]
+        if len(rows):
+            old = rows["fetch_start_us"] <= rows["fetch_start_us"].max() - p.live_delay_s * 1_000_000
+            upto = rows["poll_id"].max() if close_all else rows.loc[old, "poll_id"].max() if old.any() else None
+            if upto is not None:
+                ready = rows["poll_id"] <= upto
+                outs.append(fold(_picked_per_poll(rows[ready]), s, p))
+                rows = rows[~ready]
+        s["pending"] = _pack(rows)
+        state.update(tuple(s[n] for n in names))
+        if idle_s is not None and s["pending"]:
+            state.setTimeoutDuration(idle_s * 1000)
+        for out in outs:
+            out["symbol"], out["session_date"], out["late_polls"] = symbol, session_date, s["late"]
+            yield out.reindex(columns=[f.name for f in OUT_SCHEMA.fields])
 
     return fn
 
@@ -182,25 +240,31 @@ def poll_event_rows(polls: DataFrame, snaps: DataFrame) -> DataFrame:
                            or f.name in bar_cols])
 
 
-def stream_states(events: DataFrame, p: Params = DEFAULT, delay: str = "1 hour",
-                  session_gap_ms: int = 6 * 3600 * 1000) -> DataFrame:
-    """Streaming poll events -> one state row per processed poll.
+def end_markers(events: DataFrame) -> DataFrame:
+    """One row per session of a (batch) poll log that tells the stream that the session is over."""
+    named = {f.name for f in POLL_EVENTS_SCHEMA.fields}
+    ends = events.groupBy("symbol", "session_date").agg(F.max("fetch_start").alias("fetch_start"), F.max("fetch_end").alias("fetch_end"))
+    return ends.select(*[(F.col(f.name) if f.name in ("symbol", "session_date", "fetch_start", "fetch_end") and f.name in named
+                          else F.lit(None).cast(f.dataType)).alias(f.name) for f in POLL_EVENTS_SCHEMA.fields])
+
+
+def stream_states(events: DataFrame, p: Params = DEFAULT, idle_s: int | None = None) -> DataFrame:
+    """Streaming poll events -> one state row per complete poll, and one per late row.
 
-    The watermark on ``fetch_start`` drops polls older than ``delay`` and lets
-    a session's state time out ``session_gap_ms`` after its last poll.
+    ``idle_s``: fold what waits when a session got no data for so long (wall clock);
+    None waits for newer polls or the end marker.
     """
     from ..session import ship_package
     ship_package(events.sparkSession)
     if p.market_hours_only:
         from ..functions.calendar import is_market_open
-        events = events.where(is_market_open(to_market_time(F.col("fetch_start"), p), p))
-    src = events.withWatermark("fetch_start", delay).select(
-        "symbol", "session_date", "poll_id", "ok", "seq", "fetch_start",
+        events = events.where(F.col("poll_id").isNull() | is_market_open(to_market_time(F.col("fetch_start"), p), p))
+    src = events.select(
+        "symbol", "session_date", "poll_id", "ok", "seq",
         _micros("fetch_start").alias("fetch_start_us"), _micros("fetch_end").alias("fetch_end_us"),
         _micros("bar_utc").alias("bar_us"), "open", "high", "low", "close", "volume")
-    return (src.groupBy("symbol", "session_date")
-            .applyInPandasWithState(make_state_fn(p, session_gap_ms), OUT_SCHEMA, STATE_SCHEMA,
-                                    "append", GroupStateTimeout.EventTimeTimeout))
+    timeout = GroupStateTimeout.NoTimeout if idle_s is None else GroupStateTimeout.ProcessingTimeTimeout
+    return src.groupBy("symbol", "session_date").applyInPandasWithState(make_state_fn(p, idle_s), OUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
 def states_to_ticks(states: DataFrame, p: Params = DEFAULT, keep: tuple = ()) -> DataFrame:
@@ -221,11 +285,15 @@ def read_landing(spark: SparkSession, landing: str, max_files: int | None = None
     return r.parquet(landing)
 
 
-def dedup_bars_stream(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Drop repeated bars of a bar feed: one row per (symbol, bar time) within the watermark.
+def dedup_bars_stream(events: DataFrame, delay: str | None = None) -> DataFrame:
+    """Drop repeated bars of a bar feed: one row per (symbol, bar time).
 
-    Failed polls carry no bar time and bypass the operator (they are not bars).
+    Without ``delay`` every bar time is remembered and the result is DISTINCT for any
+    arrival order. With it, state is bounded: repeats further apart than ``delay`` pass
+    and older bars are dropped by the watermark. Failed polls carry no bar time and bypass
+    the operator (they are not bars).
     """
     bars = events.where(F.col("bar_utc").isNotNull())
-    return (bars.withWatermark("bar_utc", delay)
-            .dropDuplicatesWithinWatermark(["symbol", "bar_utc"]))
+    if delay is None:
+        return bars.dropDuplicates(["symbol", "bar_utc"])
+    return bars.withWatermark("bar_utc", delay).dropDuplicatesWithinWatermark(["symbol", "bar_utc"])

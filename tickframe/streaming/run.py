@@ -5,10 +5,12 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..params import DEFAULT, Params
 from ..schema import POLL_EVENTS_SCHEMA, TICK_COLUMNS
 from ..session import fresh_dir
+from .live import LATE, dedup_bars_stream, end_markers, poll_event_rows, read_landing, states_to_ticks, stream_states
 
 
 @contextmanager
@@ -27,68 +29,77 @@ def _state_partitions(spark: SparkSession, n: int | None):
         yield
     finally:
         spark.conf.set(key, old)
-from .live import dedup_bars_stream, poll_event_rows, read_landing, states_to_ticks, stream_states
 
 
 def land_poll_log(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None, landing: str,
-                  files: int | None = None) -> str:
-    """Write a poll log to a landing folder in the streaming input layout.
+                  parts: list | None = None, ended: bool = True) -> str:
+    """Write a poll log to a landing folder in the streaming input layout, one folder per session date.
 
-    ``snaps=None``: ``polls`` already is in the poll-event layout.
+    ``snaps=None``: ``polls`` already is in the poll-event layout. ``parts``: row
+    conditions, landed one after the other (rows of no part are left out); one part by
+    default. ``ended``: land the sessions' end markers last.
     """
     rows = polls if snaps is None else poll_event_rows(polls, snaps)
     rows = rows.select(*POLL_EVENTS_SCHEMA.fieldNames())
-    if files:
-        rows = rows.repartitionByRange(files, "poll_id")
-    rows.write.mode("overwrite").parquet(landing)
+    for part in [F.lit(True)] if parts is None else parts:
+        rows.where(part).hint("rebalance", "session_date").write.mode("append").partitionBy("session_date").parquet(landing)
+    if ended:
+        end_markers(rows).write.mode("append").partitionBy("session_date").parquet(landing)
     return landing
 
 
-def stream_ticks_to_parquet(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
-                            p: Params = DEFAULT, max_files: int | None = None,
-                            state_partitions: int | None = None) -> None:
-    """Stream the landing folder to a Parquet tick sink; drains what is there, then stops."""
-    ticks = states_to_ticks(stream_states(read_landing(spark, landing, max_files), p), p)
+def _drain(df: DataFrame, out_dir: str, checkpoint: str, state_partitions: int | None) -> DataFrame:
+    """Stream what has landed to a Parquet sink, then stop; the sink's rows."""
+    spark = df.sparkSession
     with _state_partitions(spark, state_partitions):
-        q = (ticks.writeStream.format("parquet").option("path", out_dir)
-             .option("checkpointLocation", checkpoint).outputMode("append")
-             .trigger(availableNow=True).start())
+        q = (df.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
+    return spark.read.schema(df.schema).parquet(out_dir)
+
+
+def stream_poll_states(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None, p: Params = DEFAULT,
+                       parts: list | None = None, max_files: int | None = None, state_partitions: int | None = None) -> DataFrame:
+    """Land, stream, and read back the state rows, late ones included."""
+    base = fresh_dir(spark, "live")
+    landing = land_poll_log(spark, polls, snaps, f"{base}/landing", parts)
+    return _drain(stream_states(read_landing(spark, landing, max_files), p), f"{base}/states", f"{base}/checkpoint", state_partitions)
 
 
 def stream_ticks(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None, p: Params = DEFAULT,
-                 max_files: int | None = None) -> DataFrame:
+                 parts: list | None = None, max_files: int | None = None, state_partitions: int | None = None) -> DataFrame:
     """Land, stream, and read back the streamed tick table (32 columns)."""
     base = fresh_dir(spark, "live")
-    landing = land_poll_log(spark, polls, snaps, f"{base}/landing", files=max_files and 4)
-    stream_ticks_to_parquet(spark, landing, f"{base}/ticks", f"{base}/checkpoint", p, max_files)
-    return spark.read.parquet(f"{base}/ticks").select(*TICK_COLUMNS)
+    landing = land_poll_log(spark, polls, snaps, f"{base}/landing", parts)
+    ticks = states_to_ticks(stream_states(read_landing(spark, landing, max_files), p), p)
+    return _drain(ticks, f"{base}/ticks", f"{base}/checkpoint", state_partitions).select(*TICK_COLUMNS)
 
 
-def stream_dedup(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None) -> DataFrame:
-    """Stream the landing folder through the watermark dedup; read the distinct bars back."""
+def stream_dedup(spark: SparkSession, polls: DataFrame, snaps: DataFrame | None, parts: list | None = None,
+                 max_files: int | None = None) -> DataFrame:
+    """Stream the landing folder through the dedup; read the distinct bars back."""
     base = fresh_dir(spark, "dedup")
-    landing = land_poll_log(spark, polls, snaps, f"{base}/landing")
-    out = dedup_bars_stream(read_landing(spark, landing)).select("symbol", "bar_utc")
-    with _state_partitions(spark, None):
-        q = (out.writeStream.format("parquet").option("path", f"{base}/bars")
-             .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
-             .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/bars")
+    landing = land_poll_log(spark, polls, snaps, f"{base}/landing", parts, ended=False)
+    out = dedup_bars_stream(read_landing(spark, landing, max_files)).select("symbol", "bar_utc")
+    return _drain(out, f"{base}/bars", f"{base}/checkpoint", None)
 
 
 def start_live(spark: SparkSession, landing: str, table: str, csv_dir: str, parquet_dir: str,
-               checkpoint: str, p: Params = DEFAULT, every: str = "1 minute",
-               table_location: str | None = None, state_partitions: int | None = None):
-    """Production live mode: poll the landing folder every ``every`` and fan each
-    micro-batch out to the three sinks (idempotent per batch id). Returns the query."""
+               checkpoint: str, p: Params = DEFAULT, every: str | None = None, table_location: str | None = None,
+               late_dir: str | None = None, idle_s: int | None = 600, poll_minutes: int = 1, fmt: str = "parquet",
+               max_files: int | None = None, state_partitions: int | None = None):
+    """Production live mode: fan each micro-batch out to the three sinks (idempotent per batch id). Returns the query.
+
+    A trigger is a flush: without ``every`` it comes each ``flush_every`` polls of
+    ``poll_minutes`` minutes, so that a flush holds up to ``flush_every`` ticks of a
+    session. Late rows go to ``late_dir`` (Parquet, by batch).
+    """
     from ..sinks.fanout import batch_writer
-    ticks = states_to_ticks(stream_states(read_landing(spark, landing), p), p)
+    states = stream_states(read_landing(spark, landing, max_files), p, idle_s)
     with _state_partitions(spark, state_partitions):
-        return (ticks.writeStream
-                .foreachBatch(batch_writer(table, csv_dir, parquet_dir, f"{checkpoint}/commits",
-                                           table_location=table_location))
+        return (states.writeStream
+                .foreachBatch(batch_writer(table, csv_dir, parquet_dir, table_location=table_location, fmt=fmt, late_dir=late_dir,
+                                           ticks=lambda s: states_to_ticks(s, p), late=F.col("outcome") == LATE))
                 .option("checkpointLocation", f"{checkpoint}/stream")
-                .trigger(processingTime=every)
+                .trigger(processingTime=every or f"{p.flush_every * poll_minutes} minutes")
                 .start())
