@@ -11,9 +11,9 @@ fingerprints of byte spans; after the last digit, equal groups are exactly the r
 3. Last digit: of digits with several contents, the windows one by one; one run stands for all of equal content.
 
 Each pass counts fingerprints (partial sums before the shuffle) and joins the counts back, so a passage shared by a
-third of all documents is never gathered in one task. Texts move once: both joins that need them use the same exchange.
+third of all documents is never gathered in one task. Each pass is written to the shared folder, and its shuffle files go before the next.
 
-Null texts count as empty; texts shorter than the threshold hold no window; repeated rows are documents of their own; an
+``docs`` must give its rows in the same order at every read, as a table does. Null texts count as empty; texts shorter than the threshold hold no window; repeated rows are documents of their own; an
 empty table gives an empty result.
 """
 
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import SpanHash, col, mix, ready, text_bytes, text_slices
+from tickframe.llm.common import SpanHash, col, mix, ready, stored, text_bytes, text_slices
 
 THRESHOLD = 400
 GRAM = 16
@@ -147,14 +147,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         F.coalesce(col(text_col), F.lit("")).alias("text"))
     runs = texts.select("key", "text").mapInArrow(_runs(threshold, gram, run), "key long, span long, digit long, content long")
     twice = runs.groupBy("digit").agg(F.count("*").alias("n")).filter("n > 1").select("digit")
-    runs = runs.join(twice, "digit")
+    runs = stored(runs.join(twice, "digit"), "window-runs")
     contents = runs.groupBy("digit", "content").agg(F.count("*").alias("n"), F.min(F.struct("key", "span")).alias("one"))
     several = contents.groupBy("digit").agg(F.count("*").alias("k")).filter("k > 1").select("digit")
     open_ = contents.join(several, "digit").groupBy("one.key").agg(F.collect_list(F.struct("one.span", F.least("n", F.lit(2)).alias("seen"))).alias("spans"))
-    windows = texts.join(open_, "key").mapInArrow(_window_hashes(threshold, run), "window long, key long, start long, seen int")
+    windows = texts.select("key", "text").join(open_, "key").mapInArrow(_window_hashes(threshold, run), "window long, key long, start long, seen int")
+    windows = stored(windows, "windows")
     again = windows.groupBy("window").agg(F.sum("seen").alias("n")).filter("n > 1").select("window")
     single = windows.filter("seen = 1").join(again, "window").select("key", (F.col("start") * run).alias("mark"))
     whole = runs.join(contents.filter("n > 1").select("digit", "content"), ["digit", "content"]).select("key", F.col("span").alias("mark"))
-    marks = whole.union(single).groupBy("key").agg(F.collect_list("mark").alias("marks"))
+    marks = stored(whole.union(single).groupBy("key").agg(F.collect_list("mark").alias("marks")), "window-marks")
     out = texts.join(marks, "key", "left").select("id", "text", "marks")
     return out.mapInArrow(_cut(threshold, run), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<long>")
