@@ -37,20 +37,20 @@ IN_ORDER = [(0, 8), (8, 20), (20, 1000)]
 
 
 def test_stream_equals_batch_in_order(spark):
-    p, b = _log(spark, 11, 5)
+    p, b = _log(spark, 11, 3)
     _same(stream_ticks(spark, p, b, parts=_by_place(IN_ORDER), max_files=12), ticks(p, b).select(*TICK_COLUMNS))
 
 
-@pytest.mark.parametrize("parts", ["newest first", "polls split"])
-def test_stream_equals_batch_for_any_split(spark, parts):
-    p, b = _log(spark, 7, 4)
-    deal = F.pmod(F.xxhash64("symbol", "poll_id", "seq"), F.lit(3))
-    how = _by_place(IN_ORDER[::-1]) if parts == "newest first" else [deal == k for k in range(3)]
+def test_stream_equals_batch_for_any_split(spark):
+    """Newest polls first, and the rows of every poll dealt over two landings."""
+    p, b = _log(spark, 7, 3)
+    deal = F.pmod(F.xxhash64("symbol", "poll_id", "seq"), F.lit(2))
+    how = [place & (deal == k) for place in _by_place([(15, 1000), (0, 15)]) for k in range(2)]
     _same(stream_ticks(spark, p, b, PATIENT, parts=how, max_files=12), ticks(p, b).select(*TICK_COLUMNS))
 
 
 def test_late_rows_are_reported_not_lost(spark):
-    p, b = _log(spark, 3, 4)
+    p, b = _log(spark, 3, 3)
     st = stream_poll_states(spark, p, b, DEFAULT.with_(live_delay_s=0), parts=_by_place([(20, 1000), (0, 20)]), max_files=4).cache()
     seen = {(r.symbol, r.session_date, r.poll_id) for r in st.collect()}
     assert seen == {(r.symbol, r.session_date, r.poll_id) for r in p.collect()}

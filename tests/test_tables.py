@@ -18,6 +18,10 @@ from tickframe.sinks import files
 from tickframe.sinks.fanout import fan_out
 from tickframe.sinks.tables import (append_ticks, create_tick_table, evolve, live_columns, schema_diff)
 
+# The one stored example row. Its symbol is replaced by a neutral index name; no other column depends on it.
+GOLDEN_ROW = ("2026-04-03 09:35:31.927661,2026-04-02 15:28:00,09:35,15:28,^IDX,2026,4,2,3,15,28,1,22704.9,22705.4,"
+              "22696.0,22700.15,0.0,22700.52,22700.52,9.4,-0.0209,0.0,50.53,0.5,4.15,1.000414,6,0,0,5,OK_NO_VOL,560.5")
+
 
 @pytest.fixture(scope="module")
 def ticks(spark):
@@ -91,17 +95,19 @@ def test_day_filter_prunes_partitions(spark, ticks):
 def test_csv_roundtrip_header_per_file(spark, ticks):
     path = fresh_dir(spark, "csv")
     files.write_csv(ticks, path)
-    files.write_csv(ticks, path)  # append: a second set of part files, each with its header
+    files.write_csv(ticks, path)  # the same sessions again: replaced, not doubled
+    assert files.read_csv(spark, path).count() == ticks.count()
+    files.write_csv(ticks, path, batch="flush-2")  # another batch: a second set of part files, each with its header
     back = files.strip_keys(files.read_csv(spark, path))
     assert back.count() == 2 * ticks.count()
     assert back.exceptAll(ticks.unionByName(ticks)).count() == 0
-    parts = glob.glob(f"{path}/symbol_safe=*/session=*/*.csv")
+    parts = glob.glob(f"{path}/symbol_safe=*/session=*/batch=*/*.csv")
     assert parts and all(open(p).readline().startswith("tick_ts,bar_ts,") for p in parts)
 
 
 def test_parquet_roundtrip_merge_schema(spark, ticks):
     path = fresh_dir(spark, "pq")
-    files.write_parquet(ticks.drop(*LEGACY_MISSING), path)
+    files.write_parquet(ticks.drop(*LEGACY_MISSING), path, batch="old")
     files.write_parquet(ticks, path)
     back = files.read_parquet(spark, path)
     assert set(LEGACY_MISSING) <= set(back.columns)
@@ -162,10 +168,7 @@ def test_schema_diff_frame(spark, ticks):
 
 def test_ticks_from_rows_golden_strings(spark):
     from tickframe.sources.polls import ticks_from_rows
-    row = dict(zip(TICK_COLUMNS, (
-        "2026-04-03 09:35:31.927661,2026-04-02 15:28:00,09:35,15:28,^IDX,2026,4,2,3,15,28,1,22704.9,22705.4,"
-        "22696.0,22700.15,0.0,22700.52,22700.52,9.4,-0.0209,0.0,50.53,0.5,4.15,1.000414,6,0,0,5,OK_NO_VOL,560.5"
-    ).split(",")))
+    row = dict(zip(TICK_COLUMNS, GOLDEN_ROW.split(",")))
     r = ticks_from_rows(spark, [row]).first()
     assert r.bar_ts.isoformat() == "2026-04-02T15:28:00" and r.tick_ts.microsecond == 927661
     assert r.close == 22700.15 and r.days_to_expiry == 5 and r.data_quality == "OK_NO_VOL"
@@ -193,10 +196,8 @@ def test_read_plain_daily_csv(spark):
     path = fresh_dir(spark, "daily")
     os.makedirs(path, exist_ok=True)
     header = ",".join(TICK_COLUMNS)
-    row = ("2026-04-03 09:35:31.927661,2026-04-02 15:28:00,09:35,15:28,^IDX,2026,4,2,3,15,28,1,22704.9,22705.4,"
-           "22696.0,22700.15,0.0,22700.52,22700.52,9.4,-0.0209,0.0,50.53,0.5,4.15,1.000414,6,0,0,5,OK_NO_VOL,560.5")
     with open(f"{path}/IDX_2026_04_03.csv", "w") as f:
-        f.write(header + "\n" + row + "\n")
+        f.write(header + "\n" + GOLDEN_ROW + "\n")
     r = files.strip_keys(files.read_csv(spark, path)).first()
     assert r.tick_ts.isoformat() == "2026-04-03T09:35:31.927661" and r.bar_ts.isoformat() == "2026-04-02T15:28:00"
     assert r.hl_ratio == 1.000414 and r.year == 2026 and r.data_quality == "OK_NO_VOL"
@@ -213,3 +214,63 @@ def test_single_symbol_log_without_symbol_column(spark):
     p, s = read_poll_log(spark, f"{base}/polls", f"{base}/snaps", symbol="^IDX")
     assert p.columns[0] == "symbol" and p.select("symbol").distinct().collect()[0][0] == "^IDX"
     assert s.count() == snaps.where("symbol = 'click'").count()
+
+
+def test_digest_tells_shifted_nulls_apart(spark, ticks):
+    """A NULL that moves to another column is a difference."""
+    old = ticks.select("*").withColumn("vwap", F.lit(None).cast("double"))
+    moved = ticks.withColumn("vwap", F.col("typical_price")).withColumn("typical_price", F.lit(None).cast("double"))
+    r = sinks_agree(old, {"moved": moved}).first()
+    assert r.missing == r.extra == ticks.count()
+
+
+def test_expectations_on_clean_and_old_layouts(spark, ticks):
+    """No false violation without a session column, nor on rows of the older layout; what can't be told isn't counted."""
+    from tickframe.operators.expectations import expectation_report
+    n = ticks.count()
+    for frame in (ticks, ticks.drop(*LEGACY_MISSING)):
+        rep = {r.rule: (r.checked, r.violations) for r in expectation_report(frame).collect()}
+        assert {k for k, (_, v) in rep.items() if v} <= {"EXP-11", "EXP-12"}
+        assert rep["EXP-3"] == (n, 0) and rep["EXP-5"] == (n, 0)
+    late = ticks.withColumn("tick_ts", F.expr("tick_ts + interval 1 day"))
+    rep = {r.rule: r.violations for r in expectation_report(late).collect()}
+    assert rep["EXP-12"] >= n - {r.rule: r.violations for r in expectation_report(ticks).collect()}["EXP-12"]
+
+
+def test_session_run_twice_gives_one_table(spark):
+    from tickframe.__main__ import main
+    from tickframe.sources.fixtures import fixture_poll_events
+    from tickframe.streaming.run import land_poll_log
+    base = fresh_dir(spark, "day")
+    land_poll_log(spark, fixture_poll_events(spark, SF001), None, f"{base}/pe", ended=False)
+    days = [r[0] for r in spark.read.parquet(f"{base}/pe").select("session_date").distinct().orderBy("session_date").limit(2).collect()]
+    table = _name("day")
+    args = ["ticks", "--poll-events", f"{base}/pe", "--table", table, "--csv", f"{base}/csv", "--parquet", f"{base}/pq",
+            "--table-location", f"{base}/t", "--spike-pct", "0.1", "--flush-every", "5"]
+    for day in (days[0], days[0], days[1]):
+        assert main([*args, "--session-date", day.isoformat()], spark=spark) == 0
+    spark.catalog.refreshTable(table)
+    t = spark.table(table)
+    assert t.count() == t.select("symbol", "tick_ts").distinct().count() == files.read_parquet(spark, f"{base}/pq").count() > 0
+    assert t.select(F.to_date("tick_ts")).distinct().count() <= 2
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error():
+    from tickframe.session import is_local
+    assert is_local("local") and is_local("local[4]") and not is_local("local-cluster[2,1,1024]") and not is_local("spark://h:7077")
+
+    class Context:
+        applicationId, master = "app-without-folder", "spark://h:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+    from tickframe.session import shared_dir
+    with pytest.raises(ValueError, match="shared folder"):
+        shared_dir(Session())
