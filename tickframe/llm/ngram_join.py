@@ -7,8 +7,8 @@
 3. Round one pairs each class with one pivot: the class with which it shares most prefix shingles among those that hold
    a shared shingle earliest. Verified pairs are closed to components. Round two joins on prefix shingles again, but only across
    components, so a group of near copies isn't expanded into all pairs and no link between components is lost.
-4. Candidates pass the length filter, the positional filter, and a suffix filter (counts of 32 hash classes of both
-   sets bound their overlap), then are verified on their whole texts, once per pair.
+4. Candidates pass the length filter, the positional filter, and suffix filters (parity bits of both sets bound their
+   difference inside the join, counts of 32 hash classes their overlap), then are verified on whole texts, once per pair.
 
 Documents without text or words have the empty set and link with nothing; null ids take part and do not become a component's
 id; repeated rows form one class; an empty table gives an empty result.
@@ -24,18 +24,26 @@ from pyspark.sql import functions as F
 
 from tickframe.llm.common import col, fresh, mix, ready, stored, text_bytes, text_slices
 from tickframe.llm.components import components
-from tickframe.llm.shingles import shingle_sets
+from tickframe.llm.shingles import parity_maps, shingle_sets
 
 # Frequency sketch: 2^20 counters, kept as 1,024 rows of 1,024; ranks of 16 bits make 2 MB for every worker.
 SKETCH_BITS, SKETCH_ROW = 20, 1024
 # Hash classes of the suffix filter; their counts are exact for sets of up to 65,535 shingles.
 CLASSES = 32
 
-_SCANNED = "id long, tkey long, n int, d long, classes binary, part int, counts binary"
+PARITY = "struct<p0:long,p1:long,p2:long,p3:long>"
+_SCANNED = f"id long, tkey long, n int, d long, classes binary, parity {PARITY}, part int, counts binary"
+_SCAN_NAMES = ["id", "tkey", "n", "d", "classes", "parity", "part", "counts"]
+_PARITY_TYPE = pa.struct([(f"p{i}", pa.int64()) for i in range(4)])
 _NODE = "struct<d:long,n:int>"
 _PREFIX = "token long, d long, n int, pos int"
 
 
+def parity_column(h: np.ndarray, at: np.ndarray) -> pa.StructArray:
+    maps = parity_maps(h, at)
+    return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(maps[:, i])) for i in range(4)], ["p0", "p1", "p2", "p3"])
+
+
 def _set_rows(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sizes and order-free digests of the sets (0 sums for empty sets)."""
     n = np.diff(off)
@@ -60,15 +68,15 @@ def _scan(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("id"), rows.column("tkey"), pa.array(n.astype(np.int32)), pa.array(d),
                      pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * CLASSES), m, [none, pa.py_buffer(classes)]).cast(pa.binary()),
-                     pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
-                    ["id", "tkey", "n", "d", "classes", "part", "counts"])
+                     parity_column(h, at), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
+                    _SCAN_NAMES)
         if any_rows:
             parts = counts.reshape(-1, SKETCH_ROW).astype("<u4")
             m = len(parts)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
-                 pa.array(np.arange(m, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())],
-                ["id", "tkey", "n", "d", "classes", "part", "counts"])
+                 pa.nulls(m, _PARITY_TYPE), pa.array(np.arange(m, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())],
+                _SCAN_NAMES)
     return run
 
 
@@ -156,10 +164,11 @@ def _verify(k: int, num: int, den: int):
 
 
 class Candidates:
-    """Classes of equal texts with index rows (token, node, pos) and texts (node, text); a node is the struct (d, n)."""
+    """Classes of equal texts with index rows (token, node, pos), texts (node, text) and parity maps (node, parity); a node is
+    the struct (d, n)."""
 
-    def __init__(self, index: DataFrame, texts: DataFrame, k: int, num: int, den: int):
-        self.index, self.texts, self.k, self.num, self.den = index, texts, k, num, den
+    def __init__(self, index: DataFrame, texts: DataFrame, parities: DataFrame, k: int, num: int, den: int):
+        self.index, self.texts, self.parities, self.k, self.num, self.den = index, texts, parities, k, num, den
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs left by filters that need no texts."""
@@ -177,6 +186,12 @@ class Candidates:
         a, b = F.col(n1).cast("long"), F.col(n2).cast("long")
         return F.least(a, b) * self.den >= F.greatest(a, b) * self.num
 
+    def parity_passes(self, n1: str, m1: str, n2: str, m2: str):
+        """Sets that differ in more elements than the threshold allows are seen to differ in more bits."""
+        bits = sum((F.bit_count(F.col(f"{m1}.p{i}").bitwiseXOR(F.col(f"{m2}.p{i}"))) for i in range(1, 4)),
+                   F.bit_count(F.col(f"{m1}.p0").bitwiseXOR(F.col(f"{m2}.p0"))))
+        return bits * (self.num + self.den) <= (F.col(n1) + F.col(n2)).cast("long") * (self.den - self.num)
+
     def pivot_pairs(self) -> DataFrame:
         """For every class the one pivot with which it shares most index shingles."""
         pivots = self.index.groupBy("token").agg(F.min(F.struct("pos", "node")).alias("p"))
@@ -189,10 +204,11 @@ class Candidates:
         """Every candidate pair between different components that isn't verified yet."""
         index = self.index.join(roots, "node", "left").select("token", "node", "pos", F.coalesce("root", "node").alias("root"))
         open_ = index.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("token")
-        index = index.join(open_, "token")
-        x = index.select("token", F.col("node").alias("a"), F.col("pos").alias("pa"), F.col("root").alias("ra"))
-        y = index.select("token", F.col("node").alias("b"), F.col("pos").alias("pb"), F.col("root").alias("rb"))
-        pairs = x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & self.passes("a.n", "pa", "b.n", "pb"))
+        index = stored(index.join(open_, "token").join(self.parities, "node"), "cross-index")
+        x = index.select("token", F.col("node").alias("a"), F.col("pos").alias("pa"), F.col("root").alias("ra"), F.col("parity").alias("ma"))
+        y = index.select("token", F.col("node").alias("b"), F.col("pos").alias("pb"), F.col("root").alias("rb"), F.col("parity").alias("mb"))
+        pairs = x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & self.passes("a.n", "pa", "b.n", "pb")
+                                          & self.parity_passes("a.n", "ma", "b.n", "mb"))
         pairs = pairs.select("a", "b").distinct()
         done = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         return pairs.join(done, ["a", "b"], "left_anti")
@@ -214,10 +230,12 @@ class _Join(Candidates):
         self.k, self.num, self.den = k, num, den
         rows = docs.select(col(id_col).cast("long").alias("id"), F.xxhash64(col(text_col)).alias("tkey"), col(text_col).alias("text"))
         scanned = stored(rows.mapInArrow(_scan(k), _SCANNED), "shingle-scan")
-        self.rows = scanned.filter(F.col("part").isNull()).select("id", "tkey", F.struct("d", "n").alias("node"), "classes")
+        self.rows = scanned.filter(F.col("part").isNull()).select("id", "tkey", F.struct("d", "n").alias("node"), "classes", "parity")
         ranks = spark.sparkContext.broadcast(_ranks(scanned))
-        self.classes = self.rows.filter(F.col("node.n") > 0).groupBy("node").agg(
-            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tkey")).alias("first"), F.max("classes").alias("classes"))
+        self.classes = stored(self.rows.filter(F.col("node.n") > 0).groupBy("node").agg(
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tkey")).alias("first"), F.max("classes").alias("classes"),
+            F.max("parity").alias("parity")), "shingle-classes")
+        self.parities = self.classes.select("node", "parity")
         prefix = rows.select("text").mapInArrow(_prefixes(k, num, den, ranks), _PREFIX)
         shared = prefix.groupBy("token").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.min("n").alias("ln"), F.max("n").alias("hn"))
         shared = shared.filter((F.col("lo") != F.col("hi")) | (F.col("ln") != F.col("hn"))).select("token")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tickframe.llm.common import SpanHash, col, mix, ready, stored, text_bytes, text_slices
 from tickframe.llm.common import _BASE, _INVERSE, _powers
-from tickframe.llm.ngram_join import Candidates
+from tickframe.llm.ngram_join import PARITY, Candidates, parity_column
 from tickframe.llm.shingles import lower_ascii, shingle_sets, word_spans
 
 BANDS, ROWS = 8, 3
@@ -120,9 +120,11 @@ def _line_texts(section: int, least: int, k: int):
 
     def run(batches):
         for flat, to, digest in lines(batches):
-            n = np.diff(shingle_sets(flat, to, k)[1])
+            h, at = shingle_sets(flat, to, k)
+            n = np.diff(at)
             texts = pa.Array.from_buffers(pa.large_string(), len(digest), [None, pa.py_buffer(to.astype(np.int64)), pa.py_buffer(flat)])
-            yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), pa.array(n.astype(np.int32)), texts.cast(pa.string())], ["d", "n", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), pa.array(n.astype(np.int32)), texts.cast(pa.string()), parity_column(h, at)],
+                                             ["d", "n", "text", "parity"])
     return run
 
 
@@ -159,6 +161,23 @@ def _cut(min_run: int):
     return run
 
 
+def _central_first(index: DataFrame, lines: DataFrame) -> DataFrame:
+    """The index with ``pos`` telling how far a class is from the majority of its band value, in parity bits.
+
+    Edits differ from copy to copy, so the majority of bits is that of the text the copies were made from, and the class nearest to it
+    is the pivot that links to most of them.
+    """
+    rows = index.drop("pos").join(lines.select("node", "parity"), "node")
+    halves = ("p0", "p1")
+    ones = [F.sum(F.shiftright(F.col(f"parity.{p}"), j).bitwiseAND(F.lit(1))).alias(f"{p}_{j}") for p in halves for j in range(64)]
+    votes = rows.groupBy("token").agg(F.count("*").alias("votes"), *ones)
+    major = votes.select("token", *[sum((F.when(2 * F.col(f"{p}_{j}") > F.col("votes"), F.shiftleft(F.lit(1).cast("long"), j)).otherwise(F.lit(0).cast("long"))
+                                         for j in range(1, 64)), F.when(2 * F.col(f"{p}_0") > F.col("votes"), F.lit(1)).otherwise(F.lit(0)).cast("long")).alias("m" + p)
+                                    for p in halves])
+    away = [F.bit_count(F.col(f"parity.{p}").bitwiseXOR(F.col("m" + p))) for p in halves]
+    return rows.join(major, "token").select("token", "node", (away[0] + away[1]).cast("int").alias("pos"))
+
+
 def remove_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, k: int = SHINGLE,
                       num: int = NUM, den: int = DEN, section: int = SECTION, line_words: int = LINE_WORDS, min_run: int = MIN_RUN) -> DataFrame:
     """One row per input row: id, n_words, removed_words, n_spans, kept_text and spans (start, end, start, end ... in bytes)."""
@@ -170,14 +189,16 @@ def remove_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     shared = banded.groupBy("token").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo != hi").select("token")
     index = banded.join(shared, "token").select("token", F.struct("d", "n").alias("node"), F.lit(0).alias("pos")).distinct()
     index = stored(index, "band-index")
-    lines = texts.select("text").mapInArrow(_line_texts(section, line_words, k), "d long, n int, text string")
-    lines = lines.select(F.struct("d", "n").alias("node"), "text").join(index.select("node").distinct(), "node")
+    lines = texts.select("text").mapInArrow(_line_texts(section, line_words, k), f"d long, n int, text string, parity {PARITY}")
+    lines = lines.select(F.struct("d", "n").alias("node"), "text", "parity").join(index.select("node").distinct(), "node")
     lines = stored(lines.dropDuplicates(["node"]), "band-lines")
-    roots = stored(Candidates(index, lines, k, num, den).roots().select(F.col("node.d").alias("d"), F.col("root.d").alias("label")), "line-roots")
+    index = stored(_central_first(index, lines), "central-index")
+    roots = stored(Candidates(index, lines.select("node", "text"), lines.select("node", "parity"), k, num, den).roots().select(F.col("node.d").alias("d"), F.col("root.d").alias("label")), "line-roots")
     # Every place of a class that is met twice or has near copies.
     places = texts.mapInArrow(_units(section), "key long, id long, start long, end long, d long")
     twice = places.groupBy("d").agg(F.count("*").alias("n")).filter("n > 1").select("d")
     twice = twice.union(roots.select("d")).distinct().join(roots, "d", "left").select("d", F.coalesce("label", "d").alias("label"))
+    twice = stored(twice, "met-twice")  # a plain exchange on both sides lets a hot line's join be split
     places = stored(places.join(twice, "d").select("key", "id", "start", "end", "label"), "paragraph-places")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "key", "start", "end")
     stays = places.groupBy("label").agg(F.min(place).alias("stays"))

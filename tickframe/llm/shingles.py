@@ -62,3 +62,16 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray,
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
     return h[new], np.searchsorted(text[new], np.arange(n + 1))
+
+
+def parity_maps(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """256 parity bits of every set (as four signed 64-bit numbers): each element flips one bit.
+
+    Two maps differ in at most as many bits as the sets differ in elements.
+    """
+    n = len(at) - 1
+    place = (h >> np.uint64(7)) % np.uint64(256)
+    key = np.repeat(np.arange(n), np.diff(at)) * 4 + (place >> np.uint64(6)).astype(np.int64)
+    out = np.zeros(4 * n, np.uint64)
+    np.bitwise_xor.at(out, key, np.uint64(1) << (place & np.uint64(63)))
+    return out.reshape(n, 4).view(np.int64)
