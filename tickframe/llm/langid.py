@@ -29,8 +29,8 @@ DOCS_PER_LANG, WORDS_PER_DOC = 250, 200
 HIDDEN, EPOCHS, BATCH, RATE = 16, 3, 128, 0.01
 # Longer pieces are read in parts of this many bytes.
 PART = 64
-BLOCK_BYTES = 8_000_000
-PIECES_HELD = 400_000
+BLOCK_BYTES = 4_000_000
+PIECES_HELD = 250_000
 
 
 def _sigmoid(x):
@@ -174,8 +174,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return BiGru(len(langs)).fit([p for p, _ in pieces], np.array([y for _, y in pieces])), langs
 
 
-def _label(net: BiGru, langs: list):
-    """Prediction for Arrow batches: every distinct piece of a block runs once."""
+def _label(net: BiGru, langs: list, least: float | None = None):
+    """Prediction for Arrow batches: every distinct piece of a block runs once.
+
+    With ``least`` the rows themselves come out, without those of unknown language or a lower score.
+    """
     names = pa.array([*langs, UNKNOWN])
     known: dict = {}
     held = np.zeros((0, len(langs) + 1))
@@ -206,9 +209,17 @@ def _label(net: BiGru, langs: list):
                 none = ~b.column("letters").slice(i, j - i).fill_null(False).to_numpy(zero_copy_only=False) | (pooled[:, -1] == 0)
                 score = np.clip(mean[np.arange(j - i), best], 0, 1)
                 best[none], score[none] = len(langs), 0.0
+                if least is not None:
+                    part = b.slice(i, j - i).filter(pa.array((best < len(langs)) & (score >= least)))
+                    names_out = [c if c != "text" else "body" for c in b.schema.names if c != "letters"]
+                    yield pa.RecordBatch.from_arrays([part.column(c) for c in b.schema.names if c != "letters"], names_out)
+                    continue
                 rest = [b.column(c).slice(i, j - i) for c in b.schema.names if c not in ("text", "letters")]
                 yield pa.RecordBatch.from_arrays([*rest, names.take(pa.array(best)), pa.array(score)],
                                                  [*(c for c in b.schema.names if c not in ("text", "letters")), "lang_pred", "score"])
+        known.clear()
+        held = held[:0]
+        pa.default_memory_pool().release_unused()
     return run
 
 
@@ -231,7 +242,9 @@ def keep_identified(docs: DataFrame, min_score: float = 0.0, id_col: str = "doc_
     net, langs = train(docs, id_col, text_col, lang_col, held_out_of)
     if net is None:
         return docs.limit(0)
-    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(text_col).alias("text"), col(text_col).rlike(r"\p{L}").alias("letters"))
-    fields = docs.schema.simpleString()
-    rows = rows.mapInArrow(_label(net, langs), f"row {fields}, lang_pred string, score double")
-    return rows.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")
+    # The text goes to the workers once; the other columns travel as one struct, whatever their names.
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*[col(c) for c in others]).alias("row"), col(text_col).alias("text"), col(text_col).rlike(r"\p{L}").alias("letters"))
+    fields = docs.select(*[col(c) for c in others]).schema.simpleString()
+    rows = rows.mapInArrow(_label(net, langs, min_score), f"row {fields}, body string")
+    return rows.select(*[F.col("body").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -14,6 +14,7 @@ packed one by one, so repeated rows and null ids give pieces of their own; an em
 from __future__ import annotations
 
 import base64
+import json
 import re
 
 import numpy as np
@@ -27,8 +28,8 @@ from tickframe.llm.common import col, ready, slices
 MAX_TOKENS = 2048
 END_ID = 1
 # Bytes of text encoded at a time, and distinct words remembered by a worker.
-BLOCK_BYTES = 8_000_000
-WORDS_HELD = 600_000
+BLOCK_BYTES = 4_000_000
+WORDS_HELD = 200_000
 
 # A space beside other white space: such texts take the whole-text path.
 _PAIRS = ["  ", *(w + " " for w in "\t\n\v\f\r\x1c\x1d\x1e\x1f"), *(" " + w for w in "\t\n\v\f\r\x1c\x1d\x1e\x1f")]
@@ -49,17 +50,29 @@ class BlockEncoder:
 
     def __init__(self, json_path: str, ranks_path: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
-        self.whole = Tokenizer.from_file(json_path)
-        self.control = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        with open(json_path, encoding="utf-8") as f:
+            self.control = [t["content"] for t in json.load(f).get("added_tokens", [])]
+        self.json_path, self._whole = json_path, None
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.words = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.leads = np.zeros(max(ranks.values()) + 1, bool)  # ids whose bytes begin with a space
         self.leads[[i for b, i in ranks.items() if b[:1] == b" "]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the remembered words."""
         self.known: dict = {}
         self.ids, self.start, self.end = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    @property
+    def whole(self):
+        """The tokenizers library's encoder, loaded when a text needs it."""
+        if self._whole is None:
+            from tokenizers import Tokenizer
+            self._whole = Tokenizer.from_file(self.json_path)
+        return self._whole
+
     def _learn(self, new: list) -> None:
         """Encode new words as one text; a word begins where an id's bytes begin with a space."""
         ids = np.array(self.words.encode_ordinary("".join(" " + w for w in new)), np.int32)
@@ -81,8 +94,7 @@ class BlockEncoder:
         parts = pc.split_pattern(texts.filter(pa.array(plain)).cast(pa.large_string()), " ")
         flat = parts.flatten().dictionary_encode()
         if len(self.known) > WORDS_HELD:
-            self.known.clear()
-            self.ids, self.start, self.end = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            self.forget()
         names = flat.dictionary.to_pylist()
         new = [w for w in names if w not in self.known]
         if new:
@@ -164,6 +176,8 @@ def _pieces(files: tuple, most: int, end_id: int):
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").slice(i, j - i).take(pa.array(row)), pa.array(start), pa.array(length), pa.array(counts[row]), piece],
                     ["id", "start", "length", "doc_tokens", "ids"])
+        encoder.forget()  # a worker that is used again starts without them
+        pa.default_memory_pool().release_unused()
     return run
 
 
