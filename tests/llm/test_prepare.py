@@ -242,6 +242,31 @@ def test_katz_without_training_rows(docs):
     assert len(out) == alone.count() and all(r.train_tokens == 0 and r.n_known == 0 for r in out)
 
 
+def _same_scores(got, want):
+    fields = lambda rows: sorted((str(r.id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), r.score) for r in rows)
+    got, want = fields(got), fields(want)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for k in (5, 6):
+        assert [r[k] for r in got] == pytest.approx([r[k] for r in want], rel=1e-6, abs=1e-3)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_joined_tables_score_like_the_model_in_memory(docs, order):
+    rows = docs.filter("text is null or length(text) < 20000")
+    _same_scores(katz.score_documents(rows, order=order).collect(), katz.score_documents(rows, order=order, share=0.0).collect())
+
+
+def test_rare_grams_stay_however_large_the_corpus(spark):
+    rare = "seven rare words that come only once"
+    rows = [(1, "x y z " * 400_000), (2, rare), *((i, f"{rare} {i}") for i in range(3, 40))]
+    rows = [r for r in rows if r[0] < 3 or zlib.crc32(str(r[0]).encode()) % 10 == 0]
+    assert len(rows) > 2 and not any(zlib.crc32(str(r[0]).encode()) % 10 == 0 for r in rows[:2])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = katz.score_documents(df).collect()
+    assert {r.train_tokens > 1e6 for r in got} == {True}
+    _same_scores(got, katz.score_documents(df, share=0.0).collect())
+
+
 # --- nearest neighbours --------------------------------------------------------
 def vectors(spark, n=700, dim=12, seed=2):
     rng = np.random.default_rng(seed)

@@ -1,9 +1,9 @@
 """Language-model scoring by Katz backoff over words.
 
 Counts come from all training documents: n-grams of orders 1 to ``order`` over the words of each document and one end, with
-counts lowered by Good-Turing estimates (a line fitted to the logarithms of the counts of counts). An n-gram of order two
-or more enters the model when its share of all tokens is at least ``share``; the discounts and what is left out make
-the mass that backoff weights hand to the next lower order, computed from the very sums they must balance:
+counts lowered by Good-Turing estimates (a line fitted to the logarithms of the counts of counts). Every n-gram of the
+training text is in the model, whatever its count and the size of the corpus; the discounts make the mass that backoff
+weights hand to the next lower order, computed from the very sums they must balance:
 
     P(w | h) = d(c(hw)) c(hw) / c(h)       if hw is in the model
              = a(h) P(w | h without its first word)  otherwise
@@ -11,10 +11,12 @@ the mass that backoff weights hand to the next lower order, computed from the ve
 
 The lowest order holds every training word, and one unit for all others, with the mass of words seen once.
 
-The share is a rate, not a cap: at any corpus size at most 1 / share n-grams of an order qualify, so the conditional part of
-the model is of bounded size and goes to every task, while counts, counts of counts and the whole vocabulary
-stay in tables partitioned in the shared folder. Words of the corpus reach their counts by joins. Scoring evaluates the recursion
-for every token of the whole text.
+Words are 64-bit fingerprints. Distinct n-grams, their probabilities and the weights of contexts are tables partitioned by hash
+in the shared folder and are joined order by order; nothing that grows with the corpus goes to the driver or to every task.
+Scoring evaluates the recursion once for every distinct n-gram of the whole text and joins the documents to the results.
+
+``fit`` and a ``share`` given to ``score_documents`` are the bounded variant: words and n-grams below that share of all tokens
+are left out, and the conditional part of the model goes to every task.
 
 Null texts count as empty (one end token). Repeated rows count and score as often as they come; null ids hash as the empty text; an empty
 training set gives uniform mass to the unknown unit. An empty table gives an empty result.
@@ -30,15 +32,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import col, crc_mod, mix, ready, stored, text_slices
+from tickframe.llm.common import SpanHash, col, crc_mod, mix, ready, stored, text_slices
 from tickframe.llm.shingles import lower_ascii, word_spans
 
 ORDER = 3
-# Least share of all tokens for a word to be a context word, and for a longer n-gram to be kept.
-SHARE = 1e-6
 HELD_OUT_OF = 10
 # The one token that no word can be: a space.
 END = " "
+# Fingerprint of the end, and of the place before a document's first word.
+END_MARK, START_MARK = np.uint64(0x5851F42D4C957F2D), np.uint64(0)
+_SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
 def word_array(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -273,7 +276,7 @@ def count_words(rows: DataFrame) -> DataFrame:
     return stored(words.groupBy("word").agg(F.sum("n").alias("n")), "katz-order-1")
 
 
-def fit(rows: DataFrame, order: int = ORDER, share: float = SHARE):
+def fit(rows: DataFrame, order: int = ORDER, share: float = 0.0):
     """(conditional model, word table, facts): rows has text and train."""
     spark = rows.sparkSession
     words = count_words(rows)
@@ -325,11 +328,118 @@ def _counts_of_counts(counts: DataFrame) -> list:
     return [(r["n"], r["m"]) for r in rows]
 
 
+def _grams(data: np.ndarray, off: np.ndarray, order: int) -> tuple[np.ndarray, list, np.ndarray]:
+    """(document, words, fingerprint) of the n-gram that ends at every token; start marks stand for words before the document."""
+    data = lower_ascii(data)
+    text, start, end = word_spans(data, off)
+    doc, ids, place = _with_ends(text, np.zeros(len(text), np.int64), len(off) - 1, 0)
+    marks = np.full(len(ids), END_MARK)
+    marks[place] = np.maximum(SpanHash(data).spans(start, end), np.uint64(1))
+    age = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    parts = []
+    for k in range(order - 1, -1, -1):
+        before = np.concatenate([np.full(min(k, len(marks)), START_MARK), marks[:len(marks) - k]]) if k else marks
+        parts.append(np.where(age >= k, before, START_MARK))
+    return doc, parts, mix(sum(p * _SEEDS[i] for i, p in enumerate(parts)))
+
+
+def _names(order: int) -> list:
+    return [f"w{k}" for k in range(order, 0, -1)]
+
+
+def _distinct_grams(order: int):
+    """Distinct n-grams of a block with their training count (0 for those of held-out documents alone)."""
+    def run(batches):
+        for b in batches:
+            for rows, data, off in text_slices(b, most=8_000_000):
+                train = rows.column("train").to_numpy(zero_copy_only=False)
+                doc, parts, gram = _grams(data, off, order)
+                _, first, which = np.unique(gram, return_index=True, return_inverse=True)
+                counts = np.bincount(which[train[doc]], minlength=len(first))
+                yield pa.RecordBatch.from_arrays([*(pa.array(p[first].view(np.int64)) for p in parts), pa.array(counts.astype(np.int64))],
+                                                 [*_names(order), "n"])
+    return run
+
+
+def _document_grams(order: int):
+    """Distinct n-grams of every document with their number of uses."""
+    def run(batches):
+        for b in batches:
+            for rows, data, off in text_slices(b, most=8_000_000):
+                doc, parts, gram = _grams(data, off, order)
+                _, first, uses = np.unique(mix(gram + doc.astype(np.uint64) * _SEEDS[63]), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("key").take(pa.array(doc[first])), *(pa.array(p[first].view(np.int64)) for p in parts), pa.array(uses.astype(np.int32))],
+                    ["key", *_names(order), "uses"])
+    return run
+
+
+def gram_scores(rows: DataFrame, order: int = ORDER):
+    """(every distinct n-gram w``order`` ... w1 of the texts with log10 ``logp`` of its last word and that word's training count, facts).
+
+    ``rows`` has text and train. A start mark in an n-gram is no word: the shorter n-gram after it is what is scored.
+    """
+    names = _names(order)
+    kinds = ", ".join(f"{c} long" for c in names)
+    grams = rows.mapInArrow(_distinct_grams(order), f"{kinds}, n long").groupBy(*names).agg(F.sum("n").alias("n"))
+    grams = stored(grams, "katz-grams")
+    words = stored(grams.groupBy("w1").agg(F.sum("n").alias("n")), "katz-words")
+    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    ofcounts = _counts_of_counts(words.filter("n > 0"))
+    _, slope = good_turing(ofcounts)
+    once = dict(ofcounts).get(1, 0)
+    # Mass of words never seen: Good-Turing's share of words seen once; one word at least.
+    unseen = max(once, 1) / (total + max(once, 1)) if total else 1.0
+    kept_mass = words.filter("n > 0").agg(F.sum(_star(F.col("n"), slope))).first()[0] or 1.0
+    scale = (1 - unseen) / kept_mass
+    seen = F.col("n") > 0
+    least_one = F.greatest("n", F.lit(1))
+    scores = words.select("w1", F.when(seen, F.log10(_star(least_one, slope) * scale)).otherwise(math.log10(unseen)).alias("logp"), F.col("n").alias("n_word"))
+    for n in range(2, order + 1):
+        here, context = names[-n:], names[-n:-1]
+        counts = grams if n == order else stored(grams.groupBy(*here).agg(F.sum("n").alias("n")), f"katz-counts-{n}")
+        word = F.col(here[0]) != int(START_MARK)
+        _, slope_n = good_turing(_counts_of_counts(counts.filter(seen & word)))
+        lower = stored(counts.join(scores, names[-n + 1:]), f"katz-lower-{n}")
+        weights = lower.filter(seen & word).groupBy(*context).agg(
+            F.sum("n").alias("context_n"), F.sum(_star(least_one, slope_n)).alias("kept"), F.sum(F.pow(F.lit(10.0), F.col("logp"))).alias("under"))
+        left = lambda x: F.log10(F.greatest(1 - x, F.lit(1e-12)))
+        weights = stored(weights.select(*context, "context_n", (left(F.col("kept") / F.col("context_n")) - left(F.col("under"))).alias("weight")),
+                         f"katz-weights-{n}")
+        logp = F.when(~word, F.col("logp")).when(seen, F.log10(_star(least_one, slope_n) / F.col("context_n")))
+        logp = logp.otherwise(F.coalesce("weight", F.lit(0.0)) + F.col("logp"))
+        scores = lower.join(weights, context, "left").select(*here, logp.alias("logp"), "n_word")
+        if n < order:
+            scores = stored(scores, f"katz-scores-{n}")
+    return scores, {"total": int(total), "distinct": int(distinct), "slope": slope, "scale": scale, "unseen": unseen}
+
+
+def _score_whole(docs: DataFrame, id_col: str, text_col: str, held_out_of: int, order: int) -> DataFrame:
+    names = _names(order)
+    held_out = crc_mod(col(id_col), held_out_of) == 0
+    scores, facts = gram_scores(docs.select((~held_out).alias("train"), col(text_col).alias("text")), order)
+    gram = F.xxhash64(*names).alias("gram")
+    scores = stored(scores.select(gram, "logp", "n_word"), "katz-gram-scores")
+    keyed = docs.select(F.monotonically_increasing_id().alias("key"), col(id_col).alias("id"), held_out.alias("held_out"), col(text_col).alias("text"))
+    kinds = ", ".join(f"{c} long" for c in names)
+    uses = keyed.select("key", "text").mapInArrow(_document_grams(order), f"key long, {kinds}, uses int").select("key", gram, "uses")
+    denominator = math.log10(facts["total"] + 0.1 * (facts["distinct"] + 1))
+    each = lambda x: F.sum(F.col("uses") * x)
+    sums = uses.join(scores, "gram").groupBy("key").agg(
+        F.sum("uses").alias("n_tokens"), F.sum(F.when(F.col("n_word") > 0, F.col("uses")).otherwise(0)).alias("n_known"),
+        each(F.log10(F.col("n_word") + 0.1) - denominator).alias("base_score"), each(F.col("logp")).alias("score"))
+    sums = stored(sums, "katz-sums")
+    return keyed.select("key", "id", "held_out").join(sums, "key").select(
+        "id", "held_out", "n_tokens", "n_known", F.lit(facts["total"]).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_of: int = HELD_OUT_OF, order: int = ORDER,
-                    share: float = SHARE) -> DataFrame:
+                    share: float | None = None) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text)."""
     spark = docs.sparkSession
     ready(spark)
+    if share is None:
+        return _score_whole(docs, id_col, text_col, held_out_of, order)
     rows = docs.select((crc_mod(col(id_col), held_out_of) != 0).alias("train"), col(text_col).alias("text"))
     model, words, facts = fit(rows, order, share)
     shared = spark.sparkContext.broadcast(model)
