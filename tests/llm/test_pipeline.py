@@ -1,8 +1,10 @@
 import os
+import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -50,6 +52,21 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert got == want
 
 
+@pytest.mark.parametrize("langs", [("de", "en", "es", "fr"), ("en", "fr")])
+def test_lettered_junk_is_rejected_and_clean_text_stays(spark, langs):
+    rng = random.Random(8)
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").filter(F.col("lang").isin(*langs)).select("doc_id", "text", "lang", "source")
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "qxzjkvw", "日本語漢字山川海空", "0123456789#$%&{}=;a"]
+    junk = [(10 ** 6 + i, " ".join("".join(rng.choices(alphabets[i % 4], k=rng.randint(2, 9))) for _ in range(120)), None, "junk") for i in range(40)]
+    kept = corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(junk, docs.schema)), SF01)
+    kept = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert not kept & {r[0] for r in junk}
+    clean = docs.filter(F.size(F.split("text", " ")) >= 50).select("doc_id", "lang").collect()
+    for lang in langs:
+        ids = {r.doc_id for r in clean if r.lang == lang}
+        assert len(ids & kept) >= 0.98 * len(ids) > 0
+
+
 SQL = sorted(n for n, (_, sql) in QUERIES.items() if sql)
 
 

@@ -26,6 +26,8 @@ UNKNOWN = "und"
 HELD_OUT_OF = 5
 # The bounded sample: documents per language and pieces per document.
 DOCS_PER_LANG, WORDS_PER_DOC = 250, 200
+# Share of a language's sample that may score below the rejection level.
+SURE_BELOW = 0.05
 HIDDEN, EPOCHS, BATCH, RATE = 16, 3, 128, 0.01
 # Longer pieces are read in parts of this many bytes.
 PART = 64
@@ -165,13 +167,33 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_out
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out_of: int = HELD_OUT_OF):
     """(network, languages) from the bounded sample, or (None, [])."""
+    return _train(docs, id_col, text_col, lang_col, held_out_of)[:2]
+
+
+def _train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_out_of: int):
+    """(network, languages, sample: language number and pieces of each document)."""
     rows = sorted(_sample(docs, id_col, text_col, lang_col, held_out_of), key=lambda r: (r["lang"], r["k"]))
     langs = sorted({r["lang"] for r in rows})
     number = {x: i for i, x in enumerate(langs)}
     pieces = [(w.encode()[:PART], number[r["lang"]]) for r in rows for w in r["words"] if w]
     if not pieces:
-        return None, []
-    return BiGru(len(langs)).fit([p for p, _ in pieces], np.array([y for _, y in pieces])), langs
+        return None, [], []
+    net = BiGru(len(langs)).fit([p for p, _ in pieces], np.array([y for _, y in pieces]))
+    return net, langs, [(number[r["lang"]], [w.encode() for w in r["words"] if w]) for r in rows]
+
+
+def rejection_level(net: BiGru, sample: list, margin: float) -> float:
+    """The least score that counts as identified.
+
+    It lies ``margin`` of the way from 1 / languages, which every text reaches, to 1. Where the network tells some language less
+    surely than that, it is the score that all but ``SURE_BELOW`` of that language's sample reach, so clean documents stay.
+    """
+    level = 1 / net.n_out + margin * (1 - 1 / net.n_out)
+    scores: dict = {}
+    for lang, pieces in sample:
+        if pieces:
+            scores.setdefault(lang, []).append((net.score(pieces).sum(0) / sum(map(len, pieces))).max())
+    return min([level, *(float(np.quantile(x, SURE_BELOW)) for x in scores.values())]) * (1 - 1e-9)
 
 
 def _label(net: BiGru, langs: list, least: float | None = None):
@@ -236,12 +258,17 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    held_out_of: int = HELD_OUT_OF) -> DataFrame:
-    """``docs`` without the rows whose language is unknown or whose score is below ``min_score``; no shuffle."""
+                    held_out_of: int = HELD_OUT_OF, margin: float | None = None) -> DataFrame:
+    """``docs`` without the rows whose language is unknown or whose score is below ``min_score``; no shuffle.
+
+    With ``margin`` rows below the ``rejection_level`` go too.
+    """
     ready(docs.sparkSession)
-    net, langs = train(docs, id_col, text_col, lang_col, held_out_of)
+    net, langs, sample = _train(docs, id_col, text_col, lang_col, held_out_of)
     if net is None:
         return docs.limit(0)
+    if margin is not None:
+        min_score = max(min_score, rejection_level(net, sample, margin))
     # The text goes to the workers once; the other columns travel as one struct, whatever their names.
     others = [c for c in docs.columns if c != text_col]
     rows = docs.select(F.struct(*[col(c) for c in others]).alias("row"), col(text_col).alias("text"), col(text_col).rlike(r"\p{L}").alias("letters"))
