@@ -11,7 +11,7 @@ import corpus_pipeline
 from tests.conftest import SF01
 from tests.llm.fixtures import documents
 from tests.llm.test_dedup import brute_roots, brute_sets
-from tickframe.llm import langid, packing
+from tickframe.llm import langid, mixing, packing
 from tickframe.llm.queries import QUERIES
 
 
@@ -67,6 +67,18 @@ def test_lettered_junk_is_rejected_and_clean_text_stays(spark, langs):
         assert len(ids & kept) >= 0.98 * len(ids) > 0
 
 
+def test_the_mix_comes_in_queue_order(spark):
+    docs = documents(spark).filter("doc_id is not null").dropDuplicates(["doc_id"]).cache()
+    times = {r.doc_id: r for r in mixing.mix_sources(docs).select("row.doc_id", "finish", "source_size", "target", "copies").collect()}
+    seen, finish = Counter(), []
+    for r in corpus_pipeline.source_mix(spark, docs, SF01).select("doc_id").collect():
+        t = times[r.doc_id]
+        finish.append(t.finish + (seen[r.doc_id] * t.source_size / t.target if t.target else 0))
+        seen[r.doc_id] += 1
+    assert finish == pytest.approx(sorted(finish), rel=1e-12) and max(seen.values()) == 2
+    assert seen == Counter({i: t.copies for i, t in times.items() if t.copies})
+
+
 SQL = sorted(n for n, (_, sql) in QUERIES.items() if sql)
 
 
