@@ -187,6 +187,23 @@ def test_near_paragraphs_are_verified(spark):
     assert got[3] < 60
 
 
+def test_repeated_short_lines_go_but_for_the_first(spark):
+    import random
+    from tests.llm.fixtures import SCHEMA, words
+    rng = random.Random(4)
+    nine, five, four = (" ".join(f"{w}{n}" for w in "abcdefghi"[:n]) for n in (9, 5, 4))
+    def text(*lines):
+        return "\n".join(x for line in lines for x in (words(rng, 40), line, words(rng, 40)))
+    texts = [text(nine, five, four), text(nine.upper(), four), text(five, nine, nine), text(four + " " + words(rng, 30))]
+    df = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.id: r for r in paragraph_dedup.remove_paragraphs(df).collect()}
+    assert [got[i].removed_words for i in range(4)] == [0, 9, 23, 0]
+    assert [got[i].n_spans for i in range(4)] == [0, 1, 3, 0]
+    for i, t in enumerate(texts):
+        gone = [x.translate(LOWER) in (nine, five) and i > 0 for x in t.split("\n")]
+        assert got[i].kept_text.split("\n") == ["" if g else x for g, x in zip(gone, t.split("\n"))]
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     assert exact_dedup.exact_dedup(none).count() == 0

@@ -8,8 +8,9 @@ values over five-word shingles, which let 0.3 % of pairs at Jaccard 0.8 go by, f
 verified on their exact shingle sets and joined to components (first with one pivot per band value, then across components, as in
 the n-gram join).
 
-Of every component the first place stays: smallest id, then row, then position. The other places are removed where runs of
-covered words reach ``MIN_RUN`` words, so short common phrases alone are left; a passage of 50 words or more always has such a run.
+Of every component the first place stays: smallest id, then row, then position. Other places that are whole lines of
+``LINE_WORDS`` words or more are removed; sections and shorter lines where runs of covered words reach ``MIN_RUN`` words, so short common
+phrases within lines are left; a passage of 50 words or more always has such a run.
 
 Null texts count as empty. Repeated rows are documents of their own, null ids come last when the place that stays is chosen. An
 empty table gives an empty result. ``docs`` must give its rows in the same order at every read, as a table does.
@@ -29,7 +30,7 @@ from tickframe.llm.shingles import lower_ascii, shingle_sets, word_spans
 
 BANDS, ROWS = 8, 3
 SHINGLE, NUM, DEN = 5, 80, 100
-SECTION, LINE_WORDS, MIN_RUN = 16, 8, 16
+SECTION, LINE_WORDS, MIN_RUN = 16, SHINGLE, 16
 
 _SEEDS = mix(np.arange(1, 1025, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25)) | np.uint64(1)
 
@@ -70,15 +71,16 @@ def units(data: np.ndarray, off: np.ndarray, section: int) -> tuple:
     return text[first], start[first], end[final], n, digest, is_line
 
 
-def _units(section: int):
+def _units(section: int, line_words: int):
     def run(batches):
         for b in batches:
             for rows, data, off in text_slices(b):
-                text, start, end, n, digest, _ = units(data, off, section)
+                text, start, end, n, digest, is_line = units(data, off, section)
                 at = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("key").take(at), rows.column("id").take(at), pa.array(start - off[text]), pa.array(end - off[text]), pa.array(digest.view(np.int64))],
-                    ["key", "id", "start", "end", "d"])
+                    [rows.column("key").take(at), rows.column("id").take(at), pa.array(start - off[text]), pa.array(end - off[text]), pa.array(digest.view(np.int64)),
+                     pa.array(is_line & (n >= line_words))],
+                    ["key", "id", "start", "end", "d", "line"])
     return run
 
 
@@ -129,23 +131,33 @@ def _line_texts(section: int, least: int, k: int):
 
 
 def _cut(min_run: int):
+    """Cuts out whole lines and other runs of covered words from ``min_run`` on."""
+    def covered(a, e, begins, ends):
+        change = np.zeros(len(a) + 1, np.int64)
+        np.add.at(change, np.searchsorted(a, begins), 1)
+        np.add.at(change, np.searchsorted(e, ends) + 1, -1)
+        return np.cumsum(change)[:-1] > 0
+
+    def edges(cover):
+        return np.flatnonzero(np.diff(np.concatenate([[0], cover, [0]]).astype(np.int8))).reshape(-1, 2)
+
     def run(batches):
         for b in batches:
             for rows, data, off in text_slices(b):
                 text, start, end = word_spans(data, off)
                 bounds = np.searchsorted(text, np.arange(len(off)))
                 out = []
-                for i, (begins, ends) in enumerate(zip(rows.column("begins").to_pylist(), rows.column("ends").to_pylist())):
+                lists = (rows.column(c).to_pylist() for c in ("begins", "ends", "line_begins", "line_ends"))
+                for i, (begins, ends, line_begins, line_ends) in enumerate(zip(*lists)):
                     a, e = start[bounds[i]:bounds[i + 1]] - off[i], end[bounds[i]:bounds[i + 1]] - off[i]
                     doc = data[off[i]:off[i + 1]]
                     spans, gone = [], 0
                     if begins:
-                        change = np.zeros(len(a) + 1, np.int64)
-                        np.add.at(change, np.searchsorted(a, begins), 1)
-                        np.add.at(change, np.searchsorted(e, ends) + 1, -1)
-                        cover = np.concatenate([[0], np.cumsum(change)[:-1] > 0, [0]]).astype(np.int8)
-                        edges = np.flatnonzero(np.diff(cover)).reshape(-1, 2)
-                        for first, stop in edges[edges[:, 1] - edges[:, 0] >= min_run].tolist():
+                        cut = covered(a, e, line_begins, line_ends)
+                        for first, stop in edges(covered(a, e, begins, ends)).tolist():
+                            if stop - first >= min_run:
+                                cut[first:stop] = True
+                        for first, stop in edges(cut).tolist():
                             spans.append((int(a[first]), int(e[stop - 1])))
                             gone += stop - first
                     keep, at = [], 0
@@ -195,14 +207,15 @@ def remove_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     index = stored(_central_first(index, lines), "central-index")
     roots = stored(Candidates(index, lines.select("node", "text"), lines.select("node", "parity"), k, num, den).roots().select(F.col("node.d").alias("d"), F.col("root.d").alias("label")), "line-roots")
     # Every place of a class that is met twice or has near copies.
-    places = texts.mapInArrow(_units(section), "key long, id long, start long, end long, d long")
+    places = texts.mapInArrow(_units(section, line_words), "key long, id long, start long, end long, d long, line boolean")
     twice = places.groupBy("d").agg(F.count("*").alias("n")).filter("n > 1").select("d")
     twice = twice.union(roots.select("d")).distinct().join(roots, "d", "left").select("d", F.coalesce("label", "d").alias("label"))
     twice = stored(twice, "met-twice")  # a plain exchange on both sides lets a hot line's join be split
-    places = stored(places.join(twice, "d").select("key", "id", "start", "end", "label"), "paragraph-places")
+    places = stored(places.join(twice, "d").select("key", "id", "start", "end", "line", "label"), "paragraph-places")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "key", "start", "end")
     stays = places.groupBy("label").agg(F.min(place).alias("stays"))
     gone = places.join(stays, "label").filter((F.col("key") != F.col("stays.key")) | (F.col("start") != F.col("stays.start")) | (F.col("end") != F.col("stays.end")))
-    gone = gone.groupBy("key").agg(F.collect_list("start").alias("begins"), F.collect_list("end").alias("ends"))
-    out = texts.join(gone, "key", "left").select("id", "text", "begins", "ends")
+    gone = gone.groupBy("key").agg(F.collect_list("start").alias("begins"), F.collect_list("end").alias("ends"),
+                                   *[F.collect_list(F.when(F.col("line"), F.col(c))).alias(to) for c, to in (("start", "line_begins"), ("end", "line_ends"))])
+    out = texts.join(gone, "key", "left").select("id", "text", "begins", "ends", "line_begins", "line_ends")
     return out.mapInArrow(_cut(min_run), "id long, n_words long, removed_words long, n_spans long, kept_text string, spans array<long>")
