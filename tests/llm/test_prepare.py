@@ -303,6 +303,14 @@ def test_recall_against_brute_force(spark):
     assert not got and hit >= 0.97 * total
 
 
+def test_repeated_rows_of_the_query_hide_no_equal_vector(spark):
+    hot = [1.0, 2.0, 3.0]
+    rows = [(20, hot)] * 30 + [(i, hot) for i in range(21, 40)] + [(3, hot), (4, [1.0, 2.0, 2.5]), (5, [0.0, 1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = ann.nearest(df, F.col("id") % 20 == 0, k=10).collect()
+    assert sorted((r["rank"], r.vec_id) for r in got) == list(enumerate([3, *range(21, 30)], 1))
+
+
 def test_no_vectors(spark):
     _, df = vectors(spark, n=30)
     assert ann.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0

@@ -177,8 +177,11 @@ class Graph:
             for i in range(len(q)):
                 found = nodes[i][nodes[i] >= 0]
                 score = (self.vectors[found].astype(np.float64) * q[i]).sum(1)
-                # Of equal vectors the k + 1 smallest ids are enough: one may be the query's own.
-                size = np.minimum(self.bounds[found + 1] - self.bounds[found], k + 1)
+                # Of equal vectors the k smallest ids are enough, beside all rows of the query's own id.
+                size = self.bounds[found + 1] - self.bounds[found]
+                for j in np.flatnonzero(size > k):
+                    run = self.ids[self.bounds[found[j]]:self.bounds[found[j] + 1]]
+                    size[j] = min(size[j], k + np.searchsorted(run, own[lo + i], "right") - np.searchsorted(run, own[lo + i]))
                 at = np.repeat(self.bounds[found], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
                 ids, score = self.ids[at], np.repeat(score, size)
                 other = ids != own[lo + i]
