@@ -31,13 +31,13 @@ END_ID = 1
 BLOCK_BYTES = 4_000_000
 WORDS_HELD = 200_000
 
-# A space beside other white space: such texts take the whole-text path.
+# A space beside other white space, or white space at an end: such texts take the whole-text path.
 _PAIRS = ["  ", *(w + " " for w in "\t\n\v\f\r\x1c\x1d\x1e\x1f"), *(" " + w for w in "\t\n\v\f\r\x1c\x1d\x1e\x1f")]
 _WIDE = re.compile(r"[^\S\x00-\x7F]")
 
 
 def _odd(t: str) -> bool:
-    return t[:1] == " " or t[-1:] == " " or any(p in t for p in _PAIRS) or (not t.isascii() and _WIDE.search(t) is not None)
+    return t[:1].isspace() or t[-1:].isspace() or any(p in t for p in _PAIRS) or (not t.isascii() and _WIDE.search(t) is not None)
 
 
 def tokenizer_file(name: str) -> str:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import ann, chat, exact_dedup, katz, langid, mixing, ngram_join, packing, paragraph_dedup, suffix_dedup
+from tickframe.llm import (ann, chat, exact_dedup, hard_negatives, katz, langid, lexical_search, mixing, ngram_join, packing, paragraph_dedup, suffix_dedup,
+                           token_counts)
 from tickframe.llm.common import table
 
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -134,6 +135,61 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms_sql(rows: str, key: str) -> str:
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"SELECT {key}, unnest(regexp_extract_all({lower}, '{_TERMS}')) AS term FROM {rows}"
+
+
+OP12_SQL = f"""
+WITH doc_terms AS ({_terms_sql('documents', 'doc_id')}),
+item_terms AS (SELECT item_id, term, count(*) AS many FROM ({_terms_sql('benchmark', 'item_id')}) GROUP BY item_id, term),
+lengths AS (SELECT doc_id, count(*) AS n FROM doc_terms GROUP BY doc_id),
+totals AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM lengths),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM doc_terms WHERE term IN (SELECT term FROM item_terms) GROUP BY doc_id, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, totals GROUP BY term),
+vals AS (SELECT c.doc_id, c.term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * big_n) // big_l)) AS v
+         FROM counts c JOIN lengths l ON c.doc_id = l.doc_id, totals),
+scores AS (SELECT item_id, doc_id, CAST(sum(many * w * v) AS BIGINT) AS score
+           FROM item_terms i JOIN weights w ON i.term = w.term JOIN vals v ON i.term = v.term GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
+OP13_SQL = """
+WITH rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                     list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+              FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                  CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+           FROM rows a, rows b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+tops AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+         QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+hard AS (SELECT t.*, s.vec_id AS negative_id, s.score AS negative_score,
+                row_number() OVER (PARTITION BY t.anchor_id, t.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+         FROM tops t JOIN scored s ON t.anchor_id = s.anchor_id AND NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 5
+"""
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op1_hnsw_search": (op1_hnsw_search, None),
@@ -146,4 +202,7 @@ QUERIES = {
     "op8_chat_formatting": (op8_chat_formatting, OP8_SQL),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
     "op9_source_mixing": (op9_source_mixing, OP9_SQL),
+    "op11_token_counts": (op11_token_counts, None),
+    "op12_lexical_search": (op12_lexical_search, OP12_SQL),
+    "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }
