@@ -11,8 +11,8 @@ box strictly below the kth score found is dropped (not one that ties with it, wh
 other labels, one search for all windows of an anchor; a box is dropped when it lies outside every window that is still open or strictly below
 that window's kth. The best k of all shards are merged.
 
-Components are scaled and rounded down to whole numbers, scores are exact: doubles while every sum stays below 2^53, Python's integers beyond,
-cut to the range of 64 bits only in the result. Ties go to the smaller id.
+Components are scaled and rounded down to whole numbers, scores are exact: doubles while every sum stays below 2^53, Python's integers beyond;
+a score outside the range of 64 bits counts as that range's end. Ties go to the smaller id.
 
 Rows without id or label, with a null or empty vector or null or non-finite components take no part. Of rows that share an id the least by (label,
 vector) counts. Vectors of other lengths than an anchor's are never its candidates. An anchor without another row of its label has no result, nor does
