@@ -141,9 +141,9 @@ def test_market_open_every_minute_of_a_week(spark):
 def test_bars_do_not_depend_on_session_zone(spark):
     """Summer events under a daylight-saving session zone give the same bars as under UTC."""
     from tickframe.sources.fixtures import bars_from_events
-    rows = [(dt.datetime(2024, 7, 1, h, m, s, 123456), "click", float(h * 100 + m)) for h in (0, 9, 23)
+    rows = [(h * 10_000 + m * 100 + s, dt.datetime(2024, 7, 1, h, m, s, 123456), "click", float(h * 100 + m)) for h in (0, 9, 23)
             for m in (0, 29, 59) for s in (0, 30)]
-    ev = spark.createDataFrame(rows, "ts timestamp_ntz, event_type string, value double")
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string, value double")
 
     def bars():
         return sorted(tuple(r) for r in bars_from_events(ev).select(

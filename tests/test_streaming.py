@@ -1,5 +1,7 @@
 """Live mode: streamed state equals the batch windows (test d of SURVEY section 5)."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,8 +10,9 @@ from tickframe.params import AFTER_ABORT, DEFAULT, GOOD
 from tickframe.plans.ticks import session_states, ticks
 from tickframe.schema import TICK_COLUMNS
 from tickframe.session import fresh_dir
-from tickframe.sinks import files
-from tickframe.sinks.fanout import batch_writer, fan_out
+from tickframe.sinks import files, tables
+from tickframe.sinks.fanout import Sinks, batch_writer, fan_out
+from tickframe.sinks.ledger import Ledger
 from tickframe.sources.polls import poll_log_from_rows
 from tickframe.streaming.live import LATE, end_markers, poll_event_rows, read_landing, states_to_ticks, stream_states
 from tickframe.streaming.run import stream_dedup, stream_poll_states, stream_ticks
@@ -90,36 +93,116 @@ def test_foreach_batch_fan_out_then_batch_run(spark):
     assert spark.table(name).count() == n
     assert files.strip_keys(files.read_csv(spark, f"{base}/csv")).count() == n
     assert files.strip_keys(files.read_parquet(spark, f"{base}/pq")).exceptAll(exp).count() == 0
-    # One layout: a batch run into the same folders reads back with the streamed files; the table takes no row twice.
+    # A batch run over the same sessions adds nothing to any sink.
     fan_out(spark, exp, name, f"{base}/csv", f"{base}/pq", table_location=f"{base}/table")
-    assert files.read_parquet(spark, f"{base}/pq").count() == 2 * n == files.read_csv(spark, f"{base}/csv").count()
+    assert files.read_parquet(spark, f"{base}/pq").count() == n == files.read_csv(spark, f"{base}/csv").count()
     spark.catalog.refreshTable(name)
     assert spark.table(name).count() == n
 
 
-@pytest.mark.parametrize("step", ["write_csv", "write_parquet", "append_ticks"])
-def test_retry_after_a_failure_at_any_step(spark, monkeypatch, step):
-    from tickframe.sinks import fanout
+@pytest.mark.parametrize("where,step", [(files, "add_csv"), (files, "add_parquet"), (tables, "add_to_published"), (Ledger, "stage_sessions"), (Ledger, "commit")])
+def test_failure_after_any_step_leaves_the_old_or_the_new_state(spark, monkeypatch, where, step):
     p, b = _log(spark, 21, 3)
     t = ticks(p, b).cache()
+    n, early = t.count(), t.where(F.pmod("minute", F.lit(2)) == 0).cache()
     base = fresh_dir(spark, "retry")
     name = "default.retry_" + base.rsplit("-", 1)[-1]
-    write = batch_writer(name, f"{base}/csv", f"{base}/pq", table_location=f"{base}/table")
-    where = files if step.startswith("write") else fanout
+    sinks = Sinks(name, f"{base}/csv", f"{base}/pq", f"{base}/table")
+    write = batch_writer(name, sinks.csv_dir, sinks.parquet_dir, table_location=sinks.table_location)
+    write(early, 2)
     whole = getattr(where, step)
 
     def breaks(*a, **kw):
         whole(*a, **kw)
-        raise RuntimeError("lost after the write")
+        raise RuntimeError("lost after the step")
     monkeypatch.setattr(where, step, breaks)
     with pytest.raises(RuntimeError):
         write(t, 3)
     monkeypatch.setattr(where, step, whole)
+
+    def seen():
+        spark.catalog.refreshTable(name)
+        return [df.count() for df in sinks.read(spark).values()]
+    assert seen() == [n if step == "commit" else early.count()] * 3
+    write(t, 3)
     write(t, 3)
+    assert seen() == [n] * 3
+
+
+def _live(spark, base, name, **kw):
+    from tickframe.streaming.run import start_live
+    q = start_live(spark, f"{base}/landing", name, f"{base}/csv", f"{base}/pq", f"{base}/ckpt", table_location=f"{base}/table", drain=True, **kw)
+    q.awaitTermination()
+    return q
+
+
+def test_late_polls_are_restated_and_state_goes(spark):
+    p, b = _log(spark, 17, 3)
+    base = fresh_dir(spark, "restate")
+    name = "default.restate_" + base.rsplit("-", 1)[-1]
+    _land(spark, p, b, f"{base}/landing", [(0, 3), (9, 1000)])      # polls 3 to 8 are missing
+    q = _live(spark, base, name)
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == 0  # every session has ended
+    exp = ticks(p, b).select(*TICK_COLUMNS).cache()
+    assert spark.table(name).count() < exp.count()
+    _land(spark, p, b, f"{base}/landing", [(3, 9)], ended=False)
+    _live(spark, base, name)
     spark.catalog.refreshTable(name)
-    n = t.count()
-    assert spark.table(name).count() == n
-    assert files.read_csv(spark, f"{base}/csv").count() == n == files.read_parquet(spark, f"{base}/pq").count()
+    for df in Sinks(name, f"{base}/csv", f"{base}/pq").read(spark).values():
+        assert df.count() == exp.count() and df.exceptAll(exp).isEmpty()
+    late = spark.read.parquet(f"{base}/ckpt/late")
+    assert {r.poll_id for r in late.collect()} <= {r.poll_id for r in p.collect()} and late.where(F.col("outcome") == LATE).count() == late.count() > 0
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json", "csv"])
+def test_malformed_rows_go_to_quarantine(spark, fmt):
+    from tickframe.streaming.run import land_poll_log, start_quarantine
+    p, b = _log(spark, 19, 2)
+    base = fresh_dir(spark, "bad")
+    name = "default.bad_" + base.rsplit("-", 1)[-1]
+    landing = land_poll_log(spark, p, b, f"{base}/landing", ended=False, fmt=fmt)
+    bad = [("X", None, "2024-01-05"), (None, 5, "2024-01-05")]
+    rows = spark.createDataFrame(bad, "symbol string, poll_id long, session_date string")
+    rows.write.mode("append").option("header", True).partitionBy("session_date").format(fmt).save(landing)
+    day = next(x for x in os.listdir(landing) if x.startswith("session_date="))
+    with open(f"{landing}/{day}/broken.{fmt}", "wb") as f:
+        f.write(b"PAR1 no parquet" if fmt == "parquet" else b'{"symbol": "X", "poll_id": [broken\n' if fmt == "json" else b"symbol,poll_id\nX,abc,not,a,date\n")
+    land_poll_log(spark, p.limit(0), b, f"{base}/landing", fmt=fmt)
+    end_markers(poll_event_rows(p, b)).write.mode("append").option("header", True).partitionBy("session_date").format(fmt).save(landing)
+    _live(spark, base, name, landing_format=fmt, state_partitions=2)
+    assert spark.table(name).count() == ticks(p, b).count() > 0
+    start_quarantine(spark, landing, f"{base}/quarantine", f"{base}/ckpt-q", fmt, drain=True).awaitTermination()
+    kept = spark.read.parquet(f"{base}/quarantine")
+    assert kept.count() == (2 if fmt == "parquet" else 3) and kept.where(F.col("landing_file").contains("session_date=")).count() == kept.count()
+
+
+def test_a_null_poll_does_not_end_a_session(spark):
+    p, b = _log(spark, 23, 2)
+    rows = poll_event_rows(p, b)
+    base = fresh_dir(spark, "nullpoll")
+    part = F.col("poll_id") % 1000 < 10
+    rows.where(part).write.parquet(f"{base}/landing")
+    rows.limit(1).withColumn("poll_id", F.lit(None).cast("long")).write.mode("append").parquet(f"{base}/landing")
+    rows.where(~part).write.mode("append").parquet(f"{base}/landing")
+    end_markers(rows).write.mode("append").parquet(f"{base}/landing")
+    name = "default.nullpoll_" + base.rsplit("-", 1)[-1]
+    _live(spark, base, name, max_files=1, state_partitions=2)
+    assert spark.table(name).count() == ticks(p, b).count()
+    assert spark.read.parquet(f"{base}/ckpt/late").isEmpty()
+
+
+def test_exact_dedup_for_any_order(spark):
+    from tickframe.streaming.run import bars_writer, stored_bars
+    p, b = _log(spark, 9, 4)
+    base = fresh_dir(spark, "bars")
+    rows = poll_event_rows(p, b).cache()
+    write = bars_writer(f"{base}/bars")
+    deal = F.pmod(F.xxhash64("symbol", "poll_id", "seq"), F.lit(3))
+    for k in (2, 0, 0, 1, 1):  # repeated batches too
+        write(rows.where(deal == k), k)
+    got = stored_bars(spark, f"{base}/bars").select("symbol", "bar_utc")
+    exp = rows.where("bar_utc IS NOT NULL").select("symbol", "bar_utc").distinct()
+    assert got.count() == exp.count() > 0 and exp.exceptAll(got).isEmpty()
 
 
 def test_stream_dedup(spark):

@@ -15,7 +15,9 @@ from tickframe.plans.verify import adaptive_select, day_check, day_filter
 from tickframe.schema import INT_COLUMNS, LEGACY_MISSING, LEGACY_TICK_SCHEMA, TICK_COLUMNS, TICK_SCHEMA, conform
 from tickframe.session import fresh_dir
 from tickframe.sinks import files
+from tickframe.sinks import fanout
 from tickframe.sinks.fanout import fan_out
+from tickframe.sinks.ledger import Ledger
 from tickframe.sinks.tables import (append_ticks, create_tick_table, evolve, live_columns, schema_diff)
 
 # The one stored example row. Its symbol is replaced by a neutral index name; no other column depends on it.
@@ -94,20 +96,20 @@ def test_day_filter_prunes_partitions(spark, ticks):
 
 def test_csv_roundtrip_header_per_file(spark, ticks):
     path = fresh_dir(spark, "csv")
-    files.write_csv(ticks, path)
-    files.write_csv(ticks, path)  # the same sessions again: replaced, not doubled
+    assert files.write_csv(ticks, path, write_id="flush-1")
+    assert not files.write_csv(ticks, path, write_id="flush-1")  # the same write again changes nothing
     assert files.read_csv(spark, path).count() == ticks.count()
-    files.write_csv(ticks, path, batch="flush-2")  # another batch: a second set of part files, each with its header
+    files.write_csv(ticks, path, write_id="flush-2")  # another write: a second set of part files, each with its header
     back = files.strip_keys(files.read_csv(spark, path))
     assert back.count() == 2 * ticks.count()
     assert back.exceptAll(ticks.unionByName(ticks)).count() == 0
-    parts = glob.glob(f"{path}/symbol_safe=*/session=*/batch=*/*.csv")
+    parts = glob.glob(f"{path}/session=*/attempt=*/*.csv")
     assert parts and all(open(p).readline().startswith("tick_ts,bar_ts,") for p in parts)
 
 
 def test_parquet_roundtrip_merge_schema(spark, ticks):
     path = fresh_dir(spark, "pq")
-    files.write_parquet(ticks.drop(*LEGACY_MISSING), path, batch="old")
+    files.write_parquet(ticks.drop(*LEGACY_MISSING), path)
     files.write_parquet(ticks, path)
     back = files.read_parquet(spark, path)
     assert set(LEGACY_MISSING) <= set(back.columns)
@@ -128,6 +130,85 @@ def test_fan_out_and_sinks_agree(spark, ticks):
     assert short.missing == 1 and short.extra == 0
 
 
+def _sinks(base, name):
+    return fanout.Sinks(name, f"{base}/csv", f"{base}/pq", f"{base}/table")
+
+
+def _counts(spark, sinks):
+    spark.catalog.refreshTable(sinks.table)
+    return [df.count() for df in sinks.read(spark).values()]
+
+
+def test_append_reads_only_the_days_of_the_batch(spark, ticks):
+    from tickframe.sinks.tables import days_of, new_rows
+    name = _name("prune")
+    append_ticks(spark, ticks, name, location=fresh_dir(spark, "prune"))
+    day = ticks.where(F.col("date") == ticks.agg(F.min("date")).first()[0]).cache()
+    assert days_of(day)._jc.toString().count("year") == day.select("year", "month", "date").distinct().count()
+    join = new_rows(day, spark.table(name).where(days_of(day)))
+    read = {f.split("/year=")[1].rsplit("/", 1)[0] for f in join.inputFiles() if "/year=" in f}
+    assert read == {f"{r.year}/month={r.month}/date={r.date}" for r in day.collect()}  # the table's other folders are not read
+    assert len(spark.table(name).inputFiles()) > len(read) and join.count() == 0
+    append_ticks(spark, ticks, name, create=False, new_only=True)
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == ticks.count()
+
+
+def test_corrected_rerun_replaces_in_all_sinks(spark, ticks):
+    ticks = ticks.where("date <= 5").cache()
+    base, name = fresh_dir(spark, "fix"), _name("fix")
+    sinks = _sinks(base, name)
+    fan_out(spark, ticks, name, sinks.csv_dir, sinks.parquet_dir, table_location=sinks.table_location)
+    fixed = ticks.withColumn("close", F.col("close") + 1)
+    fanout.replace_sessions(spark, fixed, sinks)
+    spark.catalog.refreshTable(name)
+    rep = sinks_agree(fixed, sinks.read(spark)).collect()
+    assert all(r.missing == r.extra == 0 and r.rows == ticks.count() for r in rep)
+    # A session without any tick now: named in ``covers``, its rows go.
+    one = ticks.select("symbol", F.date_format("tick_ts", "yyyy_MM_dd").alias("session")).limit(1).cache()
+    fanout.replace_sessions(spark, fixed.limit(0), sinks, covers=one)
+    gone = fixed.join(one, [F.date_format("tick_ts", "yyyy_MM_dd") == one.session, fixed.symbol == one.symbol], "left_semi").count()
+    assert gone > 0 and _counts(spark, sinks) == [ticks.count() - gone] * 3
+
+
+def test_a_writer_that_was_overtaken_starts_over(spark, ticks, monkeypatch):
+    ticks = ticks.where("date <= 5").cache()
+    base, name = fresh_dir(spark, "race"), _name("race")
+    sinks = _sinks(base, name)
+    whole, done = Ledger.commit, []
+
+    def commit(self, number, *a, **kw):
+        if not done:  # another writer of the same ticks is first
+            done.append(1)
+            fan_out(spark, ticks, name, sinks.csv_dir, sinks.parquet_dir, table_location=sinks.table_location, write_id="first")
+        return whole(self, number, *a, **kw)
+    monkeypatch.setattr(Ledger, "commit", commit)
+    assert fan_out(spark, ticks, name, sinks.csv_dir, sinks.parquet_dir, table_location=sinks.table_location, write_id="second")
+    assert _counts(spark, sinks) == [ticks.count()] * 3
+
+
+def test_compact_and_vacuum(spark, ticks):
+    ticks = ticks.where("date <= 5").cache()
+    base, name = fresh_dir(spark, "small"), _name("small")
+    sinks = _sinks(base, name)
+    for k in range(3):
+        part = ticks.where(F.pmod(F.xxhash64("symbol", "tick_ts"), F.lit(3)) == k)
+        fan_out(spark, part, name, sinks.csv_dir, sinks.parquet_dir, table_location=sinks.table_location, write_id=f"w{k}")
+    fan_out(spark, ticks.withColumn("tick_ts", F.expr("tick_ts + interval 1 second")), name, sinks.csv_dir, sinks.parquet_dir,
+            table_location=sinks.table_location, write_id="more")
+    before = files.strip_keys(files.read_parquet(spark, sinks.parquet_dir)).cache()
+    n = before.count()
+    assert fanout.compact(spark, sinks, "9999_12_31") and not fanout.compact(spark, sinks, "9999_12_31")
+    assert _counts(spark, sinks) == [n] * 3
+    assert before.exceptAll(files.strip_keys(files.read_parquet(spark, sinks.parquet_dir))).isEmpty()
+    assert fanout.vacuum(spark, sinks) == 0  # too young
+    assert fanout.vacuum(spark, sinks, older_than_s=-60) > 0
+    assert _counts(spark, sinks) == [n] * 3
+    days = before.select(F.to_date("tick_ts")).distinct().count()
+    for folder in ("csv", "pq"):
+        assert len(glob.glob(f"{base}/{folder}/session=*/attempt=*/part-*")) == days  # one file a session day
+
+
 def test_schema_report():
     assert all(ok for _, ok in schema_report(TICK_SCHEMA))
     bad = dict(schema_report(LEGACY_TICK_SCHEMA))

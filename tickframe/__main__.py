@@ -46,20 +46,40 @@ def _sessions(df, a):
 
 
 def cmd_ticks(spark, a) -> int:
+    from .functions.calendar import session_string
     from .plans.ticks import event_ticks, ticks
-    from .sinks.fanout import fan_out
+    from .sinks.fanout import replace_sessions
     from .sources.polls import read_poll_log
+    from .streaming.live import read_landed
     p = _params(a)
     if a.poll_events:
-        t = event_ticks(_sessions(spark.read.parquet(a.poll_events), a), p, keep=("session_date",))
+        log = _sessions(read_landed(spark, a.poll_events, a.format), a)
+        t = event_ticks(log, p, keep=("session_date",))
     else:
         polls, snaps = read_poll_log(spark, a.polls, a.snaps, a.format, symbol=a.symbol)
-        t = ticks(_sessions(polls, a), snaps, p, keep=("session_date",))
-    fan_out(spark, t, a.table, a.csv, a.parquet, session_col="session_date", table_location=a.table_location, fmt=a.table_format)
+        log = _sessions(polls, a)
+        t = ticks(log, snaps, p, keep=("session_date",))
+    # Whole sessions: a corrected rerun takes the place of what was there, sessions without a tick included.
+    covers = log.select("symbol", session_string("session_date").alias("session")).distinct()
+    replace_sessions(spark, t, _sinks(a), "session_date", covers=covers)
     print(f"written to {a.table}, {a.csv}, {a.parquet}")
     return 0
 
 
+def _sinks(a):
+    from .sinks.fanout import Sinks
+    return Sinks(a.table, a.csv, a.parquet, a.table_location, a.table_format)
+
+
+def cmd_maintain(spark, a) -> int:
+    from .sinks.fanout import compact, vacuum
+    if a.compact_before:
+        print("compacted" if compact(spark, _sinks(a), a.compact_before) else "nothing to compact")
+    if a.vacuum_hours is not None:
+        print(f"{vacuum(spark, _sinks(a), int(a.vacuum_hours * 3600))} folders deleted")
+    return 0
+
+
 def cmd_verify(spark, a) -> int:
     from .plans.verify import day_check
     d = dt.date.fromisoformat(a.date)
@@ -81,17 +101,18 @@ def cmd_verify(spark, a) -> int:
 
 
 def cmd_expectations(spark, a) -> int:
-    from .operators.expectations import expectation_report
-    rows = expectation_report(spark.table(a.table)).collect()
+    from .operators.expectations import full_report
+    rows = full_report(spark, _sinks(a) if a.csv and a.parquet else a.table).collect()
     for r in rows:
         print(f"{r.rule:7s} checked={r.checked} violations={r.violations}")
     return 1 if a.strict and any(r.violations for r in rows) else 0
 
 
 def cmd_live(spark, a) -> int:
-    from .streaming.run import start_live
+    from .streaming.run import start_live, start_quarantine
+    start_quarantine(spark, a.landing, f"{a.checkpoint}/quarantine", f"{a.checkpoint}/quarantine-stream", a.format)
     q = start_live(spark, a.landing, a.table, a.csv, a.parquet, a.checkpoint, _params(a), every=a.every, poll_minutes=a.interval,
-                   table_location=a.table_location, late_dir=a.late, idle_s=a.idle, fmt=a.table_format)
+                   table_location=a.table_location, late_dir=a.late, idle_s=a.idle, fmt=a.table_format, close_s=a.close, landing_format=a.format)
     q.awaitTermination()
     return 0
 
@@ -124,12 +145,23 @@ def build_parser() -> argparse.ArgumentParser:
     e = sub.add_parser("expectations", help="table expectations report")
     e.add_argument("--table", required=True)
     e.add_argument("--strict", action="store_true", help="exit 1 on any violation")
+    e.add_argument("--csv", help="with --parquet: compare the three sinks too (EXP-10)")
+    e.add_argument("--parquet")
+    e.set_defaults(table_location=None, table_format="parquet")
+    m = sub.add_parser("maintain", help="compact finished sessions, delete what no reader sees")
+    for k in ("--table", "--csv", "--parquet"):
+        m.add_argument(k, required=True)
+    m.add_argument("--compact-before", help="session label yyyy_MM_dd")
+    m.add_argument("--vacuum-hours", type=float, help="age from which unseen folders go")
+    m.set_defaults(table_location=None, table_format="parquet")
     lv = sub.add_parser("live", help="stream a landing folder to the three sinks")
     for k in ("--landing", "--table", "--csv", "--parquet", "--checkpoint"):
         lv.add_argument(k, required=True)
     lv.add_argument("--every", help="trigger interval; by default flush-every polls")
     lv.add_argument("--interval", type=int, default=1, help="minutes between polls")
-    lv.add_argument("--late", help="folder for late rows")
+    lv.add_argument("--late", help="folder for late rows, by default beside the checkpoint")
+    lv.add_argument("--format", default="parquet", choices=["parquet", "json", "csv"], help="format of the landing files")
+    lv.add_argument("--close", type=int, default=6 * 3600, help="drop a session's state after so many seconds without data")
     lv.add_argument("--idle", type=int, default=600, help="fold waiting polls after so many seconds without data")
     common(lv)
     for sp in sub.choices.values():
@@ -144,7 +176,7 @@ def main(argv=None, spark=None) -> int:
     if spark is None:
         from .session import get_spark
         spark = get_spark(checkpoint_dir=a.checkpoint_dir)
-    return {"ticks": cmd_ticks, "verify": cmd_verify, "expectations": cmd_expectations,
+    return {"ticks": cmd_ticks, "verify": cmd_verify, "expectations": cmd_expectations, "maintain": cmd_maintain,
             "live": cmd_live}[a.cmd](spark, a)
 
 

@@ -9,7 +9,7 @@ and violations per rule, then ``stack`` turns the single summary row into
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +77,27 @@ def schema_report(schema: T.StructType) -> list[tuple[str, bool]]:
     return out
 
 
+def schema_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """EXP-9 as rows: (check, ok)."""
+    return spark.createDataFrame(schema_report(schema), "check string, ok boolean")
+
+
+def full_report(spark: SparkSession, of, p: Params = DEFAULT) -> DataFrame:
+    """``(rule, checked, violations)`` of every rule, EXP-9 on the table's schema included; with the three sinks
+    (``sinks.fanout.Sinks``) instead of a table name EXP-10 too: rows that a file sink lacks or has beyond the table's."""
+    table = spark.table(of if isinstance(of, str) else of.table)
+    checks = schema_report(table.schema)
+    out = expectation_report(table, p).unionAll(spark.createDataFrame([("EXP-9", len(checks), sum(not ok for _, ok in checks))], "rule string, checked long, violations long"))
+    if not isinstance(of, str):
+        sides = of.read(spark)
+        # Columns that an older table lacks are NULL in the files.
+        seen = sides.pop("table")
+        agree = sinks_agree(_with_absent(seen).select(*TICK_SCHEMA.fieldNames()), sides)
+        out = out.unionAll(agree.select(F.lit("EXP-10").alias("rule"), F.col("rows").alias("checked"), (F.col("missing") + F.col("extra")).alias("violations"))
+                           .groupBy("rule").agg(F.sum("checked").alias("checked"), F.sum("violations").alias("violations")))
+    return out
+
+
 def _row_hash(cols: list):
     """Hash of a row that also tells which fields are NULL."""
     return F.xxhash64(*cols, *[F.col(c).isNull() for c in cols]).cast("decimal(38,0)")

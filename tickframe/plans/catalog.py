@@ -540,22 +540,15 @@ def q_schema_evolution(spark, sf):
 def q_sink_fanout(spark, sf):
     """All three sinks written from one persisted frame, then compared with it (EXP-10)."""
     from ..operators.expectations import sinks_agree
-    from ..session import fresh_dir
-    from ..sinks import files
-    from ..sinks.fanout import fan_out
-    from ..session import materialised
+    from ..session import fresh_dir, materialised
+    from ..sinks.fanout import Sinks, fan_out
     base = fresh_dir(spark, "fanout")
     name = _table_name("ticks_fan")
     # The sinks and the reference read one copy in the shared folder.
     t = materialised(_ticks_keyed(spark, sf), "fan-out-rows")
     fan_out(spark, t, name, f"{base}/csv", f"{base}/parquet", session_col="session_date",
             table_location=f"{base}/table")
-    ref = t.select(*TICK_COLUMNS)
-    return sinks_agree(ref, {
-        "table": spark.table(name).select(*TICK_COLUMNS),
-        "csv": files.strip_keys(files.read_csv(spark, f"{base}/csv")),
-        "parquet": files.strip_keys(files.read_parquet(spark, f"{base}/parquet")),
-    })
+    return sinks_agree(t.select(*TICK_COLUMNS), Sinks(name, f"{base}/csv", f"{base}/parquet").read(spark))
 
 
 SQL_SINK_FANOUT = O.with_ctes(O.ticks_ctes(), " UNION ALL ".join(
@@ -596,23 +589,76 @@ def q_stream_dedup(spark, sf):
     return stream_dedup(spark, fx.fixture_poll_events(spark, sf), None, _scattered(), max_files=25).select("symbol", _mkt().alias("bar_ts"))
 
 
+def _live_ticks(spark, sf, p, parts, ended=True):
+    """Live mode over a landing folder into fresh sinks, worked off; the tick table as its readers see it."""
+    from ..session import fresh_dir
+    from ..streaming.run import land_poll_log, start_live
+    base, name = fresh_dir(spark, "live"), _table_name("ticks_live")
+    land_poll_log(spark, fx.fixture_poll_events(spark, sf), None, f"{base}/landing", parts, ended)
+    start_live(spark, f"{base}/landing", name, f"{base}/csv", f"{base}/parquet", f"{base}/checkpoint", p, table_location=f"{base}/table",
+               max_files=60, drain=True).awaitTermination()
+    return spark.table(name).select(*TICK_COLUMNS)
+
+
+def q_stream_restated(spark, sf):
+    """A third of the polls landed after all others had been folded and their sessions closed: restated, the table is the batch result."""
+    deal = F.pmod(F.xxhash64("symbol", "poll_id"), F.lit(3)) == 0
+    return _live_ticks(spark, sf, DEFAULT.with_(live_delay_s=0), [~deal, deal])
+
+
+def q_stream_dedup_exact(spark, sf):
+    """Distinct bars of scattered landings over several triggers, without streaming state."""
+    from ..session import fresh_dir
+    from ..streaming.run import land_poll_log, start_dedup, stored_bars
+    base = fresh_dir(spark, "bars")
+    land_poll_log(spark, fx.fixture_poll_events(spark, sf), None, f"{base}/landing", _scattered())
+    start_dedup(spark, f"{base}/landing", f"{base}/bars", f"{base}/checkpoint", max_files=40, drain=True).awaitTermination()
+    return stored_bars(spark, f"{base}/bars").select("symbol", _mkt().alias("bar_ts"))
+
+
 def q_sink_retry(spark, sf):
-    """A micro-batch written in part, then again and again: the three sinks hold its rows once."""
+    """A micro-batch staged in all three sinks but not published, then written again and again: readers see its rows once."""
     from ..operators.expectations import sinks_agree
     from ..session import fresh_dir, materialised
-    from ..sinks import files
-    from ..sinks.fanout import batch_writer
+    from ..sinks import fanout, files
     base, name = fresh_dir(spark, "retry"), _table_name("ticks_retry")
     t = materialised(fixture_ticks(spark, sf), "retry-rows")
-    files.write_csv(t, f"{base}/csv", batch="live-000000007")       # the first try ended here
-    write = batch_writer(name, f"{base}/csv", f"{base}/parquet", table_location=f"{base}/table")
+    sinks = fanout.Sinks(name, f"{base}/csv", f"{base}/parquet", f"{base}/table")
+    fanout._stage(spark, files.with_file_keys(t), sinks, sinks.ledger(spark), "first-try")       # the first try ended here
+    write = fanout.batch_writer(name, f"{base}/csv", f"{base}/parquet", table_location=f"{base}/table")
     write(t, 7)
     write(t, 7)
-    return sinks_agree(t, {
-        "table": spark.table(name).select(*TICK_COLUMNS),
-        "csv": files.strip_keys(files.read_csv(spark, f"{base}/csv")),
-        "parquet": files.strip_keys(files.read_parquet(spark, f"{base}/parquet")),
-    })
+    return sinks_agree(t, sinks.read(spark))
+
+
+# Symbols that one file-safe name stands for.
+_TWINS = {"click": "^A.B", "purchase": "A_B"}
+
+
+def q_sink_append_twice(spark, sf):
+    """A session's halves written one after the other and repeated, live batches and a whole run over the same sessions, symbols with one
+    file-safe name, then the attempts compacted: every sink reads every tick once."""
+    from ..session import fresh_dir, materialised
+    from ..sinks import fanout
+    base, name = fresh_dir(spark, "twice"), _table_name("ticks_twice")
+    t = fixture_ticks(spark, sf, keep=("session_date", "tick_no"))
+    t = materialised(t.replace(_TWINS, subset=["symbol"]), "twice-rows")
+    where = (name, f"{base}/csv", f"{base}/parquet", "session_date", f"{base}/table")
+    half = F.col("tick_no") % 2 == 0
+    for write_id, rows in (("first", t.where(half)), ("second", t.where(~half)), ("first", t.where(half))):
+        fanout.fan_out(spark, rows.drop("tick_no"), *where, write_id=write_id)
+    live = fanout.batch_writer(*where)
+    for k in range(2):
+        live(t.where(F.col("tick_no") % 3 == k).drop("tick_no"), k)
+    fanout.fan_out(spark, t.drop("tick_no"), *where)
+    sinks = fanout.Sinks(name, f"{base}/csv", f"{base}/parquet", f"{base}/table")
+    fanout.compact(spark, sinks, "9999_12_31")
+    parts = [df.select(F.lit(sink).alias("sink"), *TICK_COLUMNS) for sink, df in sinks.read(spark).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+SQL_SINK_APPEND_TWICE = O.with_ctes(O.ticks_ctes(), f"""SELECT sink, t.* REPLACE (CASE symbol {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in _TWINS.items())}
+  ELSE symbol END AS symbol) FROM ticks t, (VALUES ('table'), ('csv'), ('parquet')) s(sink)""")
 
 
 def q_two_table_ticks(spark, sf):
@@ -688,7 +734,10 @@ QUERIES: dict = {
     "stream_dedup": (q_stream_dedup, SQL_STREAM_DEDUP),
     "stream_ticks_multi_batch": (q_stream_ticks_multi_batch, SQL_TICK_TABLE),
     "stream_late_polls": (q_stream_late_polls, SQL_STREAM_LATE),
+    "stream_restated": (q_stream_restated, SQL_TICK_TABLE),
+    "stream_dedup_exact": (q_stream_dedup_exact, SQL_STREAM_DEDUP),
     "sink_retry": (q_sink_retry, SQL_SINK_FANOUT),
+    "sink_append_twice": (q_sink_append_twice, SQL_SINK_APPEND_TWICE),
     "two_table_ticks": (q_two_table_ticks, SQL_TICK_TABLE),
     "day_check_one_day": (q_day_check_one_day, SQL_DAY_CHECK_ONE),
 }

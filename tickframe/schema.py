@@ -78,10 +78,11 @@ BAR_SNAPSHOTS_SCHEMA = T.StructType([
 ])
 
 # Streaming input: one row per (poll, bar); failed polls carry one row with
-# NULL bar_utc and ok = false.
+# NULL bar_utc and ok = false. A row with ``ended`` tells that its session is over.
 POLL_EVENTS_SCHEMA = T.StructType(
     [f for f in POLLS_SCHEMA.fields]
     + [f for f in BAR_SNAPSHOTS_SCHEMA.fields if f.name not in ("symbol", "poll_id")])
+LANDING_SCHEMA = T.StructType([*POLL_EVENTS_SCHEMA.fields, T.StructField("ended", T.BooleanType(), True)])
 
 
 def conform(df, schema: T.StructType = TICK_SCHEMA):

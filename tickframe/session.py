@@ -90,6 +90,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of a file or folder name, through Hadoop's API."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 _SHIPPED: set = set()
 
 
@@ -119,9 +125,7 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     data = buf.getvalue()
     path = shared_dir(spark, "pyfiles", f"tickframe-{hashlib.sha1(data).hexdigest()[:12]}.zip")
-    jvm = sc._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hp.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs, hp = file_system(spark, path)
     if not fs.exists(hp):
         out = fs.create(hp, True)
         out.write(bytearray(data))

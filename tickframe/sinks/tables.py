@@ -9,10 +9,18 @@ columns).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import PARTITION_COLUMNS, TICK_SCHEMA, conform
+from .ledger import Ledger, visible_sql
+
+# Days of a batch that become literals one by one.
+MOST_DAYS = 400
 
 
 def database_of(table: str) -> str:
@@ -32,7 +40,7 @@ def ddl_columns(schema: T.StructType) -> str:
 
 
 def create_tick_table(spark: SparkSession, table: str, location: str | None = None,
-                      schema: T.StructType = TICK_SCHEMA, fmt: str = "parquet") -> None:
+                      schema: T.StructType = TICK_SCHEMA, fmt: str = "parquet", partitions=PARTITION_COLUMNS) -> None:
     """``CREATE TABLE IF NOT EXISTS`` partitioned by ``(year, month, date)``."""
     ensure_database(spark, table)
     loc = f"\nLOCATION '{location}'" if location else ""
@@ -40,7 +48,7 @@ def create_tick_table(spark: SparkSession, table: str, location: str | None = No
   {ddl_columns(schema)}
 )
 USING {fmt}
-PARTITIONED BY ({", ".join(PARTITION_COLUMNS)}){loc}""")
+PARTITIONED BY ({", ".join(partitions)}){loc}""")
 
 
 def live_columns(spark: SparkSession, table: str) -> list[str]:
@@ -85,13 +93,32 @@ def for_write(df: DataFrame, by=PARTITION_COLUMNS) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
+def days_of(df: DataFrame) -> Column:
+    """A literal condition on the partition columns that holds for the days of ``df`` (whole months beyond ``MOST_DAYS`` days).
+
+    Literals prune the table scan when it is planned, which a join on the days would not do.
+    """
+    days = df.select(*PARTITION_COLUMNS).distinct().collect()
+    if len(days) > MOST_DAYS:
+        days = {r[:2] for r in days}
+    out = F.lit(False)
+    for r in sorted(days, key=str):
+        out |= reduce(and_, [F.col(c).isNull() if v is None else F.col(c) == F.lit(v) for c, v in zip(PARTITION_COLUMNS, r)])
+    return out
+
+
+def new_rows(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """The rows whose tick (symbol and collection time) ``held`` does not hold."""
+    return rows.join(held.select("symbol", "tick_ts"), [rows[c].eqNullSafe(held[c]) for c in ("symbol", "tick_ts")], "left_anti").select(*rows.columns)
+
+
 def append_ticks(spark: SparkSession, df: DataFrame, table: str, create: bool = True,
                  location: str | None = None, fmt: str = "parquet", new_only: bool = False) -> None:
     """Append rows to the tick table: create if absent, evolve, conform types, write by name.
 
     ``fmt`` is the table format (``parquet``; ``delta`` when its jars are present).
     ``new_only`` leaves out ticks (symbol and collection time) that the table already
-    holds, looking only at the days of ``df``.
+    holds; only the day folders of ``df`` are read for that.
     """
     if create:
         create_tick_table(spark, table, location, schema=_schema_with_frame_order(df), fmt=fmt)
@@ -100,12 +127,35 @@ def append_ticks(spark: SparkSession, df: DataFrame, table: str, create: bool =
     out = conform(df, T.StructType([f for f in target.fields if f.name in df.columns]))
     if new_only:
         spark.catalog.refreshTable(table)
-        key = [*PARTITION_COLUMNS, "symbol", "tick_ts"]
-        out = out.join(spark.table(table).select(*key), key, "left_anti").select(*out.columns)
+        out = new_rows(out, spark.table(table).where(days_of(out)))
     (for_write(out).write.mode("append").format(fmt)
      .partitionBy(*PARTITION_COLUMNS).saveAsTable(table))
 
 
+def rows_table(table: str) -> str:
+    """The table behind a published table: all attempts' rows."""
+    return table + "_rows"
+
+
+def add_to_published(spark: SparkSession, keyed: DataFrame, table: str, ledger: Ledger, attempt: str,
+                     location: str | None = None, fmt: str = "parquet") -> None:
+    """Write an attempt's rows (with ``session``) behind the published table ``table``, a view of the rows the ledger publishes."""
+    behind = rows_table(table)
+    rows = keyed.drop("symbol_safe").withColumn("attempt", F.lit(attempt))
+    schema = _schema_with_frame_order(rows)
+    fresh = not spark.catalog.tableExists(table)
+    if fresh or not spark.catalog.tableExists(behind):
+        create_tick_table(spark, behind, location, schema, fmt, [*PARTITION_COLUMNS, "attempt"])
+    elif spark.catalog.getTable(table).tableType != "VIEW":
+        raise ValueError(f"{table} is a plain table; a published table needs a name of its own")
+    if evolve(spark, behind, rows.schema) or fresh:
+        names = ", ".join(f"`{c}`" for c in live_columns(spark, behind) if c not in ("session", "attempt"))
+        same = " AND ".join(f"r.{c} <=> v.{c}" for c in ("attempt", "session", "symbol"))
+        spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {names} FROM {behind} r LEFT SEMI JOIN ({visible_sql(ledger.root)}) v ON {same}")
+    out = conform(rows, T.StructType([f for f in spark.table(behind).schema.fields if f.name in rows.columns]))
+    for_write(out).write.mode("append").format(fmt).partitionBy(*PARTITION_COLUMNS, "attempt").saveAsTable(behind)
+
+
 def _schema_with_frame_order(df: DataFrame) -> T.StructType:
     wanted = {f.name: f for f in TICK_SCHEMA.fields}
     return T.StructType([wanted.get(f.name, f) for f in df.schema.fields])

@@ -9,12 +9,19 @@ collector's session state -> the same JVM-side tick projection as batch mode
 Window functions over rows are not available on streams, so the sequential
 step runs in the state function. A poll's rows wait in the state until the
 poll is complete: until the session has a poll that is newer by
-``Params.live_delay_s``, the session's end marker (a row without ``poll_id``)
+``Params.live_delay_s``, the session's end marker (a row with ``ended``)
 has come, or no data came for ``idle_s``. Complete polls are folded in order of
 ``poll_id`` with array operations. However the input is split into files and
 triggers, the result is the batch result as long as no row comes later than
 that; rows of polls already folded are not lost either: they are emitted with
-outcome ``LATE``. A session's scalars stay in the state, so nothing restarts it.
+outcome ``LATE``.
+
+A session's scalars stay in the state, so nothing restarts it, or, with ``close_s``, go when the session is over: its end marker has come, or
+no data came for ``close_s``. Then a row with outcome ``CLOSED`` is emitted, by which the caller knows closed sessions and their later rows
+(``streaming/run.live_writer``).
+
+Rows that can't be polls are malformed (``valid_event``): files or lines that can't be read, missing keys, rows without a poll that
+are no end marker. They neither stop the stream nor end a session; ``malformed_events`` gives them for quarantine.
 """
 
 from __future__ import annotations
@@ -23,7 +30,7 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -33,10 +40,12 @@ from ..functions.rounding import WHOLE
 from ..operators.features import tick_rows
 from ..params import (BAD_PRICE, COLLAPSED, DEFAULT, FETCH_FAILED, GOOD, STALE, VWAP_ALL_POLLS,
                       Params)
-from ..schema import POLL_EVENTS_SCHEMA
+from ..schema import LANDING_SCHEMA, POLL_EVENTS_SCHEMA
 
-# Outcome of rows that came after their poll was folded.
-LATE = "LATE"
+# Outcome of rows that came after their poll was folded, and of the row that tells that a session's state is gone.
+LATE, CLOSED = "LATE", "CLOSED"
+# Column of landing lines that could not be parsed.
+CORRUPT = "_corrupt"
 
 STATE_SCHEMA = T.StructType([
     T.StructField("last_bar", T.LongType()),        # epoch micros of the last bar seen
@@ -185,7 +194,7 @@ def fold(polls: pd.DataFrame, s: dict, p: Params) -> pd.DataFrame:
     return out
 
 
-def make_state_fn(p: Params = DEFAULT, idle_s: int | None = None):
+def make_state_fn(p: Params = DEFAULT, idle_s: int | None = None, close_s: int | None = None):
     names = [f.name for f in STATE_SCHEMA.fields]
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -193,11 +202,14 @@ def make_state_fn(p: Params = DEFAULT, idle_s: int | None = None):
         s = dict(zip(names, state.get)) if state.exists else dict(
             last_bar=None, prev_close=None, vwap_num=0.0, vwap_den=0.0, streak=0, tick_no=0, aborted=False, last_poll=None, late=0, pending=None)
         parts = [_unpack(s["pending"])] if s["pending"] else []
-        close_all = state.hasTimedOut
+        # The first time-out of a session with waiting polls folds them, the next one closes it.
+        ended = state.hasTimedOut and close_s is not None and not parts
+        fold_all = state.hasTimedOut
         if not state.hasTimedOut:
             for pdf in pdfs:
-                close_all |= bool(pdf["poll_id"].isna().any())
+                ended |= bool(pdf["ended"].fillna(False).astype(bool).any())
                 parts.append(pdf.loc[pdf["poll_id"].notna(), _PENDING].astype(_KINDS))
+        fold_all |= ended
         rows = pd.concat([x for x in parts if len(x)], ignore_index=True) if any(len(x) for x in parts) else pd.DataFrame(columns=_PENDING)
         outs = []
         if len(rows):
@@ -212,15 +224,21 @@ def make_state_fn(p: Params = DEFAULT, idle_s: int | None = None):
                 rows = rows[~behind]
         if len(rows):
             old = rows["fetch_start_us"] <= rows["fetch_start_us"].max() - p.live_delay_s * 1_000_000
-            upto = rows["poll_id"].max() if close_all else rows.loc[old, "poll_id"].max() if old.any() else None
+            upto = rows["poll_id"].max() if fold_all else rows.loc[old, "poll_id"].max() if old.any() else None
             if upto is not None:
                 ready = rows["poll_id"] <= upto
                 outs.append(fold(_picked_per_poll(rows[ready]), s, p))
                 rows = rows[~ready]
         s["pending"] = _pack(rows)
-        state.update(tuple(s[n] for n in names))
-        if idle_s is not None and s["pending"]:
-            state.setTimeoutDuration(idle_s * 1000)
+        if ended and close_s is not None:
+            outs.append(pd.DataFrame({"outcome": [CLOSED]}))
+            if state.exists:
+                state.remove()
+        else:
+            state.update(tuple(s[n] for n in names))
+            wait = idle_s if s["pending"] and idle_s is not None else close_s
+            if wait is not None:
+                state.setTimeoutDuration(wait * 1000)
         for out in outs:
             out["symbol"], out["session_date"], out["late_polls"] = symbol, session_date, s["late"]
             yield out.reindex(columns=[f.name for f in OUT_SCHEMA.fields])
@@ -242,29 +260,43 @@ def poll_event_rows(polls: DataFrame, snaps: DataFrame) -> DataFrame:
 
 def end_markers(events: DataFrame) -> DataFrame:
     """One row per session of a (batch) poll log that tells the stream that the session is over."""
-    named = {f.name for f in POLL_EVENTS_SCHEMA.fields}
     ends = events.groupBy("symbol", "session_date").agg(F.max("fetch_start").alias("fetch_start"), F.max("fetch_end").alias("fetch_end"))
-    return ends.select(*[(F.col(f.name) if f.name in ("symbol", "session_date", "fetch_start", "fetch_end") and f.name in named
-                          else F.lit(None).cast(f.dataType)).alias(f.name) for f in POLL_EVENTS_SCHEMA.fields])
+    return ends.select(*[(F.lit(True) if f.name == "ended" else F.col(f.name) if f.name in ("symbol", "session_date", "fetch_start", "fetch_end")
+                          else F.lit(None).cast(f.dataType)).alias(f.name) for f in LANDING_SCHEMA.fields])
+
+
+def valid_event(events: DataFrame) -> Column:
+    """Rows that are a poll's bar, a poll without one, or an end marker."""
+    poll = F.col("poll_id").isNotNull() & F.col("ok").isNotNull() & F.col("fetch_start").isNotNull() & F.col("fetch_end").isNotNull()
+    fine = F.col("symbol").isNotNull() & F.col("session_date").isNotNull() & (F.coalesce("ended", F.lit(False)) | poll)
+    return fine & F.col(CORRUPT).isNull() if CORRUPT in events.columns else fine
+
 
+def malformed_events(events: DataFrame) -> DataFrame:
+    """What ``valid_event`` refuses, with the file it came from."""
+    return events.where(~valid_event(events)).withColumn("landing_file", F.input_file_name())
 
-def stream_states(events: DataFrame, p: Params = DEFAULT, idle_s: int | None = None) -> DataFrame:
-    """Streaming poll events -> one state row per complete poll, and one per late row.
+
+def stream_states(events: DataFrame, p: Params = DEFAULT, idle_s: int | None = None, close_s: int | None = None) -> DataFrame:
+    """Streaming poll events -> one state row per complete poll, one per late row and, with ``close_s``, one per session that is over.
 
     ``idle_s``: fold what waits when a session got no data for so long (wall clock);
-    None waits for newer polls or the end marker.
+    None waits for newer polls or the end marker. ``close_s``: drop a session's state after so long without data, or at its end marker.
     """
     from ..session import ship_package
     ship_package(events.sparkSession)
+    if "ended" not in events.columns:
+        events = events.withColumn("ended", F.lit(False))
+    events = events.where(valid_event(events))
     if p.market_hours_only:
         from ..functions.calendar import is_market_open
         events = events.where(F.col("poll_id").isNull() | is_market_open(to_market_time(F.col("fetch_start"), p), p))
     src = events.select(
-        "symbol", "session_date", "poll_id", "ok", "seq",
+        "symbol", "session_date", "poll_id", "ok", "seq", "ended",
         _micros("fetch_start").alias("fetch_start_us"), _micros("fetch_end").alias("fetch_end_us"),
         _micros("bar_utc").alias("bar_us"), "open", "high", "low", "close", "volume")
-    timeout = GroupStateTimeout.NoTimeout if idle_s is None else GroupStateTimeout.ProcessingTimeTimeout
-    return src.groupBy("symbol", "session_date").applyInPandasWithState(make_state_fn(p, idle_s), OUT_SCHEMA, STATE_SCHEMA, "append", timeout)
+    timeout = GroupStateTimeout.NoTimeout if idle_s is None and close_s is None else GroupStateTimeout.ProcessingTimeTimeout
+    return src.groupBy("symbol", "session_date").applyInPandasWithState(make_state_fn(p, idle_s, close_s), OUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
 def states_to_ticks(states: DataFrame, p: Params = DEFAULT, keep: tuple = ()) -> DataFrame:
@@ -278,11 +310,29 @@ def states_to_ticks(states: DataFrame, p: Params = DEFAULT, keep: tuple = ()) ->
     return tick_rows(s, p, keep)
 
 
-def read_landing(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(POLL_EVENTS_SCHEMA)
+def _landing_options(reader, fmt: str):
+    if fmt not in ("parquet", "json", "csv"):
+        raise ValueError(f"landing format {fmt!r}: parquet, json or csv")
+    schema = LANDING_SCHEMA if fmt == "parquet" else T.StructType([*LANDING_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = reader.schema(schema).option("ignoreCorruptFiles", True)
+    if fmt != "parquet":
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.option("header", True) if fmt == "csv" else reader
+
+
+def read_landing(spark: SparkSession, landing: str, max_files: int | None = None, fmt: str = "parquet") -> DataFrame:
+    """The landing folder as a stream of poll events (Parquet, JSON lines or CSV with a header). Lines that can't be parsed come with
+    ``CORRUPT`` set, unreadable Parquet files are passed over."""
+    r = _landing_options(spark.readStream, fmt)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(landing)
+    return r.format(fmt).load(landing)
+
+
+def read_landed(spark: SparkSession, landing: str, fmt: str = "parquet") -> DataFrame:
+    """The polls that have landed, as a batch: valid rows without end markers."""
+    rows = _landing_options(spark.read, fmt).format(fmt).load(landing)
+    return rows.where(valid_event(rows) & F.col("poll_id").isNotNull()).select(*POLL_EVENTS_SCHEMA.fieldNames())
 
 
 def dedup_bars_stream(events: DataFrame, delay: str | None = None) -> DataFrame:
