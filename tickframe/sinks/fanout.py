@@ -42,7 +42,7 @@ class Sinks:
 
     def read(self, spark: SparkSession) -> dict[str, DataFrame]:
         """What readers of each sink see, in the tick layout."""
-        return {"table": spark.table(self.table), "csv": files.strip_keys(files.read_csv(spark, self.csv_dir)),
+        return {"table": files.strip_keys(spark.table(self.table)), "csv": files.strip_keys(files.read_csv(spark, self.csv_dir)),
                 "parquet": files.strip_keys(files.read_parquet(spark, self.parquet_dir))}
 
 
