@@ -211,3 +211,61 @@ def test_empty_tables(spark, docs):
     assert ngram_join.shingle_components(none).count() == 0
     assert suffix_dedup.remove_repeats(none).count() == 0
     assert paragraph_dedup.remove_paragraphs(none).count() == 0
+
+
+# --- fingerprints --------------------------------------------------------------
+def thue_morse(n, a, b):
+    word = [a]
+    for _ in range(n):
+        word += [b if x == a else a for x in word]
+    return word
+
+
+def test_structured_texts_have_fingerprints_of_their_own():
+    from tickframe.llm.common import PRIME, SpanHash, times
+    p = int(PRIME)
+    a = np.array([p - 1, p - 1, 0, 12345678901234567, 2 ** 60], np.uint64)
+    b = np.array([p - 1, 1, 5, 2 ** 61 - 2, 2 ** 60 + 7], np.uint64)
+    assert [int(x) for x in times(a, b)] == [int(x) * int(y) % p for x, y in zip(a, b)]
+    for n in range(6, 15):
+        data = np.frombuffer("".join(thue_morse(n, "a", "b") + thue_morse(n, "b", "a") + thue_morse(n, "a", "b")).encode(), np.uint8)
+        at = np.arange(3) << n
+        h = SpanHash(data).spans(at, at + (1 << n))
+        assert h[0] != h[1] and h[0] == h[2]
+
+
+@pytest.fixture(scope="module")
+def twins(spark):
+    """Texts that a polynomial modulo 2^64 can't tell apart: long words, and lines of many words."""
+    long_word = ["".join(thue_morse(10, *ab)) for ab in ("ab", "ba")]
+    line = [" ".join(thue_morse(10, *ab)) for ab in (("lo", "mi"), ("mi", "lo"))]
+    rows = [(i, t, "en", "s") for i, t in enumerate([*long_word, *line, *(f"one two three {w} four five" for w in long_word)])]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+def test_structured_texts_are_not_taken_for_copies(twins):
+    from tickframe.llm import katz, ngram_join, paragraph_dedup, suffix_dedup
+    joined = ngram_join.shingle_components(twins).collect()
+    assert [r.component_id for r in joined if r.id in (0, 1, 4, 5)] == [r.id for r in joined if r.id in (0, 1, 4, 5)]
+    for r in paragraph_dedup.remove_paragraphs(twins.filter("doc_id IN (0, 1, 2, 3)")).collect():
+        if r.id < 2:
+            assert r.removed_words == 0
+    texts = [r.text.encode() for r in twins.orderBy("doc_id").collect()]
+    want = repeated_bytes(texts, 400)
+    assert {r.id: r.n_removed for r in suffix_dedup.remove_repeats(twins).collect()} == want
+    data = np.frombuffer(b" ".join(texts[:2]), np.uint8)
+    assert len(set(katz.SpanHash(data).spans(np.array([0, 1025]), np.array([1024, 2049])).tolist())) == 2
+
+
+def repeated_bytes(texts, n):
+    """Bytes of each text that lie in an n-byte string which starts anywhere else too."""
+    places = {}
+    for i, t in enumerate(texts):
+        for at in range(len(t) - n + 1):
+            places.setdefault(t[at:at + n], []).append((i, at))
+    gone = [set() for _ in texts]
+    for found in places.values():
+        if len(found) > 1:
+            for i, at in found:
+                gone[i].update(range(at, at + n))
+    return {i: len(g) for i, g in enumerate(gone)}

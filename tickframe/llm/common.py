@@ -91,11 +91,6 @@ def text_slices(batch, column: str = "text", most: int = 2_000_000):
 
 
 # --- hashing -------------------------------------------------------------------
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_POWERS: dict = {}
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every bit of a 64-bit value."""
     h = h ^ (h >> np.uint64(30))
@@ -106,30 +101,69 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-# A random odd-looking 64-bit value for every byte, derived from its number.
-BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+# Arithmetic modulo the prime 2^61 - 1. A polynomial in a field has at most as many zeros as its degree; modulo 2^64 whole families
+# of different texts (Thue-Morse words and their complements) would share one value whatever the base.
+PRIME = np.uint64((1 << 61) - 1)
+_BASE = 0x1B873593CC9E2D51 % ((1 << 61) - 1)
+_INVERSE = pow(_BASE, -1, (1 << 61) - 1)
+_LOW32, _LOW29 = np.uint64(0xFFFFFFFF), np.uint64((1 << 29) - 1)
+_POWERS: dict = {}
+# Values worked off at a time, so that temporaries stay in the cache.
+_CHUNK = 1 << 15
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Values below 2^64 modulo the prime."""
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, of values below it."""
+    ah, al, bh, bl = a >> np.uint64(32), a & _LOW32, b >> np.uint64(32), b & _LOW32
+    low, mid = al * bl, ah * bl + al * bh
+    return _fold((low & PRIME) + (low >> np.uint64(61)) + ((ah * bh) << np.uint64(3)) + (mid >> np.uint64(29)) + ((mid & _LOW29) << np.uint64(32)))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def _powers(base: int, n: int) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
         size = 1 << max(16, int(n - 1).bit_length())
-        with np.errstate(over="ignore"):
-            have = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, base)]), dtype=np.uint64)
+        have = np.ones(1, np.uint64)
+        while len(have) < size:
+            have = np.concatenate([have, times(have, np.uint64(pow(base, len(have), int(PRIME))))])
         if size <= 1 << 22:
             _POWERS[base] = have
     return have[:n]
 
 
 class SpanHash:
-    """64-bit fingerprints of any byte spans of one buffer, from prefix sums (all arithmetic modulo 2^64)."""
+    """64-bit fingerprints of any spans of one array (bytes or 64-bit values), from prefix sums of a polynomial modulo the prime."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_CODE[data] * _powers(_BASE, n), out=self.sums[1:])
+        powers = _powers(_BASE, n)
+        upto = 0
+        for at in range(0, n, _CHUNK):
+            part, p = data[at:at + _CHUNK], powers[at:at + _CHUNK]
+            if part.dtype == np.uint8:
+                small = part.astype(np.uint64) + np.uint64(1)
+                high = small * (p >> np.uint64(32))
+                terms = small * (p & _LOW32) + (high >> np.uint64(29)) + ((high & _LOW29) << np.uint64(32))  # below 2^62
+            else:
+                terms = times(_fold(part), p)
+            high = np.cumsum(terms >> np.uint64(32))
+            upto_here = _fold(np.cumsum(terms & _LOW32) + (high >> np.uint64(29)) + ((high & _LOW29) << np.uint64(32)))
+            upto_here = _fold(upto_here + np.uint64(upto))
+            self.sums[at + 1:at + 1 + len(part)] = upto_here
+            upto = int(upto_here[-1])
         self.back = _powers(_INVERSE, n + 1)
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self.sums[end] - self.sums[start]) * self.back[start]
-        return mix(h + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        out = np.empty(len(start), np.uint64)
+        for at in range(0, len(start), _CHUNK):
+            s, e = start[at:at + _CHUNK], end[at:at + _CHUNK]
+            h = times(_fold(self.sums[e] + (PRIME - self.sums[s])), self.back[s])
+            out[at:at + _CHUNK] = mix(h + (e - s).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        return out

@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import SpanHash, col, mix, ready, stored, text_bytes, text_slices
-from tickframe.llm.common import _BASE, _INVERSE, _powers
 from tickframe.llm.ngram_join import PARITY, Candidates, parity_column
 from tickframe.llm.shingles import lower_ascii, shingle_sets, word_spans
 
@@ -64,9 +63,8 @@ def units(data: np.ndarray, off: np.ndarray, section: int) -> tuple:
     whole = new_line[sec_first] & np.isin(sec_last, line_last)
     first = np.concatenate([line_first, sec_first[~whole]])
     final = np.concatenate([line_last, sec_last[~whole]])
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(words * _powers(_BASE, m), dtype=np.uint64)])
     n = final - first + 1
-    digest = mix((sums[final + 1] - sums[first]) * _powers(_INVERSE, m)[first] + n.astype(np.uint64) * _SEEDS[3])
+    digest = SpanHash(words).spans(first, final + 1)
     is_line = np.arange(len(first)) < len(line_first)
     return text[first], start[first], end[final], n, digest, is_line
 

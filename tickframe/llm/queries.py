@@ -132,7 +132,7 @@ FROM mix_order GROUP BY doc_id, mix_size, source_size, target, done""")
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
-    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans")
 
 
 def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
