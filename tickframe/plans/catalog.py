@@ -21,7 +21,7 @@ from ..operators.expectations import expectation_report
 from ..operators.features import candle_columns, fetch_latency_ms
 from ..operators.sessions import flush_batch, running_vwap
 from ..params import DEFAULT, FLUSH_EVERY, VWAP_GOOD_ONLY, Params
-from ..schema import LEGACY_MISSING, TICK_COLUMNS
+from ..schema import INT_COLUMNS, LEGACY_MISSING, TICK_COLUMNS
 from ..sources import fixtures as fx
 from . import oracle as O
 from .ticks import fixture_states, fixture_ticks
@@ -333,6 +333,80 @@ SQL_LATENCY_SUMMARY = O.with_ctes(O.ticks_ctes(), f"""SELECT symbol, year, month
 FROM ticks GROUP BY symbol, year, month, date""")
 
 
+def q_latency_overall(spark, sf):
+    """The latency description of all ticks, its quartiles found by counting passes."""
+    return agg.latency_summary(fixture_ticks(spark, sf), by=())
+
+
+SQL_LATENCY_OVERALL = SQL_LATENCY_SUMMARY.replace("SELECT symbol, year, month, date,", "SELECT").replace("FROM ticks GROUP BY symbol, year, month, date", "FROM ticks")
+
+
+# Bars whose prices are planted at or below zero.
+_BAD_EVERY = 7
+
+
+def q_bad_price_outcomes(spark, sf):
+    """Outcomes over a log in which every seventh bar closes at a negative or zero price."""
+    from .ticks import event_states
+    ev = fx.fixture_poll_events(spark, sf)
+    slot = F.floor(F.unix_micros("bar_utc") / int(W_US_SQL))
+    planted = [F.when((slot % _BAD_EVERY == 0) & (F.col("high") != F.col("low")), F.when(slot % 2 == 0, -F.col(c)).otherwise(F.lit(0.0) * F.col(c)) if c == "close" else F.col(c))
+               .otherwise(F.col(c)).alias(c) for c in ("open", "high", "low", "close")]
+    ev = ev.select(*[c for c in ev.columns if c not in ("open", "high", "low", "close")], *planted)
+    return event_states(ev).select("symbol", "poll_id", "session_date", "base_outcome", "outcome", "fail_streak", "tick_no")
+
+
+def _bad_price_ctes() -> list:
+    out = []
+    for name, sql in O.pipeline_ctes():
+        out.append((name, sql))
+        if name == "snaps":
+            out[-1] = ("snaps_fine", sql)
+            out.append(("snaps", f"""  SELECT * REPLACE (CASE WHEN slot % {_BAD_EVERY} = 0 AND high <> low THEN CASE WHEN slot % 2 = 0 THEN -close ELSE 0.0 END
+    ELSE close END AS close) FROM snaps_fine"""))
+    return out
+
+
+SQL_BAD_PRICE = O.with_ctes(_bad_price_ctes(), "SELECT symbol, poll_id, session_date, base_outcome, outcome, fail_streak, tick_no FROM states")
+
+
+def q_provider_rows(spark, sf):
+    """One symbol's bars as the provider names them (two-level, mixed case), flattened, with the constant symbol put back."""
+    from ..operators.clean import normalise_columns
+    from ..sources.polls import with_symbol
+    bars = _bars(spark, sf).where("symbol = 'click'").select("slot", "open", "high", "low", "close", "volume")
+    named = bars.toDF("Slot", *[f"('{c.capitalize()}', 'click')" for c in bars.columns[1:]])
+    return with_symbol(normalise_columns(named), "^IDX")
+
+
+SQL_PROVIDER_ROWS = O.with_ctes(O.fixture_ctes(), "SELECT '^IDX' AS symbol, slot, open, high, low, close, volume FROM bars WHERE symbol = 'click'")
+
+
+def q_schema_checks(spark, sf):
+    """The schema rule (EXP-9) on an older-layout table before and after newer rows were appended, and the difference found between."""
+    from ..operators.expectations import schema_rows
+    from ..session import fresh_dir, materialised
+    from ..sinks.tables import append_ticks, schema_diff_df
+    t = materialised(fixture_ticks(spark, sf), "schema-rows")
+    name = _table_name("ticks_schema")
+    append_ticks(spark, t.drop(*LEGACY_MISSING), name, location=fresh_dir(spark, "schema"))
+    old = spark.table(name).schema
+    before, diff = schema_rows(spark, old), schema_diff_df(spark, old, t.schema)
+    append_ticks(spark, t, name, create=False)
+    parts = [before.select(F.lit("before").alias("stage"), "check", "ok"),
+             diff.select(F.lit("difference"), "column", F.col("in_table") & F.col("in_frame") & (F.col("type_table") == F.col("type_frame"))),
+             schema_rows(spark, spark.table(name).schema).select(F.lit("after"), "check", "ok")]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).select("stage", "check", F.coalesce("ok", F.lit(False)).alias("ok"))
+
+
+def _schema_checks_sql() -> str:
+    checks = [(f"int:{c}", True) for c in INT_COLUMNS]
+    rows = [("before", c, ok) for c, ok in [*checks, *((f"present:{c}", False) for c in LEGACY_MISSING)]]
+    rows += [("difference", c, c not in LEGACY_MISSING) for c in TICK_COLUMNS]
+    rows += [("after", c, True) for c, _ in [*checks, *((f"present:{c}", True) for c in LEGACY_MISSING)]]
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{c}', {ok})" for s, c, ok in rows) + ") v(stage, \"check\", ok)"
+
+
 def q_session_totals(spark, sf):
     return agg.session_totals(fixture_states(spark, sf))
 
@@ -716,6 +790,10 @@ QUERIES: dict = {
     "data_quality": (q_data_quality, SQL_DATA_QUALITY),
     "quality_counts": (q_quality_counts, SQL_QUALITY_COUNTS),
     "latency_summary": (q_latency_summary, SQL_LATENCY_SUMMARY),
+    "latency_overall": (q_latency_overall, SQL_LATENCY_OVERALL),
+    "bad_price_outcomes": (q_bad_price_outcomes, SQL_BAD_PRICE),
+    "provider_rows": (q_provider_rows, SQL_PROVIDER_ROWS),
+    "schema_checks": (q_schema_checks, _schema_checks_sql()),
     "session_totals": (q_session_totals, SQL_SESSION_TOTALS),
     "day_counts": (q_day_counts, SQL_DAY_COUNTS),
     "day_check": (q_day_check, SQL_DAY_CHECK),
