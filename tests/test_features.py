@@ -16,16 +16,16 @@ from tickframe.sources.polls import poll_log_from_rows
 UTC = dt.timezone.utc
 
 
-def test_candle_example(spark):
-    df = spark.createDataFrame([(23200.0, 23350.0, 23150.0, 23300.0)], "o double, h double, l double, c double")
+@pytest.mark.parametrize("o,h,l,c", [(50.0, 58.0, 48.0, 55.0), (55.0, 58.0, 48.0, 50.0), (12.5, 12.5, 12.0, 12.0)])
+def test_candle_features_follow_from_the_prices(spark, o, h, l, c):
+    df = spark.createDataFrame([(o, h, l, c)], "o double, h double, l double, c double")
     rng = cd.price_range("h", "l")
-    r = df.select(rng.alias("rng"), cd.upper_shadow("o", "h", "c").alias("us"),
-                  cd.lower_shadow("o", "l", "c").alias("ls"), cd.return_pct("o", "c").alias("ret"),
-                  cd.body_pct("o", "c", rng).alias("body"), cd.hl_ratio("h", "l").alias("hl")).first()
-    assert r.rng == 200.0 and r.us == 50.0 and r.ls == 50.0
-    assert r.ret == round(100 / 23200 * 100, 4) and r.ret > 0
-    assert 0 <= r.body <= 100 and r.body == 50.0
-    assert r.hl == round(23350 / 23150, 6) and r.hl > 1
+    r = df.select(rng.alias("rng"), cd.upper_shadow("o", "h", "c").alias("us"), cd.lower_shadow("o", "l", "c").alias("ls"),
+                  cd.return_pct("o", "c").alias("ret"), cd.body_pct("o", "c", rng).alias("body"), cd.hl_ratio("h", "l").alias("hl")).first()
+    assert (r.rng, r.us, r.ls) == (h - l, h - max(o, c), min(o, c) - l)
+    assert r.us + r.ls + abs(c - o) == pytest.approx(r.rng)
+    assert r.ret == pytest.approx((c - o) / o * 100, abs=5e-5) and r.body == pytest.approx(abs(c - o) / (h - l) * 100, abs=5e-3)
+    assert r.hl == pytest.approx(h / l, abs=5e-7)
 
 
 def test_candle_guards(spark):
@@ -39,23 +39,27 @@ def test_candle_guards(spark):
 
 
 def test_log_return_sign(spark):
-    df = spark.createDataFrame([(23100.0, 23000.0), (22900.0, 23000.0)], "c double, p double")
+    df = spark.createDataFrame([(64.0, 60.0), (57.0, 60.0)], "c double, p double")
     a, b = [r[0] for r in df.select(cd.log_return("c", "p")).collect()]
-    assert a == round(math.log(23100 / 23000), 6) and a > 0 and b < 0
+    assert (a, b) == (round(math.log(64 / 60), 6), round(math.log(57 / 60), 6)) and b < 0 < a
 
 
-DQ_CASES = [(0, 0, None, "BAD_PRICE"), (-1, 0, None, "BAD_PRICE"), (-100, 0, 23000, "BAD_PRICE"),
-            (106, 100, 100, "SPIKE"), (100 * (1 + 0.05 + 0.001), 0, 100, "SPIKE"),
-            (100 * (1 + 0.05 - 0.001), 0, 100, "OK_NO_VOL"), (100 * (1 - 0.05 - 0.001), 0, 100, "SPIKE"),
-            (23000, 100, None, "OK"), (23000, 100, 0, "OK"), (23000, 0, None, "OK_NO_VOL"),
-            (23000, 0, 22990, "OK_NO_VOL"), (23000, 1000, 22990, "OK")]
+def quality_by_hand(close, volume, before, limit=0.05):
+    if close <= 0:
+        return "BAD_PRICE"
+    if before is not None and before > 0 and abs(close - before) / before > limit:
+        return "SPIKE"
+    return "OK_NO_VOL" if volume == 0 else "OK"
 
 
-def test_data_quality_table(spark):
-    df = spark.createDataFrame([(float(c), float(v), None if p is None else float(p)) for c, v, p, _ in DQ_CASES],
-                               "c double, v double, p double")
-    got = [r[0] for r in df.select(data_quality("c", "v", "p")).collect()]
-    assert got == [e for *_, e in DQ_CASES]
+def test_data_quality_over_a_grid(spark):
+    """Every rule, alone and against the ones before it: sign of the price, size of the move either way, volume, unknown previous close."""
+    closes = [-3.0, 0.0, 0.01, 380.0, 379.9, 381.0, 399.0, 400.0, 419.0, 420.5, 800.0]
+    cases = [(c, v, p) for c in closes for v in (0.0, 17.0) for p in (None, 0.0, -1.0, 400.0)]
+    df = spark.createDataFrame(cases, "c double, v double, p double")
+    got = df.select("c", "v", "p", data_quality("c", "v", "p").alias("q")).collect()
+    assert {(r.c, r.v, r.p): r.q for r in got} == {x: quality_by_hand(*x) for x in cases}
+    assert {r.q for r in got} == {"BAD_PRICE", "SPIKE", "OK_NO_VOL", "OK"}
 
 
 def test_spike_boundary_is_strict(spark):
@@ -72,14 +76,13 @@ def test_quality_ok_and_symbol_safe(spark):
     assert [x.ok for x in r] == [True, False] and [x.s for x in r] == ["IDX", "BRK_B"]
 
 
-COLLAPSE_CASES = [((100.0, 100.0, 100.0, 100.0), True), ((23200.0, 23350.0, 23150.0, 23300.0), False),
-                  ((0.0, 0.0, 0.0, 0.0), False), ((100.0, 101.0, 100.0, 100.0), False)]
-
-
-def test_collapsed(spark):
-    df = spark.createDataFrame([c for c, _ in COLLAPSE_CASES], "o double, h double, l double, c double")
+def test_collapsed_needs_four_equal_positive_prices(spark):
+    flat = [7.25, 7.25, 7.25, 7.25]
+    cases = [tuple(flat), (-1.0,) * 4, (0.0,) * 4]
+    cases += [tuple(x + (0.5 if i == k else 0.0) for i, x in enumerate(flat)) for k in range(4)]  # any one differs
+    df = spark.createDataFrame(cases, "o double, h double, l double, c double")
     got = [r[0] for r in df.select(cd.is_collapsed("o", "h", "l", "c")).collect()]
-    assert got == [e for _, e in COLLAPSE_CASES]
+    assert got == [True] + [False] * 6
 
 
 def test_round_half_up_ties(spark):
@@ -95,25 +98,26 @@ def _poll(symbol, pid, session, start_utc, latency_ms, ok=True):
 
 
 def test_vwap_example(spark):
-    # Two bars (the collector's VWAP example); each poll also returns the live bar.
+    # Two bars; each poll also returns the live bar.
     s, day = "^IDX", dt.date(2026, 3, 23)
     t0 = dt.datetime(2026, 3, 23, 4, 0, tzinfo=UTC)
     polls = [_poll(s, 1, day, t0 + dt.timedelta(minutes=1, seconds=2), 300),
              _poll(s, 2, day, t0 + dt.timedelta(minutes=2, seconds=2), 300)]
-    snaps = [(s, 1, 0, t0, 23200.0, 23350.0, 23150.0, 23300.0, 500000.0),
+    snaps = [(s, 1, 0, t0, 81.0, 84.0, 80.0, 82.0, 1500.0),
              (s, 1, 1, t0 + dt.timedelta(minutes=1), 1.0, 1.0, 1.0, 1.0, 0.0),
-             (s, 2, 0, t0 + dt.timedelta(minutes=1), 23300.0, 23400.0, 23250.0, 23380.0, 600000.0),
+             (s, 2, 0, t0 + dt.timedelta(minutes=1), 82.0, 90.0, 81.0, 88.5, 4500.0),
              (s, 2, 1, t0 + dt.timedelta(minutes=2), 1.0, 1.0, 1.0, 1.0, 0.0)]
     p, b = poll_log_from_rows(spark, polls, snaps)
     out = ticks(p, b).orderBy("bar_ts").collect()
-    tp1, tp2 = (23350 + 23150 + 23300) / 3, (23400 + 23250 + 23380) / 3
+    tp1, tp2 = (84 + 80 + 82) / 3, (90 + 81 + 88.5) / 3
     assert out[0].vwap == round(tp1, 2)
-    assert out[1].vwap == round((tp1 * 500000 + tp2 * 600000) / 1100000, 2)
-    assert 23150 <= out[1].vwap <= 23400
+    assert out[1].vwap == round((tp1 * 1500 + tp2 * 4500) / 6000, 2)
+    assert 80 <= out[1].vwap <= 90
 
 
 def test_golden_row(spark):
     """The one stored row: bar 15:28 IST of 2026-04-02, polled 2026-04-03 09:35:31.927661 IST."""
+    # The one stored example row (as in test_tables.py), its prices and times as input and its columns as result.
     s = "^IDX"
     end = dt.datetime(2026, 4, 3, 4, 5, 31, 927661, tzinfo=UTC)
     start = end - dt.timedelta(microseconds=560500)
