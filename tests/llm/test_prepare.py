@@ -49,6 +49,17 @@ def test_pieces_hold_the_ids_of_the_tokenizer(docs):
     assert back == want
 
 
+def test_white_space_at_the_ends_of_neighbouring_texts():
+    """Words with white space at an end are never encoded beside each other."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = packing.tokenizer_file("byte_bpe_50k.json")
+    texts = ["a s\n", "\tfoo b", "x\n\n", "\n\n\ty z", "p q\x0b", " lead", "trail ", "k\u00a0", "\u00a0m n"]
+    ids, off = packing.BlockEncoder(path, packing.tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).encode(pa.array(texts))
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == want
+
+
 def test_cut_is_the_binary_decomposition():
     row, start, length = packing.cut(np.array([1, 0, 5, 16, 37]), 16)
     assert list(zip(row.tolist(), start.tolist(), length.tolist())) == [
