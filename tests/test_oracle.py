@@ -16,7 +16,8 @@ from tickframe.plans import catalog  # noqa: E402
 SQL = {n: sql for n, (_, sql) in catalog.QUERIES.items()}
 FAST = [n for n in catalog.QUERIES if n not in ("sink_fanout", "stream_ticks", "table_roundtrip",
                                              "csv_roundtrip", "parquet_roundtrip", "schema_evolution",
-                                                   "stream_ticks_multi_batch", "stream_late_polls", "sink_retry")]
+                                                   "stream_ticks_multi_batch", "stream_late_polls", "sink_retry",
+                                                   "stream_restated", "stream_dedup_exact", "sink_append_twice")]
 
 
 @pytest.fixture(scope="module")

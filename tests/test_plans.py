@@ -12,6 +12,7 @@ from tickframe.plans import catalog
 # from files they wrote, not from the events scan.
 WRITE_OR_STREAM = {"table_roundtrip", "csv_roundtrip", "parquet_roundtrip", "schema_evolution",
                    "sink_fanout", "stream_ticks", "stream_dedup", "union_append", "stream_ticks_multi_batch",
+                   "stream_restated", "stream_dedup_exact", "sink_append_twice", "schema_checks",
                    "stream_late_polls", "sink_retry", "day_check_one_day", "tick_table_split_sessions"}
 
 
