@@ -24,6 +24,10 @@ def test_cli_round_trip(spark, capsys):
     assert "ticks" in out and "data quality" in out and "latency ms" in out
     assert main(["expectations", "--table", table], spark=spark) == 0
     assert "EXP-12" in capsys.readouterr().out
+    kept = ["expectations", "--table", table, "--csv", f"{base}/csv", "--parquet", f"{base}/pq", "--report-dir", f"{base}/report"]
+    assert main(kept, spark=spark) == 0 and main(kept, spark=spark) == 0
+    out = capsys.readouterr().out
+    assert out.count("EXP-10") == 2 and len(set(out.splitlines())) == 12
 
 
 def test_cli_poll_events_layout(spark):

@@ -3,7 +3,7 @@
     python -m tickframe ticks --polls P --snaps S --table T --csv C --parquet Q
     python -m tickframe ticks --poll-events E --table T --csv C --parquet Q
     python -m tickframe verify --table T --date 2026-04-02
-    python -m tickframe expectations --table T
+    python -m tickframe expectations --table T --report-dir R
     python -m tickframe live --landing L --table T --csv C --parquet Q --checkpoint K
 
 Only summary rows are brought to the driver and printed.
@@ -102,7 +102,9 @@ def cmd_verify(spark, a) -> int:
 
 def cmd_expectations(spark, a) -> int:
     from .operators.expectations import full_report
-    rows = full_report(spark, _sinks(a) if a.csv and a.parquet else a.table).collect()
+    from .plans.report import stored_report
+    of = _sinks(a) if a.csv and a.parquet else a.table
+    rows = full_report(spark, of, data_rules=stored_report(spark, of, a.report_dir) if a.report_dir else None).collect()
     for r in rows:
         print(f"{r.rule:7s} checked={r.checked} violations={r.violations}")
     return 1 if a.strict and any(r.violations for r in rows) else 0
@@ -147,6 +149,7 @@ def build_parser() -> argparse.ArgumentParser:
     e.add_argument("--strict", action="store_true", help="exit 1 on any violation")
     e.add_argument("--csv", help="with --parquet: compare the three sinks too (EXP-10)")
     e.add_argument("--parquet")
+    e.add_argument("--report-dir", help="keep the report there and read only what changed since the last one")
     e.set_defaults(table_location=None, table_format="parquet")
     m = sub.add_parser("maintain", help="compact finished sessions, delete what no reader sees")
     for k in ("--table", "--csv", "--parquet"):

@@ -17,7 +17,7 @@ from ..functions import calendar as cal
 from ..functions.candle import is_collapsed
 from ..functions.quality import data_quality
 from ..params import DEFAULT, DQ_LABELS, Params
-from ..schema import INT_COLUMNS, LEGACY_MISSING, TICK_SCHEMA
+from ..schema import INT_COLUMNS, LEGACY_MISSING, PARTITION_COLUMNS, TICK_SCHEMA
 from ..session import materialised
 
 RULES = ["EXP-1", "EXP-2", "EXP-3", "EXP-4", "EXP-5", "EXP-6", "EXP-7", "EXP-8", "EXP-11", "EXP-12"]
@@ -62,11 +62,24 @@ def violations(ticks: DataFrame, p: Params = DEFAULT, session_col: str | None =
 
 def expectation_report(ticks: DataFrame, p: Params = DEFAULT, session_col: str | None = None) -> DataFrame:
     """``(rule, checked, violations)``, one row per data rule; ``checked`` counts the rows that could tell."""
-    v = violations(ticks, p, session_col)
+    return _counted(violations(ticks, p, session_col).groupBy())
+
+
+def session_report(ticks: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """``(unit, rule, checked, violations)`` of the data rules by unit (``unit_of``): no rule looks beyond a unit's rows."""
+    return _counted(violations(ticks, p).groupBy(unit_of().alias("unit")), "unit")
+
+
+def unit_of():
+    """The day a tick was collected; rows without it count by the day they are stored under."""
+    return F.coalesce(F.date_format("tick_ts", "yyyy-MM-dd"), F.concat_ws("-", F.lit("none"), *PARTITION_COLUMNS))
+
+
+def _counted(rows, *by: str) -> DataFrame:
     names = [(k, k.replace("-", "_")) for k in RULES]
-    summary = v.agg(*[F.count("v_" + n).alias("c_" + n) for _, n in names], *[F.count_if(F.col("v_" + n)).alias(n) for _, n in names])
+    summary = rows.agg(*[F.count("v_" + n).alias("c_" + n) for _, n in names], *[F.count_if(F.col("v_" + n)).alias(n) for _, n in names])
     stack = ", ".join(f"'{k}', c_{n}, {n}" for k, n in names)
-    return summary.selectExpr(f"stack({len(RULES)}, {stack}) AS (rule, checked, violations)")
+    return summary.selectExpr(*by, f"stack({len(RULES)}, {stack}) AS (rule, checked, violations)")
 
 
 def schema_report(schema: T.StructType) -> list[tuple[str, bool]]:
@@ -82,12 +95,14 @@ def schema_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame(schema_report(schema), "check string, ok boolean")
 
 
-def full_report(spark: SparkSession, of, p: Params = DEFAULT) -> DataFrame:
+def full_report(spark: SparkSession, of, p: Params = DEFAULT, data_rules: DataFrame | None = None) -> DataFrame:
     """``(rule, checked, violations)`` of every rule, EXP-9 on the table's schema included; with the three sinks
-    (``sinks.fanout.Sinks``) instead of a table name EXP-10 too: rows that a file sink lacks or has beyond the table's."""
+    (``sinks.fanout.Sinks``) instead of a table name EXP-10 too: rows that a file sink lacks or has beyond the table's.
+
+    ``data_rules``: the data rules' rows, where they are known (``plans.report.stored_report``)."""
     table = spark.table(of if isinstance(of, str) else of.table)
     checks = schema_report(table.schema)
-    out = expectation_report(table, p).unionAll(spark.createDataFrame([("EXP-9", len(checks), sum(not ok for _, ok in checks))], "rule string, checked long, violations long"))
+    out = (expectation_report(table, p) if data_rules is None else data_rules).unionAll(spark.createDataFrame([("EXP-9", len(checks), sum(not ok for _, ok in checks))], "rule string, checked long, violations long"))
     if not isinstance(of, str):
         sides = of.read(spark)
         # Columns that an older table lacks are NULL in the files.

@@ -561,6 +561,21 @@ def q_expectations_planted(spark, sf):
     return expectation_report(t.drop("session_date"))
 
 
+def q_expectations_stored(spark, sf):
+    """A stored report, continued after an append to some of the days: equal to the report of the whole table."""
+    from ..session import fresh_dir, materialised
+    from ..sinks.tables import append_ticks
+    from .report import stored_report
+    base, name = fresh_dir(spark, "report"), _table_name("ticks_report")
+    t = fixture_ticks(spark, sf, keep=("tick_no",))
+    t = materialised(t.select(*[F.expr(dict(PLANTED)[c]).alias(c) if c in dict(PLANTED) else F.col(c) for c in t.columns]), "report-rows")
+    early = (F.col("date") <= 15) | (F.col("tick_no") <= FLUSH_EVERY)
+    append_ticks(spark, t.where(early).drop("tick_no"), name, location=f"{base}/table")
+    stored_report(spark, name, f"{base}/report")
+    append_ticks(spark, t.where(~early).drop("tick_no"), name, create=False)
+    return stored_report(spark, name, f"{base}/report")
+
+
 # ---------------------------------------------------------------- sinks, tables, streams
 def _ticks_keyed(spark, sf):
     return fixture_ticks(spark, sf, keep=("session_date",))
@@ -802,6 +817,7 @@ QUERIES: dict = {
     "symbol_safe": (q_symbol_safe, SQL_SYMBOL_SAFE),
     "bar_lag": (q_bar_lag, SQL_BAR_LAG),
     "expectations": (q_expectations, _expectations_sql()),
+    "expectations_stored": (q_expectations_stored, _expectations_sql(PLANTED, "CAST(tick_ts AS DATE)")),
     "expectations_planted": (q_expectations_planted, _expectations_sql(PLANTED, "CAST(tick_ts AS DATE)")),
     "table_roundtrip": (q_table_roundtrip, SQL_TICK_TABLE),
     "csv_roundtrip": (q_csv_roundtrip, SQL_TICK_TABLE),

@@ -39,11 +39,7 @@ class Ledger:
         path = path.rstrip("/")
         fs, at = file_system(spark, f"{path}/{_POINTER}")
         if fs.exists(at):
-            stream = fs.open(at)
-            try:
-                return cls(spark, spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-            finally:
-                stream.close()
+            return cls(spark, read_file(spark, f"{path}/{_POINTER}"))
         fs, at = file_system(spark, f"{path}/{_FOLDER}/commits")
         return cls(spark, f"{path}/{_FOLDER}") if fs.exists(at) else None
 
@@ -61,7 +57,7 @@ class Ledger:
             fs, at = file_system(spark, folder)
             fs.mkdirs(at)
         if root is not None:
-            _create(spark, f"{path}/{_POINTER}", led.root)
+            create_file(spark, f"{path}/{_POINTER}", led.root)
         return led
 
     def last(self) -> int:
@@ -92,10 +88,19 @@ class Ledger:
     def commit(self, number: int, write_id: str, attempt: str, as_of: int = -1) -> bool:
         """Publish an attempt under this number; False if the number is taken."""
         line = json.dumps({"commit": number, "write_id": write_id, "attempt": attempt, "as_of": as_of})
-        return _create(self.spark, f"{self.root}/commits/{number:012d}.json", line)
+        return create_file(self.spark, f"{self.root}/commits/{number:012d}.json", line)
 
 
-def _create(spark: SparkSession, path: str, text: str) -> bool:
+def read_file(spark: SparkSession, path: str) -> str:
+    fs, at = file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file that must not exist yet; False if it does."""
     from py4j.protocol import Py4JJavaError
     fs, at = file_system(spark, path)
