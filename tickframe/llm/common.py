@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.session import fresh_dir, ship_package
+from tickframe.session import file_system, fresh_dir, ship_package
 
 # Code points that separate words: space, tab, line feed, vertical tab, form feed, return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -22,10 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the cluster's shared folder and read it back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the cluster's shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``path``: the new folder to use, for a caller that gives it back with ``discard``."""
     spark = df.sparkSession
-    path = fresh_dir(spark, name)
+    path = path or fresh_dir(spark, name)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
@@ -35,6 +37,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stored pass that nothing reads any more: all that was made of it must be stored itself."""
+    fs, at = file_system(spark, path)
+    fs.delete(at, True)
+
+
 def ready(spark: SparkSession) -> None:
     """Make this package importable in the executors' Python workers."""
     ship_package(spark)
