@@ -267,6 +267,15 @@ def test_joined_tables_score_like_the_model_in_memory(docs, order):
     _same_scores(katz.score_documents(rows, order=order).collect(), katz.score_documents(rows, order=order, share=0.0).collect())
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_many_blocks_and_split_context_words_change_no_score(docs, order):
+    rows = docs.filter("text is null or length(text) < 20000")
+    hot = rows.sparkSession.createDataFrame([(10_000 + i, " ".join(f"the w{(i * 7 + j) % 90} the the" for j in range(60))) for i in range(40)], "doc_id long, text string")
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text").union(hot)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0]
+    _same_scores(katz.score_documents(rows, order=order, block_bytes=size // 9).collect(), katz.score_documents(rows, order=order, share=0.0).collect())
+
+
 def test_rare_grams_stay_however_large_the_corpus(spark):
     rare = "seven rare words that come only once"
     rows = [(1, "x y z " * 400_000), (2, rare), *((i, f"{rare} {i}") for i in range(3, 40))]

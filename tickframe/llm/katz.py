@@ -11,9 +11,10 @@ weights hand to the next lower order, computed from the very sums they must bala
 
 The lowest order holds every training word, and one unit for all others, with the mass of words seen once.
 
-Words are 64-bit fingerprints. Distinct n-grams, their probabilities and the weights of contexts are tables partitioned by hash
-in the shared folder and are joined order by order; nothing that grows with the corpus goes to the driver or to every task.
-Scoring evaluates the recursion once for every distinct n-gram of the whole text and joins the documents to the results.
+Words are 63-bit fingerprints, the most frequent ones numbers. Texts are dealt to blocks; the distinct n-grams of a block go, packed and
+compressed, to buckets by their last context word, where all contexts that end in it are whole and the recursion runs order by order. Context words
+too frequent for one bucket are dealt over several by the word before, and their bigrams are summed and weighted in a table. The probabilities come
+back to the blocks as 4-byte floats and are summed in doubles. Nothing that grows with the corpus goes to the driver or to every task.
 
 ``fit`` and a ``share`` given to ``score_documents`` are the bounded variant: words and n-grams below that share of all tokens
 are left out, and the conditional part of the model goes to every task.
@@ -32,15 +33,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import SpanHash, col, crc_mod, mix, ready, stored, text_slices
+from tickframe.llm.common import SpanHash, col, crc_mod, discard, mix, ready, stored, text_bytes, text_slices
 from tickframe.llm.shingles import lower_ascii, word_spans
+from tickframe.session import fresh_dir
 
 ORDER = 3
 HELD_OUT_OF = 10
 # The one token that no word can be: a space.
 END = " "
-# Fingerprint of the end, and of the place before a document's first word.
-END_MARK, START_MARK = np.uint64(0x5851F42D4C957F2D), np.uint64(0)
+# Fingerprint of the end.
+END_MARK = np.uint64(0x5851F42D4C957F2D)
+# Most frequent words that have a number of their own (at most 4 MB to every task); others travel as fingerprints with the highest bit set.
+TOP_WORDS, RARE = 1 << 18, np.uint64(1 << 63)
+# Text of a block, and of a bucket's share; the number of both grows with the corpus.
+BLOCK_BYTES = 8_000_000
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
@@ -328,62 +334,248 @@ def _counts_of_counts(counts: DataFrame) -> list:
     return [(r["n"], r["m"]) for r in rows]
 
 
-def _grams(data: np.ndarray, off: np.ndarray, order: int) -> tuple[np.ndarray, list, np.ndarray]:
-    """(document, words, fingerprint) of the n-gram that ends at every token; start marks stand for words before the document."""
+def _marks(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, 63-bit fingerprint) of every token."""
     data = lower_ascii(data)
     text, start, end = word_spans(data, off)
-    doc, ids, place = _with_ends(text, np.zeros(len(text), np.int64), len(off) - 1, 0)
-    marks = np.full(len(ids), END_MARK)
-    marks[place] = np.maximum(SpanHash(data).spans(start, end), np.uint64(1))
+    doc, _, place = _with_ends(text, np.zeros(len(text), np.int64), len(off) - 1, 0)
+    marks = np.full(len(doc), END_MARK >> np.uint64(1))
+    marks[place] = SpanHash(data).spans(start, end) >> np.uint64(1)
+    return doc, marks
+
+
+def _mark_counts(batches):
+    """Distinct words of a block with their training count (0 for those of held-out documents alone)."""
+    for b in batches:
+        for rows, data, off in text_slices(b, most=8_000_000):
+            train = rows.column("train").to_numpy(zero_copy_only=False)
+            doc, marks = _marks(data, off)
+            words, which = np.unique(marks, return_inverse=True)
+            counts = np.bincount(which[train[doc]], minlength=len(words))
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], ["w", "n"])
+
+
+class Coding:
+    """Words as numbers: 0 stands before a document, then the ``TOP_WORDS`` most frequent words, most frequent first; any other word is
+    its fingerprint with the highest bit set. Only the frequent ones go to every task, so its size does not depend on the corpus."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, order: int, buckets: int, total: int):
+        by = np.argsort(words)
+        self.words, self.code = words[by], by.astype(np.uint64) + np.uint64(1)
+        self.counts = np.concatenate([[0], counts]).astype(np.int64)
+        self.order, self.buckets = order, buckets
+        # Parts into which the n-grams of a frequent last context word are dealt.
+        self.parts = np.maximum(self.counts * buckets // max(total, 1), 1).astype(np.uint64)
+
+    def codes(self, marks: np.ndarray) -> np.ndarray:
+        words, which = np.unique(marks, return_inverse=True)
+        at = _find(self.words, words)
+        return np.where(at >= 0, self.code[np.maximum(at, 0)] if len(self.code) else np.uint64(0), words | RARE)[which]
+
+    def known(self, codes: np.ndarray) -> np.ndarray:
+        """Training counts of frequent words; -1 for the others."""
+        top = codes < RARE
+        return np.where(top, self.counts[np.where(top, codes, np.uint64(0)).astype(np.int64)], -1)
+
+    def split(self, codes: np.ndarray) -> np.ndarray:
+        """Which context words have their n-grams in several buckets."""
+        return (codes < RARE) & (self.parts[np.where(codes < RARE, codes, np.uint64(0)).astype(np.int64)] > 1)
+
+    def bucket(self, parts: list) -> np.ndarray:
+        """Bucket by the last context word: all contexts that end in it, of any order, lie there. A frequent one is dealt further by the word
+        before it, so contexts of two words and more stay whole; n-grams at a document's start need no context and go by their word."""
+        last = parts[-2]
+        deal = self.parts[np.where(last < RARE, last, np.uint64(0)).astype(np.int64)]
+        other = mix(parts[-3] if self.order > 2 else parts[-1])
+        h = np.where(last == 0, mix(parts[-1] + np.uint64(7)), mix(last * _SEEDS[1] + np.where((last < RARE) & (deal > 1), other % deal, np.uint64(0)) * _SEEDS[2]))
+        return (mix(h) % np.uint64(self.buckets)).astype(np.int64)
+
+
+def _hashed(parts: list) -> np.ndarray:
+    return mix(sum(mix(p + np.uint64(1)) * _SEEDS[i] for i, p in enumerate(parts)))
+
+
+def _block_grams(doc: np.ndarray, codes: np.ndarray, coding: Coding):
+    """Distinct n-grams of a block by bucket: (words, one array a place; bucket; the row of each token)."""
     age = np.arange(len(doc)) - np.searchsorted(doc, doc)
     parts = []
-    for k in range(order - 1, -1, -1):
-        before = np.concatenate([np.full(min(k, len(marks)), START_MARK), marks[:len(marks) - k]]) if k else marks
-        parts.append(np.where(age >= k, before, START_MARK))
-    return doc, parts, mix(sum(p * _SEEDS[i] for i, p in enumerate(parts)))
+    for k in range(max(coding.order, 2) - 1, -1, -1):
+        before = np.concatenate([np.zeros(min(k, len(codes)), np.uint64), codes[:len(codes) - k]]) if k else codes
+        parts.append(np.where(age >= k, before, np.uint64(0)) if k < coding.order else np.zeros(len(codes), np.uint64))
+    _, first, which = np.unique(_hashed(parts), return_index=True, return_inverse=True)
+    parts = [p[first] for p in parts]
+    bucket = coding.bucket(parts)
+    by = np.lexsort([*(parts[-3:-2]), parts[-2], bucket])
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by))
+    return [p[by] for p in parts], bucket[by], place[which]
+
+
+def _pack_rows(parts: list, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """(numbers of frequent words and counts by byte place, compressed; fingerprints of the other words)."""
+    rare = [p >= RARE for p in parts]
+    small = [np.where(r, np.uint64(0xFFFFFF), p).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T for r, p in zip(rare, parts)]
+    planes = np.concatenate([*small, counts.astype("<i4").view(np.uint8).reshape(-1, 4).T])
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True), np.concatenate([p[r] for r, p in zip(rare, parts)]).astype("<u8").tobytes()
+
+
+def _unpack_rows(n: int, width: int, packed: bytes, rare: bytes) -> tuple[list, np.ndarray]:
+    planes = np.frombuffer(pa.decompress(packed, n * (3 * width + 4), "zstd", asbytes=True), np.uint8).reshape(-1, n)
+    rare, parts, used = np.frombuffer(rare, "<u8"), [], 0
+    for k in range(width):
+        a, b, c = (planes[3 * k + i].astype(np.uint64) for i in range(3))
+        p = a | (b << np.uint64(8)) | (c << np.uint64(16))
+        other = p == 0xFFFFFF
+        m = int(other.sum())
+        p[other] = rare[used:used + m]
+        used += m
+        parts.append(p)
+    return parts, np.ascontiguousarray(planes[-4:].T).view("<i4").ravel().astype(np.int64)
+
+
+_PACKED = "block long, bucket long, n_rows long, packed binary, rare binary"
+
+
+def _gram_blocks(shared):
+    """Every block's distinct n-grams with training counts, one packed row a bucket."""
+    def run(t):
+        coding = shared.value
+        (data, off), train = text_bytes(t.column("text")), t.column("train").to_numpy()
+        doc, marks = _marks(data, off)
+        parts, bucket, row = _block_grams(doc, coding.codes(marks), coding)
+        counts = np.bincount(row[train[doc]], minlength=len(bucket))
+        at = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+        cells = [_pack_rows([p[i:j] for p in parts], counts[i:j]) for i, j in zip(at[:-1], at[1:])]
+        return pa.table([pa.array(np.full(len(cells), t.column("block")[0].as_py(), np.int64)), pa.array(bucket[at[:-1]]), pa.array(np.diff(at)),
+                         pa.array([c[0] for c in cells], pa.binary()), pa.array([c[1] for c in cells], pa.binary())],
+                        names=["block", "bucket", "n_rows", "packed", "rare"])
+    return run
 
 
-def _names(order: int) -> list:
-    return [f"w{k}" for k in range(order, 0, -1)]
+def _merge(t, width: int):
+    """A bucket's distinct n-grams: (words, counts, row of each block's n-grams in turn)."""
+    cells = [_unpack_rows(*c) for c in zip(t.column("n_rows").to_pylist(), [width] * t.num_rows, t.column("packed").to_pylist(), t.column("rare").to_pylist())]
+    parts = [np.concatenate([c[0][k] for c in cells]) for k in range(width)]
+    counts = np.concatenate([c[1] for c in cells])
+    _, first, which = np.unique(_hashed(parts), return_index=True, return_inverse=True)
+    return [p[first] for p in parts], np.bincount(which, counts, len(first)).astype(np.int64), which
+
+
+_ASKED = "kind int, bucket long, w2 long, w1 long, n long"
+
+
+def _survey(shared):
+    """What a bucket has to tell and to ask: counts of counts (kind: the order, w1: the count), words whose count it lacks (kind 0), and its
+    part of the bigrams of context words that several buckets share (kind 1)."""
+    def run(t):
+        coding = shared.value
+        width = max(coding.order, 2)
+        parts, n, _ = _merge(t, width)
+        bucket = t.column("bucket")[0].as_py()
+        out = []
+
+        def add(kind, w2, w1, counts):
+            k = len(w1)
+            out.append(pa.table([pa.array(np.full(k, kind, np.int32)), pa.array(np.full(k, bucket, np.int64)), pa.array(w2.view(np.int64)),
+                                 pa.array(w1.view(np.int64)), pa.array(counts.astype(np.int64))], names=["kind", "bucket", "w2", "w1", "n"]))
+        hot = coding.split(parts[-2])
+        lone = np.unique(parts[-1][(parts[-1] >= RARE) & ~hot])
+        add(0, np.zeros(len(lone), np.uint64), lone, np.zeros(len(lone)))
+        for k in range(2, coding.order + 1):
+            use = parts[-k] != 0
+            _, first, which = np.unique(_hashed([p[use] for p in parts[-k:]]), return_index=True, return_inverse=True)
+            counts = np.bincount(which, n[use], len(first)).astype(np.int64)
+            if k == 2:
+                split = hot[use][first]
+                add(1, parts[-2][use][first][split], parts[-1][use][first][split], counts[split])
+                counts = counts[~split]
+            r, m = np.unique(counts[(counts > 0) & (counts < 1000)], return_counts=True)
+            add(k, np.zeros(len(r), np.uint64), r.astype(np.uint64), m)
+        return pa.concat_tables(out)
+    return run
 
 
-def _distinct_grams(order: int):
-    """Distinct n-grams of a block with their training count (0 for those of held-out documents alone)."""
-    def run(batches):
-        for b in batches:
-            for rows, data, off in text_slices(b, most=8_000_000):
-                train = rows.column("train").to_numpy(zero_copy_only=False)
-                doc, parts, gram = _grams(data, off, order)
-                _, first, which = np.unique(gram, return_index=True, return_inverse=True)
-                counts = np.bincount(which[train[doc]], minlength=len(first))
-                yield pa.RecordBatch.from_arrays([*(pa.array(p[first].view(np.int64)) for p in parts), pa.array(counts.astype(np.int64))],
-                                                 [*_names(order), "n"])
+def _left(x):
+    return np.log10(np.maximum(1 - x, 1e-12))
+
+
+def _evaluate(shared, slopes: dict, facts: dict):
+    """log10 probability of every n-gram of a bucket, for each block in the order of its packed rows; and counts of its other last words."""
+    def run(t, answers):
+        coding = shared.value
+        width = max(coding.order, 2)
+        parts, n, which = _merge(t, width)
+        w2, w1 = (answers.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("w2", "w1"))
+        got_n, got_logp = answers.column("n_word").to_numpy(), answers.column("logp").to_numpy()
+        key = np.where(w2 == 0, w1, mix(w2 * _SEEDS[3] + w1))
+        by = np.argsort(key)
+        key, got_n, got_logp = key[by], got_n[by], got_logp[by]
+        hot = coding.split(parts[-2])
+        at = _find(key, np.where(hot, mix(parts[-2] * _SEEDS[3] + parts[-1]), parts[-1]))
+        word = coding.known(parts[-1])
+        word = np.where(word >= 0, word, got_n[np.maximum(at, 0)] if len(key) else 0)
+        seen = np.maximum(word, 1)
+        logp = np.where(word > 0, np.log10(seen * discount(seen, facts["slope"]) * facts["scale"]), math.log10(facts["unseen"]))
+        for k in range(2, coding.order + 1):
+            use = np.flatnonzero(parts[-k] != 0)
+            _, first, gram = np.unique(_hashed([p[use] for p in parts[-k:]]), return_index=True, return_inverse=True)
+            count = np.bincount(gram, n[use], len(first))
+            first = use[first]
+            heads, head = np.unique(_hashed([p[first] for p in parts[-k:-1]]), return_inverse=True)
+            met = count > 0
+            star = np.maximum(count, 1) * discount(count, slopes[k])
+            total = np.bincount(head[met], count[met], len(heads))
+            kept = np.bincount(head[met], star[met], len(heads)) / np.maximum(total, 1)
+            under = np.bincount(head[met], np.power(10.0, logp[first][met]), len(heads))
+            weight = np.where(total > 0, _left(kept) - _left(under), 0.0)
+            new = np.where(met, np.log10(star / np.maximum(total[head], 1)), weight[head] + logp[first])
+            if k == 2 and len(key):
+                new = np.where(hot[first], got_logp[np.maximum(at[first], 0)], new)
+            logp[use] = new[gram]
+        logp, rare = logp.astype("<f4"), parts[-1] >= RARE
+        cells, upto = [], 0
+        for m in t.column("n_rows").to_pylist():
+            rows = which[upto:upto + m]
+            upto += m
+            cells.append((logp[rows].tobytes(), word[rows[rare[rows]]].astype("<i8").tobytes()))
+        return pa.table([t.column("block"), t.column("bucket"), pa.array([c[0] for c in cells], pa.binary()), pa.array([c[1] for c in cells], pa.binary())],
+                        names=["block", "bucket", "logp", "counts"])
     return run
 
 
-def _document_grams(order: int):
-    """Distinct n-grams of every document with their number of uses."""
-    def run(batches):
-        for b in batches:
-            for rows, data, off in text_slices(b, most=8_000_000):
-                doc, parts, gram = _grams(data, off, order)
-                _, first, uses = np.unique(mix(gram + doc.astype(np.uint64) * _SEEDS[63]), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("key").take(pa.array(doc[first])), *(pa.array(p[first].view(np.int64)) for p in parts), pa.array(uses.astype(np.int32))],
-                    ["key", *_names(order), "uses"])
-    return run
+def _sum_up(shared, facts: dict, fields: list):
+    """Documents of a block with the sums of their tokens."""
+    denominator = math.log10(facts["total"] + 0.1 * (facts["distinct"] + 1))
 
+    def run(t, answers):
+        coding = shared.value
+        data, off = text_bytes(t.column("text"))
+        doc, marks = _marks(data, off)
+        parts, _, row = _block_grams(doc, coding.codes(marks), coding)
+        answers = answers.sort_by("bucket")
+        logp = np.frombuffer(b"".join(answers.column("logp").to_pylist()), "<f4").astype(float)
+        word = coding.known(parts[-1])
+        word[word < 0] = np.frombuffer(b"".join(answers.column("counts").to_pylist()), "<i8")
+        rows = len(off) - 1
+        sums = lambda x: np.bincount(doc, x[row], rows)
+        counted = [pa.array(np.bincount(doc, minlength=rows)), pa.array(sums((word > 0).astype(float)).astype(np.int64)),
+                   pa.array(sums(np.log10(word + 0.1) - denominator)), pa.array(sums(logp))]
+        return pa.table([t.column("id"), t.column("held_out"), *counted], names=fields)
+    return run
 
-def gram_scores(rows: DataFrame, order: int = ORDER):
-    """(every distinct n-gram w``order`` ... w1 of the texts with log10 ``logp`` of its last word and that word's training count, facts).
 
-    ``rows`` has text and train. A start mark in an n-gram is no word: the shorter n-gram after it is what is scored.
-    """
-    names = _names(order)
-    kinds = ", ".join(f"{c} long" for c in names)
-    grams = rows.mapInArrow(_distinct_grams(order), f"{kinds}, n long").groupBy(*names).agg(F.sum("n").alias("n"))
-    grams = stored(grams, "katz-grams")
-    words = stored(grams.groupBy("w1").agg(F.sum("n").alias("n")), "katz-words")
+def _score_whole(docs: DataFrame, id_col: str, text_col: str, held_out_of: int, order: int, block_bytes: int) -> DataFrame:
+    """The whole model. Texts are dealt to blocks by a hash of id and text, so a recomputed task makes the same blocks; a block's distinct n-grams
+    go, packed, to buckets by last context word, and their probabilities come back to the block."""
+    spark = docs.sparkSession
+    held_out = crc_mod(col(id_col), held_out_of) == 0
+    text = F.coalesce(col(text_col), F.lit(""))
+    size = docs.agg(F.sum(F.octet_length(text).cast("long")), F.count("*")).first()
+    buckets = max(1, -(-((size[0] or 0) + 7 * size[1]) // block_bytes))
+    kind = dict(docs.dtypes)[id_col]
+    rows = docs.select(F.pmod(F.xxhash64(col(id_col), text), F.lit(buckets)).alias("block"), col(id_col).alias("id"), held_out.alias("held_out"), text.alias("text"))
+    words = rows.select((~F.col("held_out")).alias("train"), "text").mapInArrow(_mark_counts, "w long, n long")
+    words = stored(words.groupBy("w").agg(F.sum("n").alias("n")), "katz-words")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     ofcounts = _counts_of_counts(words.filter("n > 0"))
     _, slope = good_turing(ofcounts)
@@ -391,55 +583,55 @@ def gram_scores(rows: DataFrame, order: int = ORDER):
     # Mass of words never seen: Good-Turing's share of words seen once; one word at least.
     unseen = max(once, 1) / (total + max(once, 1)) if total else 1.0
     kept_mass = words.filter("n > 0").agg(F.sum(_star(F.col("n"), slope))).first()[0] or 1.0
-    scale = (1 - unseen) / kept_mass
-    seen = F.col("n") > 0
-    least_one = F.greatest("n", F.lit(1))
-    scores = words.select("w1", F.when(seen, F.log10(_star(least_one, slope) * scale)).otherwise(math.log10(unseen)).alias("logp"), F.col("n").alias("n_word"))
-    for n in range(2, order + 1):
-        here, context = names[-n:], names[-n:-1]
-        counts = grams if n == order else stored(grams.groupBy(*here).agg(F.sum("n").alias("n")), f"katz-counts-{n}")
-        word = F.col(here[0]) != int(START_MARK)
-        _, slope_n = good_turing(_counts_of_counts(counts.filter(seen & word)))
-        lower = stored(counts.join(scores, names[-n + 1:]), f"katz-lower-{n}")
-        weights = lower.filter(seen & word).groupBy(*context).agg(
-            F.sum("n").alias("context_n"), F.sum(_star(least_one, slope_n)).alias("kept"), F.sum(F.pow(F.lit(10.0), F.col("logp"))).alias("under"))
-        left = lambda x: F.log10(F.greatest(1 - x, F.lit(1e-12)))
-        weights = stored(weights.select(*context, "context_n", (left(F.col("kept") / F.col("context_n")) - left(F.col("under"))).alias("weight")),
-                         f"katz-weights-{n}")
-        logp = F.when(~word, F.col("logp")).when(seen, F.log10(_star(least_one, slope_n) / F.col("context_n")))
-        logp = logp.otherwise(F.coalesce("weight", F.lit(0.0)) + F.col("logp"))
-        scores = lower.join(weights, context, "left").select(*here, logp.alias("logp"), "n_word")
-        if n < order:
-            scores = stored(scores, f"katz-scores-{n}")
-    return scores, {"total": int(total), "distinct": int(distinct), "slope": slope, "scale": scale, "unseen": unseen}
-
-
-def _score_whole(docs: DataFrame, id_col: str, text_col: str, held_out_of: int, order: int) -> DataFrame:
-    names = _names(order)
-    held_out = crc_mod(col(id_col), held_out_of) == 0
-    scores, facts = gram_scores(docs.select((~held_out).alias("train"), col(text_col).alias("text")), order)
-    gram = F.xxhash64(*names).alias("gram")
-    scores = stored(scores.select(gram, "logp", "n_word"), "katz-gram-scores")
-    keyed = docs.select(F.monotonically_increasing_id().alias("key"), col(id_col).alias("id"), held_out.alias("held_out"), col(text_col).alias("text"))
-    kinds = ", ".join(f"{c} long" for c in names)
-    uses = keyed.select("key", "text").mapInArrow(_document_grams(order), f"key long, {kinds}, uses int").select("key", gram, "uses")
-    denominator = math.log10(facts["total"] + 0.1 * (facts["distinct"] + 1))
-    each = lambda x: F.sum(F.col("uses") * x)
-    sums = uses.join(scores, "gram").groupBy("key").agg(
-        F.sum("uses").alias("n_tokens"), F.sum(F.when(F.col("n_word") > 0, F.col("uses")).otherwise(0)).alias("n_known"),
-        each(F.log10(F.col("n_word") + 0.1) - denominator).alias("base_score"), each(F.col("logp")).alias("score"))
-    sums = stored(sums, "katz-sums")
-    return keyed.select("key", "id", "held_out").join(sums, "key").select(
-        "id", "held_out", "n_tokens", "n_known", F.lit(facts["total"]).cast("long").alias("train_tokens"), "base_score", "score")
+    facts = {"total": int(total), "distinct": int(distinct), "slope": slope, "scale": (1 - unseen) / kept_mass, "unseen": unseen}
+    top = words.orderBy(F.desc("n"), "w").limit(TOP_WORDS).toPandas().sort_values(["n", "w"], ascending=[False, True])
+    shared = spark.sparkContext.broadcast(Coding(top["w"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), order, buckets, int(total)))
+
+    at = fresh_dir(spark, "katz-grams")
+    grams = rows.select("block", (~F.col("held_out")).alias("train"), "text").groupBy("block").applyInArrow(_gram_blocks(shared), _PACKED)
+    grams = stored(grams, "katz-grams", at)
+    asked = stored(grams.groupBy("bucket").applyInArrow(_survey(shared), _ASKED), "katz-asked")
+    # Frequent words are numbered in the requests; their counts come from the same table by their fingerprints.
+    numbered = spark.createDataFrame(top.assign(code=np.arange(1, len(top) + 1)), "w long, n long, code long").select(F.col("code").alias("w1"), F.col("n").alias("n_word"))
+    counts = words.select(F.col("w").bitwiseOR(F.lit(-1 << 63)).alias("w1"), F.col("n").alias("n_word")).union(numbered)
+    shares = asked.filter("kind = 1").select("bucket", "w2", "w1", "n")
+    pairs = stored(shares.groupBy("w2", "w1").agg(F.sum("n").alias("n")).join(counts, "w1"), "katz-pairs")
+    slopes = {}
+    for k in range(2, order + 1):
+        found = dict((r["w1"], r["m"]) for r in asked.filter(F.col("kind") == k).groupBy("w1").agg(F.sum("n").alias("m")).collect())
+        if k == 2:
+            for r, m in _counts_of_counts(pairs.filter("n > 0")):
+                found[r] = found.get(r, 0) + m
+        slopes[k] = good_turing(list(found.items()))[1]
+    at_least = lambda c: F.greatest(c, F.lit(1))
+    unigram = F.when(F.col("n_word") > 0, F.log10(_star(at_least("n_word"), slope) * facts["scale"])).otherwise(math.log10(unseen))
+    pairs = pairs.withColumn("below", unigram)
+    star = _star(at_least("n"), slopes.get(2, -1.5))
+    left = lambda x: F.log10(F.greatest(1 - x, F.lit(1e-12)))
+    heads = pairs.filter("n > 0").groupBy("w2").agg(F.sum("n").alias("total"), F.sum(star).alias("kept"), F.sum(F.pow(F.lit(10.0), F.col("below"))).alias("under"))
+    pairs = pairs.join(heads, "w2", "left").withColumn("logp", F.when(F.col("n") > 0, F.log10(star / F.col("total"))).otherwise(
+        F.coalesce(left(F.col("kept") / F.col("total")) - left(F.col("under")), F.lit(0.0)) + F.col("below")))
+    answers = shares.select("bucket", "w2", "w1").join(pairs.select("w2", "w1", "n_word", "logp"), ["w2", "w1"]).select("bucket", "w2", "w1", "n_word", "logp")
+    answers = answers.union(asked.filter("kind = 0").join(counts, "w1").select("bucket", F.lit(0).cast("long"), "w1", "n_word", F.lit(0.0)))
+    scored = grams.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
+        _evaluate(shared, slopes, facts), "block long, bucket long, logp binary, counts binary")
+    scored = stored(scored, "katz-scored")
+    discard(spark, at)
+    fields = ["id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+    out = rows.groupBy("block").cogroup(scored.groupBy("block")).applyInArrow(
+        _sum_up(shared, facts, fields), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return out.select("id", "held_out", "n_tokens", "n_known", F.lit(facts["total"]).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_of: int = HELD_OUT_OF, order: int = ORDER,
-                    share: float | None = None) -> DataFrame:
-    """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text)."""
+                    share: float | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text).
+
+    ``block_bytes`` of text make a block, and the n-grams of as many a bucket; the result does not depend on it."""
     spark = docs.sparkSession
     ready(spark)
     if share is None:
-        return _score_whole(docs, id_col, text_col, held_out_of, order)
+        return _score_whole(docs, id_col, text_col, held_out_of, order, block_bytes)
     rows = docs.select((crc_mod(col(id_col), held_out_of) != 0).alias("train"), col(text_col).alias("text"))
     model, words, facts = fit(rows, order, share)
     shared = spark.sparkContext.broadcast(model)
