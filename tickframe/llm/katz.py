@@ -46,7 +46,7 @@ END_MARK = np.uint64(0x5851F42D4C957F2D)
 # Most frequent words that have a number of their own (at most 4 MB to every task); others travel as fingerprints with the highest bit set.
 TOP_WORDS, RARE = 1 << 18, np.uint64(1 << 63)
 # Text of a block, and of a bucket's share; the number of both grows with the corpus.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
@@ -334,14 +334,14 @@ def _counts_of_counts(counts: DataFrame) -> list:
     return [(r["n"], r["m"]) for r in rows]
 
 
-def _marks(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, 63-bit fingerprint) of every token."""
-    data = lower_ascii(data)
-    text, start, end = word_spans(data, off)
-    doc, _, place = _with_ends(text, np.zeros(len(text), np.int64), len(off) - 1, 0)
-    marks = np.full(len(doc), END_MARK >> np.uint64(1))
-    marks[place] = SpanHash(data).spans(start, end) >> np.uint64(1)
-    return doc, marks
+def _marks(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document of every token, its number among the distinct words, their 63-bit fingerprints)."""
+    text, words = word_array(data, off)
+    d = words.dictionary_encode()
+    flat, at = text_bytes(d.dictionary)
+    marks = np.append(SpanHash(flat).spans(at[:-1], at[1:]), END_MARK) >> np.uint64(1)
+    doc, ids, _ = _with_ends(text, d.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(off) - 1, len(marks) - 1)
+    return doc, ids, marks
 
 
 def _mark_counts(batches):
@@ -349,10 +349,9 @@ def _mark_counts(batches):
     for b in batches:
         for rows, data, off in text_slices(b, most=8_000_000):
             train = rows.column("train").to_numpy(zero_copy_only=False)
-            doc, marks = _marks(data, off)
-            words, which = np.unique(marks, return_inverse=True)
-            counts = np.bincount(which[train[doc]], minlength=len(words))
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], ["w", "n"])
+            doc, ids, marks = _marks(data, off)
+            counts = np.bincount(ids[train[doc]], minlength=len(marks))
+            yield pa.RecordBatch.from_arrays([pa.array(marks.view(np.int64)), pa.array(counts.astype(np.int64))], ["w", "n"])
 
 
 class Coding:
@@ -368,9 +367,8 @@ class Coding:
         self.parts = np.maximum(self.counts * buckets // max(total, 1), 1).astype(np.uint64)
 
     def codes(self, marks: np.ndarray) -> np.ndarray:
-        words, which = np.unique(marks, return_inverse=True)
-        at = _find(self.words, words)
-        return np.where(at >= 0, self.code[np.maximum(at, 0)] if len(self.code) else np.uint64(0), words | RARE)[which]
+        at = _find(self.words, marks)
+        return np.where(at >= 0, self.code[np.maximum(at, 0)] if len(self.code) else np.uint64(0), marks | RARE)
 
     def known(self, codes: np.ndarray) -> np.ndarray:
         """Training counts of frequent words; -1 for the others."""
@@ -395,17 +393,32 @@ def _hashed(parts: list) -> np.ndarray:
     return mix(sum(mix(p + np.uint64(1)) * _SEEDS[i] for i, p in enumerate(parts)))
 
 
-def _block_grams(doc: np.ndarray, codes: np.ndarray, coding: Coding):
-    """Distinct n-grams of a block by bucket: (words, one array a place; bucket; the row of each token)."""
+def _block_grams(doc: np.ndarray, ids: np.ndarray, codes: np.ndarray, coding: Coding):
+    """Distinct n-grams of a block by bucket, then context: (words, one array a place; bucket; the row of each token).
+
+    The order depends on the set of n-grams alone, so that a recomputed block meets its answers."""
+    # Words by the order of their codes; 0 stands before the document.
+    codes, rank = np.unique(np.append(codes, np.uint64(0)), return_inverse=True)
+    ids = rank[ids].astype(np.uint64)
     age = np.arange(len(doc)) - np.searchsorted(doc, doc)
     parts = []
     for k in range(max(coding.order, 2) - 1, -1, -1):
-        before = np.concatenate([np.zeros(min(k, len(codes)), np.uint64), codes[:len(codes) - k]]) if k else codes
-        parts.append(np.where(age >= k, before, np.uint64(0)) if k < coding.order else np.zeros(len(codes), np.uint64))
-    _, first, which = np.unique(_hashed(parts), return_index=True, return_inverse=True)
-    parts = [p[first] for p in parts]
+        before = np.concatenate([np.zeros(min(k, len(ids)), np.uint64), ids[:len(ids) - k]]) if k else ids
+        parts.append(np.where(age >= k, before, np.uint64(0)) if k < coding.order else np.zeros(len(ids), np.uint64))
+    # The last context word leads, then the words before it, then the word itself.
+    lead = [parts[-2], *parts[-3::-1], parts[-1]]
+    if len(codes) ** len(lead) < 1 << 63:
+        key = pack(lead, np.uint64(len(codes)))
+        _, first, which = np.unique(key, return_index=True, return_inverse=True)
+    else:
+        _, first, which = np.unique(_hashed(parts), return_index=True, return_inverse=True)
+        by = np.lexsort([p[first] for p in lead[::-1]])
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        first, which = first[by], place[which]
+    parts = [codes[p[first].astype(np.int64)] for p in parts]
     bucket = coding.bucket(parts)
-    by = np.lexsort([*(parts[-3:-2]), parts[-2], bucket])
+    by = np.argsort(bucket.astype(np.uint16) if coding.buckets <= 1 << 16 else bucket, kind="stable")
     place = np.empty(len(by), np.int64)
     place[by] = np.arange(len(by))
     return [p[by] for p in parts], bucket[by], place[which]
@@ -441,8 +454,8 @@ def _gram_blocks(shared):
     def run(t):
         coding = shared.value
         (data, off), train = text_bytes(t.column("text")), t.column("train").to_numpy()
-        doc, marks = _marks(data, off)
-        parts, bucket, row = _block_grams(doc, coding.codes(marks), coding)
+        doc, ids, marks = _marks(data, off)
+        parts, bucket, row = _block_grams(doc, ids, coding.codes(marks), coding)
         counts = np.bincount(row[train[doc]], minlength=len(bucket))
         at = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
         cells = [_pack_rows([p[i:j] for p in parts], counts[i:j]) for i, j in zip(at[:-1], at[1:])]
@@ -550,8 +563,8 @@ def _sum_up(shared, facts: dict, fields: list):
     def run(t, answers):
         coding = shared.value
         data, off = text_bytes(t.column("text"))
-        doc, marks = _marks(data, off)
-        parts, _, row = _block_grams(doc, coding.codes(marks), coding)
+        doc, ids, marks = _marks(data, off)
+        parts, _, row = _block_grams(doc, ids, coding.codes(marks), coding)
         answers = answers.sort_by("bucket")
         logp = np.frombuffer(b"".join(answers.column("logp").to_pylist()), "<f4").astype(float)
         word = coding.known(parts[-1])
