@@ -26,6 +26,7 @@ training set gives uniform mass to the unknown unit. An empty table gives an emp
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,8 @@ END_MARK = np.uint64(0x5851F42D4C957F2D)
 TOP_WORDS, RARE = 1 << 18, np.uint64(1 << 63)
 # Text of a block, and of a bucket's share; the number of both grows with the corpus.
 BLOCK_BYTES = 4_000_000
+# Buckets are evaluated in so many rounds: only one round's n-grams lie in shuffle files at a time.
+ROUNDS = 2
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
@@ -347,7 +350,7 @@ def _marks(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 def _mark_counts(batches):
     """Distinct words of a block with their training count (0 for those of held-out documents alone)."""
     for b in batches:
-        for rows, data, off in text_slices(b, most=8_000_000):
+        for rows, data, off in text_slices(b, most=4_000_000):
             train = rows.column("train").to_numpy(zero_copy_only=False)
             doc, ids, marks = _marks(data, off)
             counts = np.bincount(ids[train[doc]], minlength=len(marks))
@@ -470,6 +473,8 @@ def _merge(t, width: int):
     cells = [_unpack_rows(*c) for c in zip(t.column("n_rows").to_pylist(), [width] * t.num_rows, t.column("packed").to_pylist(), t.column("rare").to_pylist())]
     parts = [np.concatenate([c[0][k] for c in cells]) for k in range(width)]
     counts = np.concatenate([c[1] for c in cells])
+    del cells
+    pa.default_memory_pool().release_unused()
     _, first, which = np.unique(_hashed(parts), return_index=True, return_inverse=True)
     return [p[first] for p in parts], np.bincount(which, counts, len(first)).astype(np.int64), which
 
@@ -624,11 +629,16 @@ def _score_whole(docs: DataFrame, id_col: str, text_col: str, held_out_of: int,
     heads = pairs.filter("n > 0").groupBy("w2").agg(F.sum("n").alias("total"), F.sum(star).alias("kept"), F.sum(F.pow(F.lit(10.0), F.col("below"))).alias("under"))
     pairs = pairs.join(heads, "w2", "left").withColumn("logp", F.when(F.col("n") > 0, F.log10(star / F.col("total"))).otherwise(
         F.coalesce(left(F.col("kept") / F.col("total")) - left(F.col("under")), F.lit(0.0)) + F.col("below")))
-    answers = shares.select("bucket", "w2", "w1").join(pairs.select("w2", "w1", "n_word", "logp"), ["w2", "w1"]).select("bucket", "w2", "w1", "n_word", "logp")
-    answers = answers.union(asked.filter("kind = 0").join(counts, "w1").select("bucket", F.lit(0).cast("long"), "w1", "n_word", F.lit(0.0)))
-    scored = grams.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
-        _evaluate(shared, slopes, facts), "block long, bucket long, logp binary, counts binary")
-    scored = stored(scored, "katz-scored")
+    scored = []
+    for part in range(ROUNDS):
+        mine = F.col("bucket") % ROUNDS == part
+        answers = shares.filter(mine).select("bucket", "w2", "w1").join(pairs.select("w2", "w1", "n_word", "logp"), ["w2", "w1"])
+        answers = answers.select("bucket", "w2", "w1", "n_word", "logp").union(
+            asked.filter(mine & (F.col("kind") == 0)).join(counts, "w1").select("bucket", F.lit(0).cast("long"), "w1", "n_word", F.lit(0.0)))
+        of_blocks = grams.filter(mine).groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
+            _evaluate(shared, slopes, facts), "block long, bucket long, logp binary, counts binary")
+        scored.append(stored(of_blocks, "katz-scored"))
+    scored = reduce(DataFrame.union, scored)
     discard(spark, at)
     fields = ["id", "held_out", "n_tokens", "n_known", "base_score", "score"]
     out = rows.groupBy("block").cogroup(scored.groupBy("block")).applyInArrow(
