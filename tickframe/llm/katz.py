@@ -602,7 +602,15 @@ def _score_whole(docs: DataFrame, id_col: str, text_col: str, held_out_of: int,
     unseen = max(once, 1) / (total + max(once, 1)) if total else 1.0
     kept_mass = words.filter("n > 0").agg(F.sum(_star(F.col("n"), slope))).first()[0] or 1.0
     facts = {"total": int(total), "distinct": int(distinct), "slope": slope, "scale": (1 - unseen) / kept_mass, "unseen": unseen}
-    top = words.orderBy(F.desc("n"), "w").limit(TOP_WORDS).toPandas().sort_values(["n", "w"], ascending=[False, True])
+    # The lowest count that at most TOP_WORDS words reach, by steps of an eighth of a power of two.
+    step = F.floor(F.log2("n") * 8)
+    least, found = 1 << 20, 0
+    for r in sorted(words.filter("n > 0").groupBy(step.alias("step")).agg(F.count("*").alias("m")).collect(), reverse=True):
+        found += r["m"]
+        if found > TOP_WORDS:
+            break
+        least = r["step"]
+    top = words.filter((F.col("n") > 0) & (step >= least)).toPandas().sort_values(["n", "w"], ascending=[False, True])
     shared = spark.sparkContext.broadcast(Coding(top["w"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), order, buckets, int(total)))
 
     at = fresh_dir(spark, "katz-grams")
