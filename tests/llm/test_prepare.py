@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -182,6 +183,59 @@ def test_language_edge_cases(docs):
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
 
 
+def test_language_learns_from_whole_texts(spark):
+    rng = random.Random(5)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(3, 7)))
+    # What tells the languages apart comes after 200 words that all texts share.
+    rows = [(i, " ".join(["same"] * 200 + [word("abcdef" if i % 2 else "uvwxyz") for _ in range(40)]), "ab" if i % 2 else "uz") for i in range(60)]
+    rows += [(100 + i, " ".join(word("abcdef" if i % 2 else "uvwxyz") for _ in range(40)), None) for i in range(40)]
+    out = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).filter("id >= 100").collect()
+    assert all(r.lang_pred == ("ab" if r.id % 2 else "uz") for r in out)
+
+
+def test_language_pieces_and_shards(spark):
+    rows = [("a", "x y x " + "é" * 40), ("b", "x z" + "q" * 130), ("a", " "), ("a", "x\u2003y")]
+    batch = pa.record_batch([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], ["lang", "text"])
+    got = Counter()
+    for b in langid._count_pieces(["a", "b"])([batch]):
+        for r in b.to_pylist():
+            got[r["y"], r["piece"]] += r["n"]
+    long, other = ("é" * 40).encode(), b"z" + b"q" * 130
+    assert got == {(0, b"x"): 3, (0, b"y"): 2, (0, long[:64]): 1, (0, long[64:]): 1, (1, b"x"): 1, (1, other[:64]): 1, (1, other[64:128]): 1, (1, other[128:]): 1}
+    rng = random.Random(6)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(3, 7)))
+    docs = spark.createDataFrame([(i, " ".join(word("abcdef" if i % 2 else "uvwxyz") for _ in range(40)), "ab" if i % 2 else "uz") for i in range(60)],
+                                 "doc_id long, text string, lang string")
+    net, langs = langid.train(docs, shard=300)
+    again, _ = langid.train(docs.repartition(7), shard=300)
+    assert langs == ["ab", "uz"] and np.array_equal(net.flat(), again.flat())
+    assert net.score([b"abcfe"])[0].argmax() == 0 and net.score([b"xyzwu"])[0].argmax() == 1
+
+
+def test_rejection_level_is_of_all_training_documents(spark):
+    rng = random.Random(7)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(2, 4)))
+    rows = [(i, " ".join(word(["abcd", "abce", "cdef"][i % 3]) for _ in range(rng.randint(1, 6))), ["p", "q", "r"][i % 3]) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net, langs = langid.train(docs)
+    level = langid.rejection_level(net, langs, langid._training(docs, "doc_id", "text", "lang", 5), 1.0)
+    scores = {}
+    for i, t, lang in rows:
+        if zlib.crc32(str(i).encode()) % 5:
+            pieces = [w.encode() for w in t.split()]
+            scores.setdefault(lang, []).append((net.score(pieces).sum(0) / sum(map(len, pieces))).max())
+    assert all(len(x) > 250 for x in scores.values())
+    assert level == pytest.approx(min(sorted(x)[int(0.05 * len(x))] for x in scores.values()), rel=1e-5)
+
+
+def test_lowest_share_is_exact(spark):
+    rng = random.Random(9)
+    scores = {"a": [rng.random() for _ in range(500)], "b": [rng.choice([0.1, 0.2, 0.3]) for _ in range(90)], "c": [0.5], "d": [0.4, 0.4 + 1e-16, 0.9]}
+    df = spark.createDataFrame([(k, x) for k, v in scores.items() for x in v], "lang string, score double").repartition(5)
+    for share in (0.0, 0.05, 0.5, 0.99):
+        assert langid.lowest_share(df, share, bins=4) == {k: sorted(v)[int(share * len(v))] for k, v in scores.items()}
+
+
 # --- Katz ----------------------------------------------------------------------
 def test_base_score_and_counts(docs):
     rows = docs.select("doc_id", "text").collect()

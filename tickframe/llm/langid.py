@@ -4,9 +4,11 @@ The network reads the UTF-8 bytes of white-space separated pieces of a text in b
 the languages at every byte; a document's distribution is the mean over all its bytes. It is trained with numpy by
 backpropagation through time, every byte of a piece labelled with its document's language.
 
-Training takes a bounded sample: ``DOCS_PER_LANG`` documents of each language, those of smallest id hash, and
-``WORDS_PER_DOC`` pieces of each. Prediction reads whole texts. The network's state starts afresh at every piece, so
-equal pieces have equal outputs, and each block of documents runs the network once per distinct piece.
+Training reads the whole texts of all labelled rows that are not held out: their distinct pieces are counted per language and dealt to
+shards. The first shard gives every other one its start; then each is read by a network of its own and the networks' weights are
+averaged. A piece weighs by the logarithm of its count, and languages with fewer pieces weigh more. Prediction reads whole texts. The
+network's state starts afresh at every piece, so equal pieces have equal outputs, and each block of documents runs the network
+once per distinct piece.
 
 Texts that are null or hold no letter are ``und`` with score 0, as is everything where no labelled row exists. Null ids take
 part (hashed as the empty text). Repeated rows are predicted alike. An empty table gives an empty result.
@@ -17,18 +19,24 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import SPACES, col, crc_mod, ready, slices
+from tickframe.llm.common import col, crc_mod, ready, slices, stored
 
 UNKNOWN = "und"
 HELD_OUT_OF = 5
-# The bounded sample: documents per language and pieces per document.
-DOCS_PER_LANG, WORDS_PER_DOC = 250, 200
-# Share of a language's sample that may score below the rejection level.
+# Distinct pieces of a shard; the number of shards grows with the corpus.
+SHARD = 100_000
+# Share of a language's training documents that may score below the rejection level.
 SURE_BELOW = 0.05
-HIDDEN, EPOCHS, BATCH, RATE = 16, 3, 128, 0.01
+HIDDEN, EPOCHS, BATCH, RATE = 16, 2, 128, 0.01
+# Steps of the first shard's network at least, so that few pieces are read more often.
+LEAST_STEPS = 1200
+# Batch and rate of the shards' networks that are averaged.
+SHARD_BATCH, SHARD_RATE = 512, 0.004
+# Weights are averaged as whole multiples of this, so that their order does not matter.
+GRAIN = 2.0 ** -32
 # Longer pieces are read in parts of this many bytes.
 PART = 64
 BLOCK_BYTES = 4_000_000
@@ -86,26 +94,36 @@ class BiGru:
     def _back(self, data, saved, grad, u, gx, gu):
         """Backpropagation through time for one direction."""
         k = self.h
-        dh = np.zeros_like(grad[0])
+        h, z, r, n, a = (np.stack(x) for x in zip(*saved))
+        to_n, to_z, to_r = (1 - z) * (1 - n * n), (h - n) * z * (1 - z), a * r * (1 - r)
+        dx, da = np.empty((len(saved), len(data), 3 * k), u.dtype), np.empty((len(saved), len(data), 3 * k), u.dtype)
+        dh, ut = np.zeros_like(grad[0]), np.ascontiguousarray(u.T)
         for i in range(len(saved) - 1, -1, -1):
-            h, z, r, n, a = saved[i]
             dh = dh + grad[i]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (h - n) * z * (1 - z)
-            dr = dn * a * r * (1 - r)
-            dx = np.concatenate([dz, dr, dn], 1)
-            da = np.concatenate([dz, dr, dn * r], 1)
-            np.add.at(gx, data[:, i], dx)
-            gu += h.T @ da
-            dh = dh * z + da @ u.T
-
-    def gradients(self, data, labels) -> tuple[dict, float]:
+            dn = dh * to_n[i]
+            dx[i, :, :k] = dh * to_z[i]
+            dx[i, :, k:2 * k] = dn * to_r[i]
+            dx[i, :, 2 * k:] = dn
+            da[i, :, :2 * k] = dx[i, :, :2 * k]
+            da[i, :, 2 * k:] = dn * r[i]
+            dh = dh * z[i] + da[i] @ ut
+        gu += h.reshape(-1, k).T @ da.reshape(-1, 3 * k)
+        # Rows of equal bytes lie together and are summed at once.
+        byte = data.T.ravel()
+        by = np.argsort(byte, kind="stable")
+        byte = byte[by]
+        first = np.flatnonzero(np.append(True, byte[1:] != byte[:-1]))
+        gx[byte[first]] += np.add.reduceat(dx.reshape(-1, 3 * k)[by], first)
+
+    def gradients(self, data, labels, weights=None) -> tuple[dict, float]:
         states, sf, sb = self._both(data, keep=True)
         p = self._softmax(states)
         t, m, _ = p.shape
         loss = -np.log(np.maximum(p[:, np.arange(m), labels], 1e-12)).mean()
         p[:, np.arange(m), labels] -= 1
         p /= t * m
+        if weights is not None:
+            p *= weights[:, None]
         g = {k: np.zeros_like(v) for k, v in self.w.items()}
         g["o"] = np.tensordot(states, p, ((0, 1), (0, 1)))
         g["c"] = p.sum((0, 1))
@@ -114,7 +132,7 @@ class BiGru:
         self._back(data[:, ::-1], sb, d[::-1, :, self.h:], self.w["ub"], g["xb"], g["ub"])
         return g, float(loss)
 
-    def fit(self, pieces: list, labels: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE, seed: int = 11) -> "BiGru":
+    def fit(self, pieces: list, labels: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE, seed: int = 11, weights=None) -> "BiGru":
         """Adam over batches of equal length."""
         rng = np.random.default_rng(seed)
         size = np.array([len(p) for p in pieces])
@@ -130,7 +148,7 @@ class BiGru:
             for b in rng.permutation(len(batches)):
                 rows = batches[b]
                 data = np.frombuffer(b"".join(pieces[i] for i in rows), np.uint8).reshape(len(rows), -1)
-                g, _ = self.gradients(data, labels[rows])
+                g, _ = self.gradients(data, labels[rows], None if weights is None else weights[rows])
                 step += 1
                 lr = rate * (1 - (step - 1) / max(total, 1)) * len(rows) / batch
                 for k, v in self.w.items():
@@ -157,43 +175,132 @@ class BiGru:
         return out
 
 
-def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_out_of: int) -> list:
-    rows = docs.filter((crc_mod(col(id_col), held_out_of) != 0) & col(lang_col).isNotNull() & col(text_col).isNotNull())
-    rows = rows.select(col(lang_col).cast("string").alias("lang"), F.xxhash64(col(id_col)).alias("h"),
-                       F.slice(F.split(col(text_col), SPACES), 1, WORDS_PER_DOC).alias("words"))
-    first = Window.partitionBy("lang").orderBy("h", "words")
-    return rows.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= DOCS_PER_LANG).collect()
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.w[k].ravel() for k in sorted(self.w)])
+
+    def unflatten(self, flat: np.ndarray) -> "BiGru":
+        at = 0
+        for k in sorted(self.w):
+            v = self.w[k]
+            self.w[k] = flat[at:at + v.size].reshape(v.shape).astype(v.dtype)
+            at += v.size
+        return self
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out_of: int = HELD_OUT_OF):
-    """(network, languages) from the bounded sample, or (None, [])."""
-    return _train(docs, id_col, text_col, lang_col, held_out_of)[:2]
+def _count_pieces(langs: list):
+    """Distinct parts of pieces, cut as ``BiGru.score`` cuts them, by language number with their counts in one block."""
+    def run(batches):
+        for b in batches:
+            texts = b.column("text")
+            number = pc.index_in(b.column("lang"), value_set=pa.array(langs, b.schema.field("lang").type)).to_numpy(zero_copy_only=False)
+            for i, j in slices(pc.binary_length(texts).to_numpy(zero_copy_only=False), BLOCK_BYTES):
+                parts = pc.utf8_split_whitespace(texts.slice(i, j - i).cast(pa.large_string()))
+                flat = parts.flatten().dictionary_encode()
+                label = np.repeat(number[i:j], np.diff(np.asarray(parts.offsets)))
+                key, n = np.unique(flat.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(langs) + label, return_counts=True)
+                word, label = key // len(langs), key % len(langs)
+                raw = flat.dictionary.cast(pa.large_binary())
+                size = pc.binary_length(raw).to_numpy(zero_copy_only=False)
+                short = (size[word] > 0) & (size[word] <= PART)
+                out = [(raw.take(pa.array(word[short])).cast(pa.binary()), label[short], n[short])]
+                cut = [(raw[w].as_py()[k:k + PART], y, m) for w, y, m in zip(word, label, n) if size[w] > PART for k in range(0, size[w], PART)]
+                if cut:
+                    out.append(tuple(zip(*cut)))
+                for piece, y, m in out:
+                    yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(piece, pa.binary()), pa.array(m, pa.int64())], ["y", "piece", "n"])
+    return run
 
 
-def _train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_out_of: int):
-    """(network, languages, sample: language number and pieces of each document)."""
-    rows = sorted(_sample(docs, id_col, text_col, lang_col, held_out_of), key=lambda r: (r["lang"], r["k"]))
-    langs = sorted({r["lang"] for r in rows})
-    number = {x: i for i, x in enumerate(langs)}
-    pieces = [(w.encode()[:PART], number[r["lang"]]) for r in rows for w in r["words"] if w]
-    if not pieces:
-        return None, [], []
-    net = BiGru(len(langs)).fit([p for p, _ in pieces], np.array([y for _, y in pieces]))
-    return net, langs, [(number[r["lang"]], [w.encode() for w in r["words"] if w]) for r in rows]
+def _fit_shard(net: BiGru, scale: dict, first: bool):
+    """The weights of a network that starts as ``net`` and reads the pieces of a shard."""
+    def run(t):
+        t = t.sort_by([("y", "ascending"), ("piece", "ascending")])
+        pieces, labels = t.column("piece").to_pylist(), t.column("y").to_numpy().astype(np.int64)
+        weights = ((1 + np.log(t.column("n").to_numpy())) * np.array([scale.get(y, 0.0) for y in range(net.n_out)])[labels]).astype(np.float32)
+        own = BiGru(net.n_out, net.h).unflatten(net.flat())
+        if first:
+            steps = sum(-(-int(m) // BATCH) for m in np.bincount([len(p) for p in pieces]))
+            own.fit(pieces, labels, max(EPOCHS, -(-LEAST_STEPS // steps)), weights=weights)
+        else:
+            own.fit(pieces, labels, 1, SHARD_BATCH, SHARD_RATE, weights=weights)
+        flat = own.flat()
+        return pa.table([pa.array(np.arange(len(flat))), pa.array(np.rint(flat / GRAIN).astype(np.int64))], names=["at", "value"])
+    return run
 
 
-def rejection_level(net: BiGru, sample: list, margin: float) -> float:
-    """The least score that counts as identified.
+def _training(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_out_of: int) -> DataFrame:
+    """lang and text of the rows to learn from."""
+    rows = docs.filter((crc_mod(col(id_col), held_out_of) != 0) & col(lang_col).isNotNull() & col(text_col).isNotNull())
+    return rows.select(col(lang_col).cast("string").alias("lang"), col(text_col).alias("text"))
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out_of: int = HELD_OUT_OF, shard: int = SHARD):
+    """(network, languages) from all training rows, or (None, []). ``shard`` distinct pieces are read by one network."""
+    rows = _training(docs, id_col, text_col, lang_col, held_out_of)
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    if not langs:
+        return None, []
+    pieces = rows.mapInArrow(_count_pieces(langs), "y int, piece binary, n long")
+    pieces = stored(pieces.groupBy("y", "piece").agg(F.sum("n").alias("n")), "langid-pieces")
+    # In whole thousandths, so that the order of the rows does not matter.
+    mass = {r["y"]: (r["distinct"], r["mass"] / 1000) for r in pieces.groupBy("y").agg(
+        F.count("*").alias("distinct"), F.sum(F.round(1000 * (1 + F.log("n"))).cast("long")).alias("mass")).collect()}
+    if not mass:
+        return None, []
+    distinct = sum(d for d, _ in mass.values())
+    # Between equal pieces and equal languages; one on average.
+    scale = {y: m ** -0.5 for y, (_, m) in mass.items()}
+    mean = sum(scale[y] * m for y, (_, m) in mass.items()) / distinct
+    scale = {y: x / mean for y, x in scale.items()}
+    shards = -(-distinct // shard)
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("y", "piece"), F.lit(shards)))
+    net = BiGru(len(langs))
+    start = dealt.agg(F.min("shard")).first()[0]
+    for first in (True, False):
+        part = dealt.filter(F.col("shard") == start) if first else dealt
+        fitted = part.groupBy("shard").applyInArrow(_fit_shard(net, scale, first), "at long, value long")
+        values = fitted.groupBy("at").agg((F.sum("value") / F.count("*")).alias("value")).collect()
+        net = BiGru(len(langs)).unflatten(np.array([r["value"] for r in sorted(values, key=lambda r: r["at"])]) * GRAIN)
+    return net, langs
+
+
+def rejection_level(net: BiGru, langs: list, rows: DataFrame, margin: float) -> float:
+    """The least score that counts as identified. ``rows``: lang and text of all training documents.
 
     It lies ``margin`` of the way from 1 / languages, which every text reaches, to 1. Where the network tells some language less
-    surely than that, it is the score that all but ``SURE_BELOW`` of that language's sample reach, so clean documents stay.
+    surely than that, it is the score that all but ``SURE_BELOW`` of that language's training documents reach, so clean documents stay.
     """
     level = 1 / net.n_out + margin * (1 - 1 / net.n_out)
-    scores: dict = {}
-    for lang, pieces in sample:
-        if pieces:
-            scores.setdefault(lang, []).append((net.score(pieces).sum(0) / sum(map(len, pieces))).max())
-    return min([level, *(float(np.quantile(x, SURE_BELOW)) for x in scores.values())]) * (1 - 1e-9)
+    scored = rows.withColumn("letters", F.col("text").rlike(r"\p{L}")).mapInArrow(_label(net, langs), "lang string, lang_pred string, score double")
+    scored = stored(scored.filter(F.col("lang_pred") != UNKNOWN).select("lang", "score"), "langid-scores")
+    # Equal texts may differ in the last bits of a float from one block to the next.
+    return min([level, *lowest_share(scored, SURE_BELOW).values()]) * (1 - 1e-6)
+
+
+def lowest_share(scored: DataFrame, share: float, bins: int = 1024) -> dict:
+    """For every lang the least score that at most ``share`` of its rows lie below; exact.
+
+    Each round counts the rows between two scores by bins and goes on with the one bin that holds the wanted rank."""
+    spark = scored.sparkSession
+    kind = dict(scored.dtypes)["lang"]
+    span = {r["lang"]: (r["lo"], r["hi"], int(share * r["n"])) for r in scored.groupBy("lang").agg(
+        F.min("score").alias("lo"), F.max("score").alias("hi"), F.count("*").alias("n")).collect()}
+    while open_ := {k: v for k, v in span.items() if v[0] < v[1]}:
+        bounds = F.broadcast(spark.createDataFrame([(k, lo, hi) for k, (lo, hi, _) in open_.items()], f"lang {kind}, lo double, hi double"))
+        inside = scored.join(bounds, "lang").filter("score BETWEEN lo AND hi")
+        # The ends always fall into the first and the last bin.
+        place = F.when(F.col("score") == F.col("hi"), bins - 1).otherwise(F.least(F.floor((F.col("score") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 2)))
+        found: dict = {}
+        for r in inside.groupBy("lang", place.alias("bin")).agg(F.min("score").alias("lo"), F.max("score").alias("hi"), F.count("*").alias("n")).collect():
+            found.setdefault(r["lang"], []).append((r["bin"], r["lo"], r["hi"], r["n"]))
+        for k in open_:
+            rank = span[k][2]
+            for _, lo, hi, n in sorted(found[k]):
+                if rank < n:
+                    span[k] = lo, hi, rank
+                    break
+                rank -= n
+    return {k: lo for k, (lo, _, _) in span.items()}
 
 
 def _label(net: BiGru, langs: list, least: float | None = None):
@@ -264,11 +371,11 @@ def keep_identified(docs: DataFrame, min_score: float = 0.0, id_col: str = "doc_
     With ``margin`` rows below the ``rejection_level`` go too.
     """
     ready(docs.sparkSession)
-    net, langs, sample = _train(docs, id_col, text_col, lang_col, held_out_of)
+    net, langs = train(docs, id_col, text_col, lang_col, held_out_of)
     if net is None:
         return docs.limit(0)
     if margin is not None:
-        min_score = max(min_score, rejection_level(net, sample, margin))
+        min_score = max(min_score, rejection_level(net, langs, _training(docs, id_col, text_col, lang_col, held_out_of), margin))
     # The text goes to the workers once; the other columns travel as one struct, whatever their names.
     others = [c for c in docs.columns if c != text_col]
     rows = docs.select(F.struct(*[col(c) for c in others]).alias("row"), col(text_col).alias("text"), col(text_col).rlike(r"\p{L}").alias("letters"))
