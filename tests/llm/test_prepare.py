@@ -2,11 +2,13 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -330,6 +332,28 @@ def test_many_blocks_and_split_context_words_change_no_score(docs, order):
     _same_scores(katz.score_documents(rows, order=order, block_bytes=size // 9).collect(), katz.score_documents(rows, order=order, share=0.0).collect())
 
 
+def test_buckets_in_parts_change_no_score_and_hold_less(docs):
+    rows = docs.filter("text is null or length(text) < 20000").select("doc_id", "text")
+    _same_scores(katz.score_documents(rows, part_rows=50, block_bytes=50_000).collect(), katz.score_documents(rows, part_rows=1 << 30, block_bytes=50_000).collect())
+    # One bucket's rows from several blocks: arrays beside the rows themselves depend on the part, not on the bucket.
+    rng = np.random.default_rng(4)
+    coding = katz.Coding(np.arange(1, 3001, dtype=np.uint64), np.arange(3000, 0, -1), 3, 1, 4_501_500)
+    cells = [katz._pack_rows([rng.integers(1, 3001, 40_000).astype(np.uint64) for _ in range(3)], np.ones(40_000, np.int64)) for _ in range(10)]
+    bucket = pa.table({"block": list(range(10)), "bucket": [0] * 10, "n_rows": [40_000] * 10, "packed": [c[0] for c in cells], "rare": [c[1] for c in cells]})
+    answers = pa.table({c: pa.array([], pa.float64() if c == "logp" else pa.int64()) for c in ("bucket", "w2", "w1", "n_word", "logp")})
+
+    class Shared:
+        value = coding
+    peaks, out = [], []
+    for part_rows in (1 << 30, 1 << 14):
+        tracemalloc.start()
+        out.append((sorted(map(str, katz._survey(Shared, part_rows)(bucket).filter(pa.compute.field("kind") < 2).to_pylist())),
+                    katz._evaluate(Shared, {2: -1.5, 3: -1.7}, {"slope": -1.4, "scale": 1e-7, "unseen": 0.01}, part_rows)(bucket, answers)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert out[0] == out[1] and peaks[1] < 0.6 * peaks[0], peaks
+
+
 def test_rare_grams_stay_however_large_the_corpus(spark):
     rare = "seven rare words that come only once"
     rows = [(1, "x y z " * 400_000), (2, rare), *((i, f"{rare} {i}") for i in range(3, 40))]

@@ -50,6 +50,8 @@ TOP_WORDS, RARE = 1 << 18, np.uint64(1 << 63)
 BLOCK_BYTES = 4_000_000
 # Buckets are evaluated in so many rounds: only one round's n-grams lie in shuffle files at a time.
 ROUNDS = 2
+# Rows of a bucket that are merged and evaluated at once, about: a worker's arrays do not grow with the largest bucket's n-grams.
+PART_ROWS = 1 << 16
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
@@ -382,14 +384,16 @@ class Coding:
         """Which context words have their n-grams in several buckets."""
         return (codes < RARE) & (self.parts[np.where(codes < RARE, codes, np.uint64(0)).astype(np.int64)] > 1)
 
-    def bucket(self, parts: list) -> np.ndarray:
-        """Bucket by the last context word: all contexts that end in it, of any order, lie there. A frequent one is dealt further by the word
+    def deal(self, parts: list) -> np.ndarray:
+        """Hash by the last context word: all contexts that end in it, of any order, share it. A frequent one is dealt further by the word
         before it, so contexts of two words and more stay whole; n-grams at a document's start need no context and go by their word."""
         last = parts[-2]
         deal = self.parts[np.where(last < RARE, last, np.uint64(0)).astype(np.int64)]
         other = mix(parts[-3] if self.order > 2 else parts[-1])
-        h = np.where(last == 0, mix(parts[-1] + np.uint64(7)), mix(last * _SEEDS[1] + np.where((last < RARE) & (deal > 1), other % deal, np.uint64(0)) * _SEEDS[2]))
-        return (mix(h) % np.uint64(self.buckets)).astype(np.int64)
+        return np.where(last == 0, mix(parts[-1] + np.uint64(7)), mix(last * _SEEDS[1] + np.where((last < RARE) & (deal > 1), other % deal, np.uint64(0)) * _SEEDS[2]))
+
+    def bucket(self, parts: list) -> np.ndarray:
+        return (mix(self.deal(parts)) % np.uint64(self.buckets)).astype(np.int64)
 
 
 def _hashed(parts: list) -> np.ndarray:
@@ -402,19 +406,19 @@ def _block_grams(doc: np.ndarray, ids: np.ndarray, codes: np.ndarray, coding: Co
     The order depends on the set of n-grams alone, so that a recomputed block meets its answers."""
     # Words by the order of their codes; 0 stands before the document.
     codes, rank = np.unique(np.append(codes, np.uint64(0)), return_inverse=True)
-    ids = rank[ids].astype(np.uint64)
+    ids = rank.astype(np.uint32)[ids]
     age = np.arange(len(doc)) - np.searchsorted(doc, doc)
     parts = []
     for k in range(max(coding.order, 2) - 1, -1, -1):
-        before = np.concatenate([np.zeros(min(k, len(ids)), np.uint64), ids[:len(ids) - k]]) if k else ids
-        parts.append(np.where(age >= k, before, np.uint64(0)) if k < coding.order else np.zeros(len(ids), np.uint64))
+        before = np.concatenate([np.zeros(min(k, len(ids)), np.uint32), ids[:len(ids) - k]]) if k else ids
+        parts.append(np.where(age >= k, before, np.uint32(0)) if k < coding.order else np.zeros(len(ids), np.uint32))
+    del age, rank
     # The last context word leads, then the words before it, then the word itself.
     lead = [parts[-2], *parts[-3::-1], parts[-1]]
     if len(codes) ** len(lead) < 1 << 63:
-        key = pack(lead, np.uint64(len(codes)))
-        _, first, which = np.unique(key, return_index=True, return_inverse=True)
+        _, first, which = np.unique(pack([lead[0].astype(np.uint64), *lead[1:]], np.uint64(len(codes))), return_index=True, return_inverse=True)
     else:
-        _, first, which = np.unique(_hashed(parts), return_index=True, return_inverse=True)
+        _, first, which = np.unique(_hashed([p.astype(np.uint64) for p in parts]), return_index=True, return_inverse=True)
         by = np.lexsort([p[first] for p in lead[::-1]])
         place = np.empty(len(by), np.int64)
         place[by] = np.arange(len(by))
@@ -468,13 +472,27 @@ def _gram_blocks(shared):
     return run
 
 
-def _merge(t, width: int):
-    """A bucket's distinct n-grams: (words, counts, row of each block's n-grams in turn)."""
-    cells = [_unpack_rows(*c) for c in zip(t.column("n_rows").to_pylist(), [width] * t.num_rows, t.column("packed").to_pylist(), t.column("rare").to_pylist())]
-    parts = [np.concatenate([c[0][k] for c in cells]) for k in range(width)]
-    counts = np.concatenate([c[1] for c in cells])
-    del cells
+def _bucket_rows(t, coding: Coding, part_rows: int):
+    """A bucket's rows in turn, block by block: (words, counts, part of each row, parts). Equal contexts lie in one part, as in one bucket."""
+    width, sizes = max(coding.order, 2), t.column("n_rows").to_pylist()
+    n = sum(sizes)
+    parts, counts, part = [np.empty(n, np.uint64) for _ in range(width)], np.empty(n, np.int32), np.empty(n, np.uint16)
+    many = min(max(1, -(-n // part_rows)), 1 << 16)
+    packed, rare, upto = t.column("packed"), t.column("rare"), 0
+    for i, m in enumerate(sizes):
+        rows, counted = _unpack_rows(m, width, packed[i].as_py(), rare[i].as_py())
+        here = slice(upto, upto + m)
+        for p, r in zip(parts, rows):
+            p[here] = r
+        counts[here] = counted
+        part[here] = mix(coding.deal(rows) + _SEEDS[4]) % np.uint64(many)
+        upto += m
     pa.default_memory_pool().release_unused()
+    return parts, counts, part, many
+
+
+def _merge(parts: list, counts: np.ndarray):
+    """Distinct n-grams: (words, counts, the distinct one of each row)."""
     _, first, which = np.unique(_hashed(parts), return_index=True, return_inverse=True)
     return [p[first] for p in parts], np.bincount(which, counts, len(first)).astype(np.int64), which
 
@@ -482,32 +500,42 @@ def _merge(t, width: int):
 _ASKED = "kind int, bucket long, w2 long, w1 long, n long"
 
 
-def _survey(shared):
+def _survey(shared, part_rows: int):
     """What a bucket has to tell and to ask: counts of counts (kind: the order, w1: the count), words whose count it lacks (kind 0), and its
     part of the bigrams of context words that several buckets share (kind 1)."""
     def run(t):
         coding = shared.value
-        width = max(coding.order, 2)
-        parts, n, _ = _merge(t, width)
         bucket = t.column("bucket")[0].as_py()
+        rows, seen, part, many = _bucket_rows(t, coding, part_rows)
+        lone, pairs, ofcounts = [], [], []
+        for i in range(many):
+            at = np.flatnonzero(part == i)
+            parts, n, _ = _merge([p[at] for p in rows], seen[at])
+            hot = coding.split(parts[-2])
+            lone.append(np.unique(parts[-1][(parts[-1] >= RARE) & ~hot]))
+            for k in range(2, coding.order + 1):
+                use = parts[-k] != 0
+                _, first, which = np.unique(_hashed([p[use] for p in parts[-k:]]), return_index=True, return_inverse=True)
+                counts = np.bincount(which, n[use], len(first)).astype(np.int64)
+                if k == 2:
+                    split = hot[use][first]
+                    pairs.append((parts[-2][use][first][split], parts[-1][use][first][split], counts[split]))
+                    counts = counts[~split]
+                r, m = np.unique(counts[(counts > 0) & (counts < 1000)], return_counts=True)
+                ofcounts.append((k, r, m))
         out = []
 
         def add(kind, w2, w1, counts):
             k = len(w1)
             out.append(pa.table([pa.array(np.full(k, kind, np.int32)), pa.array(np.full(k, bucket, np.int64)), pa.array(w2.view(np.int64)),
                                  pa.array(w1.view(np.int64)), pa.array(counts.astype(np.int64))], names=["kind", "bucket", "w2", "w1", "n"]))
-        hot = coding.split(parts[-2])
-        lone = np.unique(parts[-1][(parts[-1] >= RARE) & ~hot])
-        add(0, np.zeros(len(lone), np.uint64), lone, np.zeros(len(lone)))
-        for k in range(2, coding.order + 1):
-            use = parts[-k] != 0
-            _, first, which = np.unique(_hashed([p[use] for p in parts[-k:]]), return_index=True, return_inverse=True)
-            counts = np.bincount(which, n[use], len(first)).astype(np.int64)
-            if k == 2:
-                split = hot[use][first]
-                add(1, parts[-2][use][first][split], parts[-1][use][first][split], counts[split])
-                counts = counts[~split]
-            r, m = np.unique(counts[(counts > 0) & (counts < 1000)], return_counts=True)
+        asked = np.unique(np.concatenate(lone)) if lone else np.zeros(0, np.uint64)
+        add(0, np.zeros(len(asked), np.uint64), asked, np.zeros(len(asked)))
+        # A pair may lie in several parts of a bucket; it is asked for once.
+        w2, w1, counts = (np.concatenate(x) for x in zip(*pairs))
+        _, first, which = np.unique(_hashed([w2, w1]), return_index=True, return_inverse=True)
+        add(1, w2[first], w1[first], np.bincount(which, counts, len(first)))
+        for k, r, m in ofcounts:
             add(k, np.zeros(len(r), np.uint64), r.astype(np.uint64), m)
         return pa.concat_tables(out)
     return run
@@ -517,17 +545,32 @@ def _left(x):
     return np.log10(np.maximum(1 - x, 1e-12))
 
 
-def _evaluate(shared, slopes: dict, facts: dict):
+def _evaluate(shared, slopes: dict, facts: dict, part_rows: int):
     """log10 probability of every n-gram of a bucket, for each block in the order of its packed rows; and counts of its other last words."""
     def run(t, answers):
         coding = shared.value
-        width = max(coding.order, 2)
-        parts, n, which = _merge(t, width)
         w2, w1 = (answers.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("w2", "w1"))
         got_n, got_logp = answers.column("n_word").to_numpy(), answers.column("logp").to_numpy()
         key = np.where(w2 == 0, w1, mix(w2 * _SEEDS[3] + w1))
         by = np.argsort(key)
         key, got_n, got_logp = key[by], got_n[by], got_logp[by]
+        rows, seen, part, many = _bucket_rows(t, coding, part_rows)
+        row_logp, row_word = np.empty(len(part), "<f4"), np.empty(len(part), "<i8")
+        for i in range(many):
+            mine = np.flatnonzero(part == i)
+            parts, n, which = _merge([p[mine] for p in rows], seen[mine])
+            logp, word = probabilities(coding, parts, n, key, got_n, got_logp)
+            row_logp[mine], row_word[mine] = logp.astype("<f4")[which], word[which]
+        rare = rows[-1] >= RARE
+        cells, upto = [], 0
+        for m in t.column("n_rows").to_pylist():
+            here = slice(upto, upto + m)
+            upto += m
+            cells.append((row_logp[here].tobytes(), row_word[here][rare[here]].tobytes()))
+        return pa.table([t.column("block"), t.column("bucket"), pa.array([c[0] for c in cells], pa.binary()), pa.array([c[1] for c in cells], pa.binary())],
+                        names=["block", "bucket", "logp", "counts"])
+
+    def probabilities(coding, parts, n, key, got_n, got_logp):
         hot = coding.split(parts[-2])
         at = _find(key, np.where(hot, mix(parts[-2] * _SEEDS[3] + parts[-1]), parts[-1]))
         word = coding.known(parts[-1])
@@ -550,14 +593,7 @@ def _evaluate(shared, slopes: dict, facts: dict):
             if k == 2 and len(key):
                 new = np.where(hot[first], got_logp[np.maximum(at[first], 0)], new)
             logp[use] = new[gram]
-        logp, rare = logp.astype("<f4"), parts[-1] >= RARE
-        cells, upto = [], 0
-        for m in t.column("n_rows").to_pylist():
-            rows = which[upto:upto + m]
-            upto += m
-            cells.append((logp[rows].tobytes(), word[rows[rare[rows]]].astype("<i8").tobytes()))
-        return pa.table([t.column("block"), t.column("bucket"), pa.array([c[0] for c in cells], pa.binary()), pa.array([c[1] for c in cells], pa.binary())],
-                        names=["block", "bucket", "logp", "counts"])
+        return logp, word
     return run
 
 
@@ -582,7 +618,7 @@ def _sum_up(shared, facts: dict, fields: list):
     return run
 
 
-def _score_whole(docs: DataFrame, id_col: str, text_col: str, held_out_of: int, order: int, block_bytes: int) -> DataFrame:
+def _score_whole(docs: DataFrame, id_col: str, text_col: str, held_out_of: int, order: int, block_bytes: int, part_rows: int) -> DataFrame:
     """The whole model. Texts are dealt to blocks by a hash of id and text, so a recomputed task makes the same blocks; a block's distinct n-grams
     go, packed, to buckets by last context word, and their probabilities come back to the block."""
     spark = docs.sparkSession
@@ -616,7 +652,7 @@ def _score_whole(docs: DataFrame, id_col: str, text_col: str, held_out_of: int,
     at = fresh_dir(spark, "katz-grams")
     grams = rows.select("block", (~F.col("held_out")).alias("train"), "text").groupBy("block").applyInArrow(_gram_blocks(shared), _PACKED)
     grams = stored(grams, "katz-grams", at)
-    asked = stored(grams.groupBy("bucket").applyInArrow(_survey(shared), _ASKED), "katz-asked")
+    asked = stored(grams.groupBy("bucket").applyInArrow(_survey(shared, part_rows), _ASKED), "katz-asked")
     # Frequent words are numbered in the requests; their counts come from the same table by their fingerprints.
     numbered = spark.createDataFrame(top.assign(code=np.arange(1, len(top) + 1)), "w long, n long, code long").select(F.col("code").alias("w1"), F.col("n").alias("n_word"))
     counts = words.select(F.col("w").bitwiseOR(F.lit(-1 << 63)).alias("w1"), F.col("n").alias("n_word")).union(numbered)
@@ -644,7 +680,7 @@ def _score_whole(docs: DataFrame, id_col: str, text_col: str, held_out_of: int,
         answers = answers.select("bucket", "w2", "w1", "n_word", "logp").union(
             asked.filter(mine & (F.col("kind") == 0)).join(counts, "w1").select("bucket", F.lit(0).cast("long"), "w1", "n_word", F.lit(0.0)))
         of_blocks = grams.filter(mine).groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
-            _evaluate(shared, slopes, facts), "block long, bucket long, logp binary, counts binary")
+            _evaluate(shared, slopes, facts, part_rows), "block long, bucket long, logp binary, counts binary")
         scored.append(stored(of_blocks, "katz-scored"))
     scored = reduce(DataFrame.union, scored)
     discard(spark, at)
@@ -655,14 +691,15 @@ def _score_whole(docs: DataFrame, id_col: str, text_col: str, held_out_of: int,
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_of: int = HELD_OUT_OF, order: int = ORDER,
-                    share: float | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                    share: float | None = None, block_bytes: int = BLOCK_BYTES, part_rows: int = PART_ROWS) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text).
 
-    ``block_bytes`` of text make a block, and the n-grams of as many a bucket; the result does not depend on it."""
+    ``block_bytes`` of text make a block, and the n-grams of as many a bucket; ``part_rows`` of them are merged at a time. The result does
+    not depend on either."""
     spark = docs.sparkSession
     ready(spark)
     if share is None:
-        return _score_whole(docs, id_col, text_col, held_out_of, order, block_bytes)
+        return _score_whole(docs, id_col, text_col, held_out_of, order, block_bytes, part_rows)
     rows = docs.select((crc_mod(col(id_col), held_out_of) != 0).alias("train"), col(text_col).alias("text"))
     model, words, facts = fit(rows, order, share)
     shared = spark.sparkContext.broadcast(model)
