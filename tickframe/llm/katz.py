@@ -531,10 +531,11 @@ def _survey(shared, part_rows: int):
                                  pa.array(w1.view(np.int64)), pa.array(counts.astype(np.int64))], names=["kind", "bucket", "w2", "w1", "n"]))
         asked = np.unique(np.concatenate(lone)) if lone else np.zeros(0, np.uint64)
         add(0, np.zeros(len(asked), np.uint64), asked, np.zeros(len(asked)))
-        # A pair may lie in several parts of a bucket; it is asked for once.
-        w2, w1, counts = (np.concatenate(x) for x in zip(*pairs))
-        _, first, which = np.unique(_hashed([w2, w1]), return_index=True, return_inverse=True)
-        add(1, w2[first], w1[first], np.bincount(which, counts, len(first)))
+        # A pair may lie in several parts of a bucket; it is asked for once. A model of single words has none.
+        if pairs:
+            w2, w1, counts = (np.concatenate(x) for x in zip(*pairs))
+            _, first, which = np.unique(_hashed([w2, w1]), return_index=True, return_inverse=True)
+            add(1, w2[first], w1[first], np.bincount(which, counts, len(first)))
         for k, r, m in ofcounts:
             add(k, np.zeros(len(r), np.uint64), r.astype(np.uint64), m)
         return pa.concat_tables(out)
